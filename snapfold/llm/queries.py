@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import chat, mixing
 
 QUERIES = {
+    "op2_chat_format": chat.query,
     "op4_mix_sources": mixing.query,
 }
 
 ORACLES = {
+    "op2_chat_format": chat.SQL,
     "op4_mix_sources": mixing.SQL,
 }
