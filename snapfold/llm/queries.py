@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, simhash
+from . import chat, langid, mixing, simhash
 
 QUERIES = {
     "op2_chat_format": chat.query,
     "op4_mix_sources": mixing.query,
+    "op6_byte_convnet": langid.query,
     "op9_simhash_bktree": simhash.query,
 }
 
