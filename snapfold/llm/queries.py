@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import chat, langid, mixing, simhash
+from . import chat, langid, mixing, simhash, warc
 
 QUERIES = {
     "op2_chat_format": chat.query,
     "op4_mix_sources": mixing.query,
     "op6_byte_convnet": langid.query,
+    "op8_warc": warc.query,
     "op9_simhash_bktree": simhash.query,
 }
 
 ORACLES = {
     "op2_chat_format": chat.SQL,
     "op4_mix_sources": mixing.SQL,
+    "op8_warc": warc.SQL,
 }
