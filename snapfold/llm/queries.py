@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, langid, mixing, recurrent, simhash, warc
+from . import chat, langid, mixing, recurrent, simhash, suffixes, warc
 
 QUERIES = {
     "op2_chat_format": chat.query,
     "op4_mix_sources": mixing.query,
     "op5_gru_score": recurrent.query,
     "op6_byte_convnet": langid.query,
+    "op7_suffix_dedup": suffixes.query,
     "op8_warc": warc.query,
     "op9_simhash_bktree": simhash.query,
 }
