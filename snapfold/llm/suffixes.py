@@ -4,9 +4,10 @@ A byte goes if a string of ``size`` bytes over it also starts anywhere else. Eac
 in every copy, the gram of ``GRAM`` bytes with the least hash among its grams; those grams are the anchors, about two in
 ``size - GRAM`` bytes. An anchor whose hash is alone has no copy and goes. Round every other anchor lies its context, the
 bytes that a string with this anchor can hold. Contexts that are equal as a whole are repeated as a whole, which a 64-bit
-hash of either next to the anchor's own tells; of the others of an anchor, one of each kind goes to a shard, where the suffix
-array of all contexts of the shard finds the strings that two places share. Nothing but these contexts is sorted, and a
-shard may be larger than memory (see ``induced.py``). Texts are written once, bucketed by row, so that contexts and the
+hash of either next to the anchor's own tells; of the others of an anchor, one of each kind goes to a shard. There a context
+that shares no ``size - STEP`` bytes at the same distance from its anchor with another one is set aside, and the suffix
+array of the rest finds the strings that two places share. Nothing but these contexts is sorted, and a shard may be
+larger than memory (see ``induced.py``). Texts are written once, bucketed by row, so that contexts and the
 remaining bytes are read without a shuffle of all texts.
 
 Defined cases: a null text is empty; texts below ``size`` bytes keep all; repeated rows are copies of each other; equal
@@ -28,8 +29,10 @@ from .induced import suffix_array
 
 SIZE, GRAM = 400, 256
 #: Bytes of contexts that a task sorts together; one anchor's contexts are never parted.
-SHARD = 1 << 20
+SHARD = 4 << 20
 CHUNK = 1 << 20
+#: Grain of the comparison that sets contexts aside before they are sorted.
+STEP = 16
 _RNG = np.random.default_rng(400)
 _BYTE = _RNG.integers(1, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -89,7 +92,7 @@ def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rolling: Rolling, size: int, gram: int) -> tuple:
-    """Of texts laid end to end: hash, context's hash, text index, place, context's start and stop (in the text)."""
+    """Of texts laid end to end: hash, context's hash, text index, place in the context, context's start and stop in the text."""
     none = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32))
     if len(data) < size:
         return none
@@ -108,7 +111,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rolling: Ro
     hi = np.minimum(place + size, stops[own])
     context = _mixed(rolling.of(0, lo, hi) ^ (rolling.of(1, lo, hi) * _M1) ^ ((place - lo) * 1000003 + (hi - lo)).astype(np.uint64))
     base = starts[own]
-    return h[place].view(np.int64), context.view(np.int64), own, (place - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32)
+    return h[place].view(np.int64), context.view(np.int64), own, (place - lo).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32)
 
 
 def _anchor_rows(texts: DataFrame, size: int, gram: int) -> DataFrame:
@@ -123,11 +126,32 @@ def _anchor_rows(texts: DataFrame, size: int, gram: int) -> DataFrame:
                 part = b.column(1).slice(at, stop - at)
                 data = np.frombuffer(b"".join(x for x in part.to_pylist() if x), np.uint8)
                 n = sizes[at:stop]
-                h, c, own, place, lo, hi = anchors(data, np.cumsum(n) - n, n, rolling, size, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, c, uid[at + own] if len(own) else np.empty(0, np.int64), lo, hi)], ["h", "context", "uid", "lo", "hi"])
+                h, c, own, gap, lo, hi = anchors(data, np.cumsum(n) - n, n, rolling, size, gram)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, c, uid[at + own] if len(own) else np.empty(0, np.int64), gap, lo, hi)], ["h", "context", "uid", "gap", "lo", "hi"])
                 at = stop
 
-    return texts.select("uid", "text").mapInArrow(run, "h long, context long, uid long, lo int, hi int")
+    return texts.select("uid", "text").mapInArrow(run, "h long, context long, uid long, gap int, lo int, hi int")
+
+
+def comparable(contexts: list[bytes], gaps: np.ndarray, size: int, gram: int) -> np.ndarray:
+    """Which contexts share ``size - STEP`` bytes with another, at the same distance from their anchors.
+
+    A string of ``size`` bytes that begins ``a`` bytes before the gram holds the shorter one that begins at the multiple
+    of ``STEP`` below ``a``, so none is lost.
+    """
+    lengths = np.array([len(c) for c in contexts])
+    begin = np.cumsum(lengths) - lengths
+    rolling = Rolling()
+    rolling.load(np.frombuffer(b"".join(contexts), np.uint8))
+    keys, owners = [], []
+    for before in range(0, size - gram + 1, STEP):
+        after = gram + max(0, size - gram - before - STEP + 1)
+        fits = np.flatnonzero((gaps >= before) & (gaps + after <= lengths))
+        at = begin[fits] + gaps[fits]
+        keys.append(_mixed(rolling.of(0, at - before, at + after) + np.uint64(before)))
+        owners.append(fits)
+    _, which, many = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    return np.unique(np.concatenate(owners)[many[which] > 1])
 
 
 def shared_starts(contexts: list[bytes], places: np.ndarray, size: int) -> list[tuple[int, int, int]]:
@@ -174,16 +198,17 @@ def shared_starts(contexts: list[bytes], places: np.ndarray, size: int) -> list[
     return list(zip(own.tolist(), (head - begin[own]).tolist(), (tail - begin[own] + size).tolist()))
 
 
-def _sorted_shards(contexts: DataFrame, size: int) -> DataFrame:
-    """h, uid, lo, n, bytes, partitioned and ordered by h, to spans of the contexts that are there once."""
+def _sorted_shards(contexts: DataFrame, size: int, gram: int) -> DataFrame:
+    """h, uid, lo, n, bytes, gap, partitioned and ordered by h, to spans of the contexts that are there once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total, last = [], 0, None
 
         def solve() -> pa.RecordBatch:
-            places = np.array([(r[1] << 34) + r[2] for r in held])
-            found = shared_starts([r[4] for r in held], places, size)
-            rows = [(held[c][1], held[c][2] + a, held[c][2] + b) for c, a, b in found if held[c][3] == 1]
+            some = [held[i] for i in comparable([r[4] for r in held], np.array([r[5] for r in held]), size, gram)]
+            _, text = np.unique([r[1] for r in some], return_inverse=True)
+            found = shared_starts([r[4] for r in some], (text << 32) + np.array([r[2] for r in some]), size) if some else []
+            rows = [(some[c][1], some[c][2] + a, some[c][2] + b) for c, a, b in found if some[c][3] == 1]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], ["uid", "lo", "hi"])
 
         for b in batches:
@@ -196,7 +221,7 @@ def _sorted_shards(contexts: DataFrame, size: int) -> DataFrame:
         if held:
             yield solve()
 
-    return contexts.select("h", "uid", "lo", "n", "bytes").mapInArrow(run, "uid long, lo int, hi int")
+    return contexts.select("h", "uid", "lo", "n", "bytes", "gap").mapInArrow(run, "uid long, lo int, hi int")
 
 
 def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -211,7 +236,7 @@ def repeated_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM) -> Data
     found = written(_anchor_rows(texts, size, gram), "anchors")
     groups = found.groupBy("h").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed")).where("n > 1")
     hits = written(found.join(groups.select("h", "mixed"), "h"), "hits")
-    kinds = hits.where("mixed").groupBy("h", "context").agg(F.count("*").alias("n"), F.min(F.struct("uid", "lo", "hi")).alias("one"))
+    kinds = hits.where("mixed").groupBy("h", "context").agg(F.count("*").alias("n"), F.min(F.struct("uid", "lo", "hi", "gap")).alias("one"))
     kinds = written(kinds.select("h", "context", "n", "one.*"), "kinds")
     whole = hits.where("not mixed").select("uid", "lo", "hi").unionByName(
         hits.where("mixed").join(kinds.where("n > 1").select("h", "context"), ["h", "context"]).select("uid", "lo", "hi")
@@ -219,9 +244,9 @@ def repeated_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM) -> Data
     total = kinds.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0))).first()[0]
     least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     piece = F.substring("text", F.col("lo") + 1, F.col("hi") - F.col("lo"))
-    contexts = texts.join(kinds.hint("shuffle_hash"), "uid").select("h", "uid", "lo", "n", piece.alias("bytes"))
+    contexts = texts.join(kinds.hint("shuffle_hash"), "uid").select("h", "uid", "lo", "n", piece.alias("bytes"), "gap")
     shards = contexts.repartition(max(least, total // SHARD + 1), "h").sortWithinPartitions("h", "uid", "lo")
-    return whole.unionByName(_sorted_shards(shards, size))
+    return whole.unionByName(_sorted_shards(shards, size, gram))
 
 
 def keep_unrepeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
