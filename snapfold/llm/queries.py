@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, langid, mixing, recurrent, simhash, suffixes, warc
+from . import chat, langid, mixing, passages, recurrent, simhash, suffixes, warc
 
 QUERIES = {
     "op2_chat_format": chat.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_suffix_dedup": suffixes.query,
     "op8_warc": warc.query,
     "op9_simhash_bktree": simhash.query,
+    "op10_compact_windows": passages.query,
 }
 
 ORACLES = {
