@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, langid, mixing, passages, recurrent, simhash, suffixes, warc
+from . import chat, decontam, langid, mixing, passages, recurrent, simhash, suffixes, warc
 
 QUERIES = {
     "op2_chat_format": chat.query,
+    "op3_latent_decontamination": decontam.query,
     "op4_mix_sources": mixing.query,
     "op5_gru_score": recurrent.query,
     "op6_byte_convnet": langid.query,
