@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import positional
+
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 8, 8
 #: Bounds of the sample that is learned from, and a cap on the languages told apart.
 DOCS_PER_LANG, WINDOWS_PER_DOC, MOST_LANGS = 1000, 4, 500
@@ -191,12 +193,27 @@ def predict(docs: DataFrame, net: ByteConvNet | None, keep: list[str] | None = N
             best = total.argmax(1)
             lang = pa.array([net.langs[j] if k else UNKNOWN for j, k in zip(best, known)], pa.string())
             score = np.where(known, np.clip(total[np.arange(n), best], 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], lang, pa.array(score)], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], lang, pa.array(score)], [*names, "lang_pred", "score"])
 
     n_keep = len(keep)
-    rows = docs.select(*keep, F.when(letters, F.col("text").cast("binary")).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", lang_pred string, score double"
-    return rows.mapInArrow(run, schema)
+    names = [f"_k{i}" for i in range(n_keep)]
+    rows = docs.select(*positional(docs, keep), F.when(letters, F.col("text").cast("binary")).alias("_text"))
+    schema = "".join(f"_k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + "lang_pred string, score double"
+    made = [c for c in keep if c not in ("lang_pred", "score")]
+    return rows.mapInArrow(run, schema).select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep) if c in made], "lang_pred", "score")
+
+
+#: Documents whose language is less sure than this are rejected, as are those without one.
+LEAST_SCORE = 0.3
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """``docs`` without those whose language is unknown or too unsure; learns from the labelled ones of them."""
+    columns = docs.columns
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)], "text")
+    told = predict(inner, train(docs), [f"_c{i}" for i in range(len(columns))])
+    sure = told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return sure.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def held_out(modulus: int, remainder: int) -> Column:

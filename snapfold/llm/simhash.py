@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import bucketed, written
 from .components import components
 
 SEED = 42
@@ -206,6 +206,77 @@ def simhash_components(docs: DataFrame, k: int, radius: int) -> DataFrame:
     return prints.join(named, "fp", "left")
 
 
+#: Of ``near_copies``: orders of the shingles, and how many that are least in an order make up a part's fingerprint.
+ORDERS, PART = 16, 3
+_ORDERS = np.random.default_rng(9).integers(1, 1 << 63, ORDERS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def part_fingerprints(hashes: np.ndarray) -> list[int]:
+    """SimHashes of the shingles that are least in each order: near copies share most of these, however far the whole's are."""
+    each = np.unique(hashes)
+    out = []
+    for k in range(ORDERS):
+        mixed = each * _ORDERS[k]
+        mixed ^= mixed >> np.uint64(32)
+        least = np.argpartition(mixed, PART - 1)[:PART] if len(each) > PART else slice(None)
+        out.append(fingerprint(np.sort(each[least])))
+    return out
+
+
+def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 2) -> DataFrame:
+    """``docs`` with one row, the first by doc_id, of each group of texts linked by Jaccard similarity of their shingles.
+
+    Equal texts are one. Of the others, those whose SimHashes a BK-tree links, and those that share the fingerprint of
+    a part, are candidates with one that stands for the set; every candidate's similarity is then computed from the texts.
+    """
+    spark = docs.sparkSession
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    columns = docs.columns
+    own = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)]
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"), *own)
+    rows = bucketed(rows, "uid", parts)
+    sums = written(rows.select("uid", "doc", F.sha2("body", 256).alias("sum")), "sums")
+    first = sums.groupBy("sum").agg(F.min(F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "uid")).alias("f"))
+    heads = first.select(F.col("f.uid").alias("uid"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            whole, some = [], []
+            for t in b.column(1):
+                h = shingles_hashes(t.as_py(), k)
+                whole.append(fingerprint(h))
+                some.append(part_fingerprints(h))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(whole, pa.int64()), pa.array(some, pa.list_(pa.int64()))], ["uid", "fp", "parts"])
+
+    prints = written(rows.select("uid", "body").mapInArrow(run, "uid long, fp long, parts array<long>").join(heads, "uid", "left_semi"), "prints")
+    nodes = prints.groupBy("fp").agg(F.min("uid").alias("rep"))
+    alike = prints.join(nodes, "fp").where("uid <> rep").select(F.col("uid").alias("a"), F.col("rep").alias("b"))
+    part = prints.select("uid", F.posexplode("parts").alias("order", "part"))
+    stands = part.groupBy("order", "part").agg(F.min("uid").alias("b"), F.count("*").alias("n")).where("n > 1")
+    shared = part.join(stands, ["order", "part"]).where("uid <> b").select(F.col("uid").alias("a"), "b")
+    pairs = alike.unionByName(node_links(nodes, radius)).unionByName(shared).where("a <> b")
+    pairs = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    bodies = rows.select("uid", "body")
+    both = pairs.join(bodies.withColumnsRenamed({"uid": "a", "body": "one"}), "a").join(bodies.withColumnsRenamed({"uid": "b", "body": "two"}), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = []
+            for x, y in zip(b.column(2), b.column(3)):
+                p, q = (np.unique(shingles_hashes(t.as_py(), k)) for t in (x, y))
+                shared = len(np.intersect1d(p, q, assume_unique=True))
+                good.append(shared >= similarity * (len(p) + len(q) - shared))
+            keep = np.flatnonzero(good)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep)), b.column(1).take(pa.array(keep))], ["a", "b"])
+
+    links = both.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long")
+    found = components(links)
+    sets = sums.join(first.select("sum", F.col("f.uid").alias("head")), "sum").join(found, F.col("head") == F.col("node"), "left")
+    sets = written(sets.select("uid", "doc", F.coalesce("component", "head").alias("set")), "sets")
+    kept = sets.groupBy("set").agg(F.min(F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "uid")).alias("f")).select(F.col("f.uid").alias("uid"))
+    return rows.join(kept, "uid", "left_semi").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])
+
+
 #: Production parameters of the registered query.
 WORDS, RADIUS = 3, 2
 

@@ -16,7 +16,6 @@ or null doc_ids don't matter; an empty table gives an empty result; further colu
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, written
+from .common import bucketed, positional, shared_dir, written
 from .induced import suffix_array
 
 SIZE, GRAM = 400, 256
@@ -224,13 +223,6 @@ def _sorted_shards(contexts: DataFrame, size: int, gram: int) -> DataFrame:
     return contexts.select("h", "uid", "lo", "n", "bytes", "gap").mapInArrow(run, "uid long, lo int, hi int")
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """``df`` as a table in the warehouse, bucketed by ``key``: joins on it need no shuffle of this side."""
-    name = f"texts_{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").bucketBy(buckets, key).saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
 def repeated_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """Bucketed (uid, text) to (uid, lo, hi): bytes to remove; spans of a text may overlap."""
     found = written(_anchor_rows(texts, size, gram), "anchors")
@@ -253,7 +245,7 @@ def keep_unrepeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM, keep: t
     """``keep`` columns with kept (the remaining bytes), n_bytes, n_removed and n_spans of every row."""
     shared_dir(docs.sparkSession)
     least = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    own = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
+    own = positional(docs, list(keep))
     texts = bucketed(docs.select(F.monotonically_increasing_id().alias("uid"), F.col("text").cast("binary").alias("text"), *own), "uid", least)
     spans = repeated_spans(texts, size, gram).groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     rows = texts.join(spans.hint("shuffle_hash"), "uid", "left")
@@ -276,10 +268,23 @@ def keep_unrepeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM, keep: t
                 out.append(np.frombuffer(data, np.uint8)[~gone].tobytes())
                 numbers.append((len(data), int(gone.sum()), int(np.diff(np.r_[0, gone.astype(np.int8)]).clip(0).sum())))
             cols = [pa.array(out, pa.binary()), *(pa.array([x[i] for x in numbers], pa.int64()) for i in range(3))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], *cols], [*keep, "kept", "n_bytes", "n_removed", "n_spans"])
-
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + "kept binary, n_bytes long, n_removed long, n_spans long"
-    return rows.select(*[f"_k{i}" for i in range(n_keep)], "text", "spans").mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], *cols], [*(f"_k{i}" for i in range(n_keep)), "kept", "n_bytes", "n_removed", "n_spans"])
+
+    schema = "".join(f"_k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + "kept binary, n_bytes long, n_removed long, n_spans long"
+    out = rows.select(*[f"_k{i}" for i in range(n_keep)], "text", "spans").mapInArrow(run, schema)
+    made = ["kept", "n_bytes", "n_removed", "n_spans"]
+    return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep) if c not in made], *made)
+
+
+def texts_without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the remaining bytes as text, read as UTF-8; a character that is cut goes, a null text stays null."""
+    columns = docs.columns
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)], F.col("text"), F.lit(0).alias("doc_id"))
+    at = columns.index("text")
+    kept = keep_unrepeated(rows, size, gram, tuple(f"_c{i}" for i in range(len(columns))))
+    whole = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))
+    text = F.when(F.col("n_removed") == 0, F.col(f"_c{at}")).otherwise(whole)
+    return kept.select(*[(text if i == at else F.col(f"_c{i}")).alias(c) for i, c in enumerate(columns)])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
