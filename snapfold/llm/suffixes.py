@@ -56,15 +56,15 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 class Rolling:
     """Prefix sums that give the hash of any substring of a chunk."""
 
-    def __init__(self):
-        self.n = 0
+    def __init__(self, functions: int = 1):
+        self.n, self.functions = 0, functions
 
     def load(self, data: np.ndarray) -> None:
         if len(data) + 1 > self.n:
             self.n = max(len(data) + 1, CHUNK * 2)
-            self.pow = [_powers(b, self.n) for b in _BASE]
+            self.pow = [_powers(b, self.n) for b in _BASE[: self.functions]]
         self.sums = []
-        for k in range(2):
+        for k in range(self.functions):
             s = np.empty(len(data) + 1, np.uint64)
             s[0] = 0
             np.cumsum(_BYTE[k].take(data) * self.pow[k][0][: len(data)], out=s[1:])
@@ -78,6 +78,17 @@ class Rolling:
         return _mixed((s[size:] - s[:-size]) * self.pow[0][1][: len(s) - size])
 
 
+def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the string of ``size`` bytes at each place, a chunk at a time."""
+    rolling, out = Rolling(), np.empty(max(0, len(data) - size + 1), np.uint64)
+    for at in range(0, len(out), CHUNK):
+        part = data[at : at + CHUNK + size - 1]
+        rolling.load(part)
+        start = np.arange(len(part) - size + 1)
+        out[at : at + len(start)] = rolling.of(0, start, start + size)
+    return out
+
+
 def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     """Least or greatest of each ``width`` neighbours."""
     n = len(values)
@@ -115,7 +126,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rolling: Ro
 
 def _anchor_rows(texts: DataFrame, size: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling()
+        rolling = Rolling(2)
         for b in batches:
             uid = b.column(0).to_numpy()
             sizes = np.array([len(t) if t is not None else 0 for t in (x.as_buffer() if x.is_valid else None for x in b.column(1))])
@@ -139,16 +150,19 @@ def comparable(contexts: list[bytes], gaps: np.ndarray, size: int, gram: int) ->
     of ``STEP`` below ``a``, so none is lost.
     """
     lengths = np.array([len(c) for c in contexts])
-    begin = np.cumsum(lengths) - lengths
     rolling = Rolling()
-    rolling.load(np.frombuffer(b"".join(contexts), np.uint8))
     keys, owners = [], []
-    for before in range(0, size - gram + 1, STEP):
-        after = gram + max(0, size - gram - before - STEP + 1)
-        fits = np.flatnonzero((gaps >= before) & (gaps + after <= lengths))
-        at = begin[fits] + gaps[fits]
-        keys.append(_mixed(rolling.of(0, at - before, at + after) + np.uint64(before)))
-        owners.append(fits)
+    per = max(1, CHUNK // (2 * size))
+    for part in range(0, len(contexts), per):
+        own = slice(part, part + per)
+        begin = np.cumsum(lengths[own]) - lengths[own]
+        rolling.load(np.frombuffer(b"".join(contexts[own]), np.uint8))
+        for before in range(0, size - gram + 1, STEP):
+            after = gram + max(0, size - gram - before - STEP + 1)
+            fits = np.flatnonzero((gaps[own] >= before) & (gaps[own] + after <= lengths[own]))
+            at = begin[fits] + gaps[own][fits]
+            keys.append(_mixed(rolling.of(0, at - before, at + after) + np.uint64(before)))
+            owners.append(part + fits)
     _, which, many = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     return np.unique(np.concatenate(owners)[many[which] > 1])
 
@@ -173,9 +187,7 @@ def shared_starts(contexts: list[bytes], places: np.ndarray, size: int) -> list[
     sa = sa[long[sa]]
     if len(sa) < 2:
         return []
-    rolling = Rolling()
-    rolling.load(flat)
-    key = rolling.of(0, sa, sa + size)
+    key = string_hashes(flat, size)[sa]
     a, b = sa[:-1], sa[1:]
     equal = np.flatnonzero(key[1:] == key[:-1])
     for at in range(0, len(equal), 4096):  # the bytes themselves
