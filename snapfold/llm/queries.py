@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, langid, mixing, passages, recurrent, simhash, suffixes, warc
+from . import chat, chroma, decontam, langid, mixing, passages, recurrent, simhash, suffixes, warc
 
 QUERIES = {
+    "op1_chroma_fingerprints": chroma.query,
     "op2_chat_format": chat.query,
     "op3_latent_decontamination": decontam.query,
     "op4_mix_sources": mixing.query,
