@@ -4,11 +4,10 @@ A byte goes if a string of ``size`` bytes over it also starts anywhere else. Eac
 in every copy, the gram of ``GRAM`` bytes with the least hash among its grams; those grams are the anchors, about two in
 ``size - GRAM`` bytes. An anchor whose hash is alone has no copy and goes. Round every other anchor lies its context, the
 bytes that a string with this anchor can hold. Contexts that are equal as a whole are repeated as a whole, which a 64-bit
-hash of either next to the anchor's own tells; of the others of an anchor, one of each kind goes to a shard. There a context
-that shares no ``size - STEP`` bytes at the same distance from its anchor with another one is set aside, and the suffix
-array of the rest finds the strings that two places share. Nothing but these contexts is sorted, and a shard may be
-larger than memory (see ``induced.py``). Texts are written once, bucketed by row, so that contexts and the
-remaining bytes are read without a shuffle of all texts.
+hash of either next to the anchor's own tells; of the others of an anchor, one of each kind goes to a shard, its gram shrunk
+to one symbol. There the suffix array of all contexts finds the strings that two places share. Nothing but these contexts
+is sorted, and a shard may be larger than memory (see ``induced.py``). Texts are written once, bucketed by row, so
+that contexts and the remaining bytes are read without a shuffle of all texts.
 
 Defined cases: a null text is empty; texts below ``size`` bytes keep all; repeated rows are copies of each other; equal
 or null doc_ids don't matter; an empty table gives an empty result; further columns are not looked at by the operator.
@@ -20,18 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bucketed, positional, shared_dir, written
 from .induced import suffix_array
 
-SIZE, GRAM = 400, 256
+SIZE, GRAM = 400, 336
 #: Bytes of contexts that a task sorts together; one anchor's contexts are never parted.
-SHARD = 4 << 20
+SHARD = 1 << 20
 CHUNK = 1 << 20
-#: Grain of the comparison that sets contexts aside before they are sorted.
-STEP = 16
 _RNG = np.random.default_rng(400)
 _BYTE = _RNG.integers(1, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -78,17 +75,6 @@ class Rolling:
         return _mixed((s[size:] - s[:-size]) * self.pow[0][1][: len(s) - size])
 
 
-def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the string of ``size`` bytes at each place, a chunk at a time."""
-    rolling, out = Rolling(), np.empty(max(0, len(data) - size + 1), np.uint64)
-    for at in range(0, len(out), CHUNK):
-        part = data[at : at + CHUNK + size - 1]
-        rolling.load(part)
-        start = np.arange(len(part) - size + 1)
-        out[at : at + len(start)] = rolling.of(0, start, start + size)
-    return out
-
-
 def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     """Least or greatest of each ``width`` neighbours."""
     n = len(values)
@@ -143,59 +129,34 @@ def _anchor_rows(texts: DataFrame, size: int, gram: int) -> DataFrame:
     return texts.select("uid", "text").mapInArrow(run, "h long, context long, uid long, gap int, lo int, hi int")
 
 
-def comparable(contexts: list[bytes], gaps: np.ndarray, size: int, gram: int) -> np.ndarray:
-    """Which contexts share ``size - STEP`` bytes with another, at the same distance from their anchors.
+def shared_starts(contexts: list[bytes], gaps: np.ndarray, grams: np.ndarray, places: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """(context, first, last): starts of strings of ``width`` symbols that another place has as well.
 
-    A string of ``size`` bytes that begins ``a`` bytes before the gram holds the shorter one that begins at the multiple
-    of ``STEP`` below ``a``, so none is lost.
-    """
-    lengths = np.array([len(c) for c in contexts])
-    rolling = Rolling()
-    keys, owners = [], []
-    per = max(1, CHUNK // (2 * size))
-    for part in range(0, len(contexts), per):
-        own = slice(part, part + per)
-        begin = np.cumsum(lengths[own]) - lengths[own]
-        rolling.load(np.frombuffer(b"".join(contexts[own]), np.uint8))
-        for before in range(0, size - gram + 1, STEP):
-            after = gram + max(0, size - gram - before - STEP + 1)
-            fits = np.flatnonzero((gaps[own] >= before) & (gaps[own] + after <= lengths[own]))
-            at = begin[fits] + gaps[own][fits]
-            keys.append(_mixed(rolling.of(0, at - before, at + after) + np.uint64(before)))
-            owners.append(part + fits)
-    _, which, many = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    return np.unique(np.concatenate(owners)[many[which] > 1])
-
-
-def shared_starts(contexts: list[bytes], places: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """(context, first, stop): bytes of contexts under strings of ``size`` bytes that also start at another place.
-
-    ``places`` has a number for each context's first byte in the corpus, so that overlapping contexts of one text are
-    not taken for copies.
+    A context is ``gaps`` bytes, its gram as one symbol, and the rest. ``places`` has a number for each context's first
+    byte in the corpus, so that overlapping contexts of one text are not taken for copies.
     """
-    lengths = np.array([len(c) for c in contexts])
+    lengths = np.array([len(c) for c in contexts]) + 1
     begin = np.cumsum(lengths + 1) - lengths - 1
     text = np.zeros(int(lengths.sum()) + len(contexts) + 1, np.int32)
     owner = np.repeat(np.arange(len(contexts)), lengths + 1)
-    flat = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8)
-    text[:-1] = flat.astype(np.int32) + 2
+    _, symbol = np.unique(grams, return_inverse=True)
+    special = np.zeros(len(text), bool)
+    special[begin + lengths] = special[begin + gaps] = special[-1] = True
+    text[~special] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int32) + 2
     text[begin + lengths] = 1
-    sa = suffix_array(text)
+    text[begin + gaps] = 258 + symbol
     inside = np.arange(len(owner)) - begin[owner]
-    long = lengths[owner] - inside >= size
+    sa = suffix_array(text)
     sa = sa[sa < len(owner)]
-    sa = sa[long[sa]]
+    sa = sa[lengths[owner[sa]] - inside[sa] >= width]
     if len(sa) < 2:
         return []
-    key = string_hashes(flat, size)[sa]
-    a, b = sa[:-1], sa[1:]
-    equal = np.flatnonzero(key[1:] == key[:-1])
-    for at in range(0, len(equal), 4096):  # the bytes themselves
-        i = equal[at : at + 4096]
-        span = np.arange(size)
-        equal[at : at + 4096] = np.where((flat[a[i][:, None] + span] == flat[b[i][:, None] + span]).all(1), i, -1)
-    joins = np.zeros(len(sa) - 1, bool)
-    joins[equal[equal >= 0]] = True
+    # neighbours in the order that have the same ``width`` symbols
+    joins = np.empty(len(sa) - 1, bool)
+    span = np.arange(width)
+    for at in range(0, len(joins), 1 << 14):
+        x = text[sa[at : at + (1 << 14) + 1][:, None] + span]
+        joins[at : at + (1 << 14)] = (x[1:] == x[:-1]).all(1)
     run = np.concatenate([[0], np.cumsum(~joins)])
     first = np.flatnonzero(np.r_[True, ~joins])
     where = places[owner[sa]] + inside[sa]
@@ -206,7 +167,7 @@ def shared_starts(contexts: list[bytes], places: np.ndarray, size: int) -> list[
     cuts = np.flatnonzero((np.diff(hit) != 1) | (np.diff(owner[hit]) != 0))
     head, tail = hit[np.r_[0, cuts + 1]], hit[np.r_[cuts, len(hit) - 1]]
     own = owner[head]
-    return list(zip(own.tolist(), (head - begin[own]).tolist(), (tail - begin[own] + size).tolist()))
+    return list(zip(own.tolist(), (head - begin[own]).tolist(), (tail - begin[own]).tolist()))
 
 
 def _sorted_shards(contexts: DataFrame, size: int, gram: int) -> DataFrame:
@@ -216,10 +177,10 @@ def _sorted_shards(contexts: DataFrame, size: int, gram: int) -> DataFrame:
         held, total, last = [], 0, None
 
         def solve() -> pa.RecordBatch:
-            some = [held[i] for i in comparable([r[4] for r in held], np.array([r[5] for r in held]), size, gram)]
-            _, text = np.unique([r[1] for r in some], return_inverse=True)
-            found = shared_starts([r[4] for r in some], (text << 32) + np.array([r[2] for r in some]), size) if some else []
-            rows = [(some[c][1], some[c][2] + a, some[c][2] + b) for c, a, b in found if some[c][3] == 1]
+            _, text = np.unique([r[1] for r in held], return_inverse=True)
+            grams, lo, gaps = (np.array([r[i] for r in held]) for i in (0, 2, 5))
+            found = shared_starts([r[4] for r in held], gaps, grams, (text << 32) + lo, size - gram + 1)
+            rows = [(held[c][1], held[c][2] + a, held[c][2] + b + size) for c, a, b in found if held[c][3] == 1]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], ["uid", "lo", "hi"])
 
         for b in batches:
@@ -237,17 +198,19 @@ def _sorted_shards(contexts: DataFrame, size: int, gram: int) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """Bucketed (uid, text) to (uid, lo, hi): bytes to remove; spans of a text may overlap."""
-    found = written(_anchor_rows(texts, size, gram), "anchors")
-    groups = found.groupBy("h").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed")).where("n > 1")
-    hits = written(found.join(groups.select("h", "mixed"), "h"), "hits")
+    same = Window.partitionBy("h")
+    found = _anchor_rows(texts, size, gram).withColumn("n", F.count("*").over(same))
+    found = found.withColumn("mixed", F.min("context").over(same) != F.max("context").over(same)).where("n > 1").drop("n")
+    hits = written(found, "hits")
     kinds = hits.where("mixed").groupBy("h", "context").agg(F.count("*").alias("n"), F.min(F.struct("uid", "lo", "hi", "gap")).alias("one"))
     kinds = written(kinds.select("h", "context", "n", "one.*"), "kinds")
     whole = hits.where("not mixed").select("uid", "lo", "hi").unionByName(
         hits.where("mixed").join(kinds.where("n > 1").select("h", "context"), ["h", "context"]).select("uid", "lo", "hi")
     )
-    total = kinds.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0))).first()[0]
+    total = kinds.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") - gram), F.lit(0))).first()[0]
     least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    piece = F.substring("text", F.col("lo") + 1, F.col("hi") - F.col("lo"))
+    after = F.col("lo") + F.col("gap") + gram
+    piece = F.concat(F.substring("text", F.col("lo") + 1, F.col("gap")), F.substring("text", after + 1, F.col("hi") - after))
     contexts = texts.join(kinds.hint("shuffle_hash"), "uid").select("h", "uid", "lo", "n", piece.alias("bytes"), "gap")
     shards = contexts.repartition(max(least, total // SHARD + 1), "h").sortWithinPartitions("h", "uid", "lo")
     return whole.unionByName(_sorted_shards(shards, size, gram))
