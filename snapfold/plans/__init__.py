@@ -1,4 +1,6 @@
 """Registered queries of the reference's own operators, bound to the driver's tables."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import core
+
+QUERIES = {**core.QUERIES}
+ORACLES = {**core.ORACLES}
