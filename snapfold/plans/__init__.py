@@ -1,6 +1,6 @@
 """Registered queries of the reference's own operators, bound to the driver's tables."""
 
-from . import core
+from . import core, usage
 
-QUERIES = {**core.QUERIES}
-ORACLES = {**core.ORACLES}
+QUERIES = {**core.QUERIES, **usage.QUERIES}
+ORACLES = {**core.ORACLES, **usage.ORACLES}
