@@ -1,6 +1,6 @@
 """Registered queries of the reference's own operators, bound to the driver's tables."""
 
-from . import core, usage
+from . import change, core, usage
 
-QUERIES = {**core.QUERIES, **usage.QUERIES}
-ORACLES = {**core.ORACLES, **usage.ORACLES}
+QUERIES = {**core.QUERIES, **usage.QUERIES, **change.QUERIES}
+ORACLES = {**core.ORACLES, **usage.ORACLES, **change.ORACLES}
