@@ -2,7 +2,8 @@
 
 A recording's frames are turned to energies of the twelve pitch classes, smoothed over time and normalised. Sixteen filters,
 sums over rectangles of that image taken from its integral image, are quantised to two Gray-coded bits each: a packed
-32-bit integer for each place of a sixteen-frame image. Query recordings are searched in blocks of bounded size that travel to
+32-bit integer for each place of a sixteen-frame image. A recording that is searched has such integers from ``phases`` starts within
+a hop, so that a copy that begins between two frames is met as well. Query recordings are searched in blocks of bounded size that travel to
 the tasks: equal integers vote in a histogram of offsets for each query, and at the most voted offsets the share of differing
 bits over the overlap decides.
 
@@ -56,13 +57,14 @@ CHUNK, BLOCK = 1 << 18, 1 << 21
 
 @dataclass(frozen=True)
 class Params:
-    """Of the frames and of the search: votes an offset needs, the shortest overlap, and the largest share of differing bits."""
+    """Of the frames and of the search: starts within a hop, votes an offset needs, the shortest overlap, and the largest share of differing bits."""
 
     rate: int = 11025
     frame: int = 4096
     hop: int = 1365
     lowest: float = 28.0
     highest: float = 3520.0
+    phases: int = 1
     votes: int = 2
     peaks: int = 3
     overlap: int = 8
@@ -155,16 +157,19 @@ class Chroma:
 
 
 def fingerprints(media: DataFrame, params: Params, kind: str) -> DataFrame:
-    """(id, payload) to (id, n, digest, ints): ``ints`` packed little-endian."""
+    """(id, payload) to (id, n, digest, phases): packed little-endian integers from each start, ``n`` and ``digest`` of the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chroma = Chroma(params)
         for b in batches:
-            found = [chroma.integers(samples(x.as_py(), kind)).astype("<u4").tobytes() for x in b.column(1)]
-            cols = [b.column(0), pa.array([len(f) // 4 for f in found], pa.int64()), pa.array([hashlib.sha256(f).digest() for f in found], pa.binary()), pa.array(found, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "n", "digest", "ints"])
+            found = []
+            for payload in b.column(1):
+                x = samples(payload.as_py(), kind)
+                found.append([chroma.integers(x[i * params.hop // params.phases :]).astype("<u4").tobytes() for i in range(params.phases)])
+            cols = [b.column(0), pa.array([len(f[0]) // 4 for f in found], pa.int64()), pa.array([hashlib.sha256(f[0]).digest() for f in found], pa.binary()), pa.array(found, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "n", "digest", "phases"])
 
-    return media.select("id", "payload").mapInArrow(run, "id long, n long, digest binary, ints binary")
+    return media.select("id", "payload").mapInArrow(run, "id long, n long, digest binary, phases array<binary>")
 
 
 class Index:
@@ -214,12 +219,13 @@ def aligned(media: DataFrame, queries: DataFrame, params: Params, kind: str = "s
     """(id, payload) and the ids searched for, to a row a recording.
 
     id, n_ints, class_id (the smallest id with the same fingerprint), n_links (query classes other than its own that
-    align with it), and of the one with the fewest differing bits: best_query, best_offset, best_overlap, best_error.
+    align with it), and of the one with the fewest differing bits: best_query, best_offset (samples by which the query begins
+    later in it), best_overlap (integers), best_error.
     """
     prints = written(fingerprints(media, params, kind), "chroma")
-    classes = written(prints.groupBy("digest").agg(F.min("id").alias("class_id"), F.any_value("n").alias("n"), F.any_value("ints").alias("ints")), "classes")
+    classes = written(prints.groupBy("digest").agg(F.min("id").alias("class_id"), F.any_value("n").alias("n"), F.min_by("phases", "id").alias("phases")), "classes")
     searched = prints.join(queries.select("id").distinct(), "id", "left_semi").select("digest").distinct()
-    asked = written(classes.join(searched, "digest", "left_semi").where("class_id is not null and n > 0").select("class_id", "n", "ints"), "queries")
+    asked = written(classes.join(searched, "digest", "left_semi").where("class_id is not null and n > 0").select("class_id", "n", F.element_at("phases", 1).alias("ints")), "queries")
     blocks = max(1, -(-int(asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // BLOCK))
     found = None
     for k in range(blocks):
@@ -230,14 +236,18 @@ def aligned(media: DataFrame, queries: DataFrame, params: Params, kind: str = "s
             index = Index(held)
             for b in batches:
                 rows = []
-                for own, ints in zip(b.column(0).to_pylist(), b.column(1)):
-                    if links := index.aligned(own, np.frombuffer(ints.as_py(), "<u4"), params):
-                        best = min(links, key=lambda x: (x[3], -x[2], x[0]))
-                        rows.append((own, len(links), best[3], -best[2], best[0], best[1]))
+                for own, phases in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    links: dict[int, tuple] = {}
+                    for i, ints in enumerate(phases):
+                        for q, offset, overlap, error in index.aligned(own, np.frombuffer(ints, "<u4"), params):
+                            at = offset * params.hop + i * params.hop // params.phases
+                            links[q] = min(links.get(q, (2.0, 0, 0, 0)), (error, -overlap, q, at))
+                    if links:
+                        rows.append((own, len(links), *min(links.values())))
                 kinds = pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["class_id", "links", "error", "less", "query", "offset"])
 
-        rows = classes.where("class_id is not null and n > 0").select("class_id", "ints").mapInArrow(run, "class_id long, links long, error double, less long, query long, offset long")
+        rows = classes.where("class_id is not null and n > 0").select("class_id", "phases").mapInArrow(run, "class_id long, links long, error double, less long, query long, offset long")
         found = rows if found is None else found.unionByName(rows)
     links = found.groupBy("class_id").agg(F.sum("links").alias("n_links"), F.min(F.struct("error", "less", "query", "offset")).alias("best"))
     named = classes.select("digest", "class_id").join(links, "class_id", "left")
@@ -254,7 +264,7 @@ def aligned(media: DataFrame, queries: DataFrame, params: Params, kind: str = "s
 
 
 #: A document's bytes as 8-bit samples.
-PARAMS = Params(rate=8000, frame=128, hop=32, lowest=60.0, highest=4000.0, votes=2, overlap=8, error=0.15)
+PARAMS = Params(rate=8000, frame=128, hop=32, lowest=60.0, highest=4000.0, phases=4, votes=2, overlap=8, error=0.15)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import word_count
 
 #: The seeded order is cut in this many ranges, so that running totals never need a whole source in one task.
-RANGES = 65536
+RANGES = 4096
 
 
 def source_targets(sizes: DataFrame, weights: list[float], budget: float, max_epochs: float) -> DataFrame:
@@ -60,7 +60,7 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_epochs:
         "source",
         word_count("text").alias("size"),
         key.alias("_key"),
-        F.conv(F.substring(key, 1, 4), 16, 10).cast("int").alias("_range"),
+        F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("_range"),
     )
     # partial sums per source and range of the seeded order: at most RANGES rows a source
     ranges = sized.groupBy("source", "_range").agg(F.sum("size").alias("_in_range"))
