@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import base_model, instant, paper_ids
+from ..session import importable
 
 DAY = r"(\d{4}-\d{2}-\d{2})/[^/]+$"
 ENVELOPE = "page long, url string, hf_id string, fetched_at string, http_status int, body string, body_base64 string"
@@ -133,6 +134,7 @@ def papers(spark: SparkSession, path: str) -> DataFrame:
 def hidden_texts(spark: SparkSession, root: str, name: str) -> DataFrame:
     """(path, value) of a file of this name in every day's folder. Spark's readers skip names that begin with an underscore,
     so the driver lists the days, one path each, and tasks read the files."""
+    importable(spark)
     store, top = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
     days = [x.path for x in store.get_file_info(fs.FileSelector(top)) if x.type == fs.FileType.Directory]
     paths = spark.createDataFrame([(f"{d}/{name}",) for d in sorted(days)], "path string")
