@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from ..session import importable
 from . import chat, chroma, decontam, langid, mixing, passages, recurrent, simhash, suffixes, warc
 
-QUERIES = {
+_QUERIES = {
     "op1_chroma_fingerprints": chroma.query,
     "op2_chat_format": chat.query,
     "op3_latent_decontamination": decontam.query,
@@ -17,6 +18,13 @@ QUERIES = {
     "op10_compact_windows": passages.query,
 }
 
+
+def _ready(query):
+    return lambda spark, sf_dir: query(importable(spark), sf_dir)
+
+
+QUERIES = {name: _ready(query) for name, query in _QUERIES.items()}
+
 ORACLES = {
     "op2_chat_format": chat.SQL,
     "op4_mix_sources": mixing.SQL,
