@@ -9,26 +9,31 @@ from pyspark.sql import functions as F
 
 from snapfold.llm import decontam, langid, mixing, simhash, suffixes
 from snapfold.llm.common import shared_dir
+from snapfold.session import importable
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the byte network tells; the rest goes."""
+    importable(spark)
     return langid.accepted(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    importable(spark)
     return simhash.near_copies(docs, k=5, similarity=0.8)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without bytes of 400-byte strings that also start elsewhere; n_chars follows the text."""
+    importable(spark)
     out = suffixes.texts_without_repeats(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark or a paraphrase of one."""
+    importable(spark)
     hits = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_hit")).distinct()
     return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(hits["_hit"]), "left_anti")
 
