@@ -12,8 +12,19 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: What the operators have written in this process and not released: folders, and tables of the warehouse.
+_FOLDERS: list[str] = []
+_TABLES: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what operators have written so far; only once nothing that comes from it will be read again."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _FOLDERS:
+        path = hadoop.Path(_FOLDERS.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +42,7 @@ def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once to the shared folder and read again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -43,6 +55,7 @@ def word_count(text: str) -> F.Column:
 def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """``df`` as a table in the warehouse, bucketed by ``key``: joins on it need no shuffle of this side."""
     name = f"rows_{uuid.uuid4().hex}"
+    _TABLES.append(name)
     df.write.option("compression", "zstd").bucketBy(buckets, key).saveAsTable(name)
     return df.sparkSession.table(name)
 
