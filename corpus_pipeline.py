@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapfold.llm import decontam, langid, mixing, simhash, suffixes
-from snapfold.llm.common import shared_dir
+from snapfold.llm.common import release, shared_dir
 from snapfold.session import importable
 
 
@@ -61,4 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        release(spark)
     return docs
