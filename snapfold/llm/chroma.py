@@ -50,7 +50,7 @@ FILTERS = [
     (1, 9, 2, 12, (-0.272556, 0.019424, 0.302559)),
     (3, 4, 2, 14, (-0.164292, -0.0321188, 0.0846339)),
 ]
-IMAGE, GRAY = 16, np.array([0, 1, 3, 2], np.uint32)
+IMAGE = 16
 #: Samples laid end to end, and integers of a block of queries.
 CHUNK, BLOCK = 1 << 18, 1 << 21
 
@@ -106,31 +106,39 @@ class Chroma:
         self.to_pitch = (used[:, None] & (pitch[:, None] == np.arange(12))).astype(np.float32)
         self.window = np.hanning(params.frame).astype(np.float32)
 
-    def image(self, x: np.ndarray) -> np.ndarray:
-        """Frames by pitch classes of one recording, smoothed and normalised."""
+    def integers(self, recordings: list[np.ndarray]) -> list[list[np.ndarray]]:
+        """Packed integers (uint32) of each recording from each start; the recordings are laid end to end and worked on together."""
         p = self.p
-        n = (len(x) - p.frame) // p.hop + 1 if len(x) >= p.frame else 0
-        if n < len(SMOOTH):
-            return np.empty((0, 12), np.float32)
-        out = np.empty((n, 12), np.float32)
-        per = max(1, CHUNK // p.frame)
-        frames = np.lib.stride_tricks.sliding_window_view(x, p.frame)[:: p.hop]
-        for at in range(0, n, per):
-            spectrum = np.fft.rfft(frames[at : at + per] * self.window, axis=1)
-            out[at : at + per] = (spectrum.real**2 + spectrum.imag**2) @ self.to_pitch
-        m = n - len(SMOOTH) + 1
-        smooth = sum(w * out[i : i + m] for i, w in enumerate(SMOOTH))
+        sizes = np.repeat([len(x) for x in recordings], p.phases)
+        shift = np.tile(np.arange(p.phases) * p.hop // p.phases, len(recordings))
+        begin = np.repeat(np.cumsum([0, *(len(x) for x in recordings[:-1])]), p.phases) + shift
+        frames = np.maximum((sizes - shift - p.frame) // p.hop + 1, 0)
+        frames[frames < len(SMOOTH) + IMAGE - 1] = 0
+        empty = [[np.empty(0, np.uint32)] * p.phases for _ in recordings]
+        if not frames.sum():
+            return empty
+        x = np.lib.stride_tricks.sliding_window_view(np.concatenate(recordings), p.frame)
+        at = np.repeat(begin, frames) + p.hop * (np.arange(frames.sum()) - np.repeat(np.cumsum(frames) - frames, frames))
+        energy = np.empty((len(at), 12), np.float32)
+        per = max(1, 4 * CHUNK // p.frame)
+        for i in range(0, len(at), per):
+            spectrum = np.fft.rfft(x[at[i : i + per]] * self.window, axis=1)
+            energy[i : i + per] = (spectrum.real**2 + spectrum.imag**2) @ self.to_pitch
+        # smoothed over frames: the last ones of a recording reach into the next and go
+        m = len(energy) - len(SMOOTH) + 1
+        smooth = sum(w * energy[i : i + m] for i, w in enumerate(SMOOTH))
         norm = np.sqrt((smooth**2).sum(1, keepdims=True))
-        return np.where(norm > 0.01, smooth / np.maximum(norm, 1e-9), 0).astype(np.float32)
-
-    def integers(self, x: np.ndarray) -> np.ndarray:
-        """Packed integers of one recording, as uint32."""
-        image = self.image(x)
-        n = len(image) - IMAGE + 1
-        if n < 1:
-            return np.empty(0, np.uint32)
-        total = np.zeros((len(image) + 1, 13))
+        image = np.where(norm > 0.01, smooth / np.maximum(norm, 1e-9), 0)
+        total = np.zeros((m + 1, 13))
         total[1:, 1:] = image.cumsum(0, dtype=np.float64).cumsum(1)
+        packed = self.filtered(total, m - IMAGE + 1)
+        first = np.cumsum(frames) - frames
+        each = [packed[f : f + n - len(SMOOTH) - IMAGE + 2] if n else packed[:0] for f, n in zip(first.tolist(), frames.tolist())]
+        return [each[i : i + p.phases] for i in range(0, len(each), p.phases)]
+
+    @staticmethod
+    def filtered(total: np.ndarray, n: int) -> np.ndarray:
+        """The filters at the first ``n`` places of an image, given as its integral image."""
 
         def area(x0: int, y0: int, x1: int, y1: int) -> np.ndarray:
             return total[x1 : x1 + n, y1] - total[x0 : x0 + n, y1] - total[x1 : x1 + n, y0] + total[x0 : x0 + n, y0]
@@ -150,9 +158,11 @@ class Chroma:
                 a = area(0, y + h // 3, w, y + 2 * (h // 3))
             else:
                 a = area(w // 3, y, 2 * (w // 3), y + h)
-            b = np.zeros(n) if kind == 0 else all_of - a
-            value = np.log((1 + np.maximum(a, 0)) / (1 + np.maximum(b, 0)))
-            out = (out << np.uint32(2)) | GRAY[np.searchsorted(thresholds, value, "right")]
+            b = 0.0 if kind == 0 else np.maximum(all_of - a, 0)
+            # log(u / v) against thresholds, without the logarithm
+            ratio = (1 + np.maximum(a, 0)) / (1 + b)
+            level = sum((ratio >= np.exp(t)).astype(np.uint32) for t in thresholds)
+            out = (out << np.uint32(2)) | (level ^ (level >> np.uint32(1)))
         return out
 
 
@@ -162,10 +172,13 @@ def fingerprints(media: DataFrame, params: Params, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chroma = Chroma(params)
         for b in batches:
-            found = []
-            for payload in b.column(1):
-                x = samples(payload.as_py(), kind)
-                found.append([chroma.integers(x[i * params.hop // params.phases :]).astype("<u4").tobytes() for i in range(params.phases)])
+            found: list[list[bytes]] = []
+            held: list[np.ndarray] = []
+            for i, payload in enumerate(b.column(1), 1):
+                held.append(samples(payload.as_py(), kind))
+                if i == b.num_rows or sum(map(len, held)) >= CHUNK:
+                    found += [[y.astype("<u4").tobytes() for y in x] for x in chroma.integers(held)]
+                    held = []
             cols = [b.column(0), pa.array([len(f[0]) // 4 for f in found], pa.int64()), pa.array([hashlib.sha256(f[0]).digest() for f in found], pa.binary()), pa.array(found, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(cols, ["id", "n", "digest", "phases"])
 
