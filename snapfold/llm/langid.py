@@ -79,8 +79,8 @@ class ByteConvNet:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> None:
         rng = np.random.default_rng(SEED)
-        m, v, t = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2)), None, 0
-        m, v = m
+        m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
+        t = 0
         for _ in range(EPOCHS):
             order = rng.permutation(len(x))
             for at in range(0, len(x), BATCH):
