@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedup, lifecycle, links
-from .binding import EVENTS_SQL, TYPES, day_text, events, iso, table, user_days
+from .binding import EVENTS_SQL, day_text, events, iso, table
 
 
 def canonical_daily(spark, d):
