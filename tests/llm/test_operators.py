@@ -265,6 +265,16 @@ def test_passages_with_an_edit(spark):
     assert set(rows) == {1, 2} and rows[1]["partners"] == [2] and 100 <= rows[1]["n_words"] <= 130
 
 
+def test_passages_at_the_least_similarity(spark):
+    """One word of 50 differs, so 41 of 51 shingles are common: 0.804."""
+    rng, n = np.random.default_rng(8), 400
+    one = [[f"v{w}" for w in rng.integers(0, 1 << 40, 50)] for _ in range(n)]
+    two = [[*w[:25], "qq", *w[26:]] for w in one]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(one + two)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["partners"] for r in passages.near_duplicates(docs).collect()}
+    assert all(p == [(i + n) % (2 * n)] for i, p in rows.items()) and len(rows) >= 2 * 0.99 * n
+
+
 def test_stages_keep_the_columns(spark, odd):
     import corpus_pipeline
 
