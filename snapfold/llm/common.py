@@ -38,12 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written once to the shared folder and read again: cuts the lineage, survives lost executors."""
+def written(df: DataFrame, label: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder, in folders of column ``by`` if given, and read again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _FOLDERS.append(path)
-    df.write.option("compression", compression).parquet(path)
+    writer = df.write.option("compression", compression)
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

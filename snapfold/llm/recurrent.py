@@ -4,8 +4,9 @@ All training tokens are counted in Spark. The ``CODES - 1`` most frequent words
 word shares code 0 and is told from its like by add-one smoothed counts, so that the model's probabilities of all words
 sum to one. A gated recurrent unit reads the codes; its output softmax is factored in classes of equally many codes by
 frequency. Truncated backpropagation runs over windows of ``WINDOW`` steps, the state being carried from window to
-window. ``LEARNERS`` tasks learn from a hash sample of the training documents (one in ``SAMPLE`` a round, so it grows
-with the corpus), and their parameters are averaged after each of ``ROUNDS`` rounds. Scoring reads whole documents.
+window. The training documents are dealt by hash to ``ROUNDS`` slices, each document to one; in a round ``LEARNERS`` tasks
+learn from a slice, and their parameters are averaged after it, so that every document is learned from once. Scoring reads
+whole documents.
 
 Counts of the ``COMMON`` most frequent words travel to the tasks, the others are joined by word.
 
@@ -35,7 +36,7 @@ CODES = CLASSES * PER_CLASS
 #: Words whose counts travel to the tasks: a bound, not a cut, for the rest is joined.
 COMMON = 1 << 16
 WINDOW, LANES, LEARN_LANES, RATE, SEED = 32, 256, 32, 5e-3, 5
-SAMPLE, ROUNDS, LEARNERS = 32, 2, 12
+ROUNDS, LEARNERS = 32, 12
 END = b"\n"  # no word holds white space
 
 
@@ -234,10 +235,13 @@ class Vocabulary:
 
 
 def trained(docs: DataFrame, vocabulary: Vocabulary) -> Gru:
-    """Rounds of parallel learning over the hash sample, averaged; the driver gets LEARNERS sets of parameters of fixed size."""
+    """Rounds of parallel learning, a slice of the documents each, averaged; the driver gets LEARNERS sets of parameters of fixed size a round."""
     model = Gru(vocabulary.code_counts)
     names = list(model.p)
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(SAMPLE))
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(ROUNDS)).cast("int")
+    # written by slice, so that a round reads its own documents only
+    slices = docs.select(draw.alias("slice"), F.col("text").cast("binary").alias("text"), F.xxhash64(F.lit(SEED + 1), "doc_id").alias("h"))
+    slices = written(slices, "slices", by="slice")
     for r in range(ROUNDS):
 
         def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
@@ -258,8 +262,7 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Gru:
                 yield pa.RecordBatch.from_arrays([pa.array([size]), pa.array([flat.tobytes()], pa.binary())], ["size", "flat"])
 
         # dealt out evenly, not by key: the number of learners bounds what comes back
-        part = docs.where(draw == r).select(F.col("text").cast("binary").alias("text"), F.xxhash64(F.lit(SEED + 1), "doc_id").alias("h"))
-        got = part.repartition(LEARNERS).sortWithinPartitions("h", "text").select("text").mapInArrow(run, "size long, flat binary").collect()
+        got = slices.where(F.col("slice") == r).repartition(LEARNERS).sortWithinPartitions("h", "text").select("text").mapInArrow(run, "size long, flat binary").collect()
         if got:
             weights = np.array([x["size"] for x in got], np.float64)
             flat = sum(w * np.frombuffer(bytes(x["flat"]), np.float32) for w, x in zip(weights / weights.sum(), got))

@@ -137,6 +137,16 @@ def test_recurrent_model_learns_an_order():
     assert model.scores(docs[:1])[0] > 0.5 * before
 
 
+def test_recurrent_training_reads_every_document(spark):
+    docs = spark.createDataFrame([(i, "a b") for i in range(600)], "doc_id long, text string")
+    draw = F.pmod(F.xxhash64(F.lit(recurrent.SEED), "doc_id", F.length("text")), F.lit(32))
+    vocabulary = recurrent.Vocabulary([b"a", b"b", b"\n"], [600, 600, 600], 1800, 3)
+    fresh = recurrent.Gru(vocabulary.code_counts)
+    for of in (5, 31):
+        model = recurrent.trained(docs.where(draw == of), vocabulary)
+        assert any((model.p[k] != fresh.p[k]).any() for k in fresh.p)
+
+
 def test_language(spark, odd, documents):
     rows = {r["doc_id"]: r for r in langid.query(spark, odd).collect()}
     assert all(rows[100 + i]["lang_pred"] == "und" and rows[100 + i]["score"] == 0 for i in range(4))
