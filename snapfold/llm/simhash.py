@@ -223,11 +223,34 @@ def part_fingerprints(hashes: np.ndarray) -> list[int]:
     return out
 
 
+def similar(sets: list[np.ndarray], groups: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places of similar sets that join all groups that have any; a set's elements are distinct."""
+    groups, sizes = groups.copy(), np.array([len(s) for s in sets])
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)[np.argsort(ids, kind="stable")]
+    begin = np.searchsorted(np.sort(ids), np.arange(ids.max(initial=-1) + 2))
+    mine = np.split(ids, np.cumsum(sizes)[:-1])
+    one, two = [], []
+    for i in range(len(sets)):
+        if (groups == groups[i]).all():
+            break
+        shared = np.zeros(len(sets), np.int64)
+        if len(mine[i]):
+            shared += np.bincount(np.concatenate([owner[begin[e] : begin[e + 1]] for e in mine[i]]), minlength=len(sets))
+        for j in np.flatnonzero((groups != groups[i]) & (shared >= similarity * (sizes[i] + sizes - shared))):
+            if groups[j] != groups[i]:
+                one.append(i)
+                two.append(int(j))
+                groups[groups == groups[j]] = groups[i]
+    return np.array(one, np.int64), np.array(two, np.int64)
+
+
 def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 2) -> DataFrame:
     """``docs`` with one row, the first by doc_id, of each group of texts linked by Jaccard similarity of their shingles.
 
     Equal texts are one. Of the others, those whose SimHashes a BK-tree links, and those that share the fingerprint of
     a part, are candidates with one that stands for the set; every candidate's similarity is then computed from the texts.
+    In sets that this leaves in several groups, every two texts of different groups are compared.
     """
     spark = docs.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -254,7 +277,8 @@ def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: in
     part = prints.select("uid", F.posexplode("parts").alias("order", "part"))
     stands = part.groupBy("order", "part").agg(F.min("uid").alias("b"), F.count("*").alias("n")).where("n > 1")
     shared = part.join(stands, ["order", "part"]).where("uid <> b").select(F.col("uid").alias("a"), "b")
-    pairs = alike.unionByName(node_links(nodes, radius)).unionByName(shared).where("a <> b")
+    near = written(node_links(nodes, radius), "near")
+    pairs = alike.unionByName(near).unionByName(shared).where("a <> b")
     pairs = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
     bodies = rows.select("uid", "body")
     both = pairs.join(bodies.withColumnsRenamed({"uid": "a", "body": "one"}), "a").join(bodies.withColumnsRenamed({"uid": "b", "body": "two"}), "b")
@@ -269,8 +293,40 @@ def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: in
             keep = np.flatnonzero(good)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep)), b.column(1).take(pa.array(keep))], ["a", "b"])
 
-    links = both.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long")
+    links = written(both.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long"), "links")
     found = components(links)
+    # the sets that candidates come from: equal parts, equal SimHashes, and linked SimHashes with all their texts
+    linked = near.unionByName(near.select(F.col("b").alias("a"), "b")).distinct().join(nodes, F.col("a") == F.col("rep")).select("fp", "b")
+    members = part.select("uid", F.xxhash64(F.lit("part"), "order", "part").alias("bucket"))
+    members = members.unionByName(prints.select("uid", F.xxhash64(F.lit("whole"), "fp").alias("bucket")))
+    members = members.unionByName(prints.join(linked, "fp").select("uid", F.xxhash64(F.lit("linked"), "b").alias("bucket")))
+    grouped = members.join(found, F.col("uid") == F.col("node"), "left").select("uid", "bucket", F.coalesce("component", "uid").alias("group"))
+    # two of a set have been compared already; of sets with the same texts one is enough
+    apart = grouped.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.sum(F.shiftright(F.xxhash64("uid"), 24)).alias("y"), (F.min("group") != F.max("group")).alias("open"))
+    apart = apart.where("open and n > 2").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    again = written(grouped.join(apart, "bucket"), "again").join(bodies, "uid").select("bucket", "uid", "group", "body")
+    again = again.repartition(4 * parts, "bucket").sortWithinPartitions("bucket", "uid")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solve() -> pa.RecordBatch:
+            a, b = similar(sets, np.array(groups), similarity)
+            u = np.array(uids)
+            return pa.RecordBatch.from_arrays([pa.array(u[a]), pa.array(u[b])], ["a", "b"])
+
+        now, uids, groups, sets = None, [], [], []
+        for b in batches:
+            for bucket, uid, group, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if bucket != now and uids:
+                    yield solve()
+                    uids, groups, sets = [], [], []
+                now = bucket
+                uids.append(uid)
+                groups.append(group)
+                sets.append(np.unique(shingles_hashes(text, k)))
+        if uids:
+            yield solve()
+
+    found = components(links.unionByName(again.mapInArrow(compare, "a long, b long")))
     sets = sums.join(first.select("sum", F.col("f.uid").alias("head")), "sum").join(found, F.col("head") == F.col("node"), "left")
     sets = written(sets.select("uid", "doc", F.coalesce("component", "head").alias("set")), "sets")
     kept = sets.groupBy("set").agg(F.min(F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "uid")).alias("f")).select(F.col("f.uid").alias("uid"))

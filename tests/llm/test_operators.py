@@ -253,6 +253,28 @@ def test_near_copies(spark):
     assert sorted(r["doc_id"] for r in simhash.near_copies(docs).collect()) == [0, 2, 5, 10]
 
 
+def test_near_copies_of_a_text_that_comes_last(spark):
+    """Each variant is 0.86 like the base, and 0.74 like another variant."""
+    rng = np.random.default_rng(12)
+    base = [f"v{i}" for i in range(200)]
+    texts = []
+    for i in range(40):
+        at = [20 * int(x) + 7 + int(rng.integers(0, 5)) for x in rng.choice(9, 3, replace=False)]
+        texts.append([f"q{i}.{j}" if j in at else w for j, w in enumerate(base)])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate([*texts, base])], "doc_id long, text string")
+    assert [r["doc_id"] for r in simhash.near_copies(docs).collect()] == [0]
+
+
+def test_similar_sets():
+    rng = np.random.default_rng(13)
+    sets = [np.unique(rng.choice(12, n)) for n in (0, 0, *rng.integers(1, 14, 60))]
+    a, b = simhash.similar(sets, np.arange(len(sets)), 0.8)
+    shared = lambda x, y: len(np.intersect1d(x, y))
+    every = [(i, j) for i in range(len(sets)) for j in range(i) if shared(sets[i], sets[j]) >= 0.8 * (len(sets[i]) + len(sets[j]) - shared(sets[i], sets[j]))]
+    part = lambda pairs: simhash.joined(len(sets), [tuple(np.array(pairs, np.int64).T)]).tolist()
+    assert part(every) == part(list(zip(a.tolist(), b.tolist())))
+
+
 def test_passages(spark, odd, documents):
     got = {r["doc_id"] for r in passages.query(spark, odd).collect()}
     where = {}
