@@ -1,8 +1,8 @@
 """Language identification by a byte convolutional network, trained and applied in numpy.
 
 The network embeds bytes, runs filters of several widths over a window, takes each filter's maximum and ends in a
-softmax. It is fitted on a bounded sample: at most ``DOCS_PER_LANG`` labelled texts a language, chosen by a hash of the
-id, and ``WINDOWS_PER_DOC`` windows of each. Every text is then cut into windows of ``WINDOW`` bytes from its first to
+softmax. It is fitted, in one task, on a bounded sample: about ``DOCS_PER_LANG`` labelled texts a language, fewer where languages are
+so many that this would pass ``DOCS`` in all, chosen by a hash of the id, and ``WINDOWS_PER_DOC`` windows of each. Every text is then cut into windows of ``WINDOW`` bytes from its first to
 its last byte; a text's probabilities are those of its windows, weighed by their bytes.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing was learned; rows
@@ -16,14 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import positional
+from .common import positional, written
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 8, 8
-#: Bounds of the sample that is learned from, and a cap on the languages told apart.
-DOCS_PER_LANG, WINDOWS_PER_DOC, MOST_LANGS = 1000, 4, 500
+#: Bounds of the sample that is learned from: texts of a language, texts in all (one a language at least), windows of a text.
+DOCS_PER_LANG, DOCS, WINDOWS_PER_DOC = 1000, 40_000, 4
 EPOCHS, BATCH, RATE, SEED = 8, 128, 5e-3, 11
 UNKNOWN = "und"
 
@@ -117,16 +117,16 @@ class ByteConvNet:
         return q / q.sum(1, keepdims=True)
 
 
-def training_windows(docs: DataFrame) -> list:
-    """(lang, window) rows of the bounded sample, in an order that depends on ids and texts only."""
-    usable = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "doc_id", "text")
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
-    if not counts:
-        return []
-    scale = 1 << 30
-    most = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(scale, int(scale * DOCS_PER_LANG / r["count"]))))])
+def training_windows(docs: DataFrame) -> DataFrame:
+    """(draw, lang, bytes) of the bounded sample: ``draw`` is a hash of the id, so its order depends on ids and texts only."""
+    usable = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "doc_id", F.col("text").cast("binary").alias("text"))
+    counts = written(usable.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    scale, of_lang = 1 << 30, max(1, min(DOCS_PER_LANG, DOCS // max(1, counts.count())))
+    # some more than are wanted, so that no language is left without a text; the least draws of them are taken
+    most = counts.select(F.col("lang").alias("_lang"), (F.lit(scale * (of_lang + 8 * of_lang**0.5)) / F.col("n")).alias("most"))
     draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(scale))
-    chosen = usable.withColumn("draw", draw).where(F.col("draw") < most[F.col("lang")])
+    chosen = usable.withColumn("draw", draw).join(most, F.col("lang") == F.col("_lang")).where("draw <= most")
+    chosen = chosen.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))).where(F.col("nth") <= of_lang)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,21 +135,28 @@ def training_windows(docs: DataFrame) -> list:
                 rows, _ = windows(t)
                 for i in np.unique(np.linspace(0, len(rows) - 1, WINDOWS_PER_DOC).astype(int)):
                     lang.append(name), draws.append(d), out.append(rows[i].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(draws, pa.int64()), pa.array(out, pa.binary())], ["lang", "draw", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(draws, pa.int64()), pa.array(lang), pa.array(out, pa.binary())], ["draw", "lang", "bytes"])
 
-    rows = chosen.select("lang", "draw", F.col("text").cast("binary")).mapInArrow(cut, "lang string, draw long, bytes binary")
-    most_rows = 2 * DOCS_PER_LANG * WINDOWS_PER_DOC * len(counts)
-    return rows.orderBy("draw", "lang", "bytes").limit(most_rows).collect()
+    return chosen.select("lang", "draw", "text").mapInArrow(cut, "draw long, lang string, bytes binary")
 
 
 def train(docs: DataFrame) -> ByteConvNet | None:
-    rows = training_windows(docs)
-    if not rows:
+    """The network, fitted in one task on the bounded sample; only its parameters come to the driver."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        if not rows:
+            return
+        langs = sorted({r[1] for r in rows})
+        net, place = ByteConvNet(langs), {name: i for i, name in enumerate(langs)}
+        net.fit(np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, WINDOW), np.array([place[r[1]] for r in rows]))
+        yield pa.RecordBatch.from_arrays([pa.array([langs], pa.list_(pa.string())), pa.array([list(net.p)], pa.list_(pa.string())), pa.array([[v.tobytes() for v in net.p.values()]], pa.list_(pa.binary()))], ["langs", "names", "values"])
+
+    got = training_windows(docs).coalesce(1).mapInArrow(fit, "langs array<string>, names array<string>, values array<binary>").collect()
+    if not got:
         return None
-    langs = sorted({r["lang"] for r in rows})
-    net = ByteConvNet(langs)
-    x = np.frombuffer(b"".join(bytes(r["bytes"]) for r in rows), np.uint8).reshape(-1, WINDOW)
-    net.fit(x, np.array([langs.index(r["lang"]) for r in rows]))
+    net = ByteConvNet(list(got[0]["langs"]))
+    net.p = {k: np.frombuffer(bytes(v), np.float32).reshape(net.p[k].shape) for k, v in zip(got[0]["names"], got[0]["values"])}
     return net
 
 
