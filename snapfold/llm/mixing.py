@@ -6,8 +6,8 @@ document is then taken a whole number of times, and a seeded order of the docume
 that the words taken from a source meet its target.
 
 Defined cases: a null text has size 0 and is taken 0 times; a null source is one source, ordered last; a source of size
-0 has target 0; repeated rows are rows of their own; an empty table gives an empty result; further columns are kept by
-``mix`` unless they carry the name of one it makes, which then replaces them.
+0 has target 0; repeated rows are rows of their own; an empty table gives an empty result; all columns are kept by
+``mix`` unless they carry the name of one that it makes, which then replaces them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import positional, word_count, written
 
 #: The seeded order is cut in this many ranges, so that running totals never need a whole source in one task.
 RANGES = 4096
@@ -48,20 +48,24 @@ def source_targets(sizes: DataFrame, weights: list[float], budget: float, max_ep
     )
 
 
-def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_epochs: float = 2.0, seed: int = 7, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of ``docs`` with source, size, source_size, target, epochs and taken (words, repeats counted).
+def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_epochs: float = 2.0, seed: int = 7, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``keep`` columns of ``docs`` (all of them) with source, size, source_size, target, epochs and taken (words, repeats counted).
 
     ``epochs`` counts the whole repetitions; ``taken - epochs * size`` words come from one further, fractional one.
     """
-    made = {"source", "size", "source_size", "target", "epochs", "taken"}
+    made = ("source", "size", "source_size", "target", "epochs", "taken")
+    keep = tuple(c for c in dict.fromkeys(docs.columns if keep is None else keep) if c not in made)
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), 256)
     sized = docs.select(
-        *[c for c in dict.fromkeys(("doc_id", *keep)) if c not in made],
+        *positional(docs, list(keep)),
         "source",
+        F.col("doc_id").alias("_id"),
         word_count("text").alias("size"),
         key.alias("_key"),
         F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("_range"),
     )
+    # words are counted once; everything below reads what is written here
+    sized = written(sized, "sized")
     # partial sums per source and range of the seeded order: at most RANGES rows a source
     ranges = sized.groupBy("source", "_range").agg(F.sum("size").alias("_in_range"))
     sources = source_targets(ranges.groupBy("source").agg(F.sum("_in_range").alias("source_size")), weights, budget, max_epochs)
@@ -74,21 +78,20 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_epochs:
     placed = ranges.join(sources, ranges["source"].eqNullSafe(sources["source"])).select(
         ranges["source"], "_range", "_in_range", "_before", "source_size", "target", "epochs", "_more"
     )
+    placed = written(placed, "placed")
     # only the range in which a source's further words run out needs the order of its documents
     s, p = sized.alias("s"), placed.alias("p")
     joined = s.join(p, F.col("s.source").eqNullSafe(F.col("p.source")) & (F.col("s._range") == F.col("p._range"))).select(
         "s.*", "_in_range", "_before", "source_size", "target", "epochs", "_more"
     )
     inside = (F.col("_more") > F.col("_before")) & (F.col("_more") < F.col("_before") + F.col("_in_range"))
-    within = Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "_range").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = joined.where(inside)
     seen = F.col("_before") + F.coalesce(F.sum("size").over(within), F.lit(0))
     edge = edge.withColumn("_extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_more") - seen)))
     rest = joined.where(~inside).withColumn("_extra", F.when(F.col("_more") > F.col("_before"), F.col("size")).otherwise(F.lit(0)))
     out = rest.unionByName(edge)
-    return out.withColumn("taken", (F.col("epochs") * F.col("size") + F.col("_extra")).cast("long")).select(
-        *[c for c in dict.fromkeys(("doc_id", *keep)) if c not in made], "source", "size", "source_size", "target", "epochs", "taken"
-    )
+    return out.withColumn("taken", (F.col("epochs") * F.col("size") + F.col("_extra")).cast("long")).select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], *made)
 
 
 def repetitions(mixed: DataFrame) -> DataFrame:
@@ -104,7 +107,7 @@ WEIGHTS, BUDGET, MAX_EPOCHS, SEED = [3.0, 1.0, 2.0], 1.5, 2.0, 7
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs, WEIGHTS, BUDGET, MAX_EPOCHS, SEED).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix(docs, WEIGHTS, BUDGET, MAX_EPOCHS, SEED, ("doc_id",)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 SQL = r"""
