@@ -316,3 +316,64 @@ def test_stages_keep_the_columns(spark, odd):
     assert near.columns == docs.columns and clean.columns == docs.columns
     assert near.count() < docs.count() and 20 not in {r["doc_id"] for r in clean.select("doc_id").collect()}
     assert corpus_pipeline.mix(spark, docs, odd).where(F.col("taken") > 2 * F.col("size")).count() == 0
+
+
+def test_decontamination_among_many_items(spark):
+    """More items than a space has dimensions: several blocks, and recall against brute force over verbatim and changed items."""
+    rng = np.random.default_rng(21)
+    words = np.array([f"w{i}" for i in range(5000)])
+    items = [rng.choice(words, int(rng.integers(15, 45))).tolist() for _ in range(700)]
+    docs, expected = [], set()
+    for i in range(700):
+        inside = list(items[i])
+        if i % 3 == 1:
+            inside[len(inside) // 2] = "changed"
+        elif i % 3 == 2:
+            inside.insert(len(inside) // 3, "more")
+        docs.append((i, " ".join([*rng.choice(words, 150), *inside, *rng.choice(words, 150)])))
+        expected.add((i, i))
+    docs += [(1000 + i, " ".join(rng.choice(words, 300))) for i in range(300)]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
+    got = {(r["item_id"], r["doc_id"]) for r in got.collect()}
+    assert got <= expected and len(got) >= 0.99 * len(expected)
+
+
+def test_mix_keeps_columns_and_repeats(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    mixed = mixing.mix(docs, [3.0, 1.0, 2.0])
+    assert set(docs.columns) <= set(mixed.columns) and mixed.count() == docs.count()
+    each = mixing.repetitions(mixed).groupBy().agg(F.sum("words")).first()[0]
+    assert each == mixed.agg(F.sum("taken")).first()[0]
+    assert mixed.where("text is null and taken > 0").count() == 0
+
+
+def test_language_of_a_rare_label(spark):
+    docs = [(i, "aber nicht schön", "de") for i in range(3000)] + [(5000, "rare words", "xx"), (5001, None, "yy"), (5002, "x", None)]
+    rows = langid.training_windows(spark.createDataFrame(docs, "doc_id long, text string, lang string")).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in rows} == {"de": langid.DOCS_PER_LANG, "xx": 1}
+
+
+def test_language_forward_pass_is_the_convolution():
+    net = langid.ByteConvNet(["a", "b", "c"])
+    x = np.random.default_rng(0).integers(0, 256, (5, langid.WINDOW)).astype(np.uint8)
+    net.tables()
+    e = net.p["emb"][x]
+    pooled = []
+    for w in langid.WIDTHS:
+        r = [sum(e[:, t + i] @ net.p[f"w{w}"].reshape(w, langid.EMBED, -1)[i] for i in range(w)) for t in range(langid.WINDOW - w + 1)]
+        pooled.append(np.maximum(np.max(r, 0) + net.p[f"b{w}"], 0))
+    z = np.concatenate(pooled, 1) @ net.p["out"] + net.p["bias"]
+    assert np.allclose(net.probabilities(x), np.exp(z) / np.exp(z).sum(1, keepdims=True), atol=1e-4)
+
+
+def test_pipeline_end_to_end(spark, odd, nothing):
+    import corpus_pipeline
+
+    out = corpus_pipeline.run(spark, odd)
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    assert set(docs.columns) <= set(out.columns)
+    ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+    # rejected by language; copies; a contaminated text
+    assert not {100, 101, 102, 103} & set(ids) and ids.count(3) == 1 and 20 not in ids and 200 not in ids and 10 in ids
+    assert out.where("taken > 2 * size").count() == 0 and out.where("text is null").count() == 0
+    assert corpus_pipeline.run(spark, nothing).count() == 0
