@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapfold.llm import decontam, langid, mixing, simhash, suffixes
-from snapfold.llm.common import release, shared_dir
+from snapfold.llm.common import release, shared_dir, written
 from snapfold.session import importable
 
 
@@ -32,14 +32,20 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark or a paraphrase of one."""
+    """Documents without a passage of the benchmark or a paraphrase of one.
+
+    Each row is judged by itself: rows of equal or null doc_id go or stay by their own texts.
+    """
     importable(spark)
-    hits = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(hits["_hit"]), "left_anti")
+    row = "_row" + "_" * max(map(len, docs.columns))
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    hits = decontam.contaminated(rows.select(F.col(row).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(hits, row, "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document."""
+    """All columns of every document, with what the mix takes of it."""
+    importable(spark)
     return mixing.mix(docs, mixing.WEIGHTS, mixing.BUDGET, mixing.MAX_EPOCHS, mixing.SEED)
 
 
