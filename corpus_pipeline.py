@@ -12,21 +12,27 @@ from snapfold.llm.common import release, shared_dir, written
 from snapfold.session import importable
 
 
+def _begin(spark: SparkSession) -> None:
+    """A stage's documents are written already, so what the stages before it left in the shared folder can go."""
+    importable(spark)
+    release(spark)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the byte network tells; the rest goes."""
-    importable(spark)
+    _begin(spark)
     return langid.accepted(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    importable(spark)
+    _begin(spark)
     return simhash.near_copies(docs, k=5, similarity=0.8)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without bytes of 400-byte strings that also start elsewhere; n_chars follows the text."""
-    importable(spark)
+    _begin(spark)
     out = suffixes.texts_without_repeats(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
@@ -36,16 +42,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Each row is judged by itself: rows of equal or null doc_id go or stay by their own texts.
     """
-    importable(spark)
+    _begin(spark)
     row = "_row" + "_" * max(map(len, docs.columns))
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     hits = decontam.contaminated(rows.select(F.col(row).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias(row)).distinct()
+    # written, so that Spark knows their size when it chooses how to join
+    hits = written(hits, "hits")
     return rows.join(hits, row, "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns of every document, with what the mix takes of it."""
-    importable(spark)
+    _begin(spark)
     return mixing.mix(docs, mixing.WEIGHTS, mixing.BUDGET, mixing.MAX_EPOCHS, mixing.SEED)
 
 
