@@ -312,9 +312,9 @@ def test_stages_keep_the_columns(spark, odd):
 
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     near = corpus_pipeline.near_dedup(spark, docs, odd)
+    assert near.columns == docs.columns and near.count() < docs.count()
     clean = corpus_pipeline.decontaminate(spark, docs, odd)
-    assert near.columns == docs.columns and clean.columns == docs.columns
-    assert near.count() < docs.count() and 20 not in {r["doc_id"] for r in clean.select("doc_id").collect()}
+    assert clean.columns == docs.columns and 20 not in {r["doc_id"] for r in clean.select("doc_id").collect()}
     assert corpus_pipeline.mix(spark, docs, odd).where(F.col("taken") > 2 * F.col("size")).count() == 0
 
 
