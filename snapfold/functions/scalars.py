@@ -6,12 +6,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 OFFSET = r"(Z|[+-]\d\d:?\d\d)$"
+# Forms of paper ids, of repository ids, and the statuses after which a day asks no more.
+PAPER = r"(?i)^([a-z-]+(\.[A-Z]{2})?/\d{7}|\d{4}\.\d{4,5})(v\d+)?$"
+REPO = r"^[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+)*(/[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+)*)?$"
+PERMANENT = [401, 403, 404, 410, 451]
 
 
-def instant(value: Column) -> Column:
-    """Null, empty and bad values are null; numbers are seconds since 1970; else ISO-8601 text."""
-    text = F.nullif(F.trim(value), F.lit(""))
-    return F.coalesce(F.timestamp_seconds(text.try_cast("double")), text.try_cast("timestamp"))
+def instant(text: Column) -> Column:
+    """ISO-8601 text as a timestamp; null, empty and bad text is null. Digits alone are a date, never an epoch."""
+    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+    return F.coalesce(iso, F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd"))))
+
+
+def epoch(seconds: Column) -> Column:
+    """Numbers are seconds since 1970."""
+    return F.timestamp_seconds(seconds.try_cast("double"))
+
+
+def instant_of(value: Column) -> Column:
+    """A JSON value as a timestamp: numbers are epochs, text is ISO-8601, all else is null."""
+    kind = F.schema_of_variant(value)
+    number = F.when(kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"), epoch(F.try_variant_get(value, "$", "double")))
+    return F.coalesce(number, F.when(kind == "STRING", instant(F.try_variant_get(value, "$", "string"))))
+
+
+def bad_instant(value: Column, at: Column) -> Column:
+    """Whether a JSON value that is there and not empty gave no timestamp."""
+    text = F.try_variant_get(value, "$", "string")
+    return F.coalesce(text.isNotNull() & (text != "") & at.isNull(), F.lit(False))
 
 
 def strict_instant(value: Column) -> Column:
@@ -25,28 +47,37 @@ def precision(value: Column) -> Column:
 
 
 def paper_id(value: Column) -> Column:
-    """Canonical paper id: trimmed, without prefix and version; null if it isn't one."""
-    bare = F.regexp_replace(F.trim(value), r"(?i)^arxiv:", "")
-    return F.when(bare.rlike(r"^\d{4}\.\d{4,5}(v\d+)?$"), F.regexp_replace(bare, r"v\d+$", ""))
+    """Canonical paper id, of the modern or the archive/number form: trimmed, without prefix and version; null if it isn't one."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, r"^\s+|\s+$", ""), "^arXiv:", ""), "^arxiv:", "")
+    return F.when(bare.rlike(PAPER), F.regexp_replace(bare, r"(?i)v\d+$", ""))
 
 
 def valid_paper_id(identifier: Column) -> Column:
-    """Month 01 to 12, a sequence above zero, and five digits from 2015 on."""
-    year, month = F.substring(identifier, 1, 2).cast("int"), F.substring(identifier, 3, 2).cast("int")
-    sequence = F.substring_index(identifier, ".", -1)
-    return identifier.rlike(r"^\d{4}\.\d{4,5}$") & month.between(1, 12) & (sequence.cast("int") > 0) & (F.length(sequence) == F.when(year >= 15, 5).otherwise(4))
+    """Whether an id without version can have been given out: a month from April 2007 on and a number above zero; old ids need the latter."""
+    modern = identifier.rlike(r"^\d{4}\.\d{4,5}$")
+    year, month = F.substring(identifier, 1, 2).try_cast("int"), F.substring(identifier, 3, 2).try_cast("int")
+    number = F.regexp_extract(identifier, r"(\d+)$", 1).try_cast("int")
+    since = (year > 7) | ((year == 7) & (month >= 4))
+    old = identifier.contains("/") & identifier.rlike(r"/\d+$") & (number > 0)
+    fine = F.when(modern, month.between(1, 12) & (number > 0) & since).otherwise(old)
+    return F.coalesce(paper_id(identifier).isNotNull() & fine, F.lit(False))
 
 
 def paper_ids(tags: Column) -> Column:
     """Sorted distinct canonical ids among tags."""
-    found = F.transform(F.filter(tags, lambda x: F.lower(x).startswith("arxiv:")), paper_id)
+    found = F.transform(F.filter(tags, lambda x: x.rlike("(?i)^arxiv:.")), lambda x: paper_id(F.substr(x, F.lit(7))))
     return F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
 
 
 def base_model(tags: Column) -> Column:
-    """The first ``base_model:`` tag that isn't a finetune's."""
+    """What follows ``base_model:`` in the first such tag that isn't a finetune's."""
     hit = F.filter(tags, lambda x: x.startswith("base_model:") & ~x.startswith("base_model:finetune:"))
-    return F.substring_index(F.try_element_at(hit, F.lit(1)), ":", -1)
+    return F.substr(F.try_element_at(hit, F.lit(1)), F.lit(len("base_model:") + 1))
+
+
+def author(given: Column, repo: Column) -> Column:
+    """The author, or where none is given what stands before the id's slash; an id without one is its own author."""
+    return F.coalesce(F.nullif(given, F.lit("")), F.substring_index(repo, "/", 1))
 
 
 def age_days(created: Column, seen: Column) -> Column:
@@ -58,10 +89,96 @@ def primary(source: Column, age: Column, newest: str) -> Column:
     return F.coalesce((source == newest) & age.between(0, 4), F.lit(False))
 
 
+def observation_order(other: Column, first: Column) -> Column:
+    """Where another source's first day stands to the first day of all."""
+    return F.when(other.isNull(), "not_observed").when(other < first, "before").when(other == first, "same_day").otherwise("after")
+
+
+def left_censored(day: Column, first: Column, earlier: bool = False) -> Column:
+    """Whether a first day may be earlier than it looks: it is the first day of all, or with ``earlier`` before it."""
+    return F.coalesce(day <= first if earlier else day == first, F.lit(False))
+
+
+def valid_repo(identifier: Column) -> Column:
+    return F.coalesce(identifier.rlike(REPO), F.lit(False))
+
+
+def valid_counts(downloads: Column, likes: Column) -> Column:
+    """Both are there and not negative."""
+    return F.coalesce((downloads >= 0) & (likes >= 0), F.lit(False))
+
+
+def eligible(repo: Column, downloads: Column, likes: Column, private: Column, disabled: Column) -> Column:
+    """Whether a repository may be sampled: a valid id, valid counts, neither private nor disabled."""
+    closed = F.coalesce(private, F.lit(False)) | F.coalesce(disabled, F.lit(False))
+    return valid_repo(repo) & valid_counts(downloads, likes) & ~closed
+
+
+def response_reason(wanted: Column, identifier: Column, model: Column, downloads: Column, likes: Column) -> Column:
+    """Why a response is no observation of what was asked for; null if it is one."""
+    other = F.coalesce(identifier != wanted, F.lit(False)) | F.coalesce(model != wanted, F.lit(False))
+    nothing = identifier.isNull() & model.isNull()
+    return F.when(other, "identity_mismatch").when(nothing | ~valid_counts(downloads, likes), "invalid_response")
+
+
+def terminal_failure(status: Column, reason: Column, wanted: Column, response: Column, all_ids: Column, measured: Column, day: Column) -> Column:
+    """Whether a failure settles the day: a permanent status, or an answer of the day whose ids are all the same other valid one."""
+    same = F.forall(F.coalesce(all_ids, F.array().cast("array<string>")), lambda x: x.eqNullSafe(response))
+    renamed = same & (status == 200) & (reason == "identity_mismatch") & valid_repo(response) & (response != wanted) & (F.to_date(measured) == day)
+    return F.coalesce(status.isin(PERMANENT), F.lit(False)) | F.coalesce(renamed, F.lit(False))
+
+
+def observation_date(at: Column, collected: Column) -> Column:
+    """The UTC date of the instant, else the day of the collection."""
+    return F.coalesce(F.to_date(at), collected)
+
+
+def plain_decimal(text: Column) -> Column:
+    """A decimal number without sign of plus, exponent and needless zeros; null for other text."""
+    bare = F.regexp_replace(text, r"^\+", "")
+    powers = F.coalesce(bare.try_cast("decimal(38,20)").cast("string"), bare.try_cast("decimal(38,0)").cast("string"))
+    plain = F.when(bare.rlike(r"^-?(\d+(\.\d*)?|\.\d+)$"), bare).when(bare.rlike(r"^-?(\d+(\.\d*)?|\.\d+)[eE][+-]?\d+$"), powers)
+    short = F.when(plain.contains("."), F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", "")).otherwise(plain)
+    short = F.regexp_replace(F.regexp_replace(short, r"^(-?)0+(?=\d)", "$1"), r"^(-?)\.", "$10.")
+    return F.when(short.isNotNull(), F.when(short.rlike(r"^-?0*$"), "0").otherwise(short))
+
+
 def price(value: Column) -> Column:
-    """A price as it is compared: equal decimals are equal however they are written, other text stays as it is."""
-    number = value.try_cast("decimal(38,20)")
-    return F.struct(F.when(number.isNull(), value).alias("raw"), number.alias("number"))
+    """A price as it is compared, (kind, value): equal decimals are equal however they are written, other text stays as it is."""
+    number = plain_decimal(value)
+    return F.when(value.isNotNull(), F.struct(F.when(number.isNull(), "text").otherwise("decimal").alias("kind"), F.coalesce(number, value).alias("value")))
+
+
+def price_of(value: Column) -> Column:
+    """As ``price``, of a JSON value: booleans are apart from numbers, and what is neither keeps its type."""
+    kind = F.schema_of_variant(value)
+    text = F.when(kind.isin("BIGINT", "DOUBLE", "STRING") | kind.startswith("DECIMAL"), F.try_variant_get(value, "$", "string"))
+    number = plain_decimal(text)
+    name = F.when(kind == "BOOLEAN", "boolean").when(number.isNotNull(), "decimal").otherwise(F.lower(kind))
+    return F.when(kind != "VOID", F.struct(name.alias("kind"), F.coalesce(number, F.to_json(value)).alias("value")))
+
+
+def leaves(value: Column, depth: int = 6, unordered: bool = False) -> Column:
+    """Leaves of a JSON object as a map of dotted path to JSON text; nulls are dropped, and with ``unordered`` arrays are sorted.
+
+    Objects nested deeper than ``depth`` stay whole.
+    """
+    entries = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    pair = lambda path, v: F.struct(path.alias("path"), v.alias("value"))
+    found = F.transform(entries(value), lambda kv: pair(kv["key"], kv["value"]))
+    for _ in range(depth - 1):
+        inner = lambda e: F.transform(entries(e["value"]), lambda kv: pair(F.concat(e["path"], F.lit("."), kv["key"]), kv["value"]))
+        found = F.flatten(F.transform(found, lambda e: F.when(F.schema_of_variant(e["value"]).startswith("OBJECT"), inner(e)).otherwise(F.array(pair(e["path"], e["value"])))))
+    there = F.filter(found, lambda e: e["value"].isNotNull() & (F.schema_of_variant(e["value"]) != "VOID"))
+
+    def text(v: Column) -> Column:
+        if not unordered:
+            return F.to_json(v)
+        items = F.array_sort(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.to_json(x)))
+        return F.when(F.schema_of_variant(v).startswith("ARRAY"), F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))).otherwise(F.to_json(v))
+
+    out = F.map_from_entries(F.transform(there, lambda e: F.struct(e["path"], text(e["value"]))))
+    return F.coalesce(out, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
 
 
 def content_key(*parts: Column) -> Column:
@@ -78,3 +195,9 @@ def repo_of(url: Column) -> Column:
     """Owner and name out of a URL's path."""
     parts = F.filter(F.split(F.try_url_decode(F.parse_url(url, F.lit("PATH"))), "/"), lambda x: x != "")
     return F.when(F.size(parts) >= 2, F.array_join(F.slice(parts, 1, 2), "/"))
+
+
+def paper_of(url: Column) -> Column:
+    """The paper id in the path of a link to an abstract or a file; null for other hosts."""
+    path = F.regexp_replace(F.regexp_replace(F.parse_url(url, F.lit("PATH")), r"^/(abs|pdf)/", ""), r"\.pdf$", "")
+    return F.when(F.parse_url(url, F.lit("HOST")).isin("arxiv.org", "www.arxiv.org"), F.split_part(path, F.lit("v"), F.lit(1)))

@@ -24,11 +24,25 @@ def findings_of_gaps(gaps: DataFrame, known: DataFrame, key: str, day: str) -> D
     return gaps.join(known, day, "left").select(key, day, F.when(F.col("reason").isNotNull(), "WARN").otherwise("ERROR").alias("level"), F.coalesce("reason", F.lit("no snapshot")).alias("message"))
 
 
+def expected(keys: DataFrame, metrics: list[str], start: str, end: str, day: str) -> DataFrame:
+    """Every key, day from ``start`` to ``end``, and metric."""
+    days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day")))
+    return keys.distinct().withColumn(day, days).withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics])))
+
+
+def missing_metrics(keys: DataFrame, observed: DataFrame, metrics: list[str], start: str, end: str, day: str) -> DataFrame:
+    """Expected (key, day, metric) that weren't observed."""
+    grid = expected(keys, metrics, start, end, day)
+    return grid.join(observed.select(*grid.columns).distinct(), grid.columns, "left_anti")
+
+
 def coverage(rows: DataFrame, source: str, day: str, ok: Column) -> DataFrame:
     """Every source and day of the calendar: ``ok``, ``partial``, ``missing``, or ``not_started`` before the source's first day."""
     state = rows.groupBy(source, day).agg(F.bool_and(ok).alias("_ok"), F.count("*").alias("n_rows"))
-    starts = rows.groupBy(source).agg(F.min(day).alias("_start"))
-    calendar = starts.crossJoin(F.broadcast(spine(rows, day)))  # sources by days, both short by nature
+    starts = state.groupBy(source).agg(F.min(day).alias("_start"), F.max(day).alias("_end"))
+    all_sources = Window.partitionBy(F.lit(0))  # one row a source
+    starts = starts.withColumns({"_first": F.min("_start").over(all_sources), "_last": F.max("_end").over(all_sources)})
+    calendar = starts.select(source, "_start", F.explode(F.sequence("_first", "_last", F.expr("interval 1 day"))).alias(day))
     out = calendar.join(state, [source, day], "left")
     label = F.when(F.col(day) < F.col("_start"), "not_started").when(F.col("_ok").isNull(), "missing").when(F.col("_ok"), "ok").otherwise("partial")
     return out.select(source, day, label.alias("status"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
@@ -49,6 +63,20 @@ def regressions(counts: DataFrame, key: str, day: str, n: str, valid: Column, wa
     return out.select(key, day, "previous", n, "drop", F.when(F.col("drop") >= error, "ERROR").otherwise("WARN").alias("level"))
 
 
+def coverage_regressions(rows: DataFrame, key: str, day: str, requested: str, stored: str, warn: float = 0.05, error: float = 0.2) -> DataFrame:
+    """Drops of the ratio of stored to requested against the previous valid day, and requests that shrank; as findings.
+
+    A day is valid if something was requested and it is known how much was stored.
+    """
+    valid = rows.where((F.col(requested) > 0) & F.col(stored).isNotNull()).withColumn("ratio", F.col(stored) / F.col(requested))
+    w = Window.partitionBy(key).orderBy(day)
+    told = valid.withColumns({"_ratio": F.lag("ratio").over(w), "_requested": F.lag(requested).over(w)}).withColumn("drop", F.round(F.col("_ratio") - F.col("ratio"), 9))
+    thin = F.when(F.col("drop") >= error, "ERROR").when(F.col("drop") >= warn, "WARN")
+    shrunk = F.when(F.col(requested) < F.col("_requested") * (1 - error), "WARN")
+    found = F.array_compact(F.array(F.when(thin.isNotNull(), F.struct(F.lit("coverage").alias("check"), thin.alias("level"))), F.when(shrunk.isNotNull(), F.struct(F.lit("catalogue").alias("check"), shrunk.alias("level")))))
+    return told.withColumn("_f", F.explode(found)).select(key, day, "_f.check", "_f.level", requested, stored, F.round("drop", 6).alias("drop"))
+
+
 def stale(rows: DataFrame, source: str, day: str, today: str, most: int) -> DataFrame:
     """Sources whose last day is more than ``most`` days before ``today``, which is given, never read from a clock."""
     last = rows.groupBy(source).agg(F.max(day).alias("last_day")).withColumn("lag_days", F.date_diff(F.lit(today).cast("date"), F.col("last_day")))

@@ -46,3 +46,22 @@ def overlay(rows: DataFrame, keys: list[str], order: list, tagged: Column, tag:
     w = Window.partitionBy(*keys)
     with_tag = rows.withColumn(tag, F.max_by(F.when(tagged, F.col(tag)), F.when(tagged, F.struct(*[o for o in order]))).over(w))
     return canonical(with_tag, keys, order)
+
+
+def strict_canonical(rows: DataFrame, keys: list[str], source: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Canonical rows by precedence of their source, and the violations: (keys, source) whose rows differ, in a losing source too.
+
+    Rows that are equal as a whole are one. A key with a violation has no canonical row.
+    """
+    whole = F.struct(*[c for c in rows.columns])
+    kinds = rows.groupBy(*keys, source).agg(F.count_distinct(F.to_json(whole, {"ignoreNullFields": "false"})).alias("n_kinds"), F.any_value(whole).alias("_row"))
+    bad = kinds.where("n_kinds > 1").select(*keys, source, "n_kinds")
+    first = kinds.groupBy(*keys).agg(F.max("n_kinds").alias("_worst"), F.min_by("_row", precedence(source, order)).alias("_row")).where("_worst = 1")
+    return first.select("_row.*"), bad
+
+
+def latest(rows: DataFrame, key: str, at: str, order: list, day: str, cutoff: Column | None = None) -> DataFrame:
+    """The newest row of each key up to a cutoff, ties by ``order``, with the number of its distinct days up to then; one pass, one shuffle."""
+    known = rows if cutoff is None else rows.where(F.col(at) <= cutoff)
+    newest = F.min_by(F.struct(*rows.columns), F.struct((-F.unix_micros(F.col(at).cast("timestamp"))).alias("_at"), *order))
+    return known.groupBy(F.col(key).alias("_key")).agg(newest.alias("_r"), F.count_distinct(day).alias("n_days")).select("_r.*", "n_days")

@@ -15,12 +15,11 @@ def horizons(history: DataFrame, key: str, day: str, value: str, listed: str, da
 
     An entity is eligible if it was followed for N + 1 days; then its milestone is the first row of day N or N + 1, it has
     entered if it was listed after its first day and no later than day N, and sustained that if on three days or more.
-    None of these is filled in when it isn't eligible or has no row.
+    None of these is filled in when it isn't eligible or has no row. ``history`` has the last day of all snapshots as ``_latest``.
     """
     w = Window.partitionBy(key)
     offset = F.date_diff(F.col(day), F.col("first_day"))
     rows = history.withColumn("first_day", F.min(day).over(w)).withColumn("_offset", offset)
-    rows = rows.withColumn("_latest", F.max(day).over(Window.partitionBy(F.lit(0)))) if "_latest" not in rows.columns else rows
     rows = rows.withColumn("horizon", F.explode(F.array(*[F.lit(n) for n in days])))
     h = F.col("horizon")
     at = (F.col("_offset") == h) | (F.col("_offset") == h + 1)

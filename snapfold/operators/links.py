@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,3 +33,34 @@ def overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     both = a.select(key, F.lit(1).alias("in_a"), F.lit(0).alias("in_b")).unionByName(b.select(key, F.lit(0).alias("in_a"), F.lit(1).alias("in_b")))
     each = both.groupBy(key).agg(F.max("in_a").alias("in_a"), F.max("in_b").alias("in_b"))
     return each.agg(F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"), F.count_if((F.col("in_a") + F.col("in_b")) == 2).alias("n_both"), F.count("*").alias("n_union"))
+
+
+def flags(entities: DataFrame, key: str, links: dict[str, DataFrame]) -> DataFrame:
+    """Entities with a column for each named set of links: whether any link has the entity's key."""
+    out = entities
+    for name, rows in links.items():
+        there = rows.select(F.col(key).alias("_key")).distinct().withColumn(name, F.lit(True))
+        out = out.join(there, out[key] == F.col("_key"), "left").drop("_key").withColumn(name, F.coalesce(name, F.lit(False)))
+    return out
+
+
+def references(tags: DataFrame, tag: str, canonical: Column, wanted: DataFrame, known: str) -> tuple[DataFrame, DataFrame]:
+    """Original spellings of each wanted id, the id itself where none was found; and the distinct tags that give no id."""
+    told = tags.select(F.col(tag).alias("raw"), canonical.alias("_id"))
+    forms = told.where("_id is not null").groupBy("_id").agg(F.array_sort(F.collect_set("raw")).alias("_forms"))
+    out = wanted.select(known).distinct().join(forms, F.col(known) == F.col("_id"), "left").select(known, F.coalesce("_forms", F.array(known)).alias("originals"))
+    return out, told.where("_id is null and raw is not null").select("raw").distinct()
+
+
+def coverage_counts(entities: DataFrame, key: str, sets: dict[str, DataFrame]) -> DataFrame:
+    """(measure, n, rate): how many distinct entities there are, and how many, and what share of them, each named set reaches."""
+    marked = flags(entities.select(key).distinct(), key, sets)
+    sums = marked.agg(F.count("*").alias("_all"), *[F.count_if(n).alias(n) for n in sets])
+    long = sums.unpivot(["_all"], list(sets), "measure", "n").select("measure", "n", F.round(F.try_divide(F.col("n").cast("double"), F.col("_all")), 6).alias("rate"))
+    return sums.select(F.lit("entities").alias("measure"), F.col("_all").alias("n"), F.lit(1.0).alias("rate")).unionByName(long)
+
+
+def status_histogram(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(field, status, n) of several status columns in one pass; a null status is ``unknown``."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("status")) for c in columns]))
+    return rows.select(each.alias("s")).groupBy("s.field", "s.status").agg(F.count("*").alias("n"))

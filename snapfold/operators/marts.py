@@ -6,13 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hosting(rows: DataFrame, entity: str, day: str, provider: str, live: Column, status: str) -> DataFrame:
-    """Distinct declared and live providers of each entity and day, with a count for each status."""
-    by_status = rows.groupBy(entity, day, status).agg(F.count("*").alias("n"))
-    maps = by_status.groupBy(entity, day).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", status, "n"))), ",").alias("statuses"))
-    sets = rows.groupBy(entity, day).agg(F.count_distinct(provider).alias("n_declared"), F.count_distinct(F.when(live, F.col(provider))).alias("n_live"))
-    state = F.when(F.col("n_declared") == 0, "unknown").when(F.col("n_live") > 0, "live").otherwise("declared")
-    return sets.join(maps, [entity, day]).withColumn("state", state)
+def hosting(rows: DataFrame, entity: str, day: str, provider: str, status: str, locator: list[str], live: str = "live") -> DataFrame:
+    """Declared and live providers of each entity and day, a count for each status, and where the rows stand.
+
+    A row without a provider is an empty mapping: an entity with none but these is ``unknown``, others are ``declared``. A
+    mapping without a status counts as ``unknown``.
+    """
+    there = F.col(provider).isNotNull()
+    # dealt out once: both aggregations find an entity's day in one place
+    each = rows.repartition(entity, day).groupBy(entity, day, provider, F.when(there, F.coalesce(status, F.lit("unknown"))).alias("_status")).agg(F.count("*").alias("_n"), F.collect_set(F.array(*locator)).alias("_at"))
+    by_status = each.groupBy(entity, day, "_status").agg(
+        F.sum("_n").alias("_n"), F.collect_set(provider).alias("_providers"), F.flatten(F.collect_list("_at")).alias("_at")
+    )
+    sums = by_status.groupBy(entity, day).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_providers")))).alias("_declared"),
+        F.array_sort(F.flatten(F.collect_list(F.when(F.col("_status") == live, F.col("_providers"))))).alias("_live"),
+        F.array_sort(F.collect_list(F.when(F.col("_status").isNotNull(), F.concat(F.col("_status"), F.lit("="), F.col("_n"))))).alias("_statuses"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_at")))).alias("_rows"),
+    )
+    return sums.select(
+        entity, day, F.size("_declared").alias("n_declared"), F.size("_live").alias("n_live"), F.array_join("_live", ",").alias("live_providers"), F.array_join("_statuses", ",").alias("statuses"),
+        F.when(F.size("_declared") > 0, "declared").otherwise("unknown").alias("state"), F.to_json("_rows").alias("row_locators"),
+    )
 
 
 def cards(entities: DataFrame, rows: DataFrame, key: str, fields: list[str], order: str) -> DataFrame:
@@ -22,9 +37,9 @@ def cards(entities: DataFrame, rows: DataFrame, key: str, fields: list[str], ord
     return entities.join(held, key, "left").withColumns({"items": F.coalesce("items", empty), "n_items": F.coalesce("n_items", F.lit(0))})
 
 
-def outcomes(members: DataFrame, days: DataFrame, seen: DataFrame, failed: DataFrame, key: str, day: str) -> DataFrame:
-    """What became of each member on each day: observed, the reason of its failure, or unobserved."""
-    grid = members.select(key).crossJoin(F.broadcast(days.select(day)))  # a cohort of fixed size by the days asked for
+def outcomes(members: DataFrame, days: Column, seen: DataFrame, failed: DataFrame, key: str, day: str) -> DataFrame:
+    """What became of each member on each of ``days``, an array: observed, the reason of its failure, or unobserved."""
+    grid = members.select(key, F.explode(days).alias(day))
     out = grid.join(seen.select(key, day).distinct().withColumn("_seen", F.lit(True)), [key, day], "left").join(failed, [key, day], "left")
     return out.select(key, day, F.when(F.col("_seen"), "observed").otherwise(F.coalesce("reason", F.lit("unobserved"))).alias("outcome"))
 

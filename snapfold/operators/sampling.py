@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def sample_key(seed: str, domain: str, value: str) -> Column:
-    return F.sha2(F.concat_ws(":", F.lit(seed), F.lit(domain), F.col(value).cast("string")), 256)
+    """SHA-256 of the JSON array of seed, domain and value, which no two triples share."""
+    return F.sha2(F.to_json(F.array(F.lit(seed), F.lit(domain), F.col(value).cast("string"))), 256)
 
 
 def distinct_candidates(rows: DataFrame, key: str) -> DataFrame:
@@ -16,23 +17,35 @@ def distinct_candidates(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min_by(whole, F.to_json(whole)).alias("r")).select("r.*")
 
 
-def members(rows: DataFrame, key: str, popular: str, recent: str, group: str, size: int, seed: str) -> DataFrame:
-    """A third by popularity, a third of the rest by recency, and the remainder one group after another in seeded turns."""
+def members(rows: DataFrame, key: str, popular: str, recent: str, group: str, size: int, seed: str, version: int = 2) -> DataFrame:
+    """A third by popularity, a third of the rest by recency, and others, one group after another in seeded turns, until ``size``.
+
+    Version 1 takes the hash of the bare id within a group, and the groups in lexical order.
+    """
     third = size // 3
     top = rows.orderBy(F.desc(popular), key).limit(third)
     rest = rows.join(top.select(key), key, "left_anti")
     late = rest.where(F.col(recent).isNotNull()).orderBy(F.desc(recent), key).limit(third)
     rest = rest.join(late.select(key), key, "left_anti")
-    turn = F.row_number().over(Window.partitionBy(group).orderBy(sample_key(seed, "member", key), key))
-    others = rest.withColumn("_turn", turn).withColumn("_group", sample_key(seed, "group", group)).orderBy("_turn", "_group", key).limit(size - 2 * third).drop("_turn", "_group")
-    label = lambda df, n: df.select(key, F.lit(n).alias("stratum"))
-    return label(top, "popular").unionByName(label(late, "recent")).unionByName(label(others, "spread"))
+    own = sample_key(seed, "repository", key) if version == 2 else F.sha2(F.col(key).cast("string"), 256)
+    of_group = sample_key(seed, "organization", group) if version == 2 else F.col(group).cast("string")
+    others = rest.select(key, group, F.row_number().over(Window.partitionBy(group).orderBy(own, key)).alias("_turn"), of_group.alias("_group"))
+    label = lambda df, i, n: df.select(key, F.lit(n).alias("stratum"), F.lit(i).alias("_i"), F.lit(0).alias("_turn"), F.lit("").alias("_group"))
+    spread = others.select(key, F.lit("remaining").alias("stratum"), F.lit(2).alias("_i"), "_turn", "_group")
+    chosen = label(top, 0, "popular").unionByName(label(late, 1, "recent")).unionByName(spread)
+    return chosen.orderBy("_i", "_turn", "_group", key).limit(size).select(key, "stratum")
 
 
 def population(rows: DataFrame, group: str, key: str) -> DataFrame:
-    """Count and digest of each group's ordered candidates."""
-    ids = F.array_sort(F.collect_list(F.col(key).cast("string")))
-    return rows.groupBy(group).agg(F.count("*").alias("n"), F.sha2(F.array_join(ids, "\n"), 256).alias("digest"))
+    """Count and digest of each group's candidates, whatever their order.
+
+    Ids are dealt by their own hash to 4,096 parts; a part's digest is of its sorted ids, the group's of its parts' in order, so
+    that no group's ids ever meet in one row.
+    """
+    text = F.col(key).cast("string")
+    parts = rows.groupBy(group, F.substring(F.sha2(text, 256), 1, 3).alias("_part")).agg(F.count("*").alias("_n"), F.sha2(F.array_join(F.array_sort(F.collect_list(text)), "\n"), 256).alias("_d"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_part", "_d"))), lambda x: x["_d"])
+    return parts.groupBy(group).agg(F.sum("_n").alias("n"), F.sha2(F.array_join(ordered, "\n"), 256).alias("digest"))
 
 
 def work_list(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Facts over time: beliefs in force, changes between batches, first listings and roll-ups."""
+"""Facts over time: states and their intervals, beliefs, and what was in force at an instant."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,42 +26,21 @@ def belief(evidence: DataFrame, key: str, at: str, method: str, value: str, meth
     targets = F.coalesce(*methods)
     state = F.when(targets.isNull(), "unresolved").when(F.size(targets) == 1, "resolved").otherwise("ambiguous")
     by = F.coalesce(*[F.when(F.col(m).isNotNull(), F.lit(m)) for m in methods])
-    return held.select(key, at, by.alias("method"), F.when(F.size(targets) == 1, F.element_at(targets, 1)).alias("target"), state.alias("state"))
-
-
-def belief_events(decisions: DataFrame, key: str, at: str) -> DataFrame:
-    """``linked`` at the first resolved decision, ``revised`` whenever the belief differs afterwards."""
-    w = Window.partitionBy(key).orderBy(at)
-    b = F.struct("state", "target")
-    rows = decisions.withColumn("_linked", F.min(F.when(F.col("state") == "resolved", F.col(at))).over(Window.partitionBy(key))).where(F.col(at) >= F.col("_linked"))
-    rows = rows.withColumn("_b", b).withColumn("_p", F.lag("_b").over(w))
-    kind = F.when(F.col(at) == F.col("_linked"), "linked").when(~F.col("_b").eqNullSafe(F.col("_p")), "revised")
-    return rows.withColumn("kind", kind).where("kind is not null").select(key, at, "kind", "state", "target")
+    return held.select(key, at, by.alias("method"), F.when(F.size(targets) == 1, F.element_at(targets, 1)).alias("target"), state.alias("state"), targets.alias("targets"))
 
 
 def as_of(probes: DataFrame, intervals: DataFrame, key: str, at: str, values: list[str]) -> DataFrame:
-    """Probes with what was in force at their instant; null where nothing was recorded yet."""
-    p, i = probes.alias("p"), intervals.alias("i")
-    inside = (F.col(f"p.{key}") == F.col(f"i.{key}")) & (F.col(f"p.{at}") >= F.col("i.valid_from")) & (F.col("i.valid_to").isNull() | (F.col(f"p.{at}") < F.col("i.valid_to")))
-    return p.join(i, inside, "left").select("p.*", *[F.col(f"i.{v}").alias(v) for v in values])
-
-
-def changes(rows: DataFrame, series: list[str], batch: str, value: str, invalid: Column) -> DataFrame:
-    """Changes between batches that follow each other; a batch that is invalid or holds several values breaks the chain."""
-    batches = rows.groupBy(*series, batch).agg(F.count_distinct(value).alias("_n"), F.max(value).alias("_v"), F.bool_or(invalid).alias("_bad"))
-    now = batches.withColumn("current", F.when((F.col("_n") == 1) & ~F.col("_bad"), F.col("_v")))
-    w = Window.partitionBy(*series).orderBy(batch)
-    told = now.withColumn("previous", F.lag("current").over(w))
-    return told.where("current is not null and previous is not null and current <> previous").select(*series, batch, "previous", "current")
+    """Probes with what was in force at their instant; null where nothing was.
 
-
-def first_listing(rows: DataFrame, series: list[str], day: str) -> DataFrame:
-    """The first day of each series; a series with an undated row has none."""
-    return rows.groupBy(*series).agg(F.min(day).alias("first_day"), F.bool_or(F.col(day).isNull()).alias("_u")).where("not _u").drop("_u")
-
-
-def roll_up(rows: DataFrame, series: list[str], day: str, run: str) -> DataFrame:
-    """Bounds and counts of each series, PRESENT if it has a row in the latest run of the source and UNKNOWN otherwise."""
-    last = rows.agg(F.max(run).alias("_last"))
-    out = rows.groupBy(*series).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.count("*").alias("n_rows"), F.max(run).alias("_run"))
-    return out.join(F.broadcast(last)).withColumn("state", F.when(F.col("_run") == F.col("_last"), "PRESENT").otherwise("UNKNOWN")).drop("_run", "_last")
+    Intervals of a key don't overlap. Their starts and the probes are laid on one line by key and time, so a key with many of
+    either costs their sum, not their product.
+    """
+    named = probes.withColumn("_row", F.monotonically_increasing_id())
+    what = F.struct(F.col("valid_to"), *[F.col(v) for v in values])
+    starts = intervals.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))).select(F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_row"), what.alias("_what"))
+    asks = named.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"), "_row", F.lit(None).cast(starts.schema["_what"].dataType).alias("_what"))
+    w = Window.partitionBy("_key").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    met = starts.unionByName(asks).withColumn("_what", F.last("_what", ignorenulls=True).over(w)).where("_side = 1")
+    inside = F.col("_what.valid_to").isNull() | (F.col("_at") < F.col("_what.valid_to"))
+    found = met.select("_row", *[F.when(inside, F.col(f"_what.{v}")).alias(v) for v in values])
+    return named.join(found, "_row").drop("_row")

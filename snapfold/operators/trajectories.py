@@ -6,13 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def interval_changes(rows: DataFrame, key: str, day: str, value: str) -> DataFrame:
-    """Adjacent observations: days between them, the change, and the change a day; null if either value is."""
+def interval_changes(rows: DataFrame, key: str, day: str, value: str, at: str | None = None) -> DataFrame:
+    """Adjacent observations: time between them, the change, the change a day and relative to the first; null if either value is.
+
+    The time is that between their instants where both have one, else between their days; ``basis`` tells which.
+    """
     w = Window.partitionBy(key).orderBy(day)
-    out = rows.withColumn("previous_day", F.lag(day).over(w)).withColumn("_p", F.lag(value).over(w)).where("previous_day is not null")
+    instant = F.lit(None).cast("timestamp") if at is None else F.col(at)
+    out = rows.withColumn("_at", instant).withColumns({"previous_day": F.lag(day).over(w), "_p": F.lag(value).over(w), "_before": F.lag("_at").over(w)}).where("previous_day is not null")
+    timed = F.col("_at").isNotNull() & F.col("_before").isNotNull()
+    seconds = F.unix_micros(F.col("_at").cast("timestamp")) - F.unix_micros(F.col("_before").cast("timestamp"))
+    gap = F.when(timed, seconds / 86400e6).otherwise(F.date_diff(day, "previous_day").cast("double"))
     change = F.col(value) - F.col("_p")
-    gap = F.date_diff(day, "previous_day")
-    return out.select(key, "previous_day", day, gap.alias("elapsed_days"), change.alias("change"), F.try_divide(change, gap).alias("change_per_day"), F.lit("date").alias("basis"))
+    return out.select(
+        key, "previous_day", day, gap.alias("elapsed_days"), change.alias("change"), F.try_divide(change.cast("double"), gap).alias("change_per_day"), relative(F.col("_p"), F.col(value)).alias("relative_change"), F.when(timed, "fetched_at").otherwise("date").alias("basis"),
+    )
 
 
 def relative(first: Column, last: Column) -> Column:
@@ -33,25 +41,32 @@ def features(rows: DataFrame, key: str, day: str, value: str) -> DataFrame:
 
 
 def shapes(rows: DataFrame, key: str, day: str, value: str, least: int = 4) -> DataFrame:
-    """Peak, reversals, total variation, volatility, and the shares of weekly block medians that rise and fall.
+    """Peak with its rise and fall, reversals, total variation, volatility, and the shares of weekly block medians that rise and fall.
 
-    Blocks are seven days from the first; those with fewer than ``least`` values vanish, and changes are taken between those left.
+    A change counts between adjacent observations that both have a value. Blocks are seven days from the first observation, with a
+    value or not; those with fewer than ``least`` values vanish, and their changes are taken between those left.
     """
     k = Window.partitionBy(key)
     w = k.orderBy(day)
-    known = rows.where(F.col(value).isNotNull()).withColumn("_first", F.min(day).over(k))
-    steps = known.withColumn("_d", F.col(value) - F.lag(value).over(w))
-    moves = steps.where("_d <> 0").withColumn("_turn", F.col("_d") * F.lag("_d").over(w) < 0)
+    steps = rows.withColumns({"_first": F.min(day).over(k), "_d": F.col(value) - F.lag(value).over(w)})
+    moves = steps.where("_d <> 0").withColumn("_turn", F.signum("_d") * F.signum(F.lag("_d").over(w)) < 0)
     turns = moves.groupBy(key).agg(F.count_if(F.coalesce("_turn", F.lit(False))).alias("reversals"))
+    there = F.col(value).isNotNull()
     base = steps.groupBy(key).agg(
-        F.max(value).alias("peak"), F.min_by(day, F.struct(-F.col(value), F.col(day))).alias("peak_day"), F.sum(F.abs("_d")).alias("total_variation"),
-        (F.stddev_pop("_d") / F.greatest(F.avg(value), F.lit(1.0))).alias("volatility"),
+        F.max(value).alias("peak"), F.min_by(day, F.when(there, F.struct(-F.col(value), F.col(day)))).alias("peak_day"), F.coalesce(F.sum(F.abs("_d")), F.lit(0.0)).alias("total_variation"),
+        (F.stddev_pop("_d") / F.greatest(F.avg(value), F.lit(1.0))).alias("volatility"), F.min_by(value, F.when(there, F.col(day))).alias("_from"), F.max_by(value, F.when(there, F.col(day))).alias("_to"),
+        F.min(F.when(there, F.col(day))).alias("_start"), F.max(F.when(there, F.col(day))).alias("_end"),
     )
-    blocks = known.groupBy(key, F.floor(F.date_diff(day, "_first") / 7).alias("block")).agg(F.count("*").alias("n"), F.median(value).alias("m")).where(F.col("n") >= least)
-    delta = blocks.withColumn("_c", F.col("m") - F.lag("m").over(k.orderBy("block"))).groupBy(key).agg(
-        F.count("*").alias("n_blocks"), F.try_divide(F.count_if(F.col("_c") > 0).cast("double"), F.count("_c")).alias("up_share"), F.try_divide(F.count_if(F.col("_c") < 0).cast("double"), F.count("_c")).alias("down_share")
-    )
-    return base.join(turns, key, "left").join(delta, key, "left").withColumn("reversals", F.coalesce("reversals", F.lit(0))).withColumn("n_blocks", F.coalesce("n_blocks", F.lit(0)))
+    blocks = steps.where(there).groupBy(key, F.floor(F.date_diff(day, "_first") / 7).alias("block")).agg(F.count("*").alias("n"), F.median(value).alias("m")).where(F.col("n") >= least)
+    share = lambda c: F.coalesce(F.try_divide(F.count_if(c).cast("double"), F.count("_c")), F.lit(0.0))
+    delta = blocks.withColumn("_c", F.col("m") - F.lag("m").over(k.orderBy("block"))).groupBy(key).agg(F.count("*").alias("n_blocks"), share(F.col("_c") > 0).alias("up_share"), share(F.col("_c") < 0).alias("down_share"))
+    out = base.join(turns, key, "left").join(delta, key, "left")
+    zero = lambda c, of: F.coalesce(c, F.lit(of))
+    inside = F.coalesce((F.col("_start") < F.col("peak_day")) & (F.col("peak_day") < F.col("_end")), F.lit(False))
+    return out.withColumns({
+        "reversals": zero("reversals", 0), "n_blocks": zero("n_blocks", 0), "up_share": zero("up_share", 0.0), "down_share": zero("down_share", 0.0),
+        "peak_rise": zero(F.col("peak") - F.col("_from"), 0.0), "peak_fall": zero(F.col("peak") - F.col("_to"), 0.0), "interior_peak": inside,
+    }).drop("_from", "_to", "_start", "_end")
 
 
 def screens(rows: DataFrame, thresholds: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -34,11 +34,12 @@ def window(rows: DataFrame, keys: list[str], day: str, start: str, end: str, val
 
 
 def in_force(facts: DataFrame, ledger: DataFrame, key: str, day: str) -> DataFrame:
-    """Facts with the reviewed targets whose validity holds their day, and what these make of the identity."""
-    match = (facts[key] == ledger[key]) & (facts[day] >= ledger["valid_from"]) & (facts[day] <= F.coalesce(ledger["valid_until"], facts[day]))
+    """Facts with the reviewed targets whose validity holds their day, and what these make of the identity; equal facts stay apart."""
+    rows = facts.withColumn("_row", F.monotonically_increasing_id())
     usable = ledger.where(F.col("reviewer").isNotNull() & F.col("evidence").isNotNull())
-    joined = facts.join(usable, match, "left").select(*[facts[c] for c in facts.columns], usable["target"])
-    targets = joined.groupBy(*facts.columns).agg(F.array_sort(F.collect_set("target")).alias("targets"))
+    match = (rows[key] == usable[key]) & (rows[day] >= usable["valid_from"]) & (rows[day] <= F.coalesce(usable["valid_until"], rows[day]))
+    joined = rows.join(usable, match, "left").select(*[rows[c] for c in rows.columns], usable["target"])
+    targets = joined.groupBy("_row").agg(*[F.any_value(c).alias(c) for c in facts.columns], F.array_sort(F.collect_set("target")).alias("targets")).drop("_row")
     state = F.when(F.size("targets") == 0, "unresolved").when(F.size("targets") == 1, "curated").otherwise("ambiguous")
     return targets.withColumn("state", state)
 

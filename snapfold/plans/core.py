@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import age_days
 from ..operators import dedup, lifecycle, links
 from .binding import EVENTS_SQL, day_text, events, iso, table
 
@@ -15,7 +16,7 @@ def canonical_daily(spark, d):
 
 def first_seen(spark, d):
     out = dedup.first_seen(events(spark, d), "user_id", "day", "rank", "event_type")
-    return out.select("user_id", day_text("first_day"), "first_source", F.date_diff("first_day", F.lit("2023-12-25").cast("date")).alias("age_days"))
+    return out.select("user_id", day_text("first_day"), "first_source", age_days(F.lit("2023-12-25T10:00:00Z"), F.col("first_day")).alias("age_days"))
 
 
 def strict_conflicts(spark, d):
@@ -23,9 +24,17 @@ def strict_conflicts(spark, d):
 
 
 def latest_per_key(spark, d):
-    rows = dedup.canonical(table(spark, d, "orders"), ["o_custkey"], [F.desc("o_orderdate"), F.asc("o_orderpriority"), F.desc("o_orderkey")])
-    days = table(spark, d, "orders").groupBy("o_custkey").agg(F.count_distinct(F.to_date("o_orderdate")).alias("n_days"))
-    return rows.join(days, "o_custkey").select("o_custkey", "o_orderkey", iso(F.to_date("o_orderdate")).alias("day"), "o_orderpriority", "n_days")
+    """The newest order of each customer up to a cutoff, and on how many days there was one."""
+    orders = table(spark, d, "orders").withColumn("day", F.to_date("o_orderdate"))
+    out = dedup.latest(orders, "o_custkey", "o_orderdate", ["o_orderpriority", (-F.col("o_orderkey")).alias("_last")], "day", F.lit("2001-01-01").cast("timestamp"))
+    return out.select("o_custkey", "o_orderkey", day_text("day"), "o_orderpriority", "n_days")
+
+
+def strict_canonical(spark, d):
+    """Customers' days whose orders of one priority differ have no canonical row."""
+    orders = table(spark, d, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderstatus", "o_orderpriority")
+    good, bad = dedup.strict_canonical(orders, ["o_custkey", "month"], "o_orderstatus", ["F", "O", "P"])
+    return good.select("o_custkey", "month", "o_orderstatus", F.col("o_orderpriority").alias("what")).unionByName(bad.select("o_custkey", "month", "o_orderstatus", F.concat(F.lit("conflict:"), "n_kinds").alias("what")))
 
 
 def latest_batch(spark, d):
@@ -165,7 +174,7 @@ f AS (SELECT user_id, min(day) AS first_day, min(CASE WHEN event_type = 'purchas
         min(CASE WHEN event_type = 'error' THEN day END) AS first_error, min(CASE WHEN value > 90 THEN day END) AS first_large FROM e GROUP BY user_id)"""
 
 QUERIES = {f.__name__: f for f in (
-    canonical_daily, first_seen, strict_conflicts, latest_per_key, latest_batch, repeat_suppression, overlay, ranked_dedup, horizon_outcomes, cohort_metrics,
+    canonical_daily, first_seen, strict_conflicts, strict_canonical, latest_per_key, latest_batch, repeat_suppression, overlay, ranked_dedup, horizon_outcomes, cohort_metrics,
     conditional_firsts, lifecycle_events, entry_curve, weekly_rates, resolved_dates, link_spans, edges_with_status, firsts_attached, route_dates, spellings, set_overlap,
 )}
 
@@ -174,9 +183,12 @@ ORACLES = {
     "first_seen": f"""{EVENTS_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day, rank, event_type) AS n FROM e)
         SELECT user_id, strftime(day, '%Y-%m-%d') AS first_day, event_type AS first_source, date_diff('day', DATE '2023-12-25', day)::INT AS age_days FROM f WHERE n = 1""",
     "strict_conflicts": f"{EVENTS_SQL} SELECT user_id, strftime(day, '%Y-%m-%d') AS day, event_type, count(DISTINCT value) AS n_values, count(*) AS n_rows FROM e GROUP BY user_id, e.day, event_type HAVING count(DISTINCT value) > 1",
-    "latest_per_key": """WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderpriority, o_orderkey DESC) AS n,
-        FROM orders), k AS (SELECT o_custkey, count(DISTINCT o_orderdate::DATE) AS n_days FROM orders GROUP BY 1)
+    "latest_per_key": """WITH u AS (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '2001-01-01'), o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderpriority, o_orderkey DESC) AS n,
+        FROM u), k AS (SELECT o_custkey, count(DISTINCT o_orderdate::DATE) AS n_days FROM u GROUP BY 1)
         SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority, n_days FROM o JOIN k USING (o_custkey) WHERE n = 1""",
+    "strict_canonical": """WITH k AS (SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus, count(DISTINCT o_orderpriority) AS n, min(o_orderpriority) AS p, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS r FROM orders GROUP BY 1, 2, 3),
+        w AS (SELECT *, max(n) OVER (PARTITION BY o_custkey, month) AS worst, row_number() OVER (PARTITION BY o_custkey, month ORDER BY r) AS i FROM k)
+        SELECT o_custkey, month, o_orderstatus, p AS what FROM w WHERE worst = 1 AND i = 1 UNION ALL SELECT o_custkey, month, o_orderstatus, 'conflict:' || n FROM w WHERE n > 1""",
     "latest_batch": """WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month, max(o_orderdate) OVER (PARTITION BY o_orderpriority, strftime(o_orderdate, '%Y-%m')) AS newest FROM orders)
         SELECT o_orderpriority, month, o_orderkey, round(o_totalprice, 6) AS total FROM o WHERE o_orderdate = newest""",
     "repeat_suppression": f"""{EVENTS_SQL}, l AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM e)

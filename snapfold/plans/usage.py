@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import valid_paper_id
 from ..operators import calendar, marts, quality, usage
 from .binding import EVENTS_SQL, TYPES, day_text, events, iso, table, user_days
 
@@ -27,8 +28,8 @@ def usage_shares(spark, d):
 
 def share_denominators(spark, d):
     s = usage.shares(orders(spark, d), ["month"], "o_orderpriority", "o_totalprice")
-    broken = s.where("not (month like '%-06' and o_orderpriority like '1%')")
-    return usage.denominators(broken, ["month"], "share_percent").select("month", F.round("sum_percent", 4).alias("sum_percent"), "n_outside")
+    s = s.withColumn("share_percent", F.when(F.col("month").endswith("-06") & F.col("o_orderpriority").startswith("1"), F.col("share_percent") - 120).otherwise(F.col("share_percent")))
+    return usage.denominators(s, ["month"], "share_percent").select("month", F.round("sum_percent", 4).alias("sum_percent"), "n_outside")
 
 
 def _attributed(spark, d):
@@ -62,11 +63,17 @@ def interval_attribution(spark, d):
     return out.select("o_orderkey", F.array_join("targets", ",").alias("targets"), "state")
 
 
+def january(c):
+    """A day of January 2024, when the events are, by the day of the month."""
+    return F.date_add(F.lit("2024-01-01").cast("date"), F.dayofmonth(c) - 1)
+
+
 def same_day_join(spark, d):
-    claims = usage.claims(events(spark, d).where("user_id % 2 = 0 and value > 95").select(F.dayofyear("day").alias("doy"), F.when(F.col("event_type") != "view", F.col("event_type")).alias("t")), ["doy"], "t")
-    facts = orders(spark, d).where("year(day) = 1996").select("o_orderkey", F.dayofyear("day").alias("doy"))
-    joined = facts.join(claims, "doy", "left")
-    return joined.select("o_orderkey", "doy", *usage.claim_state("claimed"))
+    declared = events(spark, d).select("day", "user_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("t"))
+    claims = usage.claims(declared, ["day", "user_id"], "t")
+    facts = orders(spark, d).select("o_orderkey", january("day").alias("day"), F.col("o_custkey").alias("user_id"))
+    joined = facts.join(claims, ["day", "user_id"], "left")
+    return joined.select("o_orderkey", day_text("day"), *usage.claim_state("claimed"))
 
 
 def token_funnel(spark, d):
@@ -101,7 +108,12 @@ def carry_forward(spark, d):
 
 def regressions(spark, d):
     counts = events(spark, d).groupBy("event_type", "day").agg(F.count("*").alias("n"))
-    return calendar.regressions(counts, "event_type", "day", "n", F.dayofmonth("day") % 5 != 0, 0.05, 0.2).withColumn("day", iso("day"))
+    return calendar.regressions(counts, "event_type", "day", "n", F.dayofmonth("day") % 5 != 0, 0.2, 0.2).withColumn("day", iso("day"))
+
+
+def coverage_regressions(spark, d):
+    asked = events(spark, d).groupBy("event_type", "day").agg(F.count("*").alias("requested"), F.nullif(F.count_if(F.col("value") > 40), F.lit(0)).alias("stored"))
+    return calendar.coverage_regressions(asked, "event_type", "day", "requested", "stored").withColumn("day", iso("day"))
 
 
 def staleness(spark, d):
@@ -143,24 +155,26 @@ def inventory_diff(spark, d):
 
 def bag_equality(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    return quality.bag_difference(li, li.where("l_partkey % 97 <> 0"))
+    other = li.where("l_partkey % 97 <> 0").unionByName(li.where("l_partkey % 89 = 0"))
+    return quality.bag_difference(li, other)
 
 
 def violations(spark, d):
     o = orders(spark, d).withColumn("price", F.when(F.col("o_orderkey") % 501 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")))
-    o = o.withColumn("ident", F.when(F.col("o_orderkey") % 701 == 0, F.lit("2313.12345")).otherwise(F.concat(F.lit("24"), F.date_format("day", "MM"), F.lit("."), F.lpad((F.col("o_orderkey") % 99998 + 1).cast("string"), 5, "0"))))
+    o = o.withColumn("ident", F.concat(F.lit("24"), F.lpad((F.month("day") + F.when(F.col("o_orderkey") % 7 == 0, 2).otherwise(0)).cast("string"), 2, "0"), F.lit("."), F.lpad((F.col("o_orderkey") % 99998).cast("string"), 5, "0")))
     rules = {
         "non_negative": F.col("price") >= 0,
         "known_status": F.col("o_orderstatus").isin("O", "F", "P"),
         "not_in_future": F.col("day") <= F.lit("2001-07-01").cast("date"),
-        "paper_id": F.col("ident").rlike(r"^\d{4}\.\d{4,5}$") & F.substring("ident", 3, 2).cast("int").between(1, 12),
+        "paper_id": valid_paper_id(F.col("ident")),
     }
     return quality.violations(o, "o_orderkey", rules)
 
 
 def hosting_day(spark, d):
-    li = table(spark, d, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("day"), "l_suppkey", "l_linestatus", "l_returnflag")
-    return marts.hosting(li, "l_partkey", "day", "l_suppkey", F.col("l_linestatus") == "O", "l_returnflag").withColumn("day", iso("day"))
+    li = table(spark, d, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("day"), F.when(F.col("l_quantity") > 5, F.col("l_suppkey")).alias("provider"), F.when(F.col("l_linestatus") == "O", "live").otherwise(F.nullif("l_returnflag", F.lit("A"))).alias("status"), "l_orderkey", "l_linenumber")
+    out = marts.hosting(li, "l_partkey", "day", "provider", "status", [F.col("l_orderkey").cast("long"), F.col("l_linenumber").cast("long")])
+    return out.withColumn("day", iso("day"))
 
 
 def nested_cards(spark, d):
@@ -171,7 +185,7 @@ def nested_cards(spark, d):
 
 def _told(spark, d):
     members = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    months = orders(spark, d).where("year(day) = 1996").select("month").distinct()
+    months = F.transform(F.sequence(F.lit("1996-01-01").cast("date"), F.lit("1996-12-01").cast("date"), F.expr("interval 1 month")), lambda x: F.date_format(x, "yyyy-MM"))
     seen = orders(spark, d).where("o_orderstatus <> 'F'")
     failed = orders(spark, d).where("o_orderstatus = 'F'").groupBy("o_custkey", "month").agg(F.min("o_orderpriority").alias("reason"))
     return marts.outcomes(members, months, seen, failed, "o_custkey", "month")
@@ -193,7 +207,7 @@ def sample_profile(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     usage_shares, share_denominators, usage_coverage, usage_window, curation_queue, interval_attribution, same_day_join, token_funnel, ranked_models, missing_days, gap_findings,
-    coverage_calendar, carry_forward, regressions, staleness, day_completeness, null_dup_profile, profile_counts, inventory_diff, bag_equality, violations, hosting_day, nested_cards,
+    coverage_calendar, carry_forward, regressions, coverage_regressions, staleness, day_completeness, null_dup_profile, profile_counts, inventory_diff, bag_equality, violations, hosting_day, nested_cards,
     member_outcomes, before_after, sample_profile,
 )}
 
@@ -205,7 +219,8 @@ _REG = "SELECT *, lag(n) OVER (PARTITION BY event_type ORDER BY day) AS previous
 
 ORACLES = {
     "usage_shares": f"{_S} SELECT month, o_orderpriority, round(amount, 2) AS amount, round(total, 2) AS total, round(100 * amount / total, 6) AS share_percent FROM t",
-    "share_denominators": f"{_S} SELECT month, round(sum(100 * amount / total), 4) AS sum_percent, 0::BIGINT AS n_outside FROM t WHERE NOT (month LIKE '%-06' AND o_orderpriority LIKE '1%') GROUP BY month HAVING abs(sum(100 * amount / total) - 100) > 0.05",
+    "share_denominators": f"""{_S}, p AS (SELECT month, 100 * amount / total - CASE WHEN month LIKE '%-06' AND o_orderpriority LIKE '1%' THEN 120 ELSE 0 END AS share FROM t)
+        SELECT month, round(sum(share), 4) AS sum_percent, count_if(share < 0 OR share > 100) AS n_outside FROM p GROUP BY month HAVING abs(sum(share) - 100) > 0.05 OR count_if(share < 0 OR share > 100) > 0""",
     "usage_coverage": f"""{_OC}, g AS (SELECT month, sum(o_totalprice) AS total, coalesce(sum(o_totalprice) FILTER (c_mktsegment IN ('BUILDING', 'MACHINERY')), 0) AS attributed, coalesce(sum(o_totalprice) FILTER (o_orderpriority LIKE '5%'), 0) AS other,
         count_if(c_mktsegment IN ('BUILDING', 'MACHINERY')) AS n_attributed, count(*) AS n_rows FROM a GROUP BY month)
         SELECT month, round(total, 2) AS total, round(attributed, 2) AS attributed, round(other, 2) AS other, n_attributed, n_rows, round(attributed / total, 6) AS attributed_share, round(other / total, 6) AS other_share FROM g""",
@@ -217,9 +232,9 @@ ORACLES = {
         m AS (SELECT * FROM l UNION ALL SELECT c_custkey, f + 400, NULL, t || '/2' FROM l WHERE c_custkey % 5 = 0)
         SELECT o_orderkey, coalesce(string_agg(DISTINCT t, ',' ORDER BY t), '') AS targets, CASE count(DISTINCT t) WHEN 0 THEN 'unresolved' WHEN 1 THEN 'curated' ELSE 'ambiguous' END AS state
         FROM o LEFT JOIN m ON c_custkey = o_custkey AND day >= f AND day <= coalesce(u, day) GROUP BY o_orderkey""",
-    "same_day_join": f"""{EVENTS_SQL}, c AS (SELECT dayofyear(day) AS doy, list_sort(list(DISTINCT CASE WHEN event_type <> 'view' THEN event_type ELSE '' END)) AS s FROM e WHERE user_id % 2 = 0 AND value > 95 GROUP BY 1),
-        f AS (SELECT o_orderkey, dayofyear(o_orderdate) AS doy FROM orders WHERE year(o_orderdate) = 1996), j AS (SELECT f.*, s, list_filter(coalesce(s, []), lambda x: x <> '') AS v FROM f LEFT JOIN c USING (doy))
-        SELECT o_orderkey, doy::INT AS doy, CASE WHEN len(v) = 0 THEN 'unresolved' WHEN len(v) = 1 AND len(s) = 1 THEN 'source_explicit' ELSE 'ambiguous' END AS state, CASE WHEN len(v) = 1 AND len(s) = 1 THEN v[1] END AS target FROM j""",
+    "same_day_join": f"""{EVENTS_SQL}, c AS (SELECT day, user_id, list(DISTINCT CASE WHEN event_type <> 'view' THEN event_type ELSE '' END) AS s FROM e GROUP BY 1, 2),
+        f AS (SELECT o_orderkey, DATE '2024-01-01' + day(o_orderdate)::INT - 1 AS day, o_custkey AS user_id FROM orders), j AS (SELECT f.*, s, list_filter(coalesce(s, []), lambda x: x <> '') AS v FROM f LEFT JOIN c USING (day, user_id))
+        SELECT o_orderkey, strftime(day, '%Y-%m-%d') AS day, CASE WHEN len(v) = 0 THEN 'unresolved' WHEN len(v) = 1 AND len(s) = 1 THEN 'source_explicit' ELSE 'ambiguous' END AS state, CASE WHEN len(v) = 1 AND len(s) = 1 THEN v[1] END AS target FROM j""",
     "token_funnel": f"""{_OC} SELECT strftime(day, '%Y-%m-%d') AS day, round(sum(o_totalprice), 2) AS total, round(sum(CASE WHEN o_orderpriority LIKE '1%' THEN o_totalprice ELSE 0 END), 2) AS urgent,
         round(sum(CASE WHEN c_custkey IS NOT NULL THEN o_totalprice ELSE 0 END), 2) AS matched, round(sum(CASE WHEN c_acctbal > 0 THEN o_totalprice ELSE 0 END), 2) AS linked FROM a GROUP BY a.day""",
     "ranked_models": "SELECT o_custkey, round(sum(o_totalprice), 2) AS total, count(*) AS n_orders FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100",
@@ -232,7 +247,11 @@ ORACLES = {
     "carry_forward": f"""{EVENTS_SQL}, c AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY rank, ts, event_id) AS n FROM e), k AS (SELECT user_id, day, CASE WHEN value > 60 THEN event_type END AS kind FROM c WHERE n = 1)
         SELECT user_id, strftime(day, '%Y-%m-%d') AS day, kind, last_value(kind IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY k.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried_kind FROM k""",
     "regressions": f"""{EVENTS_SQL}, c AS (SELECT event_type, day, count(*) AS n FROM e WHERE day(e.day) % 5 <> 0 GROUP BY ALL), l AS ({_REG})
-        SELECT event_type, strftime(day, '%Y-%m-%d') AS day, previous, n, round(1 - n / previous, 6) AS drop, CASE WHEN round(1 - n / previous, 6) >= 0.2 THEN 'ERROR' ELSE 'WARN' END AS level FROM l WHERE round(1 - n / previous, 6) >= 0.05""",
+        SELECT event_type, strftime(day, '%Y-%m-%d') AS day, previous, n, round(1 - n / previous, 6) AS drop, CASE WHEN round(1 - n / previous, 6) >= 0.2 THEN 'ERROR' ELSE 'WARN' END AS level FROM l WHERE round(1 - n / previous, 6) >= 0.2""",
+    "coverage_regressions": f"""{EVENTS_SQL}, c AS (SELECT event_type, day, count(*) AS requested, nullif(count_if(value > 40), 0) AS stored FROM e GROUP BY ALL), v AS (SELECT *, stored / requested AS ratio FROM c WHERE stored IS NOT NULL),
+        l AS (SELECT *, round(lag(ratio) OVER w - ratio, 9) AS drop, lag(requested) OVER w AS before FROM v WINDOW w AS (PARTITION BY event_type ORDER BY day))
+        SELECT event_type, strftime(day, '%Y-%m-%d') AS day, 'coverage' AS "check", CASE WHEN drop >= 0.2 THEN 'ERROR' ELSE 'WARN' END AS level, requested, stored, round(drop, 6) AS drop FROM l WHERE drop >= 0.05
+        UNION ALL SELECT event_type, strftime(day, '%Y-%m-%d'), 'catalogue', 'WARN', requested, stored, round(drop, 6) FROM l WHERE requested < before * 0.8""",
     "staleness": f"""{EVENTS_SQL}, r AS (SELECT * FROM e WHERE event_type <> 'error' OR day < DATE '2024-01-20'), s AS (SELECT event_type, max(day) AS last, date_diff('day', max(day), DATE '2024-02-01') AS late FROM r GROUP BY 1),
         c AS (SELECT event_type, day, count(*) AS n FROM r GROUP BY ALL), l AS ({_REG})
         SELECT 'ERROR' AS level, 'stale' AS "check", event_type || ':' || late AS message, strftime(last, '%Y-%m-%d') AS last_day FROM s WHERE late > 2
@@ -251,13 +270,18 @@ ORACLES = {
         a AS (SELECT doc_id, sha256(CASE WHEN doc_id % 17 = 0 THEN text || '!' WHEN doc_id % 13 = 0 THEN upper(text) ELSE text END) AS s FROM documents WHERE doc_id % 7 <> 0),
         j AS (SELECT coalesce(b.doc_id, a.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'missing' WHEN b.doc_id IS NULL THEN 'added' WHEN b.s = a.s THEN 'same' WHEN b.u = a.s THEN 'alternate' ELSE 'changed' END AS state FROM b FULL JOIN a ON a.doc_id = b.doc_id)
         SELECT * FROM j WHERE state <> 'same'""",
-    "bag_equality": "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, 'left' AS side FROM lineitem WHERE l_partkey % 97 = 0",
-    "violations": f"""{_O}, v AS (SELECT o_orderkey, CASE WHEN o_orderkey % 501 = 0 THEN -o_totalprice ELSE o_totalprice END AS price, o_orderstatus, day, o_orderkey % 701 = 0 AS bad FROM o)
+    "bag_equality": """WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem), b AS (SELECT * FROM a WHERE l_partkey % 97 <> 0 UNION ALL SELECT * FROM a WHERE l_partkey % 89 = 0)
+        SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+    "violations": f"""{_O}, v AS (SELECT o_orderkey, CASE WHEN o_orderkey % 501 = 0 THEN -o_totalprice ELSE o_totalprice END AS price, o_orderstatus, day, '24' || lpad((month(day) + CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 0 END)::VARCHAR, 2, '0') || '.' || lpad((o_orderkey % 99998)::VARCHAR, 5, '0') AS id FROM o)
         SELECT o_orderkey, 'non_negative' AS rule FROM v WHERE NOT price >= 0 UNION ALL SELECT o_orderkey, 'known_status' FROM v WHERE o_orderstatus NOT IN ('O', 'F', 'P')
-        UNION ALL SELECT o_orderkey, 'not_in_future' FROM v WHERE day > DATE '2001-07-01' UNION ALL SELECT o_orderkey, 'paper_id' FROM v WHERE bad""",
-    "hosting_day": """WITH l AS (SELECT l_partkey, l_shipdate::DATE AS day, l_suppkey, l_linestatus, l_returnflag FROM lineitem), s AS (SELECT l_partkey, day, l_returnflag || '=' || count(*) AS t FROM l GROUP BY l_partkey, day, l_returnflag),
-        m AS (SELECT l_partkey, day, string_agg(t, ',' ORDER BY t) AS statuses FROM s GROUP BY ALL), p AS (SELECT l_partkey, day, count(DISTINCT l_suppkey) AS n_declared, count(DISTINCT CASE WHEN l_linestatus = 'O' THEN l_suppkey END) AS n_live FROM l GROUP BY ALL)
-        SELECT l_partkey, strftime(day, '%Y-%m-%d') AS day, n_declared, n_live, statuses, CASE WHEN n_live > 0 THEN 'live' ELSE 'declared' END AS state FROM p JOIN m USING (l_partkey, day)""",
+        UNION ALL SELECT o_orderkey, 'not_in_future' FROM v WHERE day > DATE '2001-07-01'
+        UNION ALL SELECT o_orderkey, 'paper_id' FROM v WHERE NOT (regexp_full_match(id, '\\d{{4}}\\.\\d{{4,5}}') AND id[3:4]::INT BETWEEN 1 AND 12 AND regexp_extract(id, '\\.(\\d+)', 1)::INT > 0 AND (id[1:2]::INT > 7 OR id[1:2]::INT = 7 AND id[3:4]::INT >= 4))""",
+    "hosting_day": """WITH l AS (SELECT l_partkey, l_shipdate::DATE AS day, CASE WHEN l_quantity > 5 THEN l_suppkey END AS p, CASE WHEN l_linestatus = 'O' THEN 'live' ELSE nullif(l_returnflag, 'A') END AS st, '[' || l_orderkey || ',' || l_linenumber || ']' AS at_, l_orderkey, l_linenumber FROM lineitem),
+        s AS (SELECT l_partkey, day, coalesce(st, 'unknown') AS st, count(*) AS n FROM l WHERE p IS NOT NULL GROUP BY ALL), m AS (SELECT l_partkey, day, string_agg(st || '=' || n, ',' ORDER BY st || '=' || n) AS statuses FROM s GROUP BY ALL),
+        u AS (SELECT DISTINCT l_partkey, day, at_, l_orderkey, l_linenumber FROM l), w AS (SELECT l_partkey, day, '[' || string_agg(at_, ',' ORDER BY l_orderkey, l_linenumber) || ']' AS row_locators FROM u GROUP BY ALL),
+        q AS (SELECT l_partkey, day, count(DISTINCT p) AS n_declared, count(DISTINCT CASE WHEN st = 'live' THEN p END) AS n_live, list_sort(list(DISTINCT p) FILTER (st = 'live' AND p IS NOT NULL)) AS lp FROM l GROUP BY ALL)
+        SELECT l_partkey, strftime(q.day, '%Y-%m-%d') AS day, n_declared, n_live, coalesce(array_to_string(lp, ','), '') AS live_providers, coalesce(statuses, '') AS statuses, CASE WHEN n_declared > 0 THEN 'declared' ELSE 'unknown' END AS state, row_locators
+        FROM q JOIN w USING (l_partkey, day) LEFT JOIN m USING (l_partkey, day)""",
     "nested_cards": "SELECT c_custkey AS o_custkey, c_name, count(o_orderkey) AS n_items, coalesce('[' || string_agg(o_orderkey, ',' ORDER BY o_orderkey) || ']', '[]') AS items FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name",
     "member_outcomes": f"""{_O}, g AS (SELECT c_custkey AS k, month FROM customer CROSS JOIN (SELECT DISTINCT month FROM o WHERE year(day) = 1996) WHERE c_mktsegment = 'BUILDING'),
         t AS (SELECT g.k, g.month, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o_custkey = g.k AND o.month = g.month AND o_orderstatus <> 'F') THEN 'observed'

@@ -5,37 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-ROWS = "array<struct<date:string,`group`:string,modality:string,name:string,metric:string,share_percent:double>>"
-TOKENS = "array<struct<date:string,model_permaslug:string,total_tokens:string>>"
+ROWS = "array<struct<date:string,`group`:string,modality:string,name:string,metric:string,share_percent:variant>>"
+TOKENS = "array<struct<date:string,model_permaslug:string,model_name:string,total_tokens:variant>>"
 MANIFEST = "source string, start_date string, end_date string, fetched_at string, sha256 string, url string"
+METRICS = ["requests", "tokens", "spend"]
 
 
 def revisions(spark: SparkSession, root: str) -> DataFrame:
-    """Manifest and body of every stored revision, ``ok`` where the body's hash is the manifest's."""
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("folder")
-    told = spark.read.text(f"{root}/*/*/*/manifest.json", wholetext=True).select(folder, F.from_json("value", MANIFEST).alias("m")).select("folder", "m.*")
-    body = spark.read.text(f"{root}/*/*/*/response.json", wholetext=True).select(folder, F.col("value").alias("body"))
-    return told.join(body, "folder").withColumn("ok", F.sha2("body", 256) == F.col("sha256"))
+    """Manifest and body of every stored revision, ``ok`` where the hash of the body's bytes is the manifest's."""
+    folder = lambda c: F.regexp_extract(c, r"([^/]+/[^/]+/[^/]+)/[^/]+$", 1).alias("folder")
+    told = spark.read.text(f"{root}/*/*/*/manifest.json", wholetext=True).select(folder(F.col("_metadata.file_path")), F.from_json("value", MANIFEST).alias("m")).select("folder", "m.*")
+    body = spark.read.format("binaryFile").load(f"{root}/*/*/*/response.json").select(folder(F.col("path")), F.sha2("content", 256).alias("_sum"), F.decode("content", "UTF-8").alias("body"))
+    return told.join(body, "folder").withColumn("ok", F.col("_sum") == F.col("sha256")).drop("_sum")
 
 
 def usage_rows(found: DataFrame) -> DataFrame:
-    """Long usage rows: metric, unit, whether it is the remainder, and a value that is null where it isn't valid."""
+    """Long usage rows: metric, unit, whether it is the remainder, and a value that is null where it isn't valid.
+
+    Tokens are whole numbers, or text of digits; shares are numbers from 0 to 100. ``in_range`` says whether the day is of the
+    request, ``in_scope`` whether a share is of models and of text. The remainder has no source id.
+    """
+    kept = ["source", "fetched_at", "folder", "sha256", "start_date", "end_date"]
+    number = lambda v: F.when(~F.schema_of_variant(v).isin("STRING", "BOOLEAN", "VOID"), F.try_variant_get(v, "$", "double"))
     share = F.from_json("body", f"rows {ROWS}")["rows"]
     token = F.from_json("body", f"data {TOKENS}")["data"]
-    a = found.where("ok").select("source", "fetched_at", "folder", F.explode(share).alias("r"))
-    a = a.select("source", "fetched_at", "folder", F.to_date("r.date").alias("day"), F.col("r.name").alias("name"), F.col("r.metric").alias("metric"), F.lit("percent").alias("unit"), F.when(F.col("r.share_percent").between(0, 100) & ~F.isnan("r.share_percent"), F.col("r.share_percent")).alias("value"))
-    b = found.where("ok").select("source", "fetched_at", "folder", F.explode(token).alias("r"))
-    digits = F.when(F.col("r.total_tokens").rlike("^[0-9]+$"), F.col("r.total_tokens").cast("double"))
-    b = b.select("source", "fetched_at", "folder", F.to_date("r.date").alias("day"), F.col("r.model_permaslug").alias("name"), F.lit("tokens").alias("metric"), F.lit("tokens").alias("unit"), digits.alias("value"))
-    return a.unionByName(b).withColumn("is_other", F.lower("name") == "other")
+    as_of = F.get_json_object("body", "$.meta.as_of").alias("as_of")
+    a = found.where("ok").select(*kept, as_of, F.explode(share).alias("r")).withColumn("n", number(F.col("r.share_percent")))
+    fine = F.col("n").between(0, 100) & ~F.isnan("n")
+    a = a.select(*kept, "as_of", F.to_date("r.date").alias("day"), F.col("r.name").alias("name"), F.lit(None).cast("string").alias("source_id"), F.col("r.metric").alias("metric"), F.lit("percent").alias("unit"), F.when(fine, F.col("n")).alias("value"), F.coalesce((F.col("r.group") == "model") & (F.col("r.modality") == "text") & F.col("r.metric").isin(METRICS), F.lit(False)).alias("in_scope"))
+    b = found.where("ok").select(*kept, as_of, F.explode(token).alias("r"))
+    kind, text = F.schema_of_variant("r.total_tokens"), F.try_variant_get("r.total_tokens", "$", "string")
+    whole = F.when((kind == "BIGINT") | ((kind == "STRING") & text.rlike("^[0-9]+$")) | (kind.startswith("DECIMAL") & kind.endswith(",0)")), text.try_cast("double"))
+    b = b.select(*kept, "as_of", F.to_date("r.date").alias("day"), F.coalesce(F.nullif("r.model_name", F.lit("")), "r.model_permaslug").alias("name"), F.col("r.model_permaslug").alias("source_id"), F.lit("tokens").alias("metric"), F.lit("tokens").alias("unit"), F.when(whole >= 0, whole).alias("value"), F.lit(True).alias("in_scope"))
+    both = a.unionByName(b)
+    other = F.coalesce(F.lower("name") == "other", F.lit(False)) | F.coalesce(F.col("source_id") == "other", F.lit(False))
+    both = both.withColumns({"is_other": other, "in_range": F.coalesce(F.col("day").between(F.to_date("start_date"), F.to_date("end_date")), F.lit(False)), "key": F.coalesce("source_id", "name")})
+    return both.withColumn("source_id", F.when(~F.col("is_other"), F.col("source_id"))).withColumn("identity_status", F.when(F.col("is_other"), "aggregate").otherwise("unresolved"))
+
+
+def expected_days(found: DataFrame, metrics: DataFrame) -> DataFrame:
+    """(source, day, metric) that stored revisions asked for; ``metrics`` has the metrics of each source."""
+    days = found.select("source", F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date"), F.expr("interval 1 day"))).alias("day")).distinct()
+    return days.join(metrics, "source")
 
 
 def share_series(spark: SparkSession, path: str) -> DataFrame:
-    """Share arrays by name to long rows; entries beyond the timestamps don't count."""
-    docs = spark.read.text(path, wholetext=True).select(F.from_json("value", "result struct<serie_0:map<string,array<string>>>").alias("d"))
-    rows = docs.select(F.col("d.result.serie_0").alias("s")).select(F.col("s")["timestamps"].alias("ts"), F.explode(F.map_filter("s", lambda k, v: k != "timestamps")).alias("name", "shares"))
-    zipped = rows.select("name", F.posexplode(F.arrays_zip("ts", "shares")).alias("position", "z"))
-    return zipped.where("z.ts is not null").select("name", "position", F.to_date(F.substring("z.ts", 1, 10)).alias("day"), F.col("z.shares").try_cast("double").alias("share"))
+    """Share arrays by name to long rows, with the length of each array and of the timestamps; entries beyond either have null for the other."""
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.from_json("value", "result struct<serie_0:map<string,array<string>>>").alias("d"))
+    rows = docs.select("file", F.col("d.result.serie_0").alias("s")).select("file", F.col("s")["timestamps"].alias("ts"), F.explode(F.map_filter("s", lambda k, v: k != "timestamps")).alias("name", "shares"))
+    zipped = rows.select("file", "name", F.size("ts").alias("n_timestamps"), F.size("shares").alias("n_shares"), F.posexplode(F.arrays_zip("ts", "shares")).alias("position", "z"))
+    return zipped.where("z.ts is not null").select("file", "name", "position", F.to_date(F.substring("z.ts", 1, 10)).alias("day"), F.col("z.shares").try_cast("double").alias("share"), "n_timestamps", "n_shares")
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -43,9 +62,10 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
-    """One row a member of a cohort registry."""
-    docs = spark.read.schema("cohort_id string, selected_at string, members array<struct<hf_repo_id:string,group:string,active:boolean>>").json(path, multiLine=True)
-    return docs.select("cohort_id", "selected_at", F.explode("members").alias("m")).select("cohort_id", "selected_at", "m.*")
+    """One row a member of a cohort registry; who isn't said to be inactive is active, and enrolled when the cohort was selected."""
+    docs = spark.read.schema("cohort_id string, selected_at string, members array<struct<hf_repo_id:string,selection_group:string,active:boolean,enrolled_at:string>>").json(path, multiLine=True)
+    rows = docs.select("cohort_id", "selected_at", F.explode("members").alias("m")).select("cohort_id", "selected_at", "m.*")
+    return rows.withColumns({"active": F.coalesce("active", F.lit(True)), "enrolled_at": F.coalesce("enrolled_at", "selected_at")})
 
 
 def new_occurrences(store: DataFrame) -> DataFrame:
