@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +69,29 @@ def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
 def positional(df: DataFrame, columns: list[str]) -> list:
     """Columns under names that clash with none an operator makes: _k0, _k1 and so on."""
     return [df[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(columns)]
+
+
+def summed(parts: DataFrame, tasks: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(at, y) rows, ``y`` the bytes of float32 numbers, to the sum of the arrays of each ``at``; added up in ``tasks`` tasks.
+
+    The driver gets one array of each place, whatever the number of rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        one = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["at", "y"])
+        for b in batches:
+            for at, y in zip(b.column(0).to_pylist(), b.column(1)):
+                part = np.frombuffer(y.as_buffer(), np.float32)
+                if at == now:
+                    total += part
+                    continue
+                if now is not None:
+                    yield one()
+                now, total = at, part.copy()
+        if now is not None:
+            yield one()
+
+    dealt = parts.repartition(tasks, "at").sortWithinPartitions("at")
+    for r in dealt.mapInArrow(run, "at long, y binary").toLocalIterator():
+        yield r[0], np.frombuffer(bytes(r[1]), np.float32)

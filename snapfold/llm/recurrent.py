@@ -1,12 +1,12 @@
 """A gated recurrent language model over whole documents, in numpy, with counts and training spread over Spark.
 
-All training tokens are counted in Spark. The ``CODES - 1`` most frequent words have a code of their own, every other
-word shares code 0 and is told from its like by add-one smoothed counts, so that the model's probabilities of all words
-sum to one. A gated recurrent unit reads the codes; its output softmax is factored in classes of equally many codes by
-frequency. Truncated backpropagation runs over windows of ``WINDOW`` steps, the state being carried from window to
-window. The training documents are dealt by hash to ``ROUNDS`` slices, each document to one; in a round ``LEARNERS`` tasks
-learn from a slice, and their parameters are averaged after it, so that every document is learned from once. Scoring reads
-whole documents.
+All training tokens are counted in Spark. The ``OWN`` most frequent words have a code of their own; every other word has the code
+of its bucket, a hash of its first two bytes, and is told from its like by add-one smoothed counts, so that the model's
+probabilities of all words sum to one. A gated recurrent unit reads the codes; its output softmax is factored in classes
+of equally many codes by frequency. Truncated backpropagation runs over windows of ``WINDOW`` steps, the state being carried
+from window to window. The training documents are dealt by hash to slices, each document to one; in a round, learners in
+proportion to the slice's tokens learn from it, and their parameters are averaged in executors. So every document is learned
+from, once in a large corpus and up to ``PASSES`` times in a small one. Scoring reads whole documents.
 
 Counts of the ``COMMON`` most frequent words travel to the tasks, the others are joined by word.
 
@@ -18,6 +18,7 @@ result; further columns are not looked at.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -28,15 +29,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import summed, written
 from .langid import held_out
 
-CLASSES, PER_CLASS, HIDDEN = 64, 32, 24
+CLASSES, PER_CLASS, HIDDEN, BUCKETS = 32, 32, 24, 256
 CODES = CLASSES * PER_CLASS
+OWN = CODES - BUCKETS
 #: Words whose counts travel to the tasks: a bound, not a cut, for the rest is joined.
 COMMON = 1 << 16
-WINDOW, LANES, LEARN_LANES, RATE, SEED = 32, 256, 32, 5e-3, 5
-ROUNDS, LEARNERS = 32, 12
+WINDOW, LANES, RATE, SEED = 32, 256, 5e-3, 5
+#: Tokens that a learner and a round are meant for, most rounds of a pass, tokens below which more passes are made, most of them.
+LEARN, ROUND, ROUNDS, SMALL, PASSES = 1 << 18, 1 << 21, 32, 1 << 21, 8
+#: Windows that a learner cuts its tokens in at least, by taking fewer lanes.
+STEPS = 96
 END = b"\n"  # no word holds white space
 
 
@@ -53,12 +58,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Gru:
-    """Parameters: ``x`` inputs by code, ``u`` recurrent, ``c``/``cb`` classes, ``w``/``wb`` codes within a class."""
+    """Parameters: ``x`` inputs by code, ``u`` recurrent, ``c``/``cb`` classes, ``w``/``wb`` codes within a class.
+
+    ``rank`` is a code's place by frequency: classes are ranges of it, so that most tokens are of few classes.
+    """
 
     def __init__(self, counts: np.ndarray, seed: int = SEED):
         rng, h = np.random.default_rng(seed), HIDDEN
+        self.rank = np.empty(CODES, np.int32)
+        order = np.argsort(-counts, kind="stable")
+        self.rank[order] = np.arange(CODES, dtype=np.int32)
         # a code that no word has gets next to nothing
-        each = np.where((counts > 0) | (np.arange(CODES) == 0), counts + 1.0, 1e-4).reshape(CLASSES, PER_CLASS)
+        each = np.where(counts > 0, counts + 1.0, 1e-4)[order].reshape(CLASSES, PER_CLASS)
         self.p = {
             "x": rng.normal(0, 0.1, (CODES, 3 * h)),
             "u": rng.normal(0, h**-0.5, (h, 3 * h)) * 0.5,
@@ -81,69 +92,92 @@ class Gru:
 
     def log_probs(self, states: np.ndarray, codes: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of codes from the states before them; with ``grads``, gradients of their negative mean."""
-        kind, inner = codes // PER_CLASS, codes % PER_CLASS
-        z = states @ self.p["c"] + self.p["cb"]
+        kind, inner = np.divmod(self.rank.take(codes), PER_CLASS)
+        order = np.argsort(kind, kind="stable")
+        states, kind, inner = states.take(order, axis=0), kind[order], inner[order]
+        z = states @ self.p["c"]
+        z += self.p["cb"]
         z -= z.max(1, keepdims=True)
-        e = np.exp(z)
-        total = e.sum(1)
         rows = np.arange(len(codes))
-        out = z[rows, kind] - np.log(total)
+        got = z[rows, kind]
+        np.exp(z, out=z)
+        total = z.sum(1)
+        got -= np.log(total)
         back = None
         if grads is not None:
-            e /= total[:, None]
-            e[rows, kind] -= 1
-            e /= len(codes)
-            grads["c"] += states.T @ e
-            grads["cb"] += e.sum(0)
-            back = e @ self.p["c"].T
-        order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+            z /= total[:, None]
+            z[rows, kind] -= 1
+            z /= len(codes)
+            grads["c"] += states.T @ z
+            grads["cb"] += z.sum(0)
+            back = z @ self.p["c"].T
+        ends = np.searchsorted(kind, np.arange(CLASSES + 1))
         for k in np.flatnonzero(np.diff(ends)):
-            at = order[ends[k] : ends[k + 1]]
-            s = states[at]
-            z = s @ self.p["w"][k] + self.p["wb"][k]
+            at = slice(ends[k], ends[k + 1])
+            s, mine = states[at], inner[at]
+            z = s @ self.p["w"][k]
+            z += self.p["wb"][k]
             z -= z.max(1, keepdims=True)
-            e = np.exp(z)
-            total, rows, mine = e.sum(1), np.arange(len(at)), inner[at]
-            out[at] += z[rows, mine] - np.log(total)
+            rows = np.arange(len(s))
+            own = z[rows, mine]
+            np.exp(z, out=z)
+            total = z.sum(1)
+            got[at] += own - np.log(total)
             if grads is not None:
-                e /= total[:, None]
-                e[rows, mine] -= 1
-                e /= len(codes)
-                grads["w"][k] += s.T @ e
-                grads["wb"][k] += e.sum(0)
-                back[at] += e @ self.p["w"][k].T
+                z /= total[:, None]
+                z[rows, mine] -= 1
+                z /= len(codes)
+                grads["w"][k] += s.T @ z
+                grads["wb"][k] += z.sum(0)
+                back[at] += z @ self.p["w"][k].T
+        out = np.empty_like(got)
+        out[order] = got
+        if back is not None:
+            back[order] = back.copy()
         return out, back
 
     def learn(self, docs: list[np.ndarray]) -> None:
         """One pass of truncated backpropagation with Adam."""
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v, t, h = {k: np.zeros_like(a) for k, a in self.p.items()}, 0, HIDDEN
-        for codes, fresh, live, state in lanes(docs, LEARN_LANES):
+        most = int(np.clip(sum(map(len, docs)) // (WINDOW * STEPS), 4, LANES))
+        for codes, fresh, live, state in lanes(docs, most):
             g = {k: np.zeros_like(a) for k, a in self.p.items()}
             kept: list = []
             now = state[0]
+            old = ~fresh
             for step in range(len(codes)):
-                now = now * ~fresh[step][:, None]
+                now = now * old[step][:, None]
                 now = self.advance(now, codes[step], kept)
             state[0] = now
             before = np.concatenate([k[0] for k in kept])
             on = np.flatnonzero(live.ravel())
-            _, back = self.log_probs(before[on], codes.ravel()[on], g)
+            _, back = self.log_probs(before.take(on, axis=0), codes.ravel()[on], g)
             dh_out = np.zeros_like(before)
             dh_out[on] = back
             dh_out = dh_out.reshape(len(codes), -1, h)
             u_t, dh = self.p["u"].T.copy(), np.zeros_like(now)
+            at_x, at_u = np.empty((*codes.shape, 3 * h), np.float32), np.empty((*codes.shape, 3 * h), np.float32)
             for step in range(len(codes) - 1, -1, -1):
                 prev, zr, n, hn = kept[step]
                 z, r = zr[:, :h], zr[:, h:]
-                dn = dh * (1 - z) * (1 - n * n)
-                dz = dh * (prev - n) * z * (1 - z)
-                dr = dn * hn * r * (1 - r)
-                at_u = np.concatenate([dz, dr, dn * r], 1)
-                np.add.at(g["x"], codes[step], np.concatenate([dz, dr, dn], 1))
-                g["u"] += prev.T @ at_u
-                dh = (dh * z + at_u @ u_t + dh_out[step]) * ~fresh[step][:, None]
+                d, e = at_x[step], at_u[step]
+                keep = dh * z
+                dn = d[:, 2 * h :]
+                np.multiply(dh - keep, 1 - n * n, out=dn)
+                np.multiply(dh * (prev - n), z * (1 - z), out=d[:, :h])
+                np.multiply(dn * hn, r * (1 - r), out=d[:, h : 2 * h])
+                e[:, : 2 * h] = d[:, : 2 * h]
+                np.multiply(dn, r, out=e[:, 2 * h :])
+                dh = keep
+                dh += e @ u_t
+                dh += dh_out[step]
+                dh *= old[step][:, None]
+            g["u"] += before.T @ at_u.reshape(-1, 3 * h)
+            flat = codes.ravel()
+            order = np.argsort(flat, kind="stable")
+            cut = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
+            g["x"][flat[order[cut]]] = np.add.reduceat(at_x.reshape(-1, 3 * h).take(order, axis=0), cut, axis=0)
             t += 1
             for k, a in g.items():
                 np.clip(a, -1, 1, out=a)
@@ -212,75 +246,105 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("binary")).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def bucket_of(word: bytes) -> int:
+    """The bucket of a word without a code of its own."""
+    return zlib.crc32(word[:2]) % BUCKETS
+
+
 class Vocabulary:
-    """Codes and counts of the most frequent words."""
+    """Codes and counts of the most frequent words; ``buckets`` has (tokens, words) of each bucket, the ``OWN`` first words left out."""
 
-    def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int):
+    def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int, buckets: dict[int, tuple[int, int]] | None = None):
         self.words = {w: i for i, w in enumerate(words)}
         self.log_count = np.log10(np.array([*counts, 0], np.float64) + 1)  # the last stands for words not in the list
         self.known = np.array([c > 0 for c in counts] + [False])
-        own = min(len(words), CODES - 1)
+        own = min(len(words), OWN)
         self.code = np.zeros(len(words) + 1, np.int32)
-        self.code[:own] = np.arange(1, own + 1)
+        self.code[:own] = BUCKETS + np.arange(own)
+        self.code[own:-1] = [bucket_of(w) for w in words[own:]]
         self.total, self.distinct = total, distinct
-        other = total - sum(counts[:own])
         self.code_counts = np.zeros(CODES)
-        self.code_counts[0], self.code_counts[1 : own + 1] = other, counts[:own]
-        #: what the add-one counts of words under code 0 sum to
-        self.rare_total = other + (distinct - own) + 1
-
-    def ids(self, text: bytes | None) -> tuple[np.ndarray, list[bytes]]:
-        words = tokens(text)
-        return np.fromiter(map(self.words.get, words, repeat(len(self.words))), np.int32, len(words)), words
+        self.code_counts[BUCKETS : BUCKETS + own] = counts[:own]
+        #: what the add-one counts of a bucket's words sum to, one more for words never seen
+        self.log_bucket = np.zeros(CODES)
+        for b in range(BUCKETS):
+            tokens_of, words_of = (buckets or {}).get(b, (0, 0))
+            self.code_counts[b] = tokens_of + 1
+            self.log_bucket[b] = np.log10(tokens_of + words_of + 1)
+
+    def ids(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Place in the list and code of each token, and the tokens."""
+        words, none = tokens(text), len(self.words)
+        ids = np.fromiter(map(self.words.get, words, repeat(none)), np.int32, len(words))
+        codes = self.code.take(ids)
+        odd = np.flatnonzero(ids == none)
+        codes[odd] = [bucket_of(words[i]) for i in odd]
+        return ids, codes, words
+
+
+def vocabulary_of(counts: DataFrame) -> Vocabulary:
+    """From (word, c): the driver gets at most ``COMMON`` words and one row a bucket."""
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    top = counts.orderBy(F.desc("c"), "word").limit(COMMON).toArrow()
+    words, own = top.column(0).to_pylist(), top.column(1).to_pylist()
+    bucket = F.crc32(F.substring("word", 1, 2)) % BUCKETS
+    by = {r["b"]: [r["n"], r["v"]] for r in counts.groupBy(bucket.cast("int").alias("b")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
+    for w, c in zip(words[:OWN], own[:OWN]):
+        by[bucket_of(w)][0] -= c
+        by[bucket_of(w)][1] -= 1
+    return Vocabulary(words, own, sums["n"], sums["v"], {b: (n, v) for b, (n, v) in by.items()})
 
 
 def trained(docs: DataFrame, vocabulary: Vocabulary) -> Gru:
-    """Rounds of parallel learning, a slice of the documents each, averaged; the driver gets LEARNERS sets of parameters of fixed size a round."""
+    """Rounds of parallel learning, a slice of the documents each, averaged in executors; one set of parameters comes to the driver a round."""
     model = Gru(vocabulary.code_counts)
     names = list(model.p)
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(ROUNDS)).cast("int")
+    if not vocabulary.total:
+        return model
+    passes = int(np.clip(-(-SMALL // vocabulary.total), 1, PASSES))
+    rounds = int(np.clip(-(-vocabulary.total // ROUND), 1, ROUNDS))
+    learners = max(1, round(vocabulary.total / rounds / LEARN))
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(rounds)).cast("int")
     # written by slice, so that a round reads its own documents only
     slices = docs.select(draw.alias("slice"), F.col("text").cast("binary").alias("text"), F.xxhash64(F.lit(SEED + 1), "doc_id").alias("h"))
     slices = written(slices, "slices", by="slice")
-    for r in range(ROUNDS):
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    for r in range(rounds * passes):
 
         def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            mine, size = model, 0
-            held, waiting = [], 0
+            size, held, waiting = 0, [], 0
             for b in batches:
                 for t in b.column(0):
-                    codes = vocabulary.code[vocabulary.ids(t.as_py())[0]]
-                    held.append(codes)
-                    waiting, size = waiting + len(codes), size + len(codes)
+                    held.append(sent.value.ids(t.as_py())[1])
+                    waiting, size = waiting + len(held[-1]), size + len(held[-1])
                     if waiting > 1 << 20:
-                        mine.learn(held)
+                        model.learn(held)
                         held, waiting = [], 0
             if held:
-                mine.learn(held)
+                model.learn(held)
             if size:
-                flat = np.concatenate([mine.p[k].ravel() for k in names]).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array([size]), pa.array([flat.tobytes()], pa.binary())], ["size", "flat"])
+                parts = [*((model.p[k] * np.float32(size)).tobytes() for k in names), np.array([size], np.float32).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts))), pa.array(parts, pa.binary())], ["at", "y"])
 
-        # dealt out evenly, not by key: the number of learners bounds what comes back
-        got = slices.where(F.col("slice") == r).repartition(LEARNERS).sortWithinPartitions("h", "text").select("text").mapInArrow(run, "size long, flat binary").collect()
+        # dealt out evenly, not by key
+        dealt = slices.where(F.col("slice") == r % rounds).repartition(learners).sortWithinPartitions("h", "text").select("text")
+        got = dict(summed(dealt.mapInArrow(run, "at long, y binary"), len(names) + 1))
         if got:
-            weights = np.array([x["size"] for x in got], np.float64)
-            flat = sum(w * np.frombuffer(bytes(x["flat"]), np.float32) for w, x in zip(weights / weights.sum(), got))
-            at = 0
-            for k in names:
-                model.p[k] = flat[at : at + model.p[k].size].reshape(model.p[k].shape).astype(np.float32)
-                at += model.p[k].size
+            for i, k in enumerate(names):
+                model.p[k] = (got[i] / got[len(names)]).reshape(model.p[k].shape)
     return model
 
 
 def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score, score of every document."""
     chunk = 1 << 20
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
+        vocabulary = sent.value
         unlisted = len(vocabulary.words)
-        fields = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "n_rare", "rare_base", "words", "times"]
+        fields = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare_base", "words", "times"]
         for b in batches:
             codes, out, waiting = [], [], 0
 
@@ -288,15 +352,14 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
                 ln = model.scores(codes) / np.log(10)
                 cols = [[o[i] for o in out] for i in range(len(fields))]
                 cols[6] = ln
-                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
                 return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], fields)
 
             for doc_id, held, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                ids, words = vocabulary.ids(t.as_py())
-                own = vocabulary.code[ids]
-                logs, rare = vocabulary.log_count[ids], own == 0
+                ids, own, words = vocabulary.ids(t.as_py())
+                logs, rare = vocabulary.log_count[ids], own < BUCKETS
                 odd = Counter(words[i] for i in np.flatnonzero(ids == unlisted))
-                out.append((row, doc_id, held, len(ids), int(vocabulary.known[ids].sum()), float(logs.sum()), 0.0, int(rare.sum()), float(logs[rare].sum()), list(odd), list(odd.values())))
+                out.append((row, doc_id, held, len(ids), int(vocabulary.known[ids].sum()), float(logs.sum()), 0.0, float(logs[rare].sum() - vocabulary.log_bucket[own[rare]].sum()), list(odd), list(odd.values())))
                 codes.append(own)
                 row, waiting = row + 1, waiting + len(ids)
                 if waiting > chunk:
@@ -305,7 +368,7 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
             if out:
                 yield flush()
 
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_rare long, rare_base double, words array<binary>, times array<int>"
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare_base double, words array<binary>, times array<int>"
     rows = docs.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
     rows = written(rows, "scored")
     odd = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("o")).select("row", F.col("o.words").alias("word"), F.col("o.times").alias("times"))
@@ -313,7 +376,6 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
     all_rows = rows.drop("words", "times").join(rest, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     whole = float(np.log10(vocabulary.total + vocabulary.distinct + 1))
-    rare = float(np.log10(vocabulary.rare_total))
     return all_rows.select(
         "doc_id",
         "held_out",
@@ -321,7 +383,7 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
         (F.col("known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.total).cast("long").alias("train_tokens"),
         (F.col("base") + more - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("score") + F.col("rare_base") + more - F.col("n_rare") * rare).alias("score"),
+        (F.col("score") + F.col("rare_base") + more).alias("score"),
     )
 
 
@@ -329,7 +391,5 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", held_out(7, 2).alias("held_out"))
     learning = docs.where("not held_out")
     counts = written(count_words(learning), "counts")
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(COMMON).toArrow()
-    vocabulary = Vocabulary(top.column(0).to_pylist(), top.column(1).to_pylist(), sums["n"], sums["v"])
+    vocabulary = vocabulary_of(counts)
     return score(docs, counts, vocabulary, trained(learning, vocabulary))

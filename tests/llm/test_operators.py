@@ -140,7 +140,7 @@ def test_recurrent_model_learns_an_order():
 def test_recurrent_training_reads_every_document(spark):
     docs = spark.createDataFrame([(i, "a b") for i in range(600)], "doc_id long, text string")
     draw = F.pmod(F.xxhash64(F.lit(recurrent.SEED), "doc_id", F.length("text")), F.lit(32))
-    vocabulary = recurrent.Vocabulary([b"a", b"b", b"\n"], [600, 600, 600], 1800, 3)
+    vocabulary = recurrent.vocabulary_of(recurrent.count_words(docs))
     fresh = recurrent.Gru(vocabulary.code_counts)
     for of in (5, 31):
         model = recurrent.trained(docs.where(draw == of), vocabulary)
@@ -377,3 +377,31 @@ def test_pipeline_end_to_end(spark, odd, nothing):
     assert not {100, 101, 102, 103} & set(ids) and ids.count(3) == 1 and 20 not in ids and 200 not in ids and 10 in ids
     assert out.where("taken > 2 * size").count() == 0 and out.where("text is null").count() == 0
     assert corpus_pipeline.run(spark, nothing).count() == 0
+
+
+def test_recurrent_vocabulary_is_a_distribution(spark, odd, documents):
+    """The probabilities of all words that were counted, and of one never seen in each bucket, sum to one."""
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    counts = recurrent.count_words(docs)
+    v = recurrent.vocabulary_of(counts)
+    each = np.zeros(recurrent.BUCKETS)
+    for r in counts.collect():
+        code = int(v.code[v.words[bytes(r["word"])]])
+        if code < recurrent.BUCKETS:
+            each[code] += (r["c"] + 1) / 10 ** v.log_bucket[code]
+    for b in range(recurrent.BUCKETS):
+        each[b] += 1 / 10 ** v.log_bucket[b]
+    assert np.allclose(each, 1) and v.code_counts.sum() == v.total + recurrent.BUCKETS
+
+
+def test_recurrent_score_beats_counts(spark):
+    """Two sorts of documents with words of their own: what was read tells which words come."""
+    rng = np.random.default_rng(3)
+    sorts = [[f"{c}{i}x" for i in range(40)] for c in "ab"]
+    docs = [(i, " ".join(rng.choice(sorts[i % 2], 60))) for i in range(700)]
+    learning = spark.createDataFrame(docs[:600], "doc_id long, text string")
+    counts = recurrent.count_words(learning).cache()
+    v = recurrent.vocabulary_of(counts)
+    held = spark.createDataFrame(docs[600:], "doc_id long, text string").withColumn("held_out", F.lit(True))
+    r = recurrent.score(held, counts, v, recurrent.trained(learning, v)).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert r[0] / r[2] > r[1] / r[2] + 0.2
