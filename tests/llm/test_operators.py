@@ -294,7 +294,7 @@ def test_passages_with_an_edit(spark):
     text = lambda mid: " ".join([*rng.choice(words, 80), *mid, *rng.choice(words, 80)])
     docs = spark.createDataFrame([(1, text(same)), (2, text(edited)), (3, text([]))], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in passages.near_duplicates(docs).collect()}
-    assert set(rows) == {1, 2} and rows[1]["partners"] == [2] and 100 <= rows[1]["n_words"] <= 130
+    assert set(rows) == {1, 2} and rows[1]["partner_id"] == 2 and rows[1]["n_partners"] == 1 and 100 <= rows[1]["n_words"] <= 130
 
 
 def test_passages_at_the_least_similarity(spark):
@@ -303,8 +303,76 @@ def test_passages_at_the_least_similarity(spark):
     one = [[f"v{w}" for w in rng.integers(0, 1 << 40, 50)] for _ in range(n)]
     two = [[*w[:25], "qq", *w[26:]] for w in one]
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(one + two)], "doc_id long, text string")
-    rows = {r["doc_id"]: r["partners"] for r in passages.near_duplicates(docs).collect()}
-    assert all(p == [(i + n) % (2 * n)] for i, p in rows.items()) and len(rows) >= 2 * 0.99 * n
+    rows = {r["doc_id"]: r["partner_id"] for r in passages.near_duplicates(docs).collect()}
+    assert all(p == (i + n) % (2 * n) for i, p in rows.items()) and len(rows) >= 2 * 0.99 * n
+
+
+def test_compact_windows_are_the_cartesian_tree():
+    rng = np.random.default_rng(4)
+    for t in range(30):
+        sizes = rng.integers(0, 160, 4)
+        words = sizes + passages.SHINGLE - 1 - (sizes == 0)
+        bounds = np.concatenate([[0], np.cumsum(words)])
+        tokens = rng.integers(0, 1 << 62 if t % 2 else 30, max(0, bounds[-1] - passages.SHINGLE + 1)).astype(np.uint64)
+        x = passages._mixed(tokens ^ passages._SEEDS[1])
+        expected = set()
+        for k in range(4):
+            lo, hi = bounds[k], min(bounds[k + 1] - passages.SHINGLE + 1, len(tokens))
+            stack = [(lo, hi)]
+            while stack:
+                a, b = stack.pop()
+                if b - a >= passages.LEAST:
+                    c = a + int(np.argmin(x[a:b]))
+                    expected.add((k, c, a, b - 1))
+                    stack += [(a, c), (c + 1, b)]
+        got = list(zip(*(o.tolist() for o in passages.windows(tokens, bounds, 1)[:4])))
+        assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_alike_finds_shifted_passages():
+    rng = np.random.default_rng(7)
+    a = rng.integers(0, 1 << 60, 200).astype(np.uint64)
+    b = np.concatenate([rng.integers(0, 1 << 60, 30).astype(np.uint64), a[50:90], rng.integers(0, 1 << 60, 2).astype(np.uint64), a[90:140], rng.integers(0, 1 << 60, 40).astype(np.uint64)])
+    for shift in (-20, -18):
+        (lo, hi, first, last), *more = passages.alike(a, b, shift)
+        assert not more and 40 <= lo <= 50 and 139 <= hi <= 150 and 30 <= first and last <= 125
+    assert passages.alike(a, rng.integers(0, 1 << 60, 200).astype(np.uint64), 0) == []
+
+
+def test_passages_against_brute_force(spark):
+    """Texts with exact, edited and drifting copies of passages, a hot passage, and shared lines: no text too many, and recall of 0.95."""
+    rng = np.random.default_rng(11)
+    words = np.array([f"v{i}" for i in range(3000)])
+    line = rng.choice(words, 12).tolist()
+    hot = rng.choice(words, 60).tolist()
+    texts, chain = [], rng.choice(words, 80).tolist()
+    for i in range(160):
+        body = rng.choice(words, int(rng.integers(60, 160))).tolist()
+        if i % 4 == 0:
+            own = list(hot)
+            if i % 8 == 0:
+                own[int(rng.integers(0, 60))] = "edit"
+            body[20:20] = own
+        elif i % 4 == 1:
+            at = i % 80
+            chain = [w if j != at else f"d{i}" for j, w in enumerate(chain)]
+            body[10:10] = chain
+        elif i % 4 == 2:
+            body[30:30] = line
+        texts.append(body)
+    texts += [texts[3], texts[3], line * 8]
+    token = [np.array([hash(tuple(t[j : j + 5])) for j in range(max(0, len(t) - 4))]) for t in texts]
+    sets = [[set(t[j : j + passages.LEAST].tolist()) for j in range(len(t) - passages.LEAST + 1)] for t in token]
+
+    def linked(a, b):
+        if len(set(token[a].tolist()) & set(token[b].tolist())) < 20:
+            return False
+        return any(len(p & q) >= 0.8 * len(p | q) for p in sets[a] for q in sets[b])
+
+    expected = {i for i in range(len(texts)) for j in range(len(texts)) if i != j and linked(i, j)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"] for r in passages.near_duplicates(docs).collect()}
+    assert got <= expected and len(got) >= 0.95 * len(expected) and len(expected) > 60
 
 
 def test_stages_keep_the_columns(spark, odd):
