@@ -3,18 +3,22 @@
 A recording's frames are turned to energies of the twelve pitch classes, smoothed over time and normalised. Sixteen filters,
 sums over rectangles of that image taken from its integral image, are quantised to two Gray-coded bits each: a packed
 32-bit integer for each place of a sixteen-frame image. A recording that is searched has such integers from ``phases`` starts within
-a hop, so that a copy that begins between two frames is met as well. Query recordings are searched in blocks of bounded size that travel to
-the tasks: equal integers vote in a histogram of offsets for each query, and at the most voted offsets the share of differing
-bits over the overlap decides.
+a hop, so that a copy that begins between two frames is met as well. A recording too short for ``overlap`` integers is looped until
+it has them.
 
-Recordings with equal fingerprints are one class; a class is searched once.
+Query recordings are searched in blocks of bounded size that travel to the tasks, one block at a time. Equal integers vote in a
+histogram of offsets for each query; a recording is linked with a query if at an offset with ``votes`` equal integers or more, over an
+overlap of ``overlap`` integers or more, the share of differing bits is at most ``error``. All such offsets are tried, the most voted first.
+
+Recordings with equal fingerprints are one class, and those without integers are one where their payloads are equal; a class is
+searched once.
 
 The registered query has no audio table: it reads a document's UTF-8 bytes as 8-bit PCM, one byte a sample, so that its work
 and its copies are those of the whole texts. Frames and hop are set for recordings of that length.
 
-Defined cases: a null payload is an empty one; a recording shorter than one image has no integers, no links, and a class with
-all others of that kind; a WAV payload that is not PCM raises; equal or null ids give a row each; an empty table gives an
-empty result; further columns are not looked at.
+Defined cases: a null payload is an empty one; an empty recording has no integers and no links; a WAV payload that is not PCM
+raises; equal or null ids give a row each, and a class has its smallest id, or none, as name; an empty table gives an empty
+result; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -57,7 +61,7 @@ CHUNK, BLOCK = 1 << 18, 1 << 21
 
 @dataclass(frozen=True)
 class Params:
-    """Of the frames and of the search: starts within a hop, votes an offset needs, the shortest overlap, and the largest share of differing bits."""
+    """Of the frames and of the search: starts within a hop, equal integers that an offset needs, the shortest overlap, and the largest share of differing bits."""
 
     rate: int = 11025
     frame: int = 4096
@@ -66,7 +70,6 @@ class Params:
     highest: float = 3520.0
     phases: int = 1
     votes: int = 2
-    peaks: int = 3
     overlap: int = 8
     error: float = 0.15
 
@@ -136,6 +139,11 @@ class Chroma:
         each = [packed[f : f + n - len(SMOOTH) - IMAGE + 2] if n else packed[:0] for f, n in zip(first.tolist(), frames.tolist())]
         return [each[i : i + p.phases] for i in range(0, len(each), p.phases)]
 
+    def looped(self, x: np.ndarray) -> np.ndarray:
+        """A recording, repeated until it is long enough for ``overlap`` integers from every start."""
+        least = self.p.frame + self.p.hop * (len(SMOOTH) + IMAGE + self.p.overlap - 2)
+        return np.tile(x, -(-least // len(x)))[:least] if 0 < len(x) < least else x
+
     @staticmethod
     def filtered(total: np.ndarray, n: int) -> np.ndarray:
         """The filters at the first ``n`` places of an image, given as its integral image."""
@@ -175,11 +183,11 @@ def fingerprints(media: DataFrame, params: Params, kind: str) -> DataFrame:
             found: list[list[bytes]] = []
             held: list[np.ndarray] = []
             for i, payload in enumerate(b.column(1), 1):
-                held.append(samples(payload.as_py(), kind))
+                held.append(chroma.looped(samples(payload.as_py(), kind)))
                 if i == b.num_rows or sum(map(len, held)) >= CHUNK:
                     found += [[y.astype("<u4").tobytes() for y in x] for x in chroma.integers(held)]
                     held = []
-            cols = [b.column(0), pa.array([len(f[0]) // 4 for f in found], pa.int64()), pa.array([hashlib.sha256(f[0]).digest() for f in found], pa.binary()), pa.array(found, pa.list_(pa.binary()))]
+            cols = [b.column(0), pa.array([len(f[0]) // 4 for f in found], pa.int64()), pa.array([hashlib.sha256(f[0] or (t.as_py() or b"")).digest() for f, t in zip(found, b.column(1))], pa.binary()), pa.array(found, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(cols, ["id", "n", "digest", "phases"])
 
     return media.select("id", "payload").mapInArrow(run, "id long, n long, digest binary, phases array<binary>")
@@ -210,13 +218,10 @@ class Index:
         pairs, votes = pairs[enough], votes[enough]
         query, offset = pairs >> 32, (pairs & 0xFFFFFFFF) - (1 << 31)
         order = np.lexsort((np.abs(offset), -votes, query))
-        out, last, tried = [], -1, 0
+        out, done = [], -1
         for q, o in zip(query[order].tolist(), offset[order].tolist()):
-            if q != last:
-                last, tried, done = q, 0, False
-            if done or tried == p.peaks or self.ids[q] == own:
+            if q == done or self.ids[q] == own:
                 continue
-            tried += 1
             a, b = x[max(0, o) :], self.ints[q][max(0, -o) :]
             n = min(len(a), len(b))
             if n < p.overlap:
@@ -224,7 +229,7 @@ class Index:
             wrong = float(np.bitwise_count(a[:n] ^ b[:n]).sum()) / (32 * n)
             if wrong <= p.error:
                 out.append((int(self.ids[q]), o, n, wrong))
-                done = True
+                done = q
         return out
 
 
@@ -236,14 +241,16 @@ def aligned(media: DataFrame, queries: DataFrame, params: Params, kind: str = "s
     later in it), best_overlap (integers), best_error.
     """
     prints = written(fingerprints(media, params, kind), "chroma")
-    classes = written(prints.groupBy("digest").agg(F.min("id").alias("class_id"), F.any_value("n").alias("n"), F.min_by("phases", "id").alias("phases")), "classes")
+    of_class = F.xxhash64("digest").alias("class")
+    classes = prints.groupBy("digest").agg(F.min("id").alias("class_id"), F.any_value("n").alias("n"), F.min_by("phases", F.struct(F.col("id").isNull(), "id")).alias("phases"))
+    classes = written(classes.select(of_class, "*"), "classes")
     searched = prints.join(queries.select("id").distinct(), "id", "left_semi").select("digest").distinct()
-    asked = written(classes.join(searched, "digest", "left_semi").where("class_id is not null and n > 0").select("class_id", "n", F.element_at("phases", 1).alias("ints")), "queries")
+    asked = classes.join(searched, "digest", "left_semi").where("n > 0").select("class", "class_id", "n", F.element_at("phases", 1).alias("ints"))
     blocks = max(1, -(-int(asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // BLOCK))
-    found = None
+    asked = written(asked.withColumn("block", F.pmod("class", F.lit(blocks)).cast("int")), "queries", by="block")
+    found, names = None, asked.select(F.col("class").alias("query"), F.col("class_id").alias("best_query"))
     for k in range(blocks):
-        block = asked.where(F.pmod(F.xxhash64("class_id"), F.lit(blocks)) == k).select("class_id", "ints").collect()
-        held = sorted((r[0], bytes(r[1])) for r in block)
+        held = sorted((r[0], bytes(r[1])) for r in asked.where(F.col("block") == k).select("class", "ints").collect())
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = Index(held)
@@ -258,21 +265,24 @@ def aligned(media: DataFrame, queries: DataFrame, params: Params, kind: str = "s
                     if links:
                         rows.append((own, len(links), *min(links.values())))
                 kinds = pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["class_id", "links", "error", "less", "query", "offset"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["class", "links", "error", "less", "query", "offset"])
 
-        rows = classes.where("class_id is not null and n > 0").select("class_id", "phases").mapInArrow(run, "class_id long, links long, error double, less long, query long, offset long")
+        rows = classes.where("n > 0").select("class", "phases").mapInArrow(run, "class long, links long, error double, less long, query long, offset long")
+        # a block's links are written before the next block is read, so that the driver holds one
+        rows = written(rows, "aligned") if blocks > 1 else rows
         found = rows if found is None else found.unionByName(rows)
-    links = found.groupBy("class_id").agg(F.sum("links").alias("n_links"), F.min(F.struct("error", "less", "query", "offset")).alias("best"))
-    named = classes.select("digest", "class_id").join(links, "class_id", "left")
-    return prints.join(named, "digest").select(
+    links = found.groupBy("class").agg(F.sum("links").alias("n_links"), F.min(F.struct("error", "less", "query", "offset")).alias("best"))
+    links = links.select("class", "n_links", "best.*").join(names, "query")
+    named = classes.select("digest", "class", "class_id").join(links, "class", "left")
+    return prints.select("id", "n", "digest").join(named, "digest").select(
         "id",
         F.col("n").alias("n_ints"),
         "class_id",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.col("best.query").alias("best_query"),
-        F.col("best.offset").alias("best_offset"),
-        (-F.col("best.less")).alias("best_overlap"),
-        F.col("best.error").alias("best_error"),
+        "best_query",
+        F.col("offset").alias("best_offset"),
+        (-F.col("less")).alias("best_overlap"),
+        F.col("error").alias("best_error"),
     )
 
 

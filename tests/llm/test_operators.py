@@ -64,6 +64,34 @@ def test_chroma_alignment(spark):
     assert got[2]["n_links"] == 0 and got[3]["class_id"] == 0 and got[4]["class_id"] == got[5]["class_id"] == 4 and got[0]["n_links"] == 0
 
 
+def test_chroma_against_brute_force(spark):
+    """Production parameters on texts: copies, cut copies, edits, short ones; every link of the definition, tried at every offset."""
+    rng = np.random.default_rng(9)
+    text = lambda n: " ".join("".join(rng.choice(list("etaoinshrdlu"), int(rng.integers(2, 9)))) for _ in range(n))
+    base = [text(int(rng.integers(40, 260))) for _ in range(24)]
+    texts = list(base) + [base[0], base[1][37:], base[2][200:], base[3][:300] + base[4], base[5].replace("e", "a", 3), "", "ab", "ab", "short text", None, base[6] + base[7], base[0]]
+    ids = [*range(len(texts) - 1), None]
+    media = spark.createDataFrame(list(zip(ids, [t.encode() if t is not None else None for t in texts])), "id long, payload binary")
+    rows = {r["id"]: r for r in chroma.aligned(media, media.where("id % 3 = 0").select("id"), chroma.PARAMS, "u8").collect()}
+    p, c = chroma.PARAMS, chroma.Chroma(chroma.PARAMS)
+    phases = [c.integers([c.looped(chroma.samples(t.encode() if t else None, "u8"))])[0] for t in texts]
+    for i, x in zip(ids, phases):
+        links = set()
+        for q in (j for j in ids if j is not None and j % 3 == 0 and len(phases[j][0])):
+            y = phases[q][0]
+            if np.array_equal(y, x[0]):
+                continue
+            for z in x:
+                for o in range(-len(y), len(z)):
+                    a, b = z[max(0, o) :], y[max(0, -o) :]
+                    n = min(len(a), len(b))
+                    if n >= p.overlap and (a[:n] == b[:n]).sum() >= p.votes and np.bitwise_count(a[:n] ^ b[:n]).sum() <= p.error * 32 * n:
+                        links.add(y.tobytes())
+        assert rows[i]["n_links"] == len(links), i
+    assert rows[24]["class_id"] == rows[None]["class_id"] == 0 and rows[29]["class_id"] == rows[33]["class_id"] == 29 and rows[30]["class_id"] == rows[31]["class_id"] == 30 and rows[32]["class_id"] == 32
+    assert rows[30]["n_ints"] >= p.overlap and rows[29]["n_ints"] == 0 and rows[27]["best_query"] == 3
+
+
 def test_decontamination(spark, odd, documents):
     got = {(r["item_id"], r["doc_id"]) for r in decontam.query(spark, odd).collect()}
     item = " ".join(next(t for i, t, *_ in documents if i == 20).split()[5:40])
