@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,22 @@ def findings_of_gaps(gaps: DataFrame, known: DataFrame, key: str, day: str) -> D
     return gaps.join(known, day, "left").select(key, day, F.when(F.col("reason").isNotNull(), "WARN").otherwise("ERROR").alias("level"), F.coalesce("reason", F.lit("no snapshot")).alias("message"))
 
 
+def completed_range(start: str, end: str, today: str) -> tuple[str, str]:
+    """The range, if it is of completed days in order; ``today`` is given, never read from a clock."""
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    if first > last or last >= date.fromisoformat(today):
+        raise ValueError("a range must be of completed days in increasing order")
+    return start, end
+
+
+def report_window(days: int, today: str, end: str | None = None) -> tuple[str, str]:
+    """First and last of the 1 to 30 completed days that end with ``end``, or with the day before ``today``."""
+    if not 1 <= days <= 30:
+        raise ValueError("a window has 1 to 30 days")
+    last = date.fromisoformat(end) if end else date.fromisoformat(today) - timedelta(days=1)
+    return completed_range((last - timedelta(days=days - 1)).isoformat(), last.isoformat(), today)
+
+
 def expected(keys: DataFrame, metrics: list[str], start: str, end: str, day: str) -> DataFrame:
     """Every key, day from ``start`` to ``end``, and metric."""
     days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day")))

@@ -65,3 +65,9 @@ def latest(rows: DataFrame, key: str, at: str, order: list, day: str, cutoff: Co
     known = rows if cutoff is None else rows.where(F.col(at) <= cutoff)
     newest = F.min_by(F.struct(*rows.columns), F.struct((-F.unix_micros(F.col(at).cast("timestamp"))).alias("_at"), *order))
     return known.groupBy(F.col(key).alias("_key")).agg(newest.alias("_r"), F.count_distinct(day).alias("n_days")).select("_r.*", "n_days")
+
+
+def latest_request(manifests: DataFrame, label: str, fetched: str, wanted: Column) -> DataFrame:
+    """The newest manifest of each label among those whose request is ``wanted``."""
+    whole = F.struct(*manifests.columns)
+    return manifests.where(wanted).groupBy(F.col(label).alias("_label")).agg(F.max_by(whole, F.struct(fetched, F.to_json(whole))).alias("_m")).select("_m.*")

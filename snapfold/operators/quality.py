@@ -47,3 +47,24 @@ def gate(found: DataFrame, fail: bool = True) -> DataFrame:
     if fail and (first := counts.first()):
         raise ValueError(f"{first['n']} violations of {first['rule']}")
     return counts
+
+
+def extract_profile(rows: DataFrame, day: str, leg: str, key: str) -> DataFrame:
+    """Rows, distinct keys and repeats within the leg, for each day and leg; leg ``all`` has the keys of the day over all legs."""
+    each = rows.groupBy(day, leg, key).agg(F.count("*").alias("_n"))
+    by_leg = each.groupBy(day, leg).agg(F.sum("_n").alias("n_rows"), F.count("*").alias("n_keys"), F.sum(F.col("_n") - 1).alias("n_repeats"))
+    of_day = each.groupBy(day, key).agg(F.sum("_n").alias("_n")).groupBy(day).agg(F.lit("all").alias(leg), F.sum("_n").alias("n_rows"), F.count("*").alias("n_keys"), F.lit(0).cast("long").alias("n_repeats"))
+    return by_leg.unionByName(of_day)
+
+
+def build_summary(tables: dict[str, DataFrame], days: DataFrame, day: str, found: DataFrame, most: int = 100) -> DataFrame:
+    """One row, as a build reports itself: rows of each table, first and last day, follow-up, and how many findings, with the first of them."""
+    counts = None
+    for name, rows in tables.items():
+        one = rows.agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+        counts = one if counts is None else counts.unionByName(one)
+    sizes = counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "n")))).alias("rows"))
+    span = days.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day")).withColumn("maximum_followup_days", F.date_diff("last_day", "first_day"))
+    some = found.orderBy(*found.columns).limit(most).agg(F.array_sort(F.collect_list(F.struct(*found.columns))).alias("findings"))
+    total = found.agg(F.count("*").alias("n_findings"))
+    return sizes.join(F.broadcast(span)).join(F.broadcast(total)).join(F.broadcast(some))

@@ -69,6 +69,17 @@ def shapes(rows: DataFrame, key: str, day: str, value: str, least: int = 4) -> D
     }).drop("_from", "_to", "_start", "_end")
 
 
+def research_summary(rows: DataFrame, key: str, day: str, source: str, values: list[str], cutoff: str) -> DataFrame:
+    """(measure, label, n): observations a trajectory, rows by source, missing values, gaps between observations, rows up to and after a cutoff."""
+    named = lambda df, measure, label: df.groupBy(F.lit(measure).alias("measure"), label.cast("string").alias("label")).agg(F.count("*").alias("n"))
+    per = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    gaps = rows.withColumn("_gap", F.date_diff(day, F.lag(day).over(Window.partitionBy(key).orderBy(day)))).where("_gap is not null")
+    side = F.when(F.col(day) <= F.lit(cutoff).cast("date"), "overlap").otherwise("extension")
+    out = named(per, "observations", F.col("_n")).unionByName(named(rows, "source", F.col(source))).unionByName(named(gaps, "gap_days", F.col("_gap"))).unionByName(named(rows, "cutoff", side))
+    missing = rows.agg(*[F.count_if(F.col(v).isNull()).alias(v) for v in values]).unpivot([], values, "label", "n").select(F.lit("missing").alias("measure"), "label", "n")
+    return out.unionByName(missing)
+
+
 def screens(rows: DataFrame, thresholds: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """How many trajectories pass each screen under each named set of thresholds."""
     return rows.crossJoin(F.broadcast(thresholds)).groupBy("name").agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import calendar, deployments, followup, identity, links, rules, sampling, trajectories, usage
+from ..operators import calendar, dedup, deployments, followup, identity, links, quality, rules, sampling, trajectories, usage
 from .binding import EVENTS_SQL, TYPES, day_text, events, iso, table, user_days
 from .usage import january, orders
 
@@ -263,6 +263,21 @@ def json_leaves(spark, d):
     return table(spark, d, "part").select("p_partkey", F.explode(leaf).alias("path", "value"))
 
 
+def extract_profile(spark, d):
+    return quality.extract_profile(events(spark, d), "day", "event_type", "user_id").withColumn("day", iso("day"))
+
+
+def research_summary(spark, d):
+    rows = user_days(spark, d).withColumn("value", F.when(F.col("value") > 10, F.col("value")))
+    return trajectories.research_summary(rows, "user_id", "day", "event_type", ["value", "props"], "2024-01-20")
+
+
+def latest_request(spark, d):
+    o = orders(spark, d).select("o_custkey", "day", "o_orderpriority", "o_orderkey")
+    out = dedup.latest_request(o, "o_custkey", "day", ~F.col("o_orderpriority").startswith("1"))
+    return out.select("o_custkey", day_text("day"))
+
+
 # --- rules ------------------------------------------------------------------------------------------------------------
 
 
@@ -331,7 +346,7 @@ def reconciliation(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     identity_decisions, identity_events, identity_lookup, evidence_rules, uniqueness_rules, identity_merge, deployment_rollup, layer_summary, source_runs, batch_alignment, change_events, first_listing, followup_list, poll_coverage,
-    identity_reviews, response_verdicts, wanted_ids, eligibility, observation_labels, existence_flags, coverage_counts, status_histogram, reference_spellings, missing_metrics, json_leaves, usage_rules, series_rules, series_quality,
+    identity_reviews, response_verdicts, wanted_ids, eligibility, observation_labels, existence_flags, coverage_counts, status_histogram, reference_spellings, missing_metrics, json_leaves, extract_profile, research_summary, latest_request, usage_rules, series_rules, series_quality,
     lifecycle_rules, registry_rules, frozen_inputs, stale_index, reconciliation,
 )}
 
@@ -443,4 +458,11 @@ ORACLES = {
         SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
     "reconciliation": f"""{EVENTS_SQL}, c AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY rank, ts, event_id) AS n FROM e), s AS (SELECT user_id, count(*) AS n_days, arg_max(value, day) FILTER (value IS NOT NULL) AS v FROM c WHERE n = 1 GROUP BY 1)
         SELECT user_id, 'missing_in_result' AS problem FROM s WHERE user_id % 21 = 0 UNION ALL SELECT user_id, 'differs_n_days' FROM s WHERE user_id % 21 <> 0 AND user_id % 10 = 0 UNION ALL SELECT user_id, 'differs_last_value' FROM s WHERE user_id % 21 <> 0 AND user_id % 15 = 0 AND v IS NOT NULL UNION ALL SELECT -user_id - 1, 'only_in_result' FROM s WHERE user_id % 33 = 0""",
+    "extract_profile": f"""{EVENTS_SQL}, k AS (SELECT day, event_type, user_id, count(*) AS n FROM e GROUP BY ALL) SELECT strftime(day, '%Y-%m-%d') AS day, event_type, sum(n)::BIGINT AS n_rows, count(*) AS n_keys, sum(n - 1)::BIGINT AS n_repeats FROM k GROUP BY k.day, event_type
+        UNION ALL SELECT strftime(day, '%Y-%m-%d'), 'all', count(*), count(DISTINCT user_id), 0 FROM e GROUP BY e.day""",
+    "research_summary": f"""{EVENTS_SQL}, c AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY rank, ts, event_id) AS i FROM e), v AS (SELECT user_id, day, event_type, CASE WHEN value > 10 THEN value END AS value, props FROM c WHERE i = 1),
+        p AS (SELECT user_id, count(*) AS n FROM v GROUP BY 1), g AS (SELECT date_diff('day', lag(v.day) OVER (PARTITION BY user_id ORDER BY v.day), v.day) AS gap FROM v)
+        SELECT 'observations' AS measure, n::VARCHAR AS label, count(*) AS n FROM p GROUP BY p.n UNION ALL SELECT 'source', event_type, count(*) FROM v GROUP BY 2 UNION ALL SELECT 'gap_days', gap::VARCHAR, count(*) FROM g WHERE gap IS NOT NULL GROUP BY gap
+        UNION ALL SELECT 'cutoff', CASE WHEN day <= DATE '2024-01-20' THEN 'overlap' ELSE 'extension' END, count(*) FROM v GROUP BY 2 UNION ALL SELECT 'missing', 'value', count_if(value IS NULL) FROM v UNION ALL SELECT 'missing', 'props', count_if(props IS NULL) FROM v""",
+    "latest_request": "SELECT o_custkey, strftime(max(o_orderdate), '%Y-%m-%d') AS day FROM orders WHERE o_orderpriority NOT LIKE '1%' GROUP BY 1",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ROWS = "array<struct<date:string,`group`:string,modality:string,name:string,metric:string,share_percent:variant>>"
 TOKENS = "array<struct<date:string,model_permaslug:string,model_name:string,total_tokens:variant>>"
@@ -80,6 +81,18 @@ def write_table(df: DataFrame, path: str, columns: list[str], order: list[str] |
     (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_typed(df: DataFrame, path: str, schema: str, order: list[str] | None = None) -> None:
+    """As ``write_table``, under a schema that is stated: every column must be there, and is cast to its type.
+
+    A value that its type can't hold fails the write instead of becoming null; further columns are an error, so that a table never grows by accident.
+    """
+    fields = StructType.fromDDL(schema)
+    if extra := set(df.columns) - set(fields.names):
+        raise ValueError(f"columns that the schema lacks: {sorted(extra)}")
+    typed = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
+    write_table(typed, path, fields.names, order)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

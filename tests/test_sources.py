@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapfold.functions import scalars
-from snapfold.operators import followup, quality, rules, sampling, trajectories, usage
+from snapfold.operators import calendar, followup, quality, rules, sampling, trajectories, usage
 from snapfold.sources import bronze, exports
 
 
@@ -275,3 +275,22 @@ def test_sinks_and_gate(spark, tmp_path):
     with pytest.raises(ValueError):
         quality.gate(bad)
     assert quality.gate(bad, fail=False).first()["n"] == 1
+
+
+def test_typed_tables_and_summary(spark, tmp_path):
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "id int, name string")
+    exports.write_typed(df, str(tmp_path / "t"), "name string, id long", ["id"])
+    assert spark.read.parquet(str(tmp_path / "t")).dtypes == [("name", "string"), ("id", "bigint")]
+    for schema in ("id long", "name string, id long, more int", "name int, id long"):
+        with pytest.raises(Exception):
+            exports.write_typed(df, str(tmp_path / "u"), schema)
+    days = spark.createDataFrame([("2026-01-01",), ("2026-01-09",)], "day string").withColumn("day", F.to_date("day"))
+    r = quality.build_summary({"a": df, "b": df.limit(0)}, days, "day", df.withColumnRenamed("id", "rule"), 1).first()
+    assert r["rows"] == {"a": 2, "b": 0} and r["maximum_followup_days"] == 8 and r["n_findings"] == 2 and len(r["findings"]) == 1
+
+
+def test_ranges_of_completed_days():
+    assert calendar.report_window(7, "2026-02-01") == ("2026-01-25", "2026-01-31") and calendar.report_window(1, "2026-02-01", "2026-01-03") == ("2026-01-03", "2026-01-03")
+    for call in (lambda: calendar.report_window(31, "2026-02-01"), lambda: calendar.completed_range("2026-01-02", "2026-01-01", "2026-02-01"), lambda: calendar.completed_range("2026-01-01", "2026-02-01", "2026-02-01")):
+        with pytest.raises(ValueError):
+            call()
