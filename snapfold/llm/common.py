@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of input that a bucket is meant for.
+BUCKET = 64 << 20
+
 #: What the operators have written in this process and not released: folders, and tables of the warehouse.
 _FOLDERS: list[str] = []
 _TABLES: list[str] = []
@@ -43,14 +46,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def written(df: DataFrame, label: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
-    """``df`` written once to the shared folder, in folders of column ``by`` if given, and read again: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one, deleted by ``release``."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _FOLDERS.append(path)
+    return path
+
+
+def written(df: DataFrame, label: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder, in folders of column ``by`` if given, and read again: cuts the lineage, survives lost executors."""
+    path = scratch(df.sparkSession, label)
     writer = df.write.option("compression", compression)
     (writer.partitionBy(by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: str) -> F.Column:
@@ -58,11 +66,17 @@ def word_count(text: str) -> F.Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """``df`` as a table in the warehouse, bucketed by ``key``: joins on it need no shuffle of this side."""
+def bucketed(df: DataFrame, key: str, least: int) -> DataFrame:
+    """``df`` as a table in the warehouse, bucketed by ``key``: joins on it need no shuffle of this side.
+
+    A bucket is read by one task: there are ``least``, and more where the files that ``df`` comes from have above ``BUCKET`` bytes a bucket.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(n for n in sizes if n < 1 << 60)  # what isn't a file has no size that Spark knows
     name = f"rows_{uuid.uuid4().hex}"
     _TABLES.append(name)
-    df.write.option("compression", "zstd").bucketBy(buckets, key).saveAsTable(name)
+    df.write.option("compression", "zstd").bucketBy(min(100_000, max(least, size // BUCKET)), key).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

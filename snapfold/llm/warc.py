@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, written
+from .common import scratch, written
 
 LEAST = 100
 #: Compressed bytes after which a task starts another archive, and bytes read at a time.
@@ -169,7 +169,7 @@ def read(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = scratch(spark, "warc")
     archives = write(planned(spark.read.parquet(f"{sf_dir}/pages.parquet")), folder)
     files = archives.repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path")
     return read(files, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
