@@ -206,8 +206,8 @@ def simhash_components(docs: DataFrame, k: int, radius: int) -> DataFrame:
     return prints.join(named, "fp", "left")
 
 
-#: Of ``near_copies``: orders of the shingles, and how many that are least in an order make up a part's fingerprint.
-ORDERS, PART = 16, 3
+#: Of ``near_copies``: orders of the shingles, how many that are least in an order make up a part's fingerprint, and texts of a set that are compared together.
+ORDERS, PART, TOGETHER = 16, 3, 8192
 _ORDERS = np.random.default_rng(9).integers(1, 1 << 63, ORDERS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -250,7 +250,9 @@ def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: in
 
     Equal texts are one. Of the others, those whose SimHashes a BK-tree links, and those that share the fingerprint of
     a part, are candidates with one that stands for the set; every candidate's similarity is then computed from the texts.
-    In sets that this leaves in several groups, every two texts of different groups are compared.
+    In sets that this leaves in several groups, every two texts of different groups are compared, in blocks of bounded size.
+
+    Null ids come last in a group, ties go to the row that is read first, a null text is an empty one, and empty texts are equal.
     """
     spark = docs.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -303,8 +305,13 @@ def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: in
     grouped = members.join(found, F.col("uid") == F.col("node"), "left").select("uid", "bucket", F.coalesce("component", "uid").alias("group"))
     # two of a set have been compared already; of sets with the same texts one is enough
     apart = grouped.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.sum(F.shiftright(F.xxhash64("uid"), 24)).alias("y"), (F.min("group") != F.max("group")).alias("open"))
-    apart = apart.where("open and n > 2").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    again = written(grouped.join(apart, "bucket"), "again").join(bodies, "uid").select("bucket", "uid", "group", "body")
+    apart = apart.where("open and n > 2").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / TOGETHER).cast("int").alias("blocks"))
+    again = written(grouped.join(apart, "bucket"), "again")
+    # a large set is dealt to blocks, and every two blocks meet in one task
+    block = F.pmod(F.xxhash64("uid"), "blocks").cast("int")
+    again = again.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    again = again.withColumn("bucket", F.when(F.col("blocks") == 1, F.col("bucket")).otherwise(F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"))))
+    again = again.join(bodies, "uid").select("bucket", "uid", "group", "body")
     again = again.repartition(4 * parts, "bucket").sortWithinPartitions("bucket", "uid")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

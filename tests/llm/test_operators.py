@@ -281,7 +281,7 @@ def test_near_copies(spark):
     assert sorted(r["doc_id"] for r in simhash.near_copies(docs).collect()) == [0, 2, 5, 10]
 
 
-def test_near_copies_of_a_text_that_comes_last(spark):
+def test_near_copies_of_a_text_that_comes_last(spark, monkeypatch):
     """Each variant is 0.86 like the base, and 0.74 like another variant."""
     rng = np.random.default_rng(12)
     base = [f"v{i}" for i in range(200)]
@@ -291,6 +291,8 @@ def test_near_copies_of_a_text_that_comes_last(spark):
         texts.append([f"q{i}.{j}" if j in at else w for j, w in enumerate(base)])
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate([*texts, base])], "doc_id long, text string")
     assert [r["doc_id"] for r in simhash.near_copies(docs).collect()] == [0]
+    monkeypatch.setattr(simhash, "TOGETHER", 5)
+    assert [r["doc_id"] for r in simhash.near_copies(docs).collect()] == [0]
 
 
 def test_similar_sets():
