@@ -333,7 +333,7 @@ def frozen_inputs(spark, d):
 
 def stale_index(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sum"))
-    fresh = table(spark, d, "documents").select("doc_id", F.sha2(F.when(F.col("doc_id") % 19 == 0, F.upper("text")).otherwise(F.col("text")), 256).alias("sum")).where("doc_id % 23 <> 0")
+    fresh = table(spark, d, "documents").select("doc_id", F.sha2(F.when(F.col("doc_id") % 19 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("sum")).where("doc_id % 23 <> 0")
     return rules.stale_index(docs, fresh)
 
 
@@ -454,7 +454,7 @@ ORACLES = {
         SELECT cohort_id, subject, 'cohort_id' AS rule FROM y WHERE n % 100 = 1 UNION ALL SELECT cohort_id, subject, 'member_id' FROM y WHERE n % 8 = 0 UNION ALL SELECT cohort_id, subject, 'enrolled_at' FROM y WHERE n % 9 = 0 UNION ALL SELECT cohort_id, subject, 'duplicate_member' FROM y GROUP BY 1, 2 HAVING count(*) > 1""",
     "frozen_inputs": f"""WITH a AS ({_POP.format('customer')}), b AS ({_POP.format("(SELECT * FROM customer WHERE NOT (c_mktsegment = 'BUILDING' AND c_custkey % 50 = 0) AND c_mktsegment <> 'MACHINERY')")}), j AS (SELECT c_mktsegment, a.n AS n1, b.n AS n2, a.digest AS d1, b.digest AS d2 FROM a FULL JOIN b USING (c_mktsegment))
         SELECT c_mktsegment, 'n' AS field FROM j WHERE n1 IS DISTINCT FROM n2 UNION ALL SELECT c_mktsegment, 'digest' FROM j WHERE d1 IS DISTINCT FROM d2""",
-    "stale_index": """WITH a AS (SELECT doc_id, sha256(text) AS sum FROM documents), b AS (SELECT doc_id, sha256(CASE WHEN doc_id % 19 = 0 THEN upper(text) ELSE text END) AS sum FROM documents WHERE doc_id % 23 <> 0)
+    "stale_index": """WITH a AS (SELECT doc_id, sha256(text) AS sum FROM documents), b AS (SELECT doc_id, sha256(CASE WHEN doc_id % 19 = 0 THEN text || '!' ELSE text END) AS sum FROM documents WHERE doc_id % 23 <> 0)
         SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
     "reconciliation": f"""{EVENTS_SQL}, c AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY rank, ts, event_id) AS n FROM e), s AS (SELECT user_id, count(*) AS n_days, arg_max(value, day) FILTER (value IS NOT NULL) AS v FROM c WHERE n = 1 GROUP BY 1)
         SELECT user_id, 'missing_in_result' AS problem FROM s WHERE user_id % 21 = 0 UNION ALL SELECT user_id, 'differs_n_days' FROM s WHERE user_id % 21 <> 0 AND user_id % 10 = 0 UNION ALL SELECT user_id, 'differs_last_value' FROM s WHERE user_id % 21 <> 0 AND user_id % 15 = 0 AND v IS NOT NULL UNION ALL SELECT -user_id - 1, 'only_in_result' FROM s WHERE user_id % 33 = 0""",
