@@ -40,8 +40,8 @@ COMMON = 1 << 16
 WINDOW, LANES, RATE, SEED = 32, 256, 5e-3, 5
 #: Tokens that a learner and a round are meant for, most rounds of a pass, tokens below which more passes are made, most of them.
 LEARN, ROUND, ROUNDS, SMALL, PASSES = 1 << 18, 1 << 21, 32, 1 << 21, 8
-#: Windows that a learner cuts its tokens in at least, by taking fewer lanes.
-STEPS = 96
+#: Steps of Adam that a training is meant for, one after another: fewer tokens are laid in fewer lanes.
+UPDATES = 768
 END = b"\n"  # no word holds white space
 
 
@@ -136,11 +136,10 @@ class Gru:
             back[order] = back.copy()
         return out, back
 
-    def learn(self, docs: list[np.ndarray]) -> None:
-        """One pass of truncated backpropagation with Adam."""
+    def learn(self, docs: list[np.ndarray], most: int = LANES) -> None:
+        """One pass of truncated backpropagation with Adam, over at most ``most`` documents at a time."""
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v, t, h = {k: np.zeros_like(a) for k, a in self.p.items()}, 0, HIDDEN
-        most = int(np.clip(sum(map(len, docs)) // (WINDOW * STEPS), 4, LANES))
         for codes, fresh, live, state in lanes(docs, most):
             g = {k: np.zeros_like(a) for k, a in self.p.items()}
             kept: list = []
@@ -156,24 +155,26 @@ class Gru:
             dh_out = np.zeros_like(before)
             dh_out[on] = back
             dh_out = dh_out.reshape(len(codes), -1, h)
-            u_t, dh = self.p["u"].T.copy(), np.zeros_like(now)
-            at_x, at_u = np.empty((*codes.shape, 3 * h), np.float32), np.empty((*codes.shape, 3 * h), np.float32)
+            u_zr, u_n, dh = self.p["u"][:, : 2 * h].T.copy(), self.p["u"][:, 2 * h :].T.copy(), np.zeros_like(now)
+            at_x, at_n = np.empty((*codes.shape, 3 * h), np.float32), np.empty((*codes.shape, h), np.float32)
             for step in range(len(codes) - 1, -1, -1):
                 prev, zr, n, hn = kept[step]
                 z, r = zr[:, :h], zr[:, h:]
-                d, e = at_x[step], at_u[step]
+                d = at_x[step]
                 keep = dh * z
-                dn = d[:, 2 * h :]
-                np.multiply(dh - keep, 1 - n * n, out=dn)
-                np.multiply(dh * (prev - n), z * (1 - z), out=d[:, :h])
-                np.multiply(dn * hn, r * (1 - r), out=d[:, h : 2 * h])
-                e[:, : 2 * h] = d[:, : 2 * h]
-                np.multiply(dn, r, out=e[:, 2 * h :])
+                dn = dh - keep
+                dn *= 1 - n * n
+                np.multiply(dh * (prev - n), z - z * z, out=d[:, :h])
+                np.multiply(dn * hn, r - r * r, out=d[:, h : 2 * h])
+                d[:, 2 * h :] = dn
+                np.multiply(dn, r, out=at_n[step])
                 dh = keep
-                dh += e @ u_t
+                dh += d[:, : 2 * h] @ u_zr
+                dh += at_n[step] @ u_n
                 dh += dh_out[step]
                 dh *= old[step][:, None]
-            g["u"] += before.T @ at_u.reshape(-1, 3 * h)
+            g["u"][:, : 2 * h] += before.T @ at_x[..., : 2 * h].reshape(-1, 2 * h)
+            g["u"][:, 2 * h :] += before.T @ at_n.reshape(-1, h)
             flat = codes.ravel()
             order = np.argsort(flat, kind="stable")
             cut = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
@@ -295,39 +296,68 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
     return Vocabulary(words, own, sums["n"], sums["v"], {b: (n, v) for b, (n, v) in by.items()})
 
 
-def trained(docs: DataFrame, vocabulary: Vocabulary) -> Gru:
-    """Rounds of parallel learning, a slice of the documents each, averaged in executors; one set of parameters comes to the driver a round."""
+def plan(tokens_in_training: int) -> tuple[int, int, int, int]:
+    """Passes over the corpus, rounds of a pass, learners of a round, and lanes of a learner, for so many tokens."""
+    passes = int(np.clip(-(-SMALL // max(1, tokens_in_training)), 1, PASSES))
+    rounds = int(np.clip(-(-tokens_in_training // ROUND), 1, ROUNDS))
+    learners = max(1, round(tokens_in_training / rounds / LEARN))
+    return passes, rounds, learners, int(np.clip(tokens_in_training * passes // (learners * WINDOW * UPDATES), 8, LANES))
+
+
+def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Every document read once: its codes (two bytes a token), what its counts are, and its words that aren't listed; written by slice."""
+    rounds = plan(vocabulary.total)[1]
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    fields = [("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("slice", pa.int32()), ("h", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("rare_base", pa.float64()), ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())), ("codes", pa.binary())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, vocabulary = TaskContext.get().partitionId() << 36, sent.value
+        unlisted = len(vocabulary.words)
+        for b in batches:
+            out = []
+            for doc_id, held, part, h, t in zip(*(b.column(i).to_pylist() for i in range(4)), b.column(4)):
+                ids, own, words = vocabulary.ids(t.as_py())
+                logs, rare = vocabulary.log_count[ids], own < BUCKETS
+                odd = Counter(words[i] for i in np.flatnonzero(ids == unlisted))
+                rest = float(logs[rare].sum() - vocabulary.log_bucket[own[rare]].sum())
+                out.append((row, doc_id, held, part, h, len(ids), int(vocabulary.known[ids].sum()), float(logs.sum()), rest, list(odd), list(odd.values()), own.astype(np.uint16).tobytes()))
+                row += 1
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
+
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(rounds)).cast("int")
+    rows = docs.select(F.col("doc_id").cast("long"), "held_out", draw.alias("slice"), F.xxhash64(F.lit(SEED + 1), "doc_id").alias("h"), F.col("text").cast("binary").alias("text"))
+    schema = "row long, doc_id long, held_out boolean, slice int, h long, n_tokens long, known long, base double, rare_base double, words array<binary>, times array<int>, codes binary"
+    # written by slice, so that a round reads its own documents only
+    return written(rows.mapInArrow(run, schema), "coded", by="slice")
+
+
+def trained(rows: DataFrame, vocabulary: Vocabulary) -> Gru:
+    """Rounds of parallel learning from ``coded`` rows that aren't held out, averaged in executors; one set of parameters comes to the driver a round."""
     model = Gru(vocabulary.code_counts)
     names = list(model.p)
     if not vocabulary.total:
         return model
-    passes = int(np.clip(-(-SMALL // vocabulary.total), 1, PASSES))
-    rounds = int(np.clip(-(-vocabulary.total // ROUND), 1, ROUNDS))
-    learners = max(1, round(vocabulary.total / rounds / LEARN))
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(rounds)).cast("int")
-    # written by slice, so that a round reads its own documents only
-    slices = docs.select(draw.alias("slice"), F.col("text").cast("binary").alias("text"), F.xxhash64(F.lit(SEED + 1), "doc_id").alias("h"))
-    slices = written(slices, "slices", by="slice")
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    passes, rounds, learners, most = plan(vocabulary.total)
     for r in range(rounds * passes):
 
         def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             size, held, waiting = 0, [], 0
             for b in batches:
                 for t in b.column(0):
-                    held.append(sent.value.ids(t.as_py())[1])
+                    held.append(np.frombuffer(t.as_buffer(), np.uint16).astype(np.int32))
                     waiting, size = waiting + len(held[-1]), size + len(held[-1])
                     if waiting > 1 << 20:
-                        model.learn(held)
+                        model.learn(held, most)
                         held, waiting = [], 0
             if held:
-                model.learn(held)
+                model.learn(held, most)
             if size:
                 parts = [*((model.p[k] * np.float32(size)).tobytes() for k in names), np.array([size], np.float32).tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(parts))), pa.array(parts, pa.binary())], ["at", "y"])
 
         # dealt out evenly, not by key
-        dealt = slices.where(F.col("slice") == r % rounds).repartition(learners).sortWithinPartitions("h", "text").select("text")
+        own = rows.where((F.col("slice") == r % rounds) & ~F.col("held_out")).select("h", "codes")
+        dealt = own.repartition(learners).sortWithinPartitions("h", "codes").select("codes")
         got = dict(summed(dealt.mapInArrow(run, "at long, y binary"), len(names) + 1))
         if got:
             for i, k in enumerate(names):
@@ -335,45 +365,26 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Gru:
     return model
 
 
-def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, base_score, score of every document."""
+def score(rows: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, base_score, score of every ``coded`` document."""
     chunk = 1 << 20
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 36
-        vocabulary = sent.value
-        unlisted = len(vocabulary.words)
-        fields = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare_base", "words", "times"]
         for b in batches:
-            codes, out, waiting = [], [], 0
-
-            def flush() -> pa.RecordBatch:
-                ln = model.scores(codes) / np.log(10)
-                cols = [[o[i] for o in out] for i in range(len(fields))]
-                cols[6] = ln
-                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
-                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], fields)
-
-            for doc_id, held, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                ids, own, words = vocabulary.ids(t.as_py())
-                logs, rare = vocabulary.log_count[ids], own < BUCKETS
-                odd = Counter(words[i] for i in np.flatnonzero(ids == unlisted))
-                out.append((row, doc_id, held, len(ids), int(vocabulary.known[ids].sum()), float(logs.sum()), 0.0, float(logs[rare].sum() - vocabulary.log_bucket[own[rare]].sum()), list(odd), list(odd.values())))
-                codes.append(own)
-                row, waiting = row + 1, waiting + len(ids)
-                if waiting > chunk:
-                    yield flush()
-                    codes, out, waiting = [], [], 0
-            if out:
-                yield flush()
-
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare_base double, words array<binary>, times array<int>"
-    rows = docs.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
-    rows = written(rows, "scored")
+            sizes = np.array([len(c.as_buffer()) // 2 for c in b.column(7)])
+            at = 0
+            while at < b.num_rows:
+                stop = max(at + 1, at + int(np.searchsorted(np.cumsum(sizes[at:]), chunk, "right")))
+                part = b.slice(at, stop - at)
+                ln = model.scores([np.frombuffer(c.as_buffer(), np.uint16).astype(np.int32) for c in part.column(7)]) / np.log(10)
+                yield pa.RecordBatch.from_arrays([*part.columns[:7], pa.array(ln)], [*names, "score"])
+                at = stop
+
+    names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "rare_base"]
+    scored = rows.select(*names, "codes").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, rare_base double, score double")
     odd = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("o")).select("row", F.col("o.words").alias("word"), F.col("o.times").alias("times"))
     rest = odd.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more"), F.sum("times").alias("known_more"))
-    all_rows = rows.drop("words", "times").join(rest, "row", "left")
+    all_rows = scored.join(rest, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     whole = float(np.log10(vocabulary.total + vocabulary.distinct + 1))
     return all_rows.select(
@@ -392,4 +403,5 @@ def query(spark, sf_dir: str) -> DataFrame:
     learning = docs.where("not held_out")
     counts = written(count_words(learning), "counts")
     vocabulary = vocabulary_of(counts)
-    return score(docs, counts, vocabulary, trained(learning, vocabulary))
+    rows = coded(docs, vocabulary)
+    return score(rows, counts, vocabulary, trained(rows, vocabulary))

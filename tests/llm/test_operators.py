@@ -171,7 +171,8 @@ def test_recurrent_training_reads_every_document(spark):
     vocabulary = recurrent.vocabulary_of(recurrent.count_words(docs))
     fresh = recurrent.Gru(vocabulary.code_counts)
     for of in (5, 31):
-        model = recurrent.trained(docs.where(draw == of), vocabulary)
+        rows = recurrent.coded(docs.where(draw == of).withColumn("held_out", F.lit(False)), vocabulary)
+        model = recurrent.trained(rows, vocabulary)
         assert any((model.p[k] != fresh.p[k]).any() for k in fresh.p)
 
 
@@ -500,6 +501,6 @@ def test_recurrent_score_beats_counts(spark):
     learning = spark.createDataFrame(docs[:600], "doc_id long, text string")
     counts = recurrent.count_words(learning).cache()
     v = recurrent.vocabulary_of(counts)
-    held = spark.createDataFrame(docs[600:], "doc_id long, text string").withColumn("held_out", F.lit(True))
-    r = recurrent.score(held, counts, v, recurrent.trained(learning, v)).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    rows = recurrent.coded(spark.createDataFrame(docs, "doc_id long, text string").withColumn("held_out", F.col("doc_id") >= 600), v)
+    r = recurrent.score(rows, counts, v, recurrent.trained(rows, v)).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert r[0] / r[2] > r[1] / r[2] + 0.2
