@@ -504,3 +504,27 @@ def test_recurrent_score_beats_counts(spark):
     rows = recurrent.coded(spark.createDataFrame(docs, "doc_id long, text string").withColumn("held_out", F.col("doc_id") >= 600), v)
     r = recurrent.score(rows, counts, v, recurrent.trained(rows, v)).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert r[0] / r[2] > r[1] / r[2] + 0.2
+
+
+def test_alike_many_agrees_with_alike():
+    rng = np.random.default_rng(17)
+    w, v = passages.LEAST - 1, passages.LEAST - 1 + passages.BAND
+    text = rng.integers(0, 1 << 32, 400)
+    a, b, expected = [], [], []
+    for i in range(200):
+        one = text[150 : 150 + 2 * w + 1].copy()
+        two = text[150 - passages.BAND : 150 - passages.BAND + 2 * v + 1].copy()
+        at = rng.choice(2 * v + 1, int(rng.integers(0, 12)), replace=False)
+        two[at] = rng.integers(0, 1 << 32, len(at))
+        if i % 3 == 0:
+            k = int(rng.integers(20, 90))
+            two = np.insert(two, k, rng.integers(0, 1 << 32, 2))[: 2 * v + 1]
+        a.append(one), b.append(two)
+        expected.append(bool(passages.alike(one.astype(np.uint32), two.astype(np.uint32), passages.BAND)))
+    ask, first, last = passages.alike_many(np.array(a), np.array(b))
+    for i in range(200):
+        if first[i] >= 0:
+            assert expected[i] and (a[i][first[i] : last[i] + 1] == b[i][first[i] + passages.BAND : last[i] + passages.BAND + 1]).all() and last[i] - first[i] >= w
+        else:
+            assert ask[i] or not expected[i]
+    assert 20 < sum(first >= 0) < 200 and any(ask)
