@@ -4,11 +4,10 @@ Suffixes are L or S as they are larger or smaller than the one after them; the l
 recursion on the string of their names, and all others are induced from them: whoever leaves the queue with the least key
 sends its predecessor in. The queue holds positions in ranges of keys. What leaves it in one round is the longest run of
 whole keys such that nothing sent in by the run belongs before its end, so that rounds are numpy operations on many
-suffixes at once. Ranges above ``HELD`` entries go to an unlinked scratch file, and arrays above ``RESIDENT`` bytes are
-mapped from one, so that a shard may be far larger than memory.
+suffixes at once. Ranges above ``HELD`` entries go to an unlinked scratch file, and output arrays above ``RESIDENT`` bytes are
+mapped from one; the text and a few arrays of its length stay in memory.
 
-Common prefixes are not carried along: they are found for neighbours in the finished order, by doubling over the ranks
-of rolling hashes and a final comparison of bytes (see ``suffixes.py``).
+Common prefixes are not carried along: neighbours in the finished order are compared symbol by symbol (see ``suffixes.py``).
 """
 
 from __future__ import annotations

@@ -215,7 +215,11 @@ LEAST_SCORE = 0.3
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose language is unknown or too unsure; learns from the labelled ones of them."""
+    """``docs`` without those whose language is unknown or too unsure; learns from the labelled ones of them.
+
+    Rows are judged by their texts alone: repeated rows, null and equal ids stay or go alike, null texts and texts without a letter go, and
+    an empty table, or one without a label to learn from, gives an empty one. Columns of any name are kept.
+    """
     columns = docs.columns
     inner = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)], "text")
     told = predict(inner, train(docs), [f"_c{i}" for i in range(len(columns))])

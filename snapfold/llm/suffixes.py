@@ -6,8 +6,9 @@ in every copy, the gram of ``GRAM`` bytes with the least hash among its grams; t
 bytes that a string with this anchor can hold. Contexts that are equal as a whole are repeated as a whole, which a 64-bit
 hash of either next to the anchor's own tells; of the others of an anchor, one of each kind goes to a shard, its gram shrunk
 to one symbol. There the suffix array of all contexts finds the strings that two places share. Nothing but these contexts
-is sorted, and a shard may be larger than memory (see ``induced.py``). Texts are written once, bucketed by row, so
-that contexts and the remaining bytes are read without a shuffle of all texts.
+is sorted. A shard takes whole anchors, so its size is bounded only by the contexts of one anchor that differ (see
+``induced.py`` for what of it is kept on disk). Texts are written once, bucketed by row, so that contexts and the remaining bytes
+are read without a shuffle of all texts.
 
 Defined cases: a null text is empty; texts below ``size`` bytes keep all; repeated rows are copies of each other; equal
 or null doc_ids don't matter; an empty table gives an empty result; further columns are not looked at by the operator.
@@ -252,7 +253,10 @@ def keep_unrepeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM, keep: t
 
 
 def texts_without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """``docs`` with the remaining bytes as text, read as UTF-8; a character that is cut goes, a null text stays null."""
+    """``docs`` with the remaining bytes as text, read as UTF-8; a character that is cut goes, a null text stays null.
+
+    No row goes: repeated rows lose what they share, null and equal ids don't matter, an empty table stays empty, and columns of any name are kept.
+    """
     columns = docs.columns
     rows = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)], F.col("text"), F.lit(0).alias("doc_id"))
     at = columns.index("text")
