@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import importable
-from . import chat, chroma, decontam, langid, mixing, passages, recurrent, simhash, suffixes, warc
+from . import chat, chroma, decontam, hosts, langid, mixing, passages, ranking, recurrent, repair, simhash, suffixes, warc
 
 _QUERIES = {
     "op1_chroma_fingerprints": chroma.query,
@@ -16,6 +16,9 @@ _QUERIES = {
     "op8_warc": warc.query,
     "op9_simhash_bktree": simhash.query,
     "op10_compact_windows": passages.query,
+    "op11_host_reputation": hosts.query,
+    "op12_accumulator_ranking": ranking.query,
+    "op13_conversation_repair": repair.query,
 }
 
 
@@ -29,4 +32,6 @@ ORACLES = {
     "op2_chat_format": chat.SQL,
     "op4_mix_sources": mixing.SQL,
     "op8_warc": warc.SQL,
+    "op11_host_reputation": hosts.SQL,
+    "op12_accumulator_ranking": ranking.SQL,
 }

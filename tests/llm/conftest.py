@@ -31,6 +31,8 @@ def odd(spark, tmp_path_factory):
     spark.createDataFrame([(0, item), (1, None), (2, ""), (3, prose(rng, 30, "de")), (None, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     pages = [(i, f"http://x/{i}", "p" * 150 if i % 3 else f"<p>{i}</p>") for i in range(12)] + [(20, None, None), (21, "u\r\nv", ""), (None, "n", "p" * 150), (5, "again", "p" * 150), (22, "s", "same"), (23, "s", "same")]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    labels = [(i, i % 2, i % 3 // 2) for i in range(12)] + [(20, None, None), (21, 1, None), (21, None, 1), (5, 0, 0), (None, 0, 1), (999, 0, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     talk = [(1, 0, "user", "hi"), (1, 1, "assistant", r"</s>[INST] \0 \1 <|turn|> x"), (1, 1, "assistant", r"</s>[INST] \0 \1 <|turn|> x"), (2, None, None, None), (3, 0, "assistant", ""), (None, 0, "<|end|>", "<s>")]
     spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     return folder
@@ -39,7 +41,7 @@ def odd(spark, tmp_path_factory):
 @pytest.fixture(scope="session")
 def nothing(spark, odd, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("nothing"))
-    for t in ("documents", "benchmark", "pages", "conversations"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         spark.read.parquet(f"{odd}/{t}.parquet").limit(0).write.parquet(f"{folder}/{t}.parquet")
     return folder
 

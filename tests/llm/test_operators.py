@@ -22,7 +22,7 @@ def test_empty_tables(spark, nothing, name):
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_odd_rows_against_sql(spark, odd, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{odd}/{t}.parquet/*.parquet'")
     got = queries.QUERIES[name](spark, odd)
     columns = sorted(got.columns)
