@@ -7,6 +7,8 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .temporal import last_known
+
 
 def spine(rows: DataFrame, day: str) -> DataFrame:
     """Every day from the first to the last."""
@@ -68,8 +70,7 @@ def coverage(rows: DataFrame, source: str, day: str, ok: Column) -> DataFrame:
 
 def carried(rows: DataFrame, key: str, day: str, value: str) -> DataFrame:
     """Each row with the last known value up to it."""
-    w = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(f"carried_{value}", F.last(value, ignorenulls=True).over(w))
+    return last_known(rows.withColumn(f"carried_{value}", F.col(value)), key, [day], [f"carried_{value}"])
 
 
 def regressions(counts: DataFrame, key: str, day: str, n: str, valid: Column, warn: float, error: float) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import temporal
+
 # Methods of evidence from the strongest to the weakest; the last never links.
 METHODS = ["explicit_provider_mapping", "exact_external_identifier", "exact_deterministic_correspondence", "curated", "fuzzy"]
 TARGET = r"^[^/\s]+/[^/\s]+$"
@@ -50,9 +52,7 @@ def decisions(evidence: DataFrame) -> DataFrame:
     pair = F.struct("target", "canonical")
     usable = evidence.where("at is not null")
     timeline = usable.groupBy("deployment_key", "at").pivot("method", METHODS[:-1]).agg(F.array_sort(F.collect_set(F.when(F.col("eligible"), pair))))
-    w = Window.partitionBy("deployment_key").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    for m in METHODS[:-1]:
-        timeline = timeline.withColumn(m, F.last(F.when(F.size(m) > 0, F.col(m)), ignorenulls=True).over(w))
+    timeline = temporal.last_known(timeline.withColumns({m: F.when(F.size(m) > 0, F.col(m)) for m in METHODS[:-1]}), "deployment_key", ["at"], METHODS[:-1])
     held = F.coalesce(*METHODS[:-1])
     reviewed = F.filter(F.coalesce("curated", F.array().cast("array<struct<target:string,canonical:string>>")), lambda x: x["canonical"].isNotNull() & x["target"].eqNullSafe(F.element_at(held, 1)["target"]))
     canonicals = F.array_distinct(F.transform(reviewed, lambda x: x["canonical"]))
@@ -79,15 +79,8 @@ def identity_at(probes: DataFrame, told: DataFrame, key: str, at: str, recorded_
     """
     if as_of is not None and recorded_at > as_of:
         return probes.withColumns({"state": F.lit("not_recorded"), "target": F.lit(None).cast("string")})
-    named = probes.withColumn("_row", F.monotonically_increasing_id())
-    what = F.struct("state", "target", "valid_to")
-    starts = told.select(F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_row"), what.alias("_what"))
-    asks = named.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"), "_row", F.lit(None).cast(starts.schema["_what"].dataType).alias("_what"))
-    w = Window.partitionBy("_key").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    met = starts.unionByName(asks).withColumn("_what", F.last("_what", ignorenulls=True).over(w)).where("_side = 1")
-    inside = F.col("_what").isNotNull() & F.coalesce(F.col("_at") < F.col("_what.valid_to"), F.col("_what.valid_to").isNull())
-    found = met.select("_row", F.when(inside, F.col("_what.state")).otherwise("unknown").alias("state"), F.when(inside, F.col("_what.target")).alias("target"))
-    return named.join(found, "_row").drop("_row")
+    found = temporal.as_of(probes, told, key, at, ["state", "target"])
+    return found.withColumn("state", F.coalesce("state", F.lit("unknown")))
 
 
 def belief_events(told: DataFrame, key: str, at: str) -> DataFrame:

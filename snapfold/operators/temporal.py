@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a key above which it is cut into pieces of time, and how many.
+PIECE, CUTS = 1 << 22, 256
+
 
 def validity(states: DataFrame, key: str, order: list[str], state: str) -> DataFrame:
     """Half-open intervals in which a state holds; equal states that follow each other are one interval."""
@@ -19,28 +26,110 @@ def belief(evidence: DataFrame, key: str, at: str, method: str, value: str, meth
     Evidence of one instant and method is merged first: one value resolves, several are ambiguous.
     """
     instants = evidence.groupBy(key, at).pivot(method, methods).agg(F.array_sort(F.collect_set(value)))
-    w = Window.partitionBy(key).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    held = instants
-    for m in methods:
-        held = held.withColumn(m, F.last(F.when(F.size(m) > 0, F.col(m)), ignorenulls=True).over(w))
+    held = last_known(instants.withColumns({m: F.when(F.size(m) > 0, F.col(m)) for m in methods}), key, [at], methods)
     targets = F.coalesce(*methods)
     state = F.when(targets.isNull(), "unresolved").when(F.size(targets) == 1, "resolved").otherwise("ambiguous")
     by = F.coalesce(*[F.when(F.col(m).isNotNull(), F.lit(m)) for m in methods])
     return held.select(key, at, by.alias("method"), F.when(F.size(targets) == 1, F.element_at(targets, 1)).alias("target"), state.alias("state"), targets.alias("targets"))
 
 
-def as_of(probes: DataFrame, intervals: DataFrame, key: str, at: str, values: list[str]) -> DataFrame:
+def pieces(rows: DataFrame, key: str, at: str, most: int = PIECE) -> DataFrame:
+    """``rows`` with ``_piece``: a key of more than ``most`` rows is cut at the quantiles of ``at`` into ``CUTS`` pieces, others are one.
+
+    Rows of one instant stay together, nulls are in the first piece. ``_cuts`` is null where nothing is cut. There are at most
+    rows / ``most`` keys that are cut.
+    """
+    hot = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(key)
+    steps = [i / CUTS for i in range(1, CUTS)]
+    cuts = rows.select(key, at).join(hot, key, "left_semi").groupBy(key).agg(F.array_distinct(F.percentile_approx(at, steps, 8 * CUTS)).alias("_cuts"))
+    return rows.join(cuts, key, "left").withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(at))), F.lit(0)))
+
+
+def last_known(rows: DataFrame, key: str, order: list[str], values: list[str], most: int = PIECE) -> DataFrame:
+    """``rows`` with each of ``values`` carried on: its last value that isn't null, of the key, up to the row in ``order``.
+
+    A key of more than ``most`` rows is scanned in pieces by many tasks; what a piece ends with is then carried into the next
+    ones, which are a few rows a key. Otherwise it is one shuffle by key, as a window's.
+    """
+    cut = pieces(rows, key, order[0], most)
+    w = Window.partitionBy(key, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = cut.withColumns({v: F.last(v, ignorenulls=True).over(w) for v in values}).drop("_cuts")
+    ends = cut.where("_cuts is not null").groupBy(key, "_piece").agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(*order))).alias(f"_in_{v}") for v in values])
+    before = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumns({f"_in_{v}": F.last(f"_in_{v}", ignorenulls=True).over(before) for v in values})
+    out = inside.join(carried, [key, "_piece"], "left").withColumns({v: F.coalesce(v, f"_in_{v}") for v in values})
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
+def as_of(probes: DataFrame, intervals: DataFrame, key: str, at: str, values: list[str], most: int = PIECE) -> DataFrame:
     """Probes with what was in force at their instant; null where nothing was.
 
     Intervals of a key don't overlap. Their starts and the probes are laid on one line by key and time, so a key with many of
-    either costs their sum, not their product.
+    either costs their sum, not their product, and a key with very many of them is shared by many tasks.
     """
-    named = probes.withColumn("_row", F.monotonically_increasing_id())
     what = F.struct(F.col("valid_to"), *[F.col(v) for v in values])
-    starts = intervals.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))).select(F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_row"), what.alias("_what"))
-    asks = named.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"), "_row", F.lit(None).cast(starts.schema["_what"].dataType).alias("_what"))
-    w = Window.partitionBy("_key").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    met = starts.unionByName(asks).withColumn("_what", F.last("_what", ignorenulls=True).over(w)).where("_side = 1")
+    starts = intervals.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+    starts = starts.select(F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), what.alias("_what"))
+    asks = probes.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"), F.struct(*[F.col(f"`{c}`") for c in probes.columns]).alias("_probe"))
+    met = last_known(starts.unionByName(asks, allowMissingColumns=True), "_key", ["_at", "_side"], ["_what"], most).where("_side = 1")
     inside = F.col("_what.valid_to").isNull() | (F.col("_at") < F.col("_what.valid_to"))
-    found = met.select("_row", *[F.when(inside, F.col(f"_what.{v}")).alias(v) for v in values])
-    return named.join(found, "_row").drop("_row")
+    return met.select("_probe.*", *[F.when(inside, F.col(f"_what.{v}")).alias(v) for v in values])
+
+
+def open_sets(intervals: DataFrame, key: str, target: str, start: str, end: str) -> DataFrame:
+    """Intervals of days that may overlap, both ends included, to elementary segments: key, valid_from, valid_to (excluded), targets.
+
+    A segment lasts as long as the set of open targets does; times without an open target have none. A sweep over the sorted
+    starts and ends carries the open set on, so a key costs its boundaries and the sets that are written, whatever overlaps;
+    a null end is open, a null start or key and an interval that ends before it starts are no interval.
+    """
+    rows = intervals.where(F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(target).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start))))
+    opened = rows.select(F.col(key).alias("key"), F.col(start).cast("date").alias("at"), F.lit(1).alias("step"), F.col(target).alias("target"))
+    closed = rows.where(F.col(end).isNotNull()).select(F.col(key).alias("key"), F.date_add(end, 1).alias("at"), F.lit(-1).alias("step"), F.col(target).alias("target"))
+    # steps of one day and target are one: what only starts another interval of an open target changes nothing later on
+    line = opened.unionByName(closed).groupBy("key", "at", "target").agg(F.sum("step").alias("step")).where("step <> 0")
+    kind = line.schema["key"].dataType
+    schema = f"key {kind.simpleString()}, valid_from date, valid_to date, targets array<string>"
+
+    def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, since, held, open_ = None, None, [], Counter()
+        types = None
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([h[i] for h in held], t) for i, t in enumerate(types)], ["key", "valid_from", "valid_to", "targets"])
+
+        size, last = 0, None
+
+        def told(until) -> None:
+            """The set that is open from ``since`` on: a segment of its own, or more of the one before."""
+            nonlocal last, size
+            names = sorted(open_)
+            if last and last[0] == now and last[2] == since and last[3] == names:
+                last = (*last[:2], until, names)
+                return
+            if last:
+                held.append(last)
+                size += len(last[3])
+            last = (now, since, until, names) if names else None
+
+        for b in batches:
+            types = types or [b.schema.field("key").type, pa.date32(), pa.date32(), pa.list_(pa.string())]
+            for k, at, name, step in zip(*[c.to_pylist() for c in b.columns]):
+                if (k, at) != (now, since):
+                    told(at if k == now else None)
+                    if k != now:
+                        open_ = Counter()
+                    now, since = k, at
+                open_[name] += step
+                if not open_[name]:
+                    del open_[name]
+                if size > 100_000:
+                    yield flush()
+                    held, size = [], 0
+        told(None)
+        held += [last] if last else []
+        if held:
+            yield flush()
+
+    out = line.repartition("key").sortWithinPartitions("key", "at").select("key", "at", "target", "step").mapInArrow(swept, schema)
+    return out.withColumnRenamed("key", key)

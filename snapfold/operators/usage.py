@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .temporal import as_of, open_sets
+
 
 def shares(rows: DataFrame, keys: list[str], name: str, value: str) -> DataFrame:
     """Each name's share of its key's total, in percent, with the total it is a share of."""
@@ -34,14 +36,16 @@ def window(rows: DataFrame, keys: list[str], day: str, start: str, end: str, val
 
 
 def in_force(facts: DataFrame, ledger: DataFrame, key: str, day: str) -> DataFrame:
-    """Facts with the reviewed targets whose validity holds their day, and what these make of the identity; equal facts stay apart."""
-    rows = facts.withColumn("_row", F.monotonically_increasing_id())
+    """Facts with the reviewed targets whose validity holds their day, and what these make of the identity; equal facts stay apart.
+
+    The reviews' validity is cut into segments with one set of targets each, which the facts look up as of their day: a key with
+    many facts and many reviews costs their sum.
+    """
     usable = ledger.where(F.col("reviewer").isNotNull() & F.col("evidence").isNotNull())
-    match = (rows[key] == usable[key]) & (rows[day] >= usable["valid_from"]) & (rows[day] <= F.coalesce(usable["valid_until"], rows[day]))
-    joined = rows.join(usable, match, "left").select(*[rows[c] for c in rows.columns], usable["target"])
-    targets = joined.groupBy("_row").agg(*[F.any_value(c).alias(c) for c in facts.columns], F.array_sort(F.collect_set("target")).alias("targets")).drop("_row")
+    found = as_of(facts, open_sets(usable, key, "target", "valid_from", "valid_until"), key, day, ["targets"])
+    found = found.withColumn("targets", F.coalesce("targets", F.array().cast("array<string>")))
     state = F.when(F.size("targets") == 0, "unresolved").when(F.size("targets") == 1, "curated").otherwise("ambiguous")
-    return targets.withColumn("state", state)
+    return found.withColumn("state", state)
 
 
 def claims(rows: DataFrame, keys: list[str], target: str) -> DataFrame:

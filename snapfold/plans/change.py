@@ -44,6 +44,29 @@ def asof_lookup(spark, d):
     return temporal.as_of(probes, _states(spark, d), "user_id", "at", ["event_id", "event_type"]).select("o_orderkey", "event_id", "event_type")
 
 
+def hot_key_scan(spark, d):
+    """Few keys with many rows each, scanned in pieces: the last large purchase known at each event of its type."""
+    e = events(spark, d).select("event_type", "ts", "event_id", F.when(F.col("value") > 90, F.col("event_id")).alias("large"))
+    return temporal.last_known(e, "event_type", ["ts", "event_id"], ["large"], most=500).select("event_id", "event_type", "large")
+
+
+def hot_key_asof(spark, d):
+    """Orders of a priority meet the state of the events of one type: a key has a fifth of all rows on both sides."""
+    states = temporal.validity(events(spark, d).select("event_type", "ts", "event_id", F.floor(F.col("value") / 34).alias("level")), "event_type", ["ts", "event_id"], "level")
+    kind = F.element_at(F.array(*[F.lit(t) for t in TYPES]), F.substring("o_orderpriority", 1, 1).cast("int"))
+    probes = table(spark, d, "orders").select("o_orderkey", kind.alias("event_type"), F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.dayofmonth("o_orderdate"), F.hour(F.timestamp_seconds("o_orderkey")), F.lit(0), F.lit(0)).alias("at"))
+    return temporal.as_of(probes, states, "event_type", "at", ["event_id", "level"], most=500).select("o_orderkey", "event_id", "level")
+
+
+def open_segments(spark, d):
+    """Reviews of a customer, from an order's day for some days; where they overlap the segments have several targets."""
+    day = F.to_date("o_orderdate")
+    days = (F.col("o_orderkey") % 200).cast("int")
+    rows = table(spark, d, "orders").select("o_custkey", F.substring("o_orderpriority", 1, 1).alias("target"), day.alias("since"), F.when(F.col("o_orderkey") % 11 != 0, F.date_add(day, days - 5)).alias("until"))
+    out = temporal.open_sets(rows, "o_custkey", "target", "since", "until")
+    return out.select("o_custkey", day_text("valid_from"), day_text("valid_to"), F.array_join("targets", ",").alias("targets"))
+
+
 def _values(spark, d):
     return user_days(spark, d).select("user_id", "day", F.when(F.col("value") > 10, F.col("value")).alias("value"))
 
@@ -156,7 +179,7 @@ def price_normalise(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    scd2_intervals, priority_belief, belief_events, asof_lookup, interval_changes, trajectory_features, shape_features, screens, case_pick,
+    scd2_intervals, priority_belief, belief_events, asof_lookup, hot_key_scan, hot_key_asof, open_segments, interval_changes, trajectory_features, shape_features, screens, case_pick,
     cohort_sample, worklist, seeded_digest, iso_parse, id_regex, json_props, tag_lists, url_parts, share_long, scalar_dates, scalar_labels, price_normalise,
 )}
 
@@ -190,6 +213,16 @@ ORACLES = {
         SELECT user_id, strftime(day, '%Y-%m-%d') AS day, CASE WHEN p.day = linked THEN 'linked' ELSE 'revised' END AS kind, state, target, wavering FROM p WHERE p.day = linked OR (p.day > linked AND prev IS DISTINCT FROM state || coalesce(target, '') || '|' || wavering)""",
     "asof_lookup": f"""{_SCD}, p AS (SELECT o_orderkey, o_custkey AS user_id, make_timestamp(2024, 1, day(o_orderdate), 12, 0, 0) AS at_ FROM orders), t AS (SELECT * FROM s WHERE valid_to IS NULL OR valid_to > valid_from)
         SELECT o_orderkey, t.event_id, t.event_type FROM p ASOF LEFT JOIN t ON t.user_id = p.user_id AND p.at_ >= t.valid_from""",
+    "hot_key_scan": f"""{EVENTS_SQL} SELECT event_id, event_type, last_value(CASE WHEN value > 90 THEN event_id END IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS large FROM e""",
+    "hot_key_asof": f"""{EVENTS_SQL}, l AS (SELECT *, floor(value / 34)::BIGINT AS level, lag(floor(value / 34)) OVER w AS p, row_number() OVER w AS n FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+        s AS (SELECT event_type, event_id, level, ts AS valid_from, lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS valid_to FROM l WHERE n = 1 OR p IS DISTINCT FROM level), t AS (SELECT * FROM s WHERE valid_to IS NULL OR valid_to > valid_from),
+        p AS (SELECT o_orderkey, [{', '.join(f"'{t}'" for t in TYPES)}][o_orderpriority[1]::INT] AS event_type, make_timestamp(2024, 1, day(o_orderdate), (o_orderkey // 3600) % 24, 0, 0) AS at_ FROM orders)
+        SELECT o_orderkey, t.event_id, t.level FROM p ASOF LEFT JOIN t ON t.event_type = p.event_type AND p.at_ >= t.valid_from""",
+    "open_segments": """WITH r AS (SELECT o_custkey, o_orderpriority[1] AS target, o_orderdate::DATE AS since, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate::DATE + (o_orderkey % 200 - 5)::INT END AS until FROM orders), v AS (SELECT * FROM r WHERE until IS NULL OR until >= since),
+        b AS (SELECT o_custkey, since AS at_ FROM v UNION SELECT o_custkey, until + 1 FROM v WHERE until IS NOT NULL), n AS (SELECT o_custkey, at_, lead(at_) OVER (PARTITION BY o_custkey ORDER BY at_) AS next FROM b),
+        s AS (SELECT n.o_custkey, at_, next, string_agg(DISTINCT target, ',' ORDER BY target) AS targets FROM n LEFT JOIN v ON v.o_custkey = n.o_custkey AND since <= at_ AND (until IS NULL OR at_ <= until) GROUP BY ALL),
+        g AS (SELECT *, sum(CASE WHEN p IS NOT DISTINCT FROM targets THEN 0 ELSE 1 END) OVER (PARTITION BY o_custkey ORDER BY at_) AS grp FROM (SELECT *, lag(targets) OVER (PARTITION BY o_custkey ORDER BY at_) AS p FROM s))
+        SELECT o_custkey, strftime(min(at_), '%Y-%m-%d') AS valid_from, CASE WHEN count(*) = count(next) THEN strftime(max(next), '%Y-%m-%d') END AS valid_to, any_value(targets) AS targets FROM g WHERE targets IS NOT NULL GROUP BY o_custkey, grp""",
     "interval_changes": f"""{EVENTS_SQL}, c AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY rank, ts, event_id) AS n FROM e), v AS (SELECT user_id, day, CASE WHEN value > 10 THEN value END AS value, CASE WHEN event_id % 3 <> 0 THEN ts END AS at_ FROM c WHERE n = 1),
         p AS (SELECT *, lag(v.day) OVER w AS pd, lag(value) OVER w AS pv, lag(at_) OVER w AS pa FROM v WINDOW w AS (PARTITION BY user_id ORDER BY v.day)), g AS (SELECT *, CASE WHEN at_ IS NOT NULL AND pa IS NOT NULL THEN (epoch_us(at_) - epoch_us(pa)) / 86400e6 ELSE date_diff('day', pd, p.day) END AS el FROM p WHERE pd IS NOT NULL)
         SELECT user_id, strftime(pd, '%Y-%m-%d') AS previous_day, strftime(day, '%Y-%m-%d') AS day, round(el, 6) AS elapsed_days, round(value - pv, 6) AS change, round((value - pv) / el, 6) AS change_per_day, round(CASE WHEN pv > 0 THEN (value - pv) / pv END, 6) AS relative_change,
