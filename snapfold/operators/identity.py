@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import content_key
 from . import temporal
 
 # Methods of evidence from the strongest to the weakest; the last never links.
 METHODS = ["explicit_provider_mapping", "exact_external_identifier", "exact_deterministic_correspondence", "curated", "fuzzy"]
 TARGET = r"^[^/\s]+/[^/\s]+$"
+#: How an instant is spelled where ids bind it.
+INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def merged(declared: Column, reviewed: Column, aggregate: Column) -> list[Column]:
@@ -38,33 +41,44 @@ def candidates(facts: DataFrame, ledger: DataFrame) -> DataFrame:
         "deployment_key", "observation_id", "method", "target", "canonical", F.col("available_at").alias("at"), (F.col("review_status") == "approved").alias("approved")
     )
     both = declared.unionByName(reviewed)
+    named = [F.col(c).cast("string") for c in ("observation_id", "method", "target", "canonical")]
+    both = both.withColumn("candidate_id", content_key(*named, F.date_format("at", INSTANT)))
     shaped = F.col("target").isNull() | F.col("target").rlike(TARGET)
     able = F.coalesce(F.col("approved"), F.lit(False)) & shaped & F.col("at").isNotNull() & (F.col("method") != METHODS[-1])
     return both.withColumn("eligible", able).drop("approved")
 
 
-def decisions(evidence: DataFrame) -> DataFrame:
+def decisions(evidence: DataFrame, most: int | None = None) -> DataFrame:
     """At each instant of a deployment: every method's newest evidence is carried on, and the strongest method that has any decides.
 
     One pair of target and canonical id resolves, several are ambiguous, and an instant without evidence that may link is
-    unresolved. A resolved deployment's canonical id comes only from reviews, of the same target, that agree on one.
+    unresolved. A resolved deployment's canonical id comes only from reviews, of the same target, that agree on one. The ids of
+    the evidence that decided (and that gave the canonical id) are kept, and bound in the decision's own id. A deployment has a
+    row an instant; with ``most``, deployments of more instants than that are shared by tasks.
     """
-    pair = F.struct("target", "canonical")
+    pair = "struct<target:string,canonical:string>"
+    item = F.struct("target", "canonical", (F.col("candidate_id") if "candidate_id" in evidence.columns else F.lit(None).cast("string")).alias("candidate_id"))
+    none = F.array().cast("array<struct<target:string,canonical:string,candidate_id:string>>")
     usable = evidence.where("at is not null")
-    timeline = usable.groupBy("deployment_key", "at").pivot("method", METHODS[:-1]).agg(F.array_sort(F.collect_set(F.when(F.col("eligible"), pair))))
-    timeline = temporal.last_known(timeline.withColumns({m: F.when(F.size(m) > 0, F.col(m)) for m in METHODS[:-1]}), "deployment_key", ["at"], METHODS[:-1])
-    held = F.coalesce(*METHODS[:-1])
-    reviewed = F.filter(F.coalesce("curated", F.array().cast("array<struct<target:string,canonical:string>>")), lambda x: x["canonical"].isNotNull() & x["target"].eqNullSafe(F.element_at(held, 1)["target"]))
-    canonicals = F.array_distinct(F.transform(reviewed, lambda x: x["canonical"]))
-    state = F.when(held.isNull(), "unresolved").when(F.size(held) == 1, "resolved").otherwise("ambiguous")
+    timeline = usable.groupBy("deployment_key", "at").pivot("method", METHODS[:-1]).agg(F.array_sort(F.collect_set(F.when(F.col("eligible"), item))))
+    timeline = temporal.last_known(timeline.withColumns({m: F.when(F.size(m) > 0, F.col(m)) for m in METHODS[:-1]}), "deployment_key", ["at"], METHODS[:-1], most)
+    timeline = timeline.withColumn("_held", F.coalesce(*METHODS[:-1]))
+    timeline = timeline.withColumn("_pairs", F.array_distinct(F.transform("_held", lambda x: F.struct(x["target"], x["canonical"]).cast(pair))))
+    one = F.try_element_at("_pairs", F.lit(1))
+    timeline = timeline.withColumn("_reviewed", F.filter(F.coalesce("curated", none), lambda x: x["canonical"].isNotNull() & x["target"].eqNullSafe(one["target"])))
+    canonicals = F.array_distinct(F.transform("_reviewed", lambda x: x["canonical"]))
+    state = F.when(F.col("_held").isNull(), "unresolved").when(F.size("_pairs") == 1, "resolved").otherwise("ambiguous")
     method = F.coalesce(*[F.when(F.col(m).isNotNull(), F.lit(m)) for m in METHODS[:-1]])
-    resolved = F.size(held) == 1
+    resolved = F.size("_pairs") == 1
     assigned = F.when(resolved & (F.size(canonicals) == 1), "reviewed_reference").when(resolved & (F.size(canonicals) > 1), "ambiguous").otherwise("unassigned")
+    chosen = F.concat(F.coalesce("_held", none), F.when(resolved, F.col("_reviewed")).otherwise(none))
     out = timeline.select(
-        "deployment_key", F.col("at").alias("valid_from"), F.lead("at").over(Window.partitionBy("deployment_key").orderBy("at")).alias("valid_to"), method.alias("method"), state.alias("state"), F.when(resolved, F.element_at(held, 1)["target"]).alias("target"),
-        F.when(resolved & (F.size(canonicals) == 1), F.element_at(canonicals, 1)).alias("canonical"), assigned.alias("canonical_status"), F.array_compact(F.array_sort(F.array_distinct(F.transform(F.coalesce(held, F.array().cast("array<struct<target:string,canonical:string>>")), lambda x: x["target"])))).alias("targets"),
+        "deployment_key", F.col("at").alias("valid_from"), F.lead("at").over(Window.partitionBy("deployment_key").orderBy("at")).alias("valid_to"), method.alias("method"), state.alias("state"), F.when(resolved, one["target"]).alias("target"),
+        F.when(resolved & (F.size(canonicals) == 1), F.element_at(canonicals, 1)).alias("canonical"), assigned.alias("canonical_status"), F.array_compact(F.array_sort(F.array_distinct(F.transform(F.coalesce("_held", none), lambda x: x["target"])))).alias("targets"),
+        F.array_compact(F.array_sort(F.array_distinct(F.transform(chosen, lambda x: x["candidate_id"])))).alias("candidate_ids"),
     )
-    return out
+    bound = [F.col("deployment_key").cast("string"), F.date_format("valid_from", INSTANT), F.col("state"), F.col("target"), F.col("canonical"), F.to_json("candidate_ids")]
+    return out.withColumn("decision_id", content_key(*bound))
 
 
 def links(told: DataFrame) -> DataFrame:

@@ -20,58 +20,67 @@ def validity(states: DataFrame, key: str, order: list[str], state: str) -> DataF
     return starts.drop("_p", "_n").withColumn("valid_to", F.lead(order[0]).over(w)).withColumnRenamed(order[0], "valid_from")
 
 
-def belief(evidence: DataFrame, key: str, at: str, method: str, value: str, methods: list[str]) -> DataFrame:
+def belief(evidence: DataFrame, key: str, at: str, method: str, value: str, methods: list[str], most: int | None = None) -> DataFrame:
     """At each instant of a key: each method's newest evidence carried forward, the first method that has any decides.
 
-    Evidence of one instant and method is merged first: one value resolves, several are ambiguous.
+    Evidence of one instant and method is merged first: one value resolves, several are ambiguous. A key has a row an instant;
+    with ``most``, keys of more instants than that are shared by tasks.
     """
     instants = evidence.groupBy(key, at).pivot(method, methods).agg(F.array_sort(F.collect_set(value)))
-    held = last_known(instants.withColumns({m: F.when(F.size(m) > 0, F.col(m)) for m in methods}), key, [at], methods)
+    held = last_known(instants.withColumns({m: F.when(F.size(m) > 0, F.col(m)) for m in methods}), key, [at], methods, most)
     targets = F.coalesce(*methods)
     state = F.when(targets.isNull(), "unresolved").when(F.size(targets) == 1, "resolved").otherwise("ambiguous")
     by = F.coalesce(*[F.when(F.col(m).isNotNull(), F.lit(m)) for m in methods])
     return held.select(key, at, by.alias("method"), F.when(F.size(targets) == 1, F.element_at(targets, 1)).alias("target"), state.alias("state"), targets.alias("targets"))
 
 
-def pieces(rows: DataFrame, key: str, at: str, most: int = PIECE) -> DataFrame:
+def pieces(rows: DataFrame, key: str, at: str, most: int = PIECE, by: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``_piece``: a key of more than ``most`` rows is cut at the quantiles of ``at`` into ``CUTS`` pieces, others are one.
 
     Rows of one instant stay together, nulls are in the first piece. ``_cuts`` is null where nothing is cut. There are at most
-    rows / ``most`` keys that are cut.
+    rows / ``most`` keys that are cut. ``by`` is what is counted, if that is less to read than ``rows``.
     """
-    hot = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(key)
+    by = (rows if by is None else by).select(key, at)
+    hot = by.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(key)
     steps = [i / CUTS for i in range(1, CUTS)]
-    cuts = rows.select(key, at).join(hot, key, "left_semi").groupBy(key).agg(F.array_distinct(F.percentile_approx(at, steps, 8 * CUTS)).alias("_cuts"))
+    cuts = by.join(hot, key, "left_semi").groupBy(key).agg(F.array_distinct(F.percentile_approx(at, steps, 8 * CUTS)).alias("_cuts"))
     return rows.join(cuts, key, "left").withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(at))), F.lit(0)))
 
 
-def last_known(rows: DataFrame, key: str, order: list[str], values: list[str], most: int = PIECE) -> DataFrame:
+def last_known(rows: DataFrame, key: str, order: list[str], values: list[str], most: int | None = PIECE, by: DataFrame | None = None) -> DataFrame:
     """``rows`` with each of ``values`` carried on: its last value that isn't null, of the key, up to the row in ``order``.
 
     A key of more than ``most`` rows is scanned in pieces by many tasks; what a piece ends with is then carried into the next
-    ones, which are a few rows a key. Otherwise it is one shuffle by key, as a window's.
+    ones, which are a few rows a key. Hot keys are looked for in ``by`` (``rows`` if not given). Without ``most`` it is a window,
+    for rows that are few a key by what they are.
     """
-    cut = pieces(rows, key, order[0], most)
-    w = Window.partitionBy(key, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.rowsBetween(Window.unboundedPreceding, 0)
+    if most is None:
+        w = before.partitionBy(key).orderBy(*order)
+        return rows.withColumns({v: F.last(v, ignorenulls=True).over(w) for v in values})
+    cut = pieces(rows, key, order[0], most, by)
+    w = before.partitionBy(key, "_piece").orderBy(*order)
     inside = cut.withColumns({v: F.last(v, ignorenulls=True).over(w) for v in values}).drop("_cuts")
-    ends = cut.where("_cuts is not null").groupBy(key, "_piece").agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(*order))).alias(f"_in_{v}") for v in values])
-    before = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumns({f"_in_{v}": F.last(f"_in_{v}", ignorenulls=True).over(before) for v in values})
+    bearing = cut.where(F.col("_cuts").isNotNull() & F.coalesce(*[F.when(F.col(v).isNotNull(), True) for v in values]))
+    ends = bearing.groupBy(key, "_piece").agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(*order))).alias(f"_in_{v}") for v in values])
+    # a piece without a value of its own hands on what came before: the latest earlier piece that has one
+    starts = ends.select(F.col(key).alias("_of"), F.col("_piece").alias("_from"), F.lead("_piece", 1, CUTS).over(Window.partitionBy(key).orderBy("_piece")).alias("_until"), *[F.last(f"_in_{v}", ignorenulls=True).over(Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)).alias(f"_in_{v}") for v in values])
+    carried = starts.withColumn("_piece", F.explode(F.sequence(F.col("_from") + 1, F.col("_until")))).select(F.col("_of").alias(key), "_piece", *[f"_in_{v}" for v in values])
     out = inside.join(carried, [key, "_piece"], "left").withColumns({v: F.coalesce(v, f"_in_{v}") for v in values})
     return out.select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
-def as_of(probes: DataFrame, intervals: DataFrame, key: str, at: str, values: list[str], most: int = PIECE) -> DataFrame:
+def as_of(probes: DataFrame, intervals: DataFrame, key: str, at: str, values: list[str], most: int | None = PIECE) -> DataFrame:
     """Probes with what was in force at their instant; null where nothing was.
 
     Intervals of a key don't overlap. Their starts and the probes are laid on one line by key and time, so a key with many of
-    either costs their sum, not their product, and a key with very many of them is shared by many tasks.
+    either costs their sum, not their product; a key with more than ``most`` probes is shared by many tasks (``last_known``).
     """
     what = F.struct(F.col("valid_to"), *[F.col(v) for v in values])
     starts = intervals.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
     starts = starts.select(F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), what.alias("_what"))
     asks = probes.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"), F.struct(*[F.col(f"`{c}`") for c in probes.columns]).alias("_probe"))
-    met = last_known(starts.unionByName(asks, allowMissingColumns=True), "_key", ["_at", "_side"], ["_what"], most).where("_side = 1")
+    met = last_known(starts.unionByName(asks, allowMissingColumns=True), "_key", ["_at", "_side"], ["_what"], most, by=asks).where("_side = 1")
     inside = F.col("_what.valid_to").isNull() | (F.col("_at") < F.col("_what.valid_to"))
     return met.select("_probe.*", *[F.when(inside, F.col(f"_what.{v}")).alias(v) for v in values])
 
