@@ -6,8 +6,6 @@ reader keeps file, line (from 1) and position, so that ties in later steps go by
 
 from __future__ import annotations
 
-import gzip
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import author, bad_instant, base_model, instant, instant_of, observation_date, paper_id, paper_ids, precision, strict_instant
 from ..session import importable
+from .inflate import inflated
+from .xml import records
 
 DAY = r"(\d{4}-\d{2}-\d{2})/[^/]+$"
 ENVELOPE = "page long, url string, source_url string, hf_id string, cohort_id string, discovery_sources array<string>, fetched_at string, http_status int, body string, body_base64 string, records array<string>"
@@ -32,9 +32,8 @@ def _day(file: Column) -> Column:
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """day, file, line, value of text files; a file is read by one task, as gzip can't be split."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
-    return rows.select(_day(F.col("file")).alias("day"), "file", (F.col("line") + 1).alias("line"), "value")
+    """day, file, line, value of text files; a file is read by one task in blocks, as gzip can't be split."""
+    return inflated(spark, path).select(_day(F.col("file")).alias("day"), "file", "line", "value")
 
 
 def envelopes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -214,19 +213,11 @@ META = "id string, created string, updated string, title string, abstract string
 RECORD = f"header struct<_status:string,identifier:string,datestamp:string>, metadata struct<arXiv:struct<{','.join(':'.join(x.split(' ', 1)) for x in META.split(', '))}>>"
 
 
-def _plain_xml(xml: Column) -> Column:
-    """Without declarations and prefixes of name spaces."""
-    bare = F.regexp_replace(xml, r'\sxmlns(:\w+)?="[^"]*"', "")
-    return F.regexp_replace(F.regexp_replace(bare, r"<(/?)\w+:", "<$1"), r'\s\w+:(\w+="[^"]*")', " $1")
-
-
 def papers(spark: SparkSession, path: str, day: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Records of harvested XML pages, deleted ones included, which have no metadata; and findings. Each record is parsed once."""
     found, bad = envelopes(spark, path)
-    xml = F.try_to_binary("body_base64", F.lit("base64")).cast("string")
-    found = found.withColumn("xml", _plain_xml(xml))
-    record = F.explode(F.regexp_extract_all("xml", F.lit(r"(?s)(<record>.*?</record>)"), F.lit(1)))
-    rows = found.select("day", "file", "line", "fetched_at", "url", record.alias("x")).withColumn("r", F.from_xml("x", RECORD, {"mode": "PERMISSIVE"}))
+    found = found.withColumn("xml", records(F.try_to_binary("body_base64", F.lit("base64")), "record"))
+    rows = found.select("day", "file", "line", "fetched_at", "url", F.explode("xml").alias("x")).withColumn("r", F.from_xml("x", RECORD, {"mode": "PERMISSIVE"}))
     m = lambda name: F.nullif(F.trim(F.col(f"r.metadata.arXiv.`{name}`")), F.lit(""))
     names = F.transform("r.metadata.arXiv.authors.author", lambda a: F.concat_ws(" ", F.nullif(a["forenames"], F.lit("")), F.nullif(a["keyname"], F.lit(""))))
     listed = F.filter(F.split(F.coalesce(m("categories"), F.lit("")), r"\s+"), lambda x: x != "")
@@ -234,7 +225,7 @@ def papers(spark: SparkSession, path: str, day: Column | None = None) -> tuple[D
         "arxiv_id": paper_id(F.regexp_replace("r.header.identifier", "^oai:arXiv.org:", "")), "deleted": F.coalesce(F.col("r.header._status") == "deleted", F.lit(False)),
         "categories": listed, "has_metadata": F.col("r.metadata.arXiv").isNotNull(), "created": instant(m("created")), "updated": instant(m("updated")), "datestamp": F.nullif(F.col("r.header.datestamp"), F.lit("")),
     })
-    told = bad.unionByName(_findings(found, {"invalid XML page": F.col("xml").isNull() | ~F.col("xml").contains("<")}))
+    told = bad.unionByName(_findings(found, {"invalid XML page": F.col("xml").isNull()}))
     told = told.unionByName(_findings(rows, {"invalid identifier": F.col("arxiv_id").isNull()}, F.col("r.header.identifier")))
     known = rows.where("arxiv_id is not null")
     told = told.unionByName(_findings(known, {"missing metadata": ~F.col("has_metadata") & ~F.col("deleted")}, F.col("arxiv_id")))
@@ -265,10 +256,11 @@ def enrichment(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, Da
     told = hidden_texts(spark, root, "_manifest.json", folders=False)
     items = told.select(F.explode(F.from_json("value", f"items map<string,{ITEM}>")["items"]).alias("arxiv_id", "i")).select("arxiv_id", "i.*")
     wanted = items.where(F.col("status").isin("resolved", "not_found")).select(F.col("response_file").alias("name")).distinct()
-    raw = payloads(spark, f"{root}/*.gz").withColumn("name", F.substring_index("path", "/", -1)).join(F.broadcast(wanted), "name", "left_semi")
-    feeds = raw.withColumn("xml", _plain_xml(F.decode("payload", "UTF-8")))
-    entry = F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)(<entry>.*?</entry>)"), F.lit(1))).alias("position", "x")
-    rows = feeds.where(F.col("xml").contains("<feed")).select("name", "sha256_raw", entry).withColumn("e", F.from_xml("x", ENTRY))
+    name = F.substring_index("file", "/", -1)
+    sums = inflated(spark, f"{root}/*.gz", "digests").select(name.alias("name"), "sha256_raw").join(wanted, "name", "left_semi")
+    cut = inflated(spark, f"{root}/*.gz", "elements", tag="entry", root="feed").withColumn("name", name).join(sums, "name")
+    broken = cut.where("error is not null").select("name", "error")
+    rows = cut.join(broken.select("name").distinct(), "name", "left_anti").select("name", "sha256_raw", "position", F.col("xml").alias("x")).withColumn("e", F.from_xml("x", ENTRY))
     rows = rows.withColumn("arxiv_id", paper_id(F.regexp_replace(F.parse_url(F.trim("e.id"), F.lit("PATH")), "^/abs/", "")))
     last = rows.where("arxiv_id is not null").groupBy("arxiv_id").agg(F.max_by(F.struct("name", "sha256_raw", "e"), F.struct("name", "position")).alias("f"))
     both = items.where("status = 'resolved'").withColumnRenamed("sha256_raw", "told_sha256").join(last, "arxiv_id", "left")
@@ -282,7 +274,7 @@ def enrichment(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, Da
     )
     statuses = items.select("arxiv_id", F.coalesce("original_references", F.array().cast("array<string>")).alias("original_references"), F.col("status").alias("resolution_status"), "source_interface", "fetched_at", F.col("request_url").alias("source_url"), "response_file", "sha256_raw", "error")
     flaws = both.select("arxiv_id", F.when(F.col("f").isNull(), "resolved but absent from the stored response").when(F.col("f.sha256_raw") != F.col("told_sha256"), "response hash mismatch").alias("error")).where("error is not null")
-    flaws = flaws.unionByName(feeds.where(~F.col("xml").contains("<feed")).select(F.col("name").alias("arxiv_id"), F.lit("not a feed").alias("error")))
+    flaws = flaws.unionByName(broken.select(F.col("name").alias("arxiv_id"), F.lit("not a feed").alias("error")))
     flaws = flaws.unionByName(rows.where("arxiv_id is null").select(F.col("e.id").alias("arxiv_id"), F.lit("invalid entry id").alias("error")))
     return papers_of, statuses, flaws
 
@@ -293,8 +285,8 @@ def backfill(spark: SparkSession, root: str, name: str = "arxiv.jsonl.gz") -> tu
     fine = told.where("m.leg.status = 'ok'").select("run", F.to_date(F.substring("m.collected_at", 1, 10)).alias("collected"))
     rows, flaws = papers(spark, f"{root}/*/{name}")
     run = F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
-    out = rows.withColumn("run", run).join(F.broadcast(fine), "run").withColumn("observed_date", F.col("collected")).drop("run", "collected")
-    return out, flaws.withColumn("run", run).join(F.broadcast(fine), "run", "left_semi").drop("run")
+    out = rows.withColumn("run", run).join(fine, "run").withColumn("observed_date", F.col("collected")).drop("run", "collected")
+    return out, flaws.withColumn("run", run).join(fine, "run", "left_semi").drop("run")
 
 
 def strata(spark: SparkSession, path: str) -> DataFrame:
@@ -313,43 +305,41 @@ def extract(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-def payloads(spark: SparkSession, path: str) -> DataFrame:
-    """path, size_bytes, sha256_file, bytes_raw, sha256_raw and payload of stored gzip files; hashes are of bytes, never of decoded text."""
-    importable(spark)
-    stored = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256_file"), "content")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                raw = gzip.decompress(b.column(3)[i].as_py())
-                more = [pa.array([len(raw)]), pa.array([hashlib.sha256(raw).hexdigest()]), pa.array([raw], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in b.columns[:3]), *more], ["path", "size_bytes", "sha256_file", "bytes_raw", "sha256_raw", "payload"])
-
-    return stored.mapInArrow(run, "path string, size_bytes long, sha256_file string, bytes_raw long, sha256_raw string, payload binary")
+def digests(spark: SparkSession, path: str) -> DataFrame:
+    """path, size_bytes, sha256_file, bytes_raw, sha256_raw of stored files; hashes are of bytes, never of decoded text, and run along with the blocks."""
+    return inflated(spark, path, "digests").withColumnRenamed("file", "path")
 
 
 def payload_index(spark: SparkSession, root: str, leg: str = "*") -> DataFrame:
     """One row a stored payload of the daily folders: hashes, counts, capture interval and precision, scope, statuses, and its snapshot id.
 
-    A payload whose hash isn't the manifest's is ``mismatch``; where the manifest has none it is ``unattested``.
+    A payload whose hash isn't the manifest's is ``mismatch``; where the manifest has none it is ``unattested``. Envelopes are
+    counted line by line; only a document that is one JSON value is looked at as a whole.
     """
-    source = F.split_part(F.substring_index("path", "/", -1), F.lit("."), F.lit(1))
-    found = payloads(spark, f"{root}/*/{leg}.gz").withColumns({"day": _day(F.col("path")), "source": source, "is_lines": F.col("path").endswith(".jsonl.gz"), "text": F.decode("payload", "UTF-8")})
+    source = lambda c: F.split_part(F.substring_index(c, "/", -1), F.lit("."), F.lit(1))
+    found = digests(spark, f"{root}/*/{leg}.gz").withColumns({"day": _day(F.col("path")), "source": source("path"), "is_lines": F.col("path").endswith(".jsonl.gz")})
     found = found.withColumn("snapshot_path", F.concat("day", F.lit("/"), F.substring_index("path", "/", -1)))
-    envelope = F.transform(F.filter(F.split("text", "\\r?\\n"), lambda x: F.trim(x) != ""), lambda x: F.from_json(x, "fetched_at string, body string, records array<string>"))
-    found = found.withColumn("e", F.when(F.col("is_lines"), envelope))
     size = lambda c: F.coalesce(F.json_array_length(c), F.lit(0))
-    times = F.filter(F.transform("e", lambda x: x["fetched_at"]), lambda x: x.isNotNull())
-    records = F.when(F.col("source").isin(*DETAIL), F.size("e")).when(F.col("source") == "arxiv", F.aggregate("e", F.lit(0), lambda acc, x: acc + F.greatest(F.size(F.coalesce(x["records"], F.array().cast("array<string>"))), F.lit(0)))).otherwise(F.aggregate("e", F.lit(0), lambda acc, x: acc + size(x["body"])))
-    catalogue = F.when(F.col("source") == "openrouter_models", F.json_array_length(F.get_json_object("text", "$.data")))
-    found = found.withColumns({"response_count": F.when(F.col("is_lines"), F.size("e")).otherwise(1), "source_record_count": F.when(F.col("is_lines"), records).otherwise(catalogue), "times": F.when(F.col("is_lines"), times).otherwise(F.array().cast("array<string>"))})
+    told = lines(spark, f"{root}/*/{leg}.gz").withColumn("source", source("file"))
+    e = F.from_json("value", "fetched_at string, body string, records array<string>")
+    rows = told.where(F.col("file").endswith(".jsonl.gz") & (F.trim("value") != "")).withColumn("e", e)
+    records = F.when(F.col("source").isin(*DETAIL), 1).when(F.col("source") == "arxiv", F.greatest(F.size(F.coalesce("e.records", F.array().cast("array<string>"))), F.lit(0))).otherwise(size("e.body"))
+    stamp = F.col("e.fetched_at")
+    at = lambda: F.struct(stamp.try_cast("timestamp").alias("at"), stamp.alias("text"))
+    counts = rows.groupBy(F.col("file").alias("_file")).agg(F.count("*").alias("n_envelopes"), F.sum(records).alias("n_records"), F.count(stamp).alias("n_stamps"), F.min(F.when(stamp.isNotNull(), at())).alias("first_stamp"), F.max(F.when(stamp.isNotNull(), at())).alias("last_stamp"))
+    catalogue = told.where((F.col("source") == "openrouter_models") & ~F.col("file").endswith(".jsonl.gz"))
+    catalogue = catalogue.groupBy(F.col("file").alias("_document")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"]), "\n").alias("text"))
+    catalogue = catalogue.select("_document", F.json_array_length(F.get_json_object("text", "$.data")).alias("n_listed"))
+    found = found.join(counts, F.col("path") == F.col("_file"), "left").join(catalogue, F.col("path") == F.col("_document"), "left")
+    found = found.withColumns({"response_count": F.when(F.col("is_lines"), F.coalesce("n_envelopes", F.lit(0))).otherwise(1), "source_record_count": F.when(F.col("is_lines"), F.coalesce("n_records", F.lit(0))).otherwise(F.col("n_listed"))})
     docs = hidden_texts(spark, root, "_manifest.json").select(_day(F.col("path")).alias("_day"), F.sha2("value", 256).alias("manifest_sha256_file"), F.from_json("value", f"status string, snapshot_date string, collected_at string, collector_version string, legs map<string,{LEG}>").alias("m"))
-    both = found.join(F.broadcast(docs), F.col("day") == F.col("_day"), "left").withColumn("l", F.try_element_at("m.legs", F.col("source")))
-    both = both.withColumn("times", F.when(F.size("times") > 0, F.col("times")).when(~F.col("is_lines") & F.col("l.fetched_at").isNotNull(), F.array("l.fetched_at")).otherwise(F.col("times")))
-    basis = F.when((F.size("times") > 0) & F.col("is_lines"), "response_envelope.fetched_at").when(F.size("times") > 0, "manifest.legs.fetched_at").when(F.col("m.collected_at").isNotNull(), "manifest.collected_at").when(F.col("m.snapshot_date").isNotNull(), "manifest.snapshot_date").otherwise("unknown")
-    stamps = F.when(F.size("times") > 0, F.col("times")).otherwise(F.array_compact(F.array("m.collected_at")))
-    ordered = F.array_sort(F.transform(stamps, lambda x: F.struct(x.try_cast("timestamp").alias("at"), x.alias("text"))))
-    both = both.withColumns({"basis": basis, "first": F.try_element_at(ordered, F.lit(1)), "last": F.try_element_at(ordered, F.lit(-1)), "n_times": F.size(stamps)})
+    both = found.join(docs, F.col("day") == F.col("_day"), "left").withColumn("l", F.try_element_at("m.legs", F.col("source")))
+    enveloped = F.coalesce(F.col("n_stamps") > 0, F.lit(False))
+    of_leg = ~F.col("is_lines") & F.col("l.fetched_at").isNotNull()
+    basis = F.when(enveloped, "response_envelope.fetched_at").when(of_leg, "manifest.legs.fetched_at").when(F.col("m.collected_at").isNotNull(), "manifest.collected_at").when(F.col("m.snapshot_date").isNotNull(), "manifest.snapshot_date").otherwise("unknown")
+    one = F.when(of_leg, F.col("l.fetched_at")).otherwise(F.col("m.collected_at"))
+    single = F.when(one.isNotNull(), F.struct(one.try_cast("timestamp").alias("at"), one.alias("text")))
+    both = both.withColumns({"basis": basis, "first": F.when(enveloped, F.col("first_stamp")).otherwise(single), "last": F.when(enveloped, F.col("last_stamp")).otherwise(single), "n_times": F.when(enveloped, F.col("n_stamps")).otherwise(F.when(one.isNotNull(), 1).otherwise(0))})
     state = F.when(F.col("l.sha256_raw").isNull(), "unattested").when(F.col("l.sha256_raw") == F.col("sha256_raw"), "verified").otherwise("mismatch")
     return both.select(
         F.sha2(F.concat("snapshot_path", F.lit("\n"), "sha256_file"), 256).alias("snapshot_id"), "source", F.to_json(F.struct("l.scope", "l.filter", "l.sort", "l.target_rows")).alias("source_scope"), "snapshot_path",
@@ -426,12 +416,12 @@ def admitted(rows: DataFrame, told: DataFrame, leg: str, day: str = "snapshot_da
 
 def files(spark: SparkSession, path: str) -> DataFrame:
     """Inventory: path, size and SHA-256 of every stored file."""
-    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    return digests(spark, path).select("path", F.col("size_bytes").alias("size"), F.col("sha256_file").alias("sha256"))
 
 
 def integrity(spark: SparkSession, path: str, told: DataFrame) -> DataFrame:
     """Legs whose stored size or raw hash isn't what the manifest says."""
-    stored = payloads(spark, path).select(F.to_date(_day(F.col("path"))).alias("day"), F.substring_index("path", "/", -1).alias("file"), "size_bytes", F.col("sha256_raw").alias("raw"))
+    stored = digests(spark, path).select(F.to_date(_day(F.col("path"))).alias("day"), F.substring_index("path", "/", -1).alias("file"), "size_bytes", F.col("sha256_raw").alias("raw"))
     joined = told.join(stored, ["day", "file"], "left")
     problem = F.when(F.col("size_bytes").isNull(), "missing").when(F.col("size_bytes") != F.col("bytes_stored"), "size").when(F.col("raw") != F.col("sha256_raw"), "hash")
     return joined.withColumn("problem", problem).where("problem is not null").select("day", "leg", "file", "problem")
