@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ OFFSET = r"(Z|[+-]\d\d:?\d\d)$"
 PAPER = r"(?i)^([a-z-]+(\.[A-Z]{2})?/\d{7}|\d{4}\.\d{4,5})(v\d+)?$"
 REPO = r"^[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+)*(/[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+)*)?$"
 PERMANENT = [401, 403, 404, 410, 451]
+# Hosts whose paths name a repository, and the sections of them that don't.
+REPO_HOSTS = ["huggingface.co", "www.huggingface.co"]
+SECTIONS = ["datasets", "spaces", "collections", "papers"]
+#: Exponents beyond which a decimal is kept as digits and exponent.
+WIDEST = 1000
 
 
 def instant(text: Column) -> Column:
@@ -91,7 +98,7 @@ def primary(source: Column, age: Column, newest: str) -> Column:
 
 def observation_order(other: Column, first: Column) -> Column:
     """Where another source's first day stands to the first day of all."""
-    return F.when(other.isNull(), "not_observed").when(other < first, "before").when(other == first, "same_day").otherwise("after")
+    return F.when(other.isNull(), "not_observed").when(other < first, "before_hf").when(other == first, "same_day").otherwise("after_hf")
 
 
 def left_censored(day: Column, first: Column, earlier: bool = False) -> Column:
@@ -133,35 +140,56 @@ def observation_date(at: Column, collected: Column) -> Column:
     return F.coalesce(F.to_date(at), collected)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is computed once however often it is used."""
+    return F.try_element_at(F.transform(F.array(value), then), F.lit(1))
+
+
 def plain_decimal(text: Column) -> Column:
-    """A decimal number without sign of plus, exponent and needless zeros; null for other text."""
-    bare = F.regexp_replace(text, r"^\+", "")
-    powers = F.coalesce(bare.try_cast("decimal(38,20)").cast("string"), bare.try_cast("decimal(38,0)").cast("string"))
-    plain = F.when(bare.rlike(r"^-?(\d+(\.\d*)?|\.\d+)$"), bare).when(bare.rlike(r"^-?(\d+(\.\d*)?|\.\d+)[eE][+-]?\d+$"), powers)
-    short = F.when(plain.contains("."), F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", "")).otherwise(plain)
-    short = F.regexp_replace(F.regexp_replace(short, r"^(-?)0+(?=\d)", "$1"), r"^(-?)\.", "$10.")
-    return F.when(short.isNotNull(), F.when(short.rlike(r"^-?0*$"), "0").otherwise(short))
+    """A decimal number of any size as plain digits, without plus, exponent and needless zeros; null for other text.
+
+    The point is moved in the digits themselves, so nothing is rounded; beyond ``WIDEST`` places it stays ``digits e exponent``,
+    which is as good for telling whether two are equal.
+    """
+    form = r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+    bare = F.translate(F.regexp_replace(text, r"^\s+|\s+$", ""), "_", "")
+    part = lambda i: F.regexp_extract(bare, form, i)
+    shape = F.when(bare.rlike(form) & bare.rlike(r"^[+-]?\.?[0-9]"), F.struct(part(1).alias("sign"), F.concat(part(2), part(3)).alias("digits"), F.length(part(2)).alias("whole"), F.nullif(part(4), F.lit("")).alias("exponent")))
+
+    def placed(m: Column) -> Column:
+        power = F.coalesce(m["exponent"], F.lit("0")).try_cast("long")
+        lead = F.length(m["digits"]) - F.length(F.ltrim(m["digits"], F.lit("0")))
+        return F.struct(m["sign"].alias("sign"), F.trim(m["digits"], F.lit("0")).alias("digits"), (m["whole"] + power - lead).alias("point"), power.alias("power"))
+
+    def written(n: Column) -> Column:
+        digits, point, size = n["digits"], n["point"], F.length(n["digits"])
+        zeros = lambda k: F.repeat(F.lit("0"), k.cast("int"))
+        plain = F.when(point >= size, F.concat(digits, zeros(point - size))).when(point > 0, F.concat(F.substr(digits, F.lit(1), point.cast("int")), F.lit("."), F.substr(digits, (point + 1).cast("int")))).otherwise(F.concat(F.lit("0."), zeros(-point), digits))
+        number = F.when(F.abs(point) <= WIDEST, plain).otherwise(F.concat(digits, F.lit("e"), (point - size).cast("string")))
+        return F.when(n["power"].isNull(), None).when(digits == "", "0").otherwise(F.concat(F.when(n["sign"] == "-", "-").otherwise(""), number))
+
+    return let(shape, lambda m: F.when(m.isNotNull(), let(placed(m), written)))
 
 
 def price(value: Column) -> Column:
     """A price as it is compared, (kind, value): equal decimals are equal however they are written, other text stays as it is."""
-    number = plain_decimal(value)
-    return F.when(value.isNotNull(), F.struct(F.when(number.isNull(), "text").otherwise("decimal").alias("kind"), F.coalesce(number, value).alias("value")))
+    told = let(plain_decimal(value), lambda n: F.struct(F.when(n.isNull(), "text").otherwise("decimal").alias("kind"), F.coalesce(n, value).alias("value")))
+    return F.when(value.isNotNull(), told)
 
 
 def price_of(value: Column) -> Column:
     """As ``price``, of a JSON value: booleans are apart from numbers, and what is neither keeps its type."""
     kind = F.schema_of_variant(value)
     text = F.when(kind.isin("BIGINT", "DOUBLE", "STRING") | kind.startswith("DECIMAL"), F.try_variant_get(value, "$", "string"))
-    number = plain_decimal(text)
-    name = F.when(kind == "BOOLEAN", "boolean").when(number.isNotNull(), "decimal").otherwise(F.lower(kind))
-    return F.when(kind != "VOID", F.struct(name.alias("kind"), F.coalesce(number, F.to_json(value)).alias("value")))
+    name = lambda n: F.when(kind == "BOOLEAN", "boolean").when(n.isNotNull(), "decimal").otherwise(F.lower(kind))
+    told = let(plain_decimal(text), lambda n: F.struct(name(n).alias("kind"), F.coalesce(n, F.to_json(value)).alias("value")))
+    return F.when(kind != "VOID", told)
 
 
-def leaves(value: Column, depth: int = 6, unordered: bool = False) -> Column:
+def leaves(value: Column, depth: int = 12, unordered: bool = False) -> Column:
     """Leaves of a JSON object as a map of dotted path to JSON text; nulls are dropped, and with ``unordered`` arrays are sorted.
 
-    Objects nested deeper than ``depth`` stay whole.
+    An object that is nested deeper than ``depth`` fails the query, so that no result ever depends on the depth.
     """
     entries = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
     pair = lambda path, v: F.struct(path.alias("path"), v.alias("value"))
@@ -169,6 +197,8 @@ def leaves(value: Column, depth: int = 6, unordered: bool = False) -> Column:
     for _ in range(depth - 1):
         inner = lambda e: F.transform(entries(e["value"]), lambda kv: pair(F.concat(e["path"], F.lit("."), kv["key"]), kv["value"]))
         found = F.flatten(F.transform(found, lambda e: F.when(F.schema_of_variant(e["value"]).startswith("OBJECT"), inner(e)).otherwise(F.array(pair(e["path"], e["value"])))))
+    deep = F.exists(found, lambda e: F.coalesce(F.schema_of_variant(e["value"]).startswith("OBJECT"), F.lit(False)))
+    found = F.when(~deep, found).when(deep, F.raise_error(F.lit(f"JSON is nested deeper than {depth} objects")).cast("array<struct<path:string,value:variant>>"))
     there = F.filter(found, lambda e: e["value"].isNotNull() & (F.schema_of_variant(e["value"]) != "VOID"))
 
     def text(v: Column) -> Column:
@@ -192,9 +222,12 @@ def changed_keys(a: Column, b: Column) -> Column:
 
 
 def repo_of(url: Column) -> Column:
-    """Owner and name out of a URL's path."""
-    parts = F.filter(F.split(F.try_url_decode(F.parse_url(url, F.lit("PATH"))), "/"), lambda x: x != "")
-    return F.when(F.size(parts) >= 2, F.array_join(F.slice(parts, 1, 2), "/"))
+    """Owner and name out of the path of a URL of a repository host; null for other hosts and for sections that hold no models."""
+    part = lambda name: F.try_parse_url(url, F.lit(name))
+    path = F.coalesce(F.try_url_decode(F.replace(part("PATH"), F.lit("+"), F.lit("%2B"))), part("PATH"))
+    parts = F.split(F.trim(path, F.lit("/")), "/")
+    fine = F.lower(part("HOST")).isin(REPO_HOSTS) & (F.size(parts) >= 2) & ~F.try_element_at(parts, F.lit(1)).isin(SECTIONS)
+    return F.when(fine, F.array_join(F.slice(parts, 1, 2), "/"))
 
 
 def paper_of(url: Column) -> Column:

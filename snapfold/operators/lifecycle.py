@@ -58,6 +58,17 @@ def cohort_metrics(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def horizon_counts(outcomes: DataFrame, primary: Column, happened: DataFrame, kind: str) -> DataFrame:
+    """(measure, label, n), as a build sums itself up: entities, primary ones, those of them eligible at each horizon, and events by kind."""
+    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    by = outcomes.groupBy("horizon").agg(F.count("*").alias("all"), n(primary).alias("primary"), n(primary & F.col("eligible")).alias("eligible"))
+    eligible = by.select(F.lit("eligible_primary").alias("measure"), F.col("horizon").cast("string").alias("label"), F.col("eligible").alias("n"))
+    # every entity has a row a horizon
+    sizes = by.agg(F.max("all").alias("all"), F.max("primary").alias("primary")).unpivot([], ["all", "primary"], "label", "n").select(F.lit("entities").alias("measure"), "label", "n")
+    events = happened.groupBy(F.lit("events").alias("measure"), F.col(kind).alias("label")).agg(F.count("*").alias("n"))
+    return eligible.unionByName(sizes).unionByName(events)
+
+
 def firsts(history: DataFrame, key: str, day: str, conditions: dict[str, Column]) -> DataFrame:
     """First day on which each condition held; null if it never did."""
     return history.groupBy(key).agg(F.min(day).alias("first_day"), *[F.min(F.when(c, F.col(day))).alias(n) for n, c in conditions.items()])

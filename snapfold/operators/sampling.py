@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Parts of a group in each of which its first members are looked for.
+PARTS = 64
+
+
 def sample_key(seed: str, domain: str, value: str) -> Column:
     """SHA-256 of the JSON array of seed, domain and value, which no two triples share."""
     return F.sha2(F.to_json(F.array(F.lit(seed), F.lit(domain), F.col(value).cast("string"))), 256)
@@ -29,7 +33,10 @@ def members(rows: DataFrame, key: str, popular: str, recent: str, group: str, si
     rest = rest.join(late.select(key), key, "left_anti")
     own = sample_key(seed, "repository", key) if version == 2 else F.sha2(F.col(key).cast("string"), 256)
     of_group = sample_key(seed, "organization", group) if version == 2 else F.col(group).cast("string")
-    others = rest.select(key, group, F.row_number().over(Window.partitionBy(group).orderBy(own, key)).alias("_turn"), of_group.alias("_group"))
+    # no group can give more than ``size``: its first ones are found in parts before they meet, so a large group is no large task
+    others = rest.select(key, group, own.alias("_own"), of_group.alias("_group")).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(PARTS)))
+    others = others.withColumn("_turn", F.row_number().over(Window.partitionBy(group, "_part").orderBy("_own", key))).where(F.col("_turn") <= size)
+    others = others.withColumn("_turn", F.row_number().over(Window.partitionBy(group).orderBy("_own", key))).where(F.col("_turn") <= size)
     label = lambda df, i, n: df.select(key, F.lit(n).alias("stratum"), F.lit(i).alias("_i"), F.lit(0).alias("_turn"), F.lit("").alias("_group"))
     spread = others.select(key, F.lit("remaining").alias("stratum"), F.lit(2).alias("_i"), "_turn", "_group")
     chosen = label(top, 0, "popular").unionByName(label(late, 1, "recent")).unionByName(spread)

@@ -151,7 +151,10 @@ def tag_lists(spark, d):
 
 
 def url_parts(spark, d):
-    return table(spark, d, "pages").select("page_id", F.parse_url("url", F.lit("HOST")).alias("host"), scalars.repo_of(F.col("url")).alias("repo"))
+    """The pages' paths, under their own host and under hosts and sections of repositories."""
+    k, own = F.col("page_id"), F.regexp_extract("url", r"^[a-z]+://[^/?#]+(.*)$", 1)
+    url = F.when(k % 6 == 0, F.concat(F.lit("https://huggingface.co"), own)).when(k % 6 == 1, F.concat(F.lit("https://u@WWW.HuggingFace.co:443/"), own)).when(k % 6 == 2, F.concat(F.lit("https://huggingface.co/datasets"), own)).when(k % 6 == 3, F.concat(F.lit("https://huggingface.co.example.com"), own)).when(k % 6 == 4, F.concat(F.lit("http://huggingface.co/papers%2F"), own)).otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", F.lower(F.try_parse_url(url, F.lit("HOST"))).alias("host"), scalars.repo_of(url).alias("repo"))
 
 
 def share_long(spark, d):
@@ -171,11 +174,17 @@ def scalar_labels(spark, d):
 
 
 def price_normalise(spark, d):
+    """Prices of the parts, written in several ways: equal ones must be told whatever their exponent."""
     k, size = F.col("p_partkey"), F.col("p_size").cast("string")
-    raw = F.when(k % 6 == 0, F.concat(size, F.lit(".10"))).when(k % 6 == 1, F.concat(F.lit("00"), size, F.lit(".1"))).when(k % 6 == 2, F.concat(size, F.lit("1e-1"))).when(k % 6 == 3, F.concat(F.lit("-"), F.round(F.col("p_retailprice"), 2).cast("string"))).when(k % 6 == 4, F.lit("-0.00")).otherwise(F.lit("free"))
-    other = F.concat(size, F.lit(".1"))
+    cents = F.round(F.col("p_retailprice") * 100).cast("long").cast("string")
+    raw = (
+        F.when(k % 8 == 0, F.concat(size, F.lit(".10"))).when(k % 8 == 1, F.concat(F.lit("00"), size, F.lit(".1"))).when(k % 8 == 2, F.concat(size, F.lit("1e-1"))).when(k % 8 == 3, F.concat(F.lit("-"), cents, F.lit("E-2")))
+        .when(k % 8 == 4, F.lit("-0.00")).when(k % 8 == 5, F.concat(size, F.lit("e-30"))).when(k % 8 == 6, F.concat(F.lit("+"), cents, F.lit(".0e50"))).otherwise(F.lit("free"))
+    )
+    other = F.when(k % 8 == 5, F.concat(F.lit("0."), F.repeat(F.lit("0"), 30 - F.length(size)), size, F.lit("0"))).when(k % 8 == 6, F.concat(cents, F.repeat(F.lit("0"), F.lit(50)))).otherwise(F.concat(size, F.lit(".1")))
     a, b = F.create_map(F.lit("prompt"), raw, F.lit("unit"), F.lit("token")), F.create_map(F.lit("prompt"), other, F.lit("unit"), F.when(k % 4 == 0, "token").otherwise(F.col("p_brand")))
-    return table(spark, d, "part").select("p_partkey", scalars.price(raw)["kind"].alias("kind"), scalars.price(raw)["value"].try_cast("double").alias("number"), scalars.price(raw).eqNullSafe(scalars.price(other)).alias("same"), F.array_join(scalars.changed_keys(a, b), ",").alias("changed"))
+    priced = table(spark, d, "part").select("p_partkey", scalars.price(raw).alias("a"), scalars.price(other).alias("b"), scalars.changed_keys(a, b).alias("changed"))
+    return priced.select("p_partkey", F.col("a.kind").alias("kind"), F.col("a.value").alias("number"), F.col("a").eqNullSafe(F.col("b")).alias("same"), F.array_join("changed", ",").alias("changed"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -251,12 +260,16 @@ ORACLES = {
     "json_props": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, json_extract(props, '$.k') IS NULL AS bad FROM events",
     "tag_lists": """WITH t AS (SELECT p_partkey, p_size, p_type, '2301.0000' || (p_partkey % 7 + 1) AS a, CASE WHEN p_size > 20 THEN '2301.00003' END AS b, CASE WHEN p_size > 40 THEN 'hep-th/9901001' END AS c FROM part)
         SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter([a, b, c], lambda x: x IS NOT NULL))), ',') AS papers, CASE WHEN p_size > 30 THEN 'quantized:' ELSE '' END || p_type AS base FROM t""",
-    "url_parts": r"""WITH u AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'), lambda x: x <> '') AS p FROM pages)
-        SELECT page_id, host, CASE WHEN len(p) >= 2 THEN p[1] || '/' || p[2] END AS repo FROM u""",
+    "url_parts": r"""WITH o AS (SELECT page_id AS k, url, regexp_extract(url, '^[a-z]+://[^/?#]+(.*)$', 1) AS own FROM pages),
+        u AS (SELECT k, CASE k % 6 WHEN 0 THEN 'https://huggingface.co' || own WHEN 1 THEN 'https://u@WWW.HuggingFace.co:443/' || own WHEN 2 THEN 'https://huggingface.co/datasets' || own WHEN 3 THEN 'https://huggingface.co.example.com' || own WHEN 4 THEN 'http://huggingface.co/papers/' || own ELSE url END AS url FROM o),
+        h AS (SELECT k, regexp_replace(regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)), '^.*@', ''), ':\d+$', '') AS host, string_split(trim(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'), '/') AS p FROM u)
+        SELECT k AS page_id, host, CASE WHEN host IN ('huggingface.co', 'www.huggingface.co') AND len(p) >= 2 AND p[1] NOT IN ('datasets', 'spaces', 'collections', 'papers') THEN p[1] || '/' || p[2] END AS repo FROM h""",
     "share_long": "WITH l AS (SELECT label, generate_subscripts(embedding, 1) - 1 AS position, unnest(embedding)::DOUBLE AS share FROM embeddings) SELECT label, position::INT AS position, count(*) AS n, round(sum(share), 3) AS total FROM l GROUP BY 1, 2",
     "scalar_dates": """SELECT o_orderkey, strftime(o_orderdate, '%G-W%V') AS week, strftime(o_orderdate, '%Y-%m') AS month, date_diff('day', o_orderdate::DATE, DATE '2001-12-31')::INT AS age, strftime(o_orderdate::DATE + 30, '%Y-%m-%d') AS milestone, day(o_orderdate)::INT AS spine, 'second' AS precision FROM orders""",
     "scalar_labels": """SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'negative' WHEN c_acctbal < 5000 THEN 'low' ELSE 'high' END AS label, CASE WHEN c_mktsegment = 'BUILDING' THEN split_part(c_name, '#', 1) ELSE c_mktsegment END AS author,
         c_mktsegment = 'BUILDING' AND c_custkey % 9 <= 4 AS is_primary, CASE WHEN c_acctbal > 0 THEN round((10000 - c_acctbal) / c_acctbal, 6) END AS relative FROM customer""",
-    "price_normalise": """WITH r AS (SELECT p_partkey AS k, p_brand, p_size || '.1' AS o, CASE p_partkey % 6 WHEN 0 THEN p_size || '.10' WHEN 1 THEN '00' || p_size || '.1' WHEN 2 THEN p_size || '1e-1' WHEN 3 THEN '-' || round(p_retailprice, 2)::VARCHAR WHEN 4 THEN '-0.00' ELSE 'free' END AS s FROM part), n AS (SELECT *, try_cast(s AS DOUBLE) AS x FROM r)
-        SELECT k AS p_partkey, CASE WHEN x IS NULL THEN 'text' ELSE 'decimal' END AS kind, x + 0 AS number, coalesce(x = o::DOUBLE, false) AS same, array_to_string(list_filter([CASE WHEN s <> o THEN 'prompt' END, CASE WHEN k % 4 <> 0 AND p_brand <> 'token' THEN 'unit' END], lambda v: v IS NOT NULL), ',') AS changed FROM n""",
+    "price_normalise": """WITH r AS (SELECT p_partkey AS k, p_brand, p_size::VARCHAR AS z, round(p_retailprice * 100)::BIGINT::VARCHAR AS c FROM part),
+        n AS (SELECT *, CASE k % 8 WHEN 0 THEN z || '.10' WHEN 1 THEN '00' || z || '.1' WHEN 2 THEN z || '1e-1' WHEN 3 THEN '-' || c || 'E-2' WHEN 4 THEN '-0.00' WHEN 5 THEN z || 'e-30' WHEN 6 THEN '+' || c || '.0e50' ELSE 'free' END AS s, CASE k % 8 WHEN 5 THEN '0.' || repeat('0', 30 - length(z)) || z || '0' WHEN 6 THEN c || repeat('0', 50) ELSE z || '.1' END AS o,
+          CASE k % 8 WHEN 3 THEN '-' || regexp_replace(c[:-3] || '.' || c[-2:], '\\.?0+$', '') WHEN 4 THEN '0' WHEN 5 THEN '0.' || repeat('0', 30 - length(z)) || rtrim(z, '0') WHEN 6 THEN c || repeat('0', 50) WHEN 7 THEN 'free' ELSE z || '.1' END AS v FROM r)
+        SELECT k AS p_partkey, CASE WHEN s = 'free' THEN 'text' ELSE 'decimal' END AS kind, v AS number, k % 8 IN (0, 1, 2, 5, 6) AS same, array_to_string(list_filter([CASE WHEN s <> o THEN 'prompt' END, CASE WHEN k % 4 <> 0 AND p_brand <> 'token' THEN 'unit' END], lambda v: v IS NOT NULL), ',') AS changed FROM n""",
 }

@@ -83,6 +83,13 @@ def cohort_metrics(spark, d):
     return lifecycle.cohort_metrics(_outcomes(spark, d))
 
 
+def horizon_counts(spark, d):
+    """Primary are those whose first event is a purchase or a signup."""
+    first = events(spark, d).groupBy("user_id").agg(F.min_by("event_type", F.struct("day", "rank")).alias("first_type"))
+    outcomes = _outcomes(spark, d).join(first, "user_id")
+    return lifecycle.horizon_counts(outcomes, F.col("first_type").isin("purchase", "signup"), lifecycle_events(spark, d), "kind")
+
+
 def _firsts(spark, d):
     c = {"first_purchase": F.col("event_type") == "purchase", "first_error": F.col("event_type") == "error", "first_large": F.col("value") > 90}
     return lifecycle.firsts(events(spark, d), "user_id", "day", c)
@@ -174,7 +181,7 @@ f AS (SELECT user_id, min(day) AS first_day, min(CASE WHEN event_type = 'purchas
         min(CASE WHEN event_type = 'error' THEN day END) AS first_error, min(CASE WHEN value > 90 THEN day END) AS first_large FROM e GROUP BY user_id)"""
 
 QUERIES = {f.__name__: f for f in (
-    canonical_daily, first_seen, strict_conflicts, strict_canonical, latest_per_key, latest_batch, repeat_suppression, overlay, ranked_dedup, horizon_outcomes, cohort_metrics,
+    horizon_counts, canonical_daily, first_seen, strict_conflicts, strict_canonical, latest_per_key, latest_batch, repeat_suppression, overlay, ranked_dedup, horizon_outcomes, cohort_metrics,
     conditional_firsts, lifecycle_events, entry_curve, weekly_rates, resolved_dates, link_spans, edges_with_status, firsts_attached, route_dates, spellings, set_overlap,
 )}
 
@@ -200,6 +207,10 @@ ORACLES = {
         SELECT o_custkey, month, max(CASE WHEN a = 1 THEN o_orderkey END) AS first_key, max(CASE WHEN a = 1 THEN r END) AS first_rank, max(CASE WHEN z = 1 THEN o_orderkey END) AS last_key FROM n GROUP BY ALL""",
     "horizon_outcomes": f"{_OUTCOMES} SELECT user_id, strftime(first_day, '%Y-%m-%d') AS first_day, horizon, eligible, round(milestone, 6) AS milestone, entered, sustained FROM x",
     "cohort_metrics": f"{_METRICS} SELECT * FROM m",
+    "horizon_counts": f"""{_OUTCOMES}, ft AS (SELECT user_id, arg_min(event_type, {{'d': day, 'r': rank}}) IN ('purchase', 'signup') AS prim FROM e GROUP BY 1), xp AS (SELECT x.*, prim FROM x JOIN ft USING (user_id)),
+        hf AS (SELECT user_id, min(CASE WHEN event_type = 'purchase' THEN day END) AS a, min(CASE WHEN event_type = 'error' THEN day END) AS b, min(CASE WHEN value > 90 THEN day END) AS c FROM e GROUP BY 1)
+        SELECT 'eligible_primary' AS measure, horizon::VARCHAR AS label, count_if(prim AND eligible) AS n FROM xp GROUP BY horizon UNION ALL SELECT 'entities', 'all', count(DISTINCT user_id) FROM xp UNION ALL SELECT 'entities', 'primary', count(DISTINCT CASE WHEN prim THEN user_id END) FROM xp
+        UNION ALL SELECT 'events', 'first_purchase', count(a) FROM hf UNION ALL SELECT 'events', 'first_error', count(b) FROM hf UNION ALL SELECT 'events', 'first_large', count(c) FROM hf""",
     "conditional_firsts": f"{_FIRSTS} SELECT user_id, strftime(first_day, '%Y-%m-%d') AS first_day, strftime(first_purchase, '%Y-%m-%d') AS first_purchase, strftime(first_error, '%Y-%m-%d') AS first_error, strftime(first_large, '%Y-%m-%d') AS first_large FROM f",
     "lifecycle_events": f"""{_FIRSTS}, u AS (SELECT user_id, first_day, 'first_purchase' AS kind, first_purchase AS day FROM f UNION ALL SELECT user_id, first_day, 'first_error', first_error FROM f UNION ALL SELECT user_id, first_day, 'first_large', first_large FROM f)
         SELECT user_id, kind, strftime(day, '%Y-%m-%d') AS day, day = first_day AS left_censored FROM u WHERE u.day IS NOT NULL""",

@@ -425,7 +425,7 @@ ORACLES = {
         v AS (SELECT *, regexp_full_match(id, '[A-Za-z0-9_-]+(\\.[A-Za-z0-9_-]+)*(/[A-Za-z0-9_-]+(\\.[A-Za-z0-9_-]+)*)?') AS ok, c_acctbal >= 0 AND c_custkey % 4 <> 0 AS cn FROM c)
         SELECT c_custkey, ok AS valid_id, cn AS valid_counts, ok AND cn AND c_custkey % 10 <> 3 AS eligible FROM v""",
     "observation_labels": f"""{EVENTS_SQL}, b AS (SELECT user_id, min(day) AS f, min(CASE WHEN event_type = 'purchase' THEN day END) AS bought FROM e GROUP BY 1), o AS (SELECT o_custkey AS user_id, min(DATE '2024-01-01' + day(o_orderdate)::INT - 1) AS od FROM orders GROUP BY 1)
-        SELECT user_id, CASE WHEN od IS NULL THEN 'not_observed' WHEN od < f THEN 'before' WHEN od = f THEN 'same_day' ELSE 'after' END AS "order", coalesce(bought = f, false) AS censored_purchase, coalesce(od <= f, false) AS censored_order, strftime(coalesce(bought, f), '%Y-%m-%d') AS observed FROM b LEFT JOIN o USING (user_id)""",
+        SELECT user_id, CASE WHEN od IS NULL THEN 'not_observed' WHEN od < f THEN 'before_hf' WHEN od = f THEN 'same_day' ELSE 'after_hf' END AS "order", coalesce(bought = f, false) AS censored_purchase, coalesce(od <= f, false) AS censored_order, strftime(coalesce(bought, f), '%Y-%m-%d') AS observed FROM b LEFT JOIN o USING (user_id)""",
     "existence_flags": f"WITH {_LINK} SELECT * FROM l",
     "coverage_counts": f"WITH {_LINK}, c AS (SELECT count(*) AS a, count_if(sold) AS s, count_if(returned) AS r, count_if(urgent) AS u FROM l) SELECT 'entities' AS measure, a AS n, 1.0::DOUBLE AS rate FROM c UNION ALL SELECT 'sold', s, round(s / a, 6) FROM c UNION ALL SELECT 'returned', r, round(r / a, 6) FROM c UNION ALL SELECT 'urgent', u, round(u / a, 6) FROM c",
     "status_histogram": "SELECT 'lookup' AS field, coalesce(nullif(l_returnflag, 'N'), 'unknown') AS status, count(*) AS n FROM lineitem GROUP BY 2 UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2",

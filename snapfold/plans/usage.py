@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.scalars import valid_paper_id
 from ..operators import calendar, marts, quality, usage
+from ..session import shared_dir
+from ..sources import exports, store
 from .binding import EVENTS_SQL, TYPES, day_text, events, iso, table, user_days
 
 
@@ -145,6 +149,19 @@ def profile_counts(spark, d):
     return total.unionByName(by)
 
 
+def stored_revisions(spark, d):
+    """A month's dearest order is what an export of a year says that month: stored, unless the newest revision says the same."""
+    o = orders(spark, d)
+    year = F.date_format("day", "yyyy")
+    keys = [F.concat(F.lit("n"), F.col("o_custkey") % 5).alias("source"), year.alias("start_date"), year.alias("end_date"), F.concat(F.lit("n"), F.col("o_custkey") % 5, F.lit("/u"), F.col("o_custkey") % 3).alias("url"), F.col("month").alias("fetched_at")]
+    dearest = F.max_by(F.struct("o_orderstatus", F.substring("o_orderpriority", 1, 1).alias("class")), F.struct("o_totalprice", "o_orderkey"))
+    rows = o.groupBy(*keys).agg(dearest.alias("d")).withColumn("body", F.format_string('{"status":"%s","class":"%s"}', "d.o_orderstatus", "d.class")).drop("d")
+    root = f"{shared_dir(spark)}/revisions-{uuid.uuid4().hex}"
+    store.append(rows, root)
+    read = exports.new_occurrences(exports.revisions(spark, root).where("ok"))
+    return read.select("source", "start_date", "url", "fetched_at", "body", "sha256")
+
+
 def inventory_diff(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     before = docs.where("doc_id % 11 <> 0").select("doc_id", F.sha2("text", 256).alias("sum"), F.sha2(F.upper("text"), 256).alias("other"))
@@ -207,7 +224,7 @@ def sample_profile(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     usage_shares, share_denominators, usage_coverage, usage_window, curation_queue, interval_attribution, same_day_join, token_funnel, ranked_models, missing_days, gap_findings,
-    coverage_calendar, carry_forward, regressions, coverage_regressions, staleness, day_completeness, null_dup_profile, profile_counts, inventory_diff, bag_equality, violations, hosting_day, nested_cards,
+    coverage_calendar, carry_forward, regressions, coverage_regressions, staleness, day_completeness, null_dup_profile, profile_counts, stored_revisions, inventory_diff, bag_equality, violations, hosting_day, nested_cards,
     member_outcomes, before_after, sample_profile,
 )}
 
@@ -266,6 +283,8 @@ ORACLES = {
         SELECT 'documents', 'lang', count(*), round(avg((nullif(lang, 'en') IS NULL)::INT), 6), any_value(dc) FROM documents, x""",
     "profile_counts": f"""{EVENTS_SQL}, l AS (SELECT 'all' AS label, * FROM e UNION ALL SELECT event_type, * FROM e)
         SELECT label, count(*) AS n, count(DISTINCT user_id) AS n_users, strftime(min(day), '%Y-%m-%d') AS first_day, strftime(max(day), '%Y-%m-%d') AS last_day, date_diff('day', min(day), max(day))::INT AS follow_up FROM l GROUP BY label""",
+    "stored_revisions": f"""{_O}, r AS (SELECT 'n' || (o_custkey % 5) AS source, strftime(day, '%Y') AS start_date, 'n' || (o_custkey % 5) || '/u' || (o_custkey % 3) AS url, month AS fetched_at, arg_max('{{"status":"' || o_orderstatus || '","class":"' || o_orderpriority[1] || '"}}', {{'p': o_totalprice, 'k': o_orderkey}}) AS body FROM o GROUP BY ALL),
+        p AS (SELECT *, lag(body) OVER (PARTITION BY source, start_date, url ORDER BY fetched_at) AS b FROM r) SELECT source, start_date, url, fetched_at, body, sha256(body) AS sha256 FROM p WHERE body IS DISTINCT FROM b""",
     "inventory_diff": """WITH b AS (SELECT doc_id, sha256(text) AS s, sha256(upper(text)) AS u FROM documents WHERE doc_id % 11 <> 0),
         a AS (SELECT doc_id, sha256(CASE WHEN doc_id % 17 = 0 THEN text || '!' WHEN doc_id % 13 = 0 THEN upper(text) ELSE text END) AS s FROM documents WHERE doc_id % 7 <> 0),
         j AS (SELECT coalesce(b.doc_id, a.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'missing' WHEN b.doc_id IS NULL THEN 'added' WHEN b.s = a.s THEN 'same' WHEN b.u = a.s THEN 'alternate' ELSE 'changed' END AS state FROM b FULL JOIN a ON a.doc_id = b.doc_id)

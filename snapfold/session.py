@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -18,3 +19,15 @@ def importable(spark: SparkSession) -> SparkSession:
     if root not in paths:
         env["PYTHONPATH"] = ":".join([root, *paths])
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, which ``spark.checkpoint.dir`` names; unset, a temporary one in local mode only."""
+    if not (path := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        path = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+        spark.conf.set("spark.checkpoint.dir", path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
+    return path

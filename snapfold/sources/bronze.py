@@ -100,7 +100,7 @@ def repositories(spark: SparkSession, path: str, leg: str) -> tuple[DataFrame, D
         get("library_name").alias("library_name"),
         get("pipeline_tag").alias("pipeline_tag"),
         get("private", "boolean").alias("private"),
-        F.when(there("gated"), F.try_variant_get(gated, "$", "string")).alias("gated"),
+        F.when(there("gated"), F.when(kind_of("gated") == "BOOLEAN", F.initcap(F.try_variant_get(gated, "$", "string"))).otherwise(F.try_variant_get(gated, "$", "string"))).alias("gated"),
         get("disabled", "boolean").alias("disabled"),
         paper_ids(F.col("tags")).alias("arxiv_ids"),
         base_model(F.col("tags")).alias("base_model"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .inflate import located
+
 ROWS = "array<struct<date:string,`group`:string,modality:string,name:string,metric:string,share_percent:variant>>"
 TOKENS = "array<struct<date:string,model_permaslug:string,model_name:string,total_tokens:variant>>"
 MANIFEST = "source string, start_date string, end_date string, fetched_at string, sha256 string, url string"
@@ -75,10 +77,19 @@ def new_occurrences(store: DataFrame) -> DataFrame:
     return store.withColumn("_p", F.lag("sha256").over(w)).where(~F.col("_p").eqNullSafe(F.col("sha256"))).drop("_p")
 
 
-def write_table(df: DataFrame, path: str, columns: list[str], order: list[str] | None = None) -> None:
-    """Parquet with fixed columns in fixed order, zstd, sorted within its files."""
+def write_table(df: DataFrame, path: str, columns: list[str], order: list[str] | None = None, files: int | None = None) -> None:
+    """Parquet with fixed columns in fixed order, zstd; with ``order`` the files in order of their names are the sorted table.
+
+    Ranges are cut where a sketch of the keys says, and rows of one key are told apart by their hash and equal rows by their
+    place in the input, so that a key with many rows fills several files. ``files`` is their number, the shuffle setting if not given.
+    """
     out = df.select(*columns)
-    (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    if order:
+        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tie = {"_h": F.xxhash64(*[F.col(f"`{c}`") for c in columns]), "_i": F.pmod(F.monotonically_increasing_id(), F.lit(1024))}
+        keys = [*[F.col(f"`{c}`") if isinstance(c, str) else c for c in order], "_h", "_i"]
+        out = out.withColumns(tie).repartitionByRange(n, *keys).sortWithinPartitions(*keys).select(*columns)
+    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def write_typed(df: DataFrame, path: str, schema: str, order: list[str] | None = None) -> None:
@@ -93,8 +104,28 @@ def write_typed(df: DataFrame, path: str, schema: str, order: list[str] | None =
     write_table(typed, path, fields.names, order)
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_report(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """One JSON document in one file: a list of the rows, in ``order``; or the row itself as an object where there is no order.
+
+    A report is a summary; its rows still pass the driver one partition at a time and are never held together. A name shows up
+    only once its file is whole.
+    """
+    store, inner, _ = located(path)
+    text = df.select(*df.columns, F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("_json"))
+    rows = (r[0] for r in (text.orderBy(*order) if order else text).select("_json").toLocalIterator())
+    store.create_dir(inner.rsplit("/", 1)[0])
+    with store.open_output_stream(f"{inner}.part") as f:
+        if order is None:
+            first = next(rows, None)
+            if first is None or next(rows, None) is not None:
+                raise ValueError("a report without an order is of one row")
+            f.write(first.encode() + b"\n")
+        else:
+            f.write(b"[")
+            for i, row in enumerate(rows):
+                f.write((",\n" if i else "\n").encode() + row.encode())
+            f.write(b"\n]\n")
+    store.move(f"{inner}.part", inner)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -294,3 +294,26 @@ def test_ranges_of_completed_days():
     for call in (lambda: calendar.report_window(31, "2026-02-01"), lambda: calendar.completed_range("2026-01-02", "2026-01-01", "2026-02-01"), lambda: calendar.completed_range("2026-01-01", "2026-02-01", "2026-02-01")):
         with pytest.raises(ValueError):
             call()
+
+
+def test_files_in_order_are_the_sorted_table(spark, tmp_path):
+    """A third of the rows has one key, a sixth is one row again and again."""
+    rows = [(5, i) for i in range(2000)] + [(7, 0)] * 1000 + [(i % 97, -i) for i in range(3000)]
+    exports.write_table(spark.createDataFrame(rows, "a long, b long").repartition(5), str(tmp_path / "t"), ["b", "a"], ["a"], files=12)
+    files = sorted((tmp_path / "t").glob("part-*"))
+    read = [[r["a"] for r in spark.read.parquet(str(f)).collect()] for f in files]
+    assert [a for f in read for a in f] == sorted(a for a, _ in rows) and len(read) == 12
+    assert sum(5 in f for f in read) >= 3 and sum(7 in f for f in read) >= 2 and max(map(len, read)) < 1500
+    assert spark.read.parquet(str(tmp_path / "t")).columns == ["b", "a"]
+
+
+def test_a_report_is_one_document(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i % 2 else "x") for i in range(50)], "a long, b string").repartition(4)
+    exports.write_report(df, str(tmp_path / "r/rows.json"), ["a"])
+    assert json.loads((tmp_path / "r/rows.json").read_text()) == [{"a": i, "b": None if i % 2 else "x"} for i in range(50)]
+    exports.write_report(df.agg(F.count("*").alias("n")), f"file://{tmp_path}/r/one.json")
+    assert json.loads((tmp_path / "r/one.json").read_text()) == {"n": 50}
+    with pytest.raises(ValueError):
+        exports.write_report(df, str(tmp_path / "r/bad.json"))
+    exports.write_report(df.limit(0), str(tmp_path / "r/none.json"), ["a"])
+    assert json.loads((tmp_path / "r/none.json").read_text()) == [] and not (tmp_path / "r/bad.json").exists()
