@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import medians
+
 
 def iso_week(day: Column) -> Column:
     return F.concat(F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(day).cast("string"), 2, "0"))
@@ -40,22 +42,25 @@ def horizons(history: DataFrame, key: str, day: str, value: str, listed: str, da
     )
 
 
-def cohort_metrics(outcomes: DataFrame) -> DataFrame:
-    """By week of first sight and horizon: sizes, counts, rates over the eligible, and the median milestone."""
+def cohort_metrics(outcomes: DataFrame, exact: bool = False) -> DataFrame:
+    """By week of first sight and horizon: sizes, counts, rates over the eligible, and the median milestone.
+
+    ``exact`` finds medians by rank (``ranks.medians``), for groups with more distinct milestones than a task holds.
+    """
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
-    return (
-        outcomes.groupBy(iso_week(F.col("first_day")).alias("week"), "horizon")
-        .agg(
-            F.count("*").alias("size"),
-            count(F.col("eligible")).alias("n_eligible"),
-            F.count("milestone").alias("n_observed"),
-            count(F.col("entered")).alias("n_entered"),
-            count(F.col("sustained")).alias("n_sustained"),
-            F.round(F.median("milestone"), 6).alias("median_milestone"),
-        )
-        .withColumn("entry_rate", F.round(F.try_divide(F.col("n_entered").cast("double"), F.col("n_eligible")), 6))
-        .withColumn("sustained_rate", F.round(F.try_divide(F.col("n_sustained").cast("double"), F.col("n_eligible")), 6))
+    keyed = outcomes.withColumn("week", iso_week(F.col("first_day")))
+    sums = keyed.groupBy("week", "horizon").agg(
+        F.count("*").alias("size"),
+        count(F.col("eligible")).alias("n_eligible"),
+        F.count("milestone").alias("n_observed"),
+        count(F.col("entered")).alias("n_entered"),
+        count(F.col("sustained")).alias("n_sustained"),
+        *([] if exact else [F.median("milestone").alias("median_milestone")]),
     )
+    if exact:
+        sums = sums.join(medians(keyed, ["week", "horizon"], "milestone", "median_milestone"), ["week", "horizon"], "left")
+    rate = lambda c: F.round(F.try_divide(F.col(c).cast("double"), F.col("n_eligible")), 6)
+    return sums.withColumns({"median_milestone": F.round("median_milestone", 6), "entry_rate": rate("n_entered"), "sustained_rate": rate("n_sustained")})
 
 
 def horizon_counts(outcomes: DataFrame, primary: Column, happened: DataFrame, kind: str) -> DataFrame:

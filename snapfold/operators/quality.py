@@ -29,10 +29,39 @@ def inventory(before: DataFrame, after: DataFrame, key: str, digest: str, altern
     return both.select(F.coalesce(f"a.{key}", f"b.{key}").alias(key), state.alias("state")).where("state <> 'same'")
 
 
+#: Buckets whose digests are compared before any rows are.
+BUCKETS = 1 << 14
+
+
+def _hashes(rows: DataFrame) -> DataFrame:
+    """``rows`` with two independent hashes of each whole row and the bucket that the first one deals it to."""
+    whole = [F.col(f"`{c}`") for c in rows.columns]
+    out = rows.withColumns({"_h": F.xxhash64(*whole), "_g": F.xxhash64(F.lit(1), *whole)})
+    return out.withColumn("_bucket", F.pmod("_h", F.lit(BUCKETS)).cast("int"))
+
+
+def bag_digests(rows: DataFrame) -> DataFrame:
+    """Count and sums of row hashes of each bucket: equal bags have equal digests, in whatever order and files their rows are."""
+    wide = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+    return _hashes(rows).groupBy("_bucket").agg(F.count("*").alias("n"), wide("_h").alias("h"), wide("_g").alias("g"))
+
+
 def bag_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of either side that the other lacks, counted as often as they are too many; no row if the bags are equal."""
-    side = lambda x, y, name: x.exceptAll(y).withColumn("side", F.lit(name))
-    return side(a, b, "left").unionByName(side(b, a, "right"))
+    """Rows of either side that the other lacks, counted as often as they are too many; no row if the bags are equal.
+
+    Digests of buckets are compared first, which is one aggregation a side of rows that stay where they are. Only rows of buckets
+    that differ are then shuffled; where none does, nothing is. Columns are matched by their places, and maps can't be compared.
+    """
+    b = b.toDF(*a.columns)
+    both = bag_digests(a).alias("a").join(bag_digests(b).alias("b"), "_bucket", "full_outer")
+    unequal = both.where(~(F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.h").eqNullSafe(F.col("b.h")) & F.col("a.g").eqNullSafe(F.col("b.g")))).select("_bucket")
+    # at most BUCKETS small numbers
+    left = lambda x: _hashes(x).join(F.broadcast(unequal), "_bucket", "left_semi")
+    counted = left(a).withColumn("_s", F.lit(1)).unionByName(left(b).withColumn("_s", F.lit(-1)))
+    whole = [F.col(f"`{c}`") for c in a.columns]
+    more = counted.groupBy(*whole).agg(F.sum("_s").alias("_s")).where("_s <> 0")
+    side = F.when(F.col("_s") > 0, "left").otherwise("right").alias("side")
+    return more.select(*whole, side, F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_s"))).alias("_i")).drop("_i")
 
 
 def violations(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:

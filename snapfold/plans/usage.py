@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.scalars import valid_paper_id
-from ..operators import calendar, marts, quality, usage
+from ..operators import calendar, marts, quality, ranks, usage
 from ..session import shared_dir
 from ..sources import exports, store
 from .binding import EVENTS_SQL, TYPES, day_text, events, iso, table, user_days
@@ -162,6 +162,22 @@ def stored_revisions(spark, d):
     return read.select("source", "start_date", "url", "fetched_at", "body", "sha256")
 
 
+def group_medians(spark, d):
+    """Prices of lines by return flag and by status: few groups, each with a third of all rows and as many distinct values."""
+    li = table(spark, d, "lineitem")
+    out = ranks.medians(li, ["l_returnflag"], "l_extendedprice", "median", few=500).withColumnRenamed("l_returnflag", "label")
+    more = ranks.medians(li, ["l_linestatus"], "l_discount", "median", few=500).withColumnRenamed("l_linestatus", "label")
+    return out.withColumn("of", F.lit("price")).unionByName(more.withColumn("of", F.lit("discount"))).withColumn("median", F.round("median", 6))
+
+
+def bag_equality_of_copies(spark, d):
+    """A table against itself in other files and another order: no row; and against itself with a few rows twice."""
+    o = orders(spark, d).select("o_orderkey", "o_custkey", "o_orderpriority")
+    same = quality.bag_difference(o, o.repartition(5)).withColumn("case", F.lit("same"))
+    twice = quality.bag_difference(o, o.unionByName(o.where("o_orderkey % 1000 = 1"))).withColumn("case", F.lit("twice"))
+    return same.unionByName(twice)
+
+
 def inventory_diff(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     before = docs.where("doc_id % 11 <> 0").select("doc_id", F.sha2("text", 256).alias("sum"), F.sha2(F.upper("text"), 256).alias("other"))
@@ -224,7 +240,7 @@ def sample_profile(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     usage_shares, share_denominators, usage_coverage, usage_window, curation_queue, interval_attribution, same_day_join, token_funnel, ranked_models, missing_days, gap_findings,
-    coverage_calendar, carry_forward, regressions, coverage_regressions, staleness, day_completeness, null_dup_profile, profile_counts, stored_revisions, inventory_diff, bag_equality, violations, hosting_day, nested_cards,
+    coverage_calendar, carry_forward, regressions, coverage_regressions, staleness, day_completeness, null_dup_profile, profile_counts, stored_revisions, group_medians, bag_equality_of_copies, inventory_diff, bag_equality, violations, hosting_day, nested_cards,
     member_outcomes, before_after, sample_profile,
 )}
 
@@ -283,6 +299,8 @@ ORACLES = {
         SELECT 'documents', 'lang', count(*), round(avg((nullif(lang, 'en') IS NULL)::INT), 6), any_value(dc) FROM documents, x""",
     "profile_counts": f"""{EVENTS_SQL}, l AS (SELECT 'all' AS label, * FROM e UNION ALL SELECT event_type, * FROM e)
         SELECT label, count(*) AS n, count(DISTINCT user_id) AS n_users, strftime(min(day), '%Y-%m-%d') AS first_day, strftime(max(day), '%Y-%m-%d') AS last_day, date_diff('day', min(day), max(day))::INT AS follow_up FROM l GROUP BY label""",
+    "group_medians": """SELECT l_returnflag AS label, 'price' AS "of", round(median(l_extendedprice), 6) AS median FROM lineitem GROUP BY 1 UNION ALL SELECT l_linestatus, 'discount', round(median(l_discount), 6) FROM lineitem GROUP BY 1""",
+    "bag_equality_of_copies": "SELECT o_orderkey, o_custkey, o_orderpriority, 'right' AS side, 'twice' AS \"case\" FROM orders WHERE o_orderkey % 1000 = 1",
     "stored_revisions": f"""{_O}, r AS (SELECT 'n' || (o_custkey % 5) AS source, strftime(day, '%Y') AS start_date, 'n' || (o_custkey % 5) || '/u' || (o_custkey % 3) AS url, month AS fetched_at, arg_max('{{"status":"' || o_orderstatus || '","class":"' || o_orderpriority[1] || '"}}', {{'p': o_totalprice, 'k': o_orderkey}}) AS body FROM o GROUP BY ALL),
         p AS (SELECT *, lag(body) OVER (PARTITION BY source, start_date, url ORDER BY fetched_at) AS b FROM r) SELECT source, start_date, url, fetched_at, body, sha256(body) AS sha256 FROM p WHERE body IS DISTINCT FROM b""",
     "inventory_diff": """WITH b AS (SELECT doc_id, sha256(text) AS s, sha256(upper(text)) AS u FROM documents WHERE doc_id % 11 <> 0),
