@@ -23,17 +23,17 @@ def roll_up(facts: DataFrame, runs: DataFrame, key: str, source: str, snapshot:
     A bound's instant is null if a fact of the bound's day has none. ``runs`` has source, day, leg_status and snapshot; a
     deployment is PRESENT if it stands in the latest applicable run of every source that ever had it, else UNKNOWN.
     """
-    w = Window.partitionBy(key)
-    rows = facts.where(F.col(key).isNotNull()).withColumns({"_first": F.min(day).over(w), "_last": F.max(day).over(w)})
-    on = lambda b: F.col(day) == F.col(b)
-    bound = lambda b, f: F.when(~F.bool_or(on(b) & F.col(at).isNull()), f(F.when(on(b), F.col(at))))
+    span = [F.bool_or(F.col(at).isNull()).alias("_untimed"), F.min(at).alias("_least"), F.max(at).alias("_most")]
+    base = facts.where(F.col(key).isNotNull()).groupBy(key, source, snapshot, day).agg(F.count("*").alias("_n"), F.collect_set(F.nullif(target, F.lit(""))).alias("_targets"), *span)
+    days = base.groupBy(key, day).agg(F.bool_or("_untimed").alias("_untimed"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    first, last = F.min_by(F.struct("_untimed", "_least"), day), F.max_by(F.struct("_untimed", "_most"), day)
+    bounds = days.groupBy(key).agg(F.min(day).alias("first_day"), first.alias("_f"), F.max(day).alias("last_day"), last.alias("_l"))
+    bounds = bounds.select(key, "first_day", F.when(~F.col("_f._untimed"), F.col("_f._least")).alias("first_at"), "last_day", F.when(~F.col("_l._untimed"), F.col("_l._most")).alias("last_at"))
+    sums = base.groupBy(key).agg(F.sum("_n").alias("n_rows"), F.count_distinct(snapshot).alias("n_snapshots"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_targets")))).alias("targets"))
     latest = runs.where("leg_status <> 'not_applicable'").groupBy(F.col("source").alias("_s")).agg(F.max_by(F.struct("day", snapshot), "day").alias("run"))
-    by_source = rows.join(latest, F.col(source) == F.col("_s"), "left").groupBy(key, source).agg(F.max(F.coalesce(F.col(snapshot) == F.col(f"run.{snapshot}"), F.lit(False))).alias("_there"), F.max("run.day").alias("_day"))
+    by_source = base.join(latest, F.col(source) == F.col("_s"), "left").groupBy(key, source).agg(F.max(F.coalesce(F.col(snapshot) == F.col(f"run.{snapshot}"), F.lit(False))).alias("_there"), F.max("run.day").alias("_day"))
     state = by_source.groupBy(key).agg(F.when(F.bool_and("_there"), "PRESENT").otherwise("UNKNOWN").alias("state"), F.max("_day").alias("as_of_day"), F.count("*").alias("n_sources"))
-    sums = rows.groupBy(key).agg(
-        F.min(day).alias("first_day"), bound("_first", F.min).alias("first_at"), F.max(day).alias("last_day"), bound("_last", F.max).alias("last_at"), F.count("*").alias("n_rows"), F.count_distinct(snapshot).alias("n_snapshots"), F.array_sort(F.collect_set(F.nullif(target, F.lit("")))).alias("targets"),
-    )
-    return sums.join(state, key)
+    return bounds.join(sums, key).join(state, key)
 
 
 def summary(facts: DataFrame, deployments: DataFrame, key: str, snapshot: str, at: str, groups: list[str]) -> DataFrame:
@@ -50,6 +50,17 @@ def summary(facts: DataFrame, deployments: DataFrame, key: str, snapshot: str, a
     return out
 
 
+def _marks(value: str) -> dict[str, Column]:
+    """Two fingerprints of a map's sorted entries; null for null."""
+    entries = F.array_sort(F.map_entries(value))
+    return {"_m1": F.when(entries.isNotNull(), F.xxhash64(entries)), "_m2": F.when(entries.isNotNull(), F.xxhash64(F.lit(2), entries))}
+
+
+def _agree() -> Column:
+    """Whether all maps of a group that aren't null are one; null if all are null."""
+    return (F.min("_m1") == F.max("_m1")) & (F.min("_m2") == F.max("_m2"))
+
+
 def batches(facts: DataFrame, series: list[str], snapshot: str, day: str, at: str, value: Column) -> DataFrame:
     """Facts of one series and snapshot as one batch: its instant, the latest of its rows, and its value.
 
@@ -57,12 +68,12 @@ def batches(facts: DataFrame, series: list[str], snapshot: str, day: str, at: st
     compared with one before it. An untimed batch without a day takes its whole series out. The value is null, which cuts the
     chain too, where rows differ or say nothing (an empty map).
     """
-    rows = facts.withColumn("_v", value).withColumn("_t", F.to_json(F.array_sort(F.map_entries(value))))
-    out = rows.groupBy(*series, snapshot).agg(F.bool_or(F.col(at).isNull()).alias("untimed"), F.max(at).alias("_at"), F.max(day).alias("_day"), F.count_distinct("_t").alias("_n"), F.min_by("_v", "_t").alias("_value"))
+    rows = facts.withColumn("_v", value).withColumns(_marks("_v"))
+    out = rows.groupBy(*series, snapshot).agg(F.bool_or(F.col(at).isNull()).alias("untimed"), F.max(at).alias("_at"), F.max(day).alias("_day"), _agree().alias("_one"), F.any_value("_v", True).alias("_value"))
     w = Window.partitionBy(*series)
     out = out.withColumn("batch_day", F.when(F.col("untimed"), F.col("_day")).otherwise(F.to_date("_at"))).withColumn("_lost", F.bool_or(F.col("untimed") & F.col("_day").isNull()).over(w)).where("not _lost")
     barrier = F.bool_or("untimed").over(Window.partitionBy(*series, "batch_day"))
-    return out.select(*series, snapshot, F.when(~F.col("untimed"), F.col("_at")).alias("batch_at"), "batch_day", barrier.alias("barrier"), F.when(~barrier & (F.col("_n") == 1) & (F.size("_value") > 0), F.col("_value")).alias("value"))
+    return out.select(*series, snapshot, F.when(~F.col("untimed"), F.col("_at")).alias("batch_at"), "batch_day", barrier.alias("barrier"), F.when(~barrier & F.col("_one") & (F.size("_value") > 0), F.col("_value")).alias("value"))
 
 
 def changes(told: DataFrame, series: list[str], same: list[str] | None = None) -> DataFrame:
@@ -70,9 +81,9 @@ def changes(told: DataFrame, series: list[str], same: list[str] | None = None) -
 
     Several batches of one instant are one: they must agree, or the chain is cut.
     """
-    text = F.to_json(F.array_sort(F.map_entries("value")))
-    points = told.groupBy(*series, "batch_day", F.col("batch_at").alias("at")).agg(F.count_distinct(text).alias("_n"), F.count_if(F.col("value").isNull()).alias("_cut"), F.min_by("value", text).alias("_v"))
-    points = points.withColumn("value", F.when((F.col("_n") == 1) & (F.col("_cut") == 0), F.col("_v")))
+    marked = told.withColumns(_marks("value"))
+    points = marked.groupBy(*series, "batch_day", F.col("batch_at").alias("at")).agg(_agree().alias("_one"), F.count_if(F.col("value").isNull()).alias("_cut"), F.any_value("value", True).alias("_v"))
+    points = points.withColumn("value", F.when(F.col("_one") & (F.col("_cut") == 0), F.col("_v")))
     w = Window.partitionBy(*series).orderBy("batch_day", F.col("at").asc_nulls_first())
     rows = points.withColumn("previous", F.lag("value").over(w)).where("value is not null and previous is not null")
     fine = F.lit(True)

@@ -24,7 +24,8 @@ def firsts_attached(rows: DataFrame, outer: str, inner: str, day: str) -> DataFr
 
 def spellings(words: DataFrame, word: str) -> DataFrame:
     """Original spellings of each lower-cased word, sorted, where there are several."""
-    out = words.groupBy(F.lower(word).alias("canonical")).agg(F.array_sort(F.collect_set(word)).alias("s"), F.count("*").alias("n_rows"))
+    counted = words.groupBy(word).agg(F.count("*").alias("_n"))  # a frequent word is a number long before it is in a list
+    out = counted.groupBy(F.lower(word).alias("canonical")).agg(F.array_sort(F.collect_list(word)).alias("s"), F.sum("_n").alias("n_rows"))
     return out.where(F.size("s") > 1).select("canonical", F.array_join("s", ",").alias("spellings"), "n_rows")
 
 
@@ -47,7 +48,7 @@ def flags(entities: DataFrame, key: str, links: dict[str, DataFrame]) -> DataFra
 def references(tags: DataFrame, tag: str, canonical: Column, wanted: DataFrame, known: str) -> tuple[DataFrame, DataFrame]:
     """Original spellings of each wanted id, the id itself where none was found; and the distinct tags that give no id."""
     told = tags.select(F.col(tag).alias("raw"), canonical.alias("_id"))
-    forms = told.where("_id is not null").groupBy("_id").agg(F.array_sort(F.collect_set("raw")).alias("_forms"))
+    forms = told.where("_id is not null").distinct().groupBy("_id").agg(F.array_sort(F.collect_list("raw")).alias("_forms"))
     out = wanted.select(known).distinct().join(forms, F.col(known) == F.col("_id"), "left").select(known, F.coalesce("_forms", F.array(known)).alias("originals"))
     return out, told.where("_id is null and raw is not null").select("raw").distinct()
 

@@ -13,16 +13,18 @@ def hosting(rows: DataFrame, entity: str, day: str, provider: str, status: str,
     mapping without a status counts as ``unknown``.
     """
     there = F.col(provider).isNotNull()
-    # dealt out once: both aggregations find an entity's day in one place
-    each = rows.repartition(entity, day).groupBy(entity, day, provider, F.when(there, F.coalesce(status, F.lit("unknown"))).alias("_status")).agg(F.count("*").alias("_n"), F.collect_set(F.array(*locator)).alias("_at"))
-    by_status = each.groupBy(entity, day, "_status").agg(
-        F.sum("_n").alias("_n"), F.collect_set(provider).alias("_providers"), F.flatten(F.collect_list("_at")).alias("_at")
-    )
-    sums = by_status.groupBy(entity, day).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_providers")))).alias("_declared"),
-        F.array_sort(F.flatten(F.collect_list(F.when(F.col("_status") == live, F.col("_providers"))))).alias("_live"),
-        F.array_sort(F.collect_list(F.when(F.col("_status").isNotNull(), F.concat(F.col("_status"), F.lit("="), F.col("_n"))))).alias("_statuses"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_at")))).alias("_rows"),
+    each = rows.groupBy(entity, day, provider, F.when(there, F.coalesce(status, F.lit("unknown"))).alias("_status")).agg(F.count("*").alias("_n"), F.collect_set(F.array(*locator)).alias("_at"))
+    told = each.groupBy(entity, day).agg(F.collect_list(F.struct(F.col(provider).alias("p"), F.col("_status").alias("s"), F.col("_n").alias("n"))).alias("_told"), F.flatten(F.collect_list("_at")).alias("_at"))
+    named = F.filter("_told", lambda x: x["p"].isNotNull())
+    of = lambda s: F.aggregate(F.filter("_told", lambda x: x["s"] == s), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    statuses = F.array_distinct(F.transform(named, lambda x: x["s"]))
+    sums = told.select(
+        entity,
+        day,
+        F.array_distinct(F.transform(named, lambda x: x["p"])).alias("_declared"),
+        F.array_sort(F.transform(F.filter(named, lambda x: x["s"] == live), lambda x: x["p"])).alias("_live"),
+        F.array_sort(F.transform(statuses, lambda s: F.concat(s, F.lit("="), of(s)))).alias("_statuses"),
+        F.array_sort(F.array_distinct("_at")).alias("_rows"),
     )
     return sums.select(
         entity, day, F.size("_declared").alias("n_declared"), F.size("_live").alias("n_live"), F.array_join("_live", ",").alias("live_providers"), F.array_join("_statuses", ",").alias("statuses"),

@@ -47,15 +47,20 @@ def pieces(rows: DataFrame, key: str, at: str, most: int = PIECE, by: DataFrame
     return rows.join(cuts, key, "left").withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(at))), F.lit(0)))
 
 
+def _may_be_hot(rows: DataFrame, most: int) -> bool:
+    """Whether a key of ``rows`` can have more than ``most`` rows, by the size that Spark's plan tells: a row has a byte at least."""
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > most
+
+
 def last_known(rows: DataFrame, key: str, order: list[str], values: list[str], most: int | None = PIECE, by: DataFrame | None = None) -> DataFrame:
     """``rows`` with each of ``values`` carried on: its last value that isn't null, of the key, up to the row in ``order``.
 
     A key of more than ``most`` rows is scanned in pieces by many tasks; what a piece ends with is then carried into the next
-    ones, which are a few rows a key. Hot keys are looked for in ``by`` (``rows`` if not given). Without ``most`` it is a window,
-    for rows that are few a key by what they are.
+    ones, which are a few rows a key. Hot keys are looked for in ``by`` (``rows`` if not given), unless that is too small to have
+    one. Without ``most`` it is a window, for rows that are few a key by what they are.
     """
     before = Window.rowsBetween(Window.unboundedPreceding, 0)
-    if most is None:
+    if most is None or not _may_be_hot(rows if by is None else by, most):
         w = before.partitionBy(key).orderBy(*order)
         return rows.withColumns({v: F.last(v, ignorenulls=True).over(w) for v in values})
     cut = pieces(rows, key, order[0], most, by)

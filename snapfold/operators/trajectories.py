@@ -87,12 +87,16 @@ def screens(rows: DataFrame, thresholds: DataFrame, rules: dict[str, Column]) ->
 
 def pick(rows: DataFrame, key: str, reasons: dict[str, tuple[Column, str]]) -> DataFrame:
     """For each reason in turn, the best entity that passes it and wasn't picked yet; ties by key."""
-    some = None
-    for n, (passes, score) in reasons.items():
-        top = rows.where(passes).orderBy(F.desc(score), key).limit(len(reasons)).select(key, F.lit(n).alias("reason"), F.col(score).alias("score"))
-        if some is None:
-            some = top.limit(1)
-        else:
-            left = top.join(some.select(key), key, "left_anti").orderBy(F.desc("score"), key).limit(1)
-            some = some.unionByName(left)
-    return some
+    each = F.array_compact(F.array(*[F.when(F.coalesce(passes, F.lit(False)), F.struct(F.lit(i).alias("i"), F.lit(n).alias("reason"), F.col(score).cast("double").alias("score"))) for i, (n, (passes, score)) in enumerate(reasons.items())]))
+    told = rows.select(key, F.explode(each).alias("e")).select("e.i", "e.reason", "e.score", key)
+    w = Window.partitionBy("i").orderBy(F.desc("score"), key)
+    best = told.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= len(reasons))
+    # as many rows as reasons times reasons, in one row: the next reason passes over what an earlier one has taken
+    row = F.struct("i", "turn", "reason", "score", F.col(key).alias("key"))
+    line = best.agg(F.array_sort(F.collect_list(row)).alias("line"))
+    kind = line.schema["line"].dataType
+
+    def taken(some: Column, x: Column) -> Column:
+        return F.when(F.exists(some, lambda y: (y["i"] == x["i"]) | (y["key"] == x["key"])), some).otherwise(F.concat(some, F.array(x)))
+
+    return line.select(F.explode(F.aggregate("line", F.array().cast(kind), taken)).alias("x")).select(F.col("x.key").alias(key), "x.reason", "x.score")

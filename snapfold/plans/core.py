@@ -138,10 +138,8 @@ def firsts_attached(spark, d):
 
 
 def route_dates(spark, d):
-    li = table(spark, d, "lineitem")
-    lists = li.groupBy("l_partkey").agg(F.collect_set("l_suppkey").alias("suppliers"), F.min(F.to_date("l_shipdate")).alias("day"))
-    edges = lists.select("l_partkey", "day", F.explode("suppliers").alias("supplier"))
-    out = edges.groupBy("l_partkey").agg(F.min("day").alias("first_day"), F.count_distinct("supplier").alias("n_suppliers"))
+    edges = table(spark, d, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.min("l_shipdate").alias("day"))
+    out = edges.groupBy("l_partkey").agg(F.to_date(F.min("day")).alias("first_day"), F.count("l_suppkey").alias("n_suppliers"))
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"))
     return parts.join(out, "l_partkey", "left").select("l_partkey", day_text("first_day"), F.coalesce("n_suppliers", F.lit(0)).alias("n_suppliers"))
 
