@@ -60,7 +60,7 @@ def last_known(rows: DataFrame, key: str, order: list[str], values: list[str], m
     one. Without ``most`` it is a window, for rows that are few a key by what they are.
     """
     before = Window.rowsBetween(Window.unboundedPreceding, 0)
-    if most is None or not _may_be_hot(rows if by is None else by, most):
+    if most is None or not _may_be_hot((rows if by is None else by).select(key, order[0]), most):
         w = before.partitionBy(key).orderBy(*order)
         return rows.withColumns({v: F.last(v, ignorenulls=True).over(w) for v in values})
     cut = pieces(rows, key, order[0], most, by)
