@@ -23,14 +23,21 @@ _FOLDERS: list[str] = []
 _TABLES: list[str] = []
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes what operators have written so far; only once nothing that comes from it will be read again."""
-    while _TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+def made() -> set[str]:
+    """The folders and tables that operators have written and not released."""
+    return {*_FOLDERS, *_TABLES}
+
+
+def release(spark: SparkSession, names: set[str] | None = None) -> None:
+    """Deletes what operators have written, or of it what is named; only once nothing that comes from it will be read again."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    while _FOLDERS:
-        path = hadoop.Path(_FOLDERS.pop())
+    for name in [t for t in _TABLES if names is None or t in names]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _TABLES.remove(name)
+    for name in [f for f in _FOLDERS if names is None or f in names]:
+        path = hadoop.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _FOLDERS.remove(name)
 
 
 def shared_dir(spark: SparkSession) -> str:

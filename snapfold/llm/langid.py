@@ -118,13 +118,16 @@ class ByteConvNet:
 
 
 def training_windows(docs: DataFrame) -> DataFrame:
-    """(draw, lang, bytes) of the bounded sample: ``draw`` is a hash of the id, so its order depends on ids and texts only."""
+    """(draw, lang, bytes) of the bounded sample: ``draw`` is a hash of id and text, so its order depends on these only.
+
+    Rows of equal or null id are drawn by their texts; rows that are equal in both are taken or left together, as far as the bound goes.
+    """
     usable = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "doc_id", F.col("text").cast("binary").alias("text"))
     counts = written(usable.groupBy("lang").agg(F.count("*").alias("n")), "langs")
     scale, of_lang = 1 << 30, max(1, min(DOCS_PER_LANG, DOCS // max(1, counts.count())))
     # some more than are wanted, so that no language is left without a text; the least draws of them are taken
     most = counts.select(F.col("lang").alias("_lang"), (F.lit(scale * (of_lang + 8 * of_lang**0.5)) / F.col("n")).alias("most"))
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(scale))
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(scale))
     chosen = usable.withColumn("draw", draw).join(most, F.col("lang") == F.col("_lang")).where("draw <= most")
     chosen = chosen.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))).where(F.col("nth") <= of_lang)
 
