@@ -67,7 +67,7 @@ def test_repositories(spark, raw):
     assert set(first) == {"a/x", "solo", "m/only"}
     x = first["a/x"]
     assert x["arxiv_ids"] == ["2301.00001", "hep-th/9901001"] and x["base_model"] == "quantized:b/c" and x["author"] == "a" and x["gated"] == "auto" and x["source_url"] == "http://page" and x["discovery_sources_json"] == "[]"
-    assert first["solo"]["author"] == "solo" and first["solo"]["gated"] == "false" and str(first["solo"]["created_at"]) == "2026-01-01 00:00:00" and first["solo"]["tags_json"] == "[]"
+    assert first["solo"]["author"] == "solo" and first["solo"]["gated"] == "False" and str(first["solo"]["created_at"]) == "2026-01-01 00:00:00" and first["solo"]["tags_json"] == "[]"
     assert str(first["m/only"]["created_at"]) == "2026-01-01 00:00:00"
     told = [(r["line"], r["error"]) for r in findings.where("day = '2026-01-01'").collect()]
     assert sorted(told) == sorted([(2, "bad envelope"), (4, "body is not a list"), (1, "row without an id"), (1, "row is no object"), (1, "invalid tags: solo"), (1, "invalid downloads: solo"), (1, "invalid likes: m/only"), (1, "invalid lastModified: m/only")])
