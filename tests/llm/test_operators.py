@@ -317,6 +317,12 @@ def test_passages(spark, odd, documents):
     assert expected <= got and 201 not in got and 202 not in got
 
 
+def test_passages_of_short_texts_only(spark):
+    """No text of a batch is long enough for a window: no rows, though texts are repeated."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, ""), (4, None)], "doc_id long, text string")
+    assert passages.near_duplicates(docs).where("size(passages) > 0").count() == 0
+
+
 def test_passages_with_an_edit(spark):
     rng = np.random.default_rng(6)
     words = [f"v{i}" for i in range(4000)]
