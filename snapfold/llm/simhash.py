@@ -2,7 +2,8 @@
 
 A document's fingerprint has bit i set if more than half of its shingles' XXH64 hashes have. Equal fingerprints are one
 node. Nodes within the radius agree on at least one of radius + 1 bands of bits, so each node goes to one shard a band;
-a shard above ``SHARD`` nodes is cut again by bands of the bits that are still free, until few bits stay. Each shard gets
+a shard above ``SHARD`` nodes is cut again by bands of the bits that are still free, until at most ``FREE`` stay, so that a
+shard has no more nodes than these bits have values (at radius 2 after three cuts). Each shard gets
 a BK-tree, whose children are keyed by their Hamming distance to the parent; searches descend only edges within the
 radius of the distance at hand, many at a time in numpy. The trees travel to the tasks with the shuffle, not through
 the driver: a broadcast variable would gather all fingerprints there. From a shard come only links that join its
@@ -29,6 +30,10 @@ from .components import components
 SEED = 42
 #: Nodes of a shard beyond which it is cut again.
 SHARD = 2048
+#: Free bits at which a shard isn't cut any more, and cuts after which none is, since each multiplies the rows by the bands.
+FREE, CUTS = 20, 3
+#: Rows of a partition of shards, and rows of whole shards that a task holds at once: a longer shard is held alone.
+ROWS, HELD = 1 << 20, 1 << 18
 #: Searches that descend together.
 BATCH = 1 << 16
 
@@ -171,7 +176,7 @@ def node_links(nodes: DataFrame, radius: int) -> DataFrame:
         now = _cut(now, radius, depth)
         sizes = now.groupBy("shard").agg(F.count("*").alias("n"))
         now = written(now.join(sizes.where("n > 1"), "shard"), "shards")
-        last = 64 - depth * 64 // (radius + 1) < 24 or depth == 3
+        last = depth == CUTS or max(len(path[-2]) - len(path[-1]) for path in _paths(radius, depth)) <= FREE
         ready.append(now if last else now.where(F.col("n") <= SHARD))
         now = now.where(F.col("n") > SHARD).drop("n")
         if last or now.isEmpty():
@@ -182,21 +187,39 @@ def node_links(nodes: DataFrame, radius: int) -> DataFrame:
         members = members.unionByName(more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        if not got:
-            return
-        t = pa.Table.from_batches(got)
-        shard, fps, rep = (t.column(c).to_numpy() for c in ("shard", "fp", "rep"))
-        new = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (fps[1:] != fps[:-1])])
-        shard, fps, rep = shard[new], fps[new].view(np.uint64), rep[new]
-        least = joined(len(fps), Forest(fps, shard).links(radius))
-        moved = np.flatnonzero(least != np.arange(len(fps)))
-        yield pa.RecordBatch.from_arrays([pa.array(rep[moved]), pa.array(rep[least[moved]])], ["a", "b"])
-
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+        for shard, fps, rep in _whole_shards(batches):
+            new = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (fps[1:] != fps[:-1])])
+            shard, fps, rep = shard[new], fps[new].view(np.uint64), rep[new]
+            least = joined(len(fps), Forest(fps, shard).links(radius))
+            moved = np.flatnonzero(least != np.arange(len(fps)))
+            yield pa.RecordBatch.from_arrays([pa.array(rep[moved]), pa.array(rep[least[moved]])], ["a", "b"])
+
+    # partitions in proportion to the rows, whatever the session's setting
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2, -(-members.count() // ROWS))
     return members.select("shard", "fp", "rep").repartition(parts, "shard").sortWithinPartitions("shard", "fp").mapInArrow(run, "a long, b long")
 
 
+def _whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of batches sorted by their first column, the columns of some whole shards at a time: about ``HELD`` rows, or one longer shard."""
+    held: list[tuple[np.ndarray, ...]] = []
+    rows = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = tuple(b.column(i).to_numpy() for i in range(b.num_columns))
+        shard = cols[0]
+        # what ends with this batch's last shard but one is whole
+        cut = int(np.searchsorted(shard == shard[-1], True))
+        if held and rows + cut >= HELD and (cut or held[-1][0][-1] != shard[-1]):
+            held.append(tuple(c[:cut] for c in cols))
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held, rows, cols = [], 0, tuple(c[cut:] for c in cols)
+        held.append(cols)
+        rows += len(cols[0])
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
 def simhash_components(docs: DataFrame, k: int, radius: int) -> DataFrame:
     """doc_id, fp, component_id of every row."""
     prints = written(fingerprints(docs, k), "fingerprints")

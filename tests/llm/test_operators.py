@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -270,6 +271,41 @@ def test_bk_forest_links_all_neighbours():
     assert got == {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if shard[i] == shard[j] and int(fps[i] ^ fps[j]).bit_count() <= 2}
 
 
+def test_shards_are_read_whole(monkeypatch):
+    monkeypatch.setattr(simhash, "HELD", 50)
+    rng = np.random.default_rng(8)
+    shard = np.sort(np.r_[rng.integers(0, 60, 700), np.full(300, 31)])
+    table = pa.table({"shard": shard, "fp": np.arange(1000), "rep": np.arange(1000)})
+    for size in (1, 7, 64, 5000):
+        got = list(simhash._whole_shards(iter([*table.to_batches(max_chunksize=size), *table.slice(0, 0).to_batches()])))
+        assert np.array_equal(np.concatenate([g[1] for g in got]), np.arange(1000))
+        assert all(a[0][-1] != b[0][0] for a, b in zip(got, got[1:]))
+        # what is held is the bound, a batch, or one shard that is longer
+        assert all(len(g[0]) < 50 + 50 + size + (300 + 50 if 31 in g[0] else 0) for g in got)
+    assert not list(simhash._whole_shards(iter([])))
+
+
+@pytest.mark.parametrize("parts", ["1", "8"])
+def test_dense_shards_against_brute_force(spark, monkeypatch, parts):
+    """All values of a few bits about two centres, beside nodes far from any: cut thrice, in one partition or many, links as by all pairs."""
+    monkeypatch.setattr(simhash, "SHARD", 64)
+    monkeypatch.setattr(simhash, "HELD", 500)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rng = np.random.default_rng(21)
+    centres = rng.integers(0, 1 << 63, 2, np.uint64)
+    dense = [int(c) ^ sum(1 << (5 * b) for b in range(10) if v >> b & 1) for c, keep in zip(centres, (1, 3)) for v in range(1024) if v % keep == 0]
+    pairs = [int(x) ^ e for x in rng.integers(0, 1 << 63, 200, np.uint64) for e in (0, 0b11 << 17, 0b111 << 40)]
+    fps = np.array(list(dict.fromkeys(dense + pairs)), np.uint64)
+    up = simhash.joined(len(fps), iter([np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None]) <= 2, 1))]))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        nodes = spark.createDataFrame([(int(f), i) for i, f in enumerate(fps.view(np.int64))], "fp long, rep long")
+        found = {r["node"]: r["component"] for r in simhash.components(simhash.node_links(nodes, 2)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [found.get(i, i) for i in range(len(fps))] == up.tolist()
+
+
 def test_near_copies(spark):
     rng = np.random.default_rng(5)
     words = [f"v{i}" for i in range(4000)]
