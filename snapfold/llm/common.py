@@ -92,27 +92,39 @@ def positional(df: DataFrame, columns: list[str]) -> list:
     return [df[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(columns)]
 
 
-def summed(parts: DataFrame, tasks: int) -> Iterator[tuple[int, np.ndarray]]:
+#: Arrays that a task adds up for a place.
+FAN = 64
+
+
+def summed(parts: DataFrame, tasks: int, many: int = 1) -> Iterator[tuple[int, np.ndarray]]:
     """(at, y) rows, ``y`` the bytes of float32 numbers, to the sum of the arrays of each ``at``; added up in ``tasks`` tasks.
 
-    The driver gets one array of each place, whatever the number of rows.
+    Where about ``many`` partitions give an array to each place, they are added as a tree, ``FAN`` partitions a task, so that no task
+    reads more however many there are, and in an order that doesn't change between runs. The driver gets one array of each place.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, None
-        one = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["at", "y"])
+        kinds = pa.int64(), pa.int32(), pa.binary()
+        one = lambda: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*now, total.tobytes()), kinds)], ["at", "part", "y"])
         for b in batches:
-            for at, y in zip(b.column(0).to_pylist(), b.column(1)):
+            for at, group, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 part = np.frombuffer(y.as_buffer(), np.float32)
-                if at == now:
+                if (at, group) == now:
                     total += part
                     continue
                 if now is not None:
                     yield one()
-                now, total = at, part.copy()
+                now, total = (at, group), part.copy()
         if now is not None:
             yield one()
 
-    dealt = parts.repartition(tasks, "at").sortWithinPartitions("at")
-    for r in dealt.mapInArrow(run, "at long, y binary").toLocalIterator():
-        yield r[0], np.frombuffer(bytes(r[1]), np.float32)
+    level = parts.select("at", F.spark_partition_id().alias("part"), "y")
+    while True:
+        many = -(-many // FAN)
+        dealt = level.select("at", (F.col("part") % many).alias("group"), "y", "part").repartition(tasks * many, "at", "group").sortWithinPartitions("at", "group", "part")
+        level = dealt.select("at", "group", "y").mapInArrow(run, "at long, part int, y binary")
+        if many == 1:
+            break
+    for r in level.toLocalIterator():
+        yield r["at"], np.frombuffer(bytes(r["y"]), np.float32)

@@ -136,49 +136,55 @@ class Gru:
             back[order] = back.copy()
         return out, back
 
+    def gradients(self, codes: np.ndarray, fresh: np.ndarray, live: np.ndarray, state: list[np.ndarray]) -> dict[str, np.ndarray]:
+        """Of the negative mean log probability of a window's live codes, from the state carried in, which moves on."""
+        h = HIDDEN
+        g = {k: np.zeros_like(a) for k, a in self.p.items()}
+        kept: list = []
+        now = state[0]
+        old = ~fresh
+        for step in range(len(codes)):
+            now = now * old[step][:, None]
+            now = self.advance(now, codes[step], kept)
+        state[0] = now
+        before = np.concatenate([k[0] for k in kept])
+        on = np.flatnonzero(live.ravel())
+        _, back = self.log_probs(before.take(on, axis=0), codes.ravel()[on], g)
+        dh_out = np.zeros_like(before)
+        dh_out[on] = back
+        dh_out = dh_out.reshape(len(codes), -1, h)
+        u_zr, u_n, dh = self.p["u"][:, : 2 * h].T.copy(), self.p["u"][:, 2 * h :].T.copy(), np.zeros_like(now)
+        at_x, at_n = np.empty((*codes.shape, 3 * h), np.float32), np.empty((*codes.shape, h), np.float32)
+        for step in range(len(codes) - 1, -1, -1):
+            prev, zr, n, hn = kept[step]
+            z, r = zr[:, :h], zr[:, h:]
+            d = at_x[step]
+            keep = dh * z
+            dn = dh - keep
+            dn *= 1 - n * n
+            np.multiply(dh * (prev - n), z - z * z, out=d[:, :h])
+            np.multiply(dn * hn, r - r * r, out=d[:, h : 2 * h])
+            d[:, 2 * h :] = dn
+            np.multiply(dn, r, out=at_n[step])
+            dh = keep
+            dh += d[:, : 2 * h] @ u_zr
+            dh += at_n[step] @ u_n
+            dh += dh_out[step]
+            dh *= old[step][:, None]
+        g["u"][:, : 2 * h] += before.T @ at_x[..., : 2 * h].reshape(-1, 2 * h)
+        g["u"][:, 2 * h :] += before.T @ at_n.reshape(-1, h)
+        flat = codes.ravel()
+        order = np.argsort(flat, kind="stable")
+        cut = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
+        g["x"][flat[order[cut]]] = np.add.reduceat(at_x.reshape(-1, 3 * h).take(order, axis=0), cut, axis=0)
+        return g
+
     def learn(self, docs: list[np.ndarray], most: int = LANES) -> None:
         """One pass of truncated backpropagation with Adam, over at most ``most`` documents at a time."""
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v, t, h = {k: np.zeros_like(a) for k, a in self.p.items()}, 0, HIDDEN
+        v, t = {k: np.zeros_like(a) for k, a in self.p.items()}, 0
         for codes, fresh, live, state in lanes(docs, most):
-            g = {k: np.zeros_like(a) for k, a in self.p.items()}
-            kept: list = []
-            now = state[0]
-            old = ~fresh
-            for step in range(len(codes)):
-                now = now * old[step][:, None]
-                now = self.advance(now, codes[step], kept)
-            state[0] = now
-            before = np.concatenate([k[0] for k in kept])
-            on = np.flatnonzero(live.ravel())
-            _, back = self.log_probs(before.take(on, axis=0), codes.ravel()[on], g)
-            dh_out = np.zeros_like(before)
-            dh_out[on] = back
-            dh_out = dh_out.reshape(len(codes), -1, h)
-            u_zr, u_n, dh = self.p["u"][:, : 2 * h].T.copy(), self.p["u"][:, 2 * h :].T.copy(), np.zeros_like(now)
-            at_x, at_n = np.empty((*codes.shape, 3 * h), np.float32), np.empty((*codes.shape, h), np.float32)
-            for step in range(len(codes) - 1, -1, -1):
-                prev, zr, n, hn = kept[step]
-                z, r = zr[:, :h], zr[:, h:]
-                d = at_x[step]
-                keep = dh * z
-                dn = dh - keep
-                dn *= 1 - n * n
-                np.multiply(dh * (prev - n), z - z * z, out=d[:, :h])
-                np.multiply(dn * hn, r - r * r, out=d[:, h : 2 * h])
-                d[:, 2 * h :] = dn
-                np.multiply(dn, r, out=at_n[step])
-                dh = keep
-                dh += d[:, : 2 * h] @ u_zr
-                dh += at_n[step] @ u_n
-                dh += dh_out[step]
-                dh *= old[step][:, None]
-            g["u"][:, : 2 * h] += before.T @ at_x[..., : 2 * h].reshape(-1, 2 * h)
-            g["u"][:, 2 * h :] += before.T @ at_n.reshape(-1, h)
-            flat = codes.ravel()
-            order = np.argsort(flat, kind="stable")
-            cut = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-            g["x"][flat[order[cut]]] = np.add.reduceat(at_x.reshape(-1, 3 * h).take(order, axis=0), cut, axis=0)
+            g = self.gradients(codes, fresh, live, state)
             t += 1
             for k, a in g.items():
                 np.clip(a, -1, 1, out=a)
@@ -358,7 +364,7 @@ def trained(rows: DataFrame, vocabulary: Vocabulary) -> Gru:
         # dealt out evenly, not by key
         own = rows.where((F.col("slice") == r % rounds) & ~F.col("held_out")).select("h", "codes")
         dealt = own.repartition(learners).sortWithinPartitions("h", "codes").select("codes")
-        got = dict(summed(dealt.mapInArrow(run, "at long, y binary"), len(names) + 1))
+        got = dict(summed(dealt.mapInArrow(run, "at long, y binary"), len(names) + 1, learners))
         if got:
             for i, k in enumerate(names):
                 model.p[k] = (got[i] / got[len(names)]).reshape(model.p[k].shape)

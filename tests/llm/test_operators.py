@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from snapfold.llm import chat, chroma, decontam, induced, langid, mixing, passages, queries, recurrent, simhash, suffixes, warc
+from snapfold.llm import chat, chroma, common, decontam, induced, langid, mixing, passages, queries, recurrent, simhash, suffixes, warc
 
 
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES])
@@ -155,6 +155,59 @@ def test_recurrent_model_is_a_distribution_and_carries_its_state():
     assert np.allclose(model.scores(docs), one_by_one, rtol=1e-3)
 
 
+def test_recurrent_gradients_are_the_differences():
+    """Every kind of parameter, over a window with a state carried in, a document that begins in it and lanes that end in it."""
+    rng = np.random.default_rng(3)
+    model = recurrent.Gru(rng.integers(0, 50, recurrent.CODES).astype(float), 1)
+    model.p = {k: v.astype(np.float64) + rng.normal(0, 0.05, v.shape) for k, v in model.p.items()}
+    codes = rng.integers(0, recurrent.CODES, (7, 3)).astype(np.int32)
+    codes[2:4] = codes[0]
+    fresh, live = np.zeros((7, 3), bool), np.ones((7, 3), bool)
+    fresh[3, 0], live[5:, 2] = True, False
+    carried = rng.normal(0, 0.5, (3, recurrent.HIDDEN))
+
+    def loss():
+        now, states = carried, []
+        for step in range(7):
+            now = now * ~fresh[step][:, None]
+            states.append(now)
+            now = model.advance(now, codes[step])
+        on = live.ravel()
+        return -model.log_probs(np.concatenate(states)[on], codes.ravel()[on])[0].mean()
+
+    state = [carried.copy()]
+    got = model.gradients(codes, fresh, live, state)
+    assert not np.array_equal(state[0], carried)
+    for name, values in model.p.items():
+        # where it is largest, and some places anywhere
+        places = {*np.argsort(-np.abs(got[name]).ravel())[:6].tolist(), *rng.integers(0, values.size, 6).tolist()}
+        for at in places:
+            flat, eps = values.ravel(), 1e-5
+            kept = flat[at]
+            flat[at] = kept + eps
+            up = loss()
+            flat[at] = kept - eps
+            down = loss()
+            flat[at] = kept
+            assert got[name].ravel()[at] == pytest.approx((up - down) / (2 * eps), rel=1e-3, abs=1e-6), (name, at)
+
+
+def test_sums_as_a_tree(spark, monkeypatch):
+    """More partitions than a task adds up: three levels, the same bytes each time, and no task with more than its share."""
+    monkeypatch.setattr(common, "FAN", 3)
+
+    def give(batches):
+        rows = sum(b.num_rows for b in batches)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([0, 5], pa.int64()), pa.array([np.full(4, rows, np.float32).tobytes(), np.array([rows / 7], np.float32).tobytes()], pa.binary())], ["at", "y"])
+
+    parts = spark.range(0, 200, 1, 20).mapInArrow(give, "at long, y binary")
+    got = [dict(common.summed(parts, 2, 20)) for _ in range(2)]
+    assert sorted(got[0]) == [0, 5] and got[0][0].tolist() == [200.0] * 4
+    assert got[0][5][0] == pytest.approx(200 / 7, rel=1e-5) and got[0][5].tobytes() == got[1][5].tobytes()
+    assert dict(common.summed(parts.where("at > 9"), 2, 20)) == {}
+
+
 def test_recurrent_model_learns_an_order():
     counts = np.zeros(recurrent.CODES)
     counts[1:9] = 100
