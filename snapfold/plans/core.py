@@ -56,7 +56,7 @@ def overlay(spark, d):
 def ranked_dedup(spark, d):
     orders = table(spark, d, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
     early = orders.where("o_orderstatus = 'O'").withColumn("source_rank", F.lit(0))
-    late = orders.where("o_orderstatus <> 'F'").withColumn("source_rank", F.lit(1))
+    late = orders.withColumn("source_rank", F.lit(1))
     both = early.unionByName(late)
     first = dedup.canonical(both, ["o_custkey", "month"], ["source_rank", "o_orderdate", "o_orderkey"])
     last = dedup.canonical(both, ["o_custkey", "month"], [F.desc("source_rank"), F.desc("o_orderdate"), F.desc("o_orderkey")])
@@ -150,9 +150,9 @@ def spellings(spark, d):
 
 
 def set_overlap(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).distinct()
-    s = table(spark, d, "supplier").where("s_acctbal > 0").select(F.col("s_nationkey").alias("k")).distinct()
-    return links.overlap(c, s, "k")
+    o = table(spark, d, "orders")
+    done, rest = (o.where(f"o_orderstatus {x} 'F'").select(F.col("o_custkey").alias("k")).distinct() for x in ("=", "<>"))
+    return links.overlap(done, rest, "k")
 
 
 _CANON = f"""{EVENTS_SQL},
@@ -200,7 +200,7 @@ ORACLES = {
         SELECT user_id, event_id, event_type FROM l WHERE p IS DISTINCT FROM event_type""",
     "overlay": f"""{_CANON}, t AS (SELECT * FROM (SELECT user_id, day, event_id, row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) AS n FROM e WHERE event_type = 'purchase') WHERE n = 1)
         SELECT c.user_id, strftime(c.day, '%Y-%m-%d') AS day, c.event_id, 'p' || t.event_id AS tag FROM c LEFT JOIN t ON t.user_id = c.user_id AND t.day = c.day""",
-    "ranked_dedup": """WITH b AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month, 0 AS r FROM orders WHERE o_orderstatus = 'O' UNION ALL SELECT *, strftime(o_orderdate, '%Y-%m'), 1 FROM orders WHERE o_orderstatus <> 'F'),
+    "ranked_dedup": """WITH b AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month, 0 AS r FROM orders WHERE o_orderstatus = 'O' UNION ALL SELECT *, strftime(o_orderdate, '%Y-%m'), 1 FROM orders),
         n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, month ORDER BY r, o_orderdate, o_orderkey) AS a, row_number() OVER (PARTITION BY o_custkey, month ORDER BY r DESC, o_orderdate DESC, o_orderkey DESC) AS z FROM b)
         SELECT o_custkey, month, max(CASE WHEN a = 1 THEN o_orderkey END) AS first_key, max(CASE WHEN a = 1 THEN r END) AS first_rank, max(CASE WHEN z = 1 THEN o_orderkey END) AS last_key FROM n GROUP BY ALL""",
     "horizon_outcomes": f"{_OUTCOMES} SELECT user_id, strftime(first_day, '%Y-%m-%d') AS first_day, horizon, eligible, round(milestone, 6) AS milestone, entered, sustained FROM x",
@@ -228,6 +228,6 @@ ORACLES = {
     "route_dates": """SELECT p_partkey AS l_partkey, strftime(min(l_shipdate), '%Y-%m-%d') AS first_day, count(DISTINCT l_suppkey) AS n_suppliers FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey""",
     "spellings": """WITH w AS (SELECT unnest(string_split_regex(text, '[^A-Za-z]+')) AS word FROM documents)
         SELECT lower(word) AS canonical, string_agg(DISTINCT word, ',' ORDER BY word) AS spellings, count(*) AS n_rows FROM w WHERE word <> '' GROUP BY 1 HAVING count(DISTINCT word) > 1""",
-    "set_overlap": """WITH a AS (SELECT DISTINCT c_nationkey AS k FROM customer), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_acctbal > 0)
+    "set_overlap": """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus <> 'F')
         SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b, (SELECT count(*) FROM a JOIN b USING (k)) AS n_both, (SELECT count(*) FROM (SELECT k FROM a UNION SELECT k FROM b)) AS n_union""",
 }

@@ -217,7 +217,7 @@ def nested_cards(spark, d):
 
 
 def _told(spark, d):
-    members = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    members = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
     months = F.transform(F.sequence(F.lit("1996-01-01").cast("date"), F.lit("1996-12-01").cast("date"), F.expr("interval 1 month")), lambda x: F.date_format(x, "yyyy-MM"))
     seen = orders(spark, d).where("o_orderstatus <> 'F'")
     failed = orders(spark, d).where("o_orderstatus = 'F'").groupBy("o_custkey", "month").agg(F.min("o_orderpriority").alias("reason"))
@@ -320,7 +320,7 @@ ORACLES = {
         SELECT l_partkey, strftime(q.day, '%Y-%m-%d') AS day, n_declared, n_live, coalesce(array_to_string(lp, ','), '') AS live_providers, coalesce(statuses, '') AS statuses, CASE WHEN n_declared > 0 THEN 'declared' ELSE 'unknown' END AS state, row_locators
         FROM q JOIN w USING (l_partkey, day) LEFT JOIN m USING (l_partkey, day)""",
     "nested_cards": "SELECT c_custkey AS o_custkey, c_name, count(o_orderkey) AS n_items, coalesce('[' || string_agg(o_orderkey, ',' ORDER BY o_orderkey) || ']', '[]') AS items FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name",
-    "member_outcomes": f"""{_O}, g AS (SELECT c_custkey AS k, month FROM customer CROSS JOIN (SELECT DISTINCT month FROM o WHERE year(day) = 1996) WHERE c_mktsegment = 'BUILDING'),
+    "member_outcomes": f"""{_O}, g AS (SELECT c_custkey AS k, month FROM customer CROSS JOIN (SELECT DISTINCT month FROM o WHERE year(day) = 1996)),
         t AS (SELECT g.k, g.month, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o_custkey = g.k AND o.month = g.month AND o_orderstatus <> 'F') THEN 'observed'
           ELSE coalesce((SELECT min(o_orderpriority) FROM o WHERE o_custkey = g.k AND o.month = g.month AND o_orderstatus = 'F'), 'unobserved') END AS outcome FROM g),
         b AS (SELECT month, outcome, count(*) AS n FROM t GROUP BY ALL)
