@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: Rows of a key above which it is cut into pieces of time, and how many.
 PIECE, CUTS = 1 << 22, 256
 
@@ -38,13 +40,16 @@ def pieces(rows: DataFrame, key: str, at: str, most: int = PIECE, by: DataFrame
     """``rows`` with ``_piece``: a key of more than ``most`` rows is cut at the quantiles of ``at`` into ``CUTS`` pieces, others are one.
 
     Rows of one instant stay together, nulls are in the first piece. ``_cuts`` is null where nothing is cut. There are at most
-    rows / ``most`` keys that are cut. ``by`` is what is counted, if that is less to read than ``rows``.
+    rows / ``most`` keys that are cut. ``by`` is what is counted, if that is less to read than ``rows``. Quantiles are a sketch that
+    depends on the order in which tasks' parts arrive, so they are written once: whoever reads the pieces twice meets the same ones.
+    They are 2 KB a key, so every task gets all of them and a hot key's rows needn't meet for it.
     """
+    shared_dir(rows.sparkSession)
     by = (rows if by is None else by).select(key, at)
     hot = by.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(key)
     steps = [i / CUTS for i in range(1, CUTS)]
-    cuts = by.join(hot, key, "left_semi").groupBy(key).agg(F.array_distinct(F.percentile_approx(at, steps, 8 * CUTS)).alias("_cuts"))
-    return rows.join(cuts, key, "left").withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(at))), F.lit(0)))
+    cuts = by.join(hot, key, "left_semi").groupBy(key).agg(F.array_distinct(F.percentile_approx(at, steps, 8 * CUTS)).alias("_cuts")).checkpoint()
+    return rows.join(F.broadcast(cuts), key, "left").withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(at))), F.lit(0)))
 
 
 def _may_be_hot(rows: DataFrame, most: int) -> bool:

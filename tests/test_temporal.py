@@ -38,6 +38,27 @@ def test_a_hot_key_is_shared_by_tasks(line):
     assert all(p == 0 for k, p in sizes if k is None)
 
 
+def test_pieces_are_the_same_for_all_that_read_them(spark, line):
+    """Quantiles depend on the order of arrival, here on chance: what a piece hands on must come from the pieces that were scanned."""
+
+    def some(batches):
+        import random
+
+        import pyarrow as pa
+
+        for b in batches:
+            yield b.filter(pa.array([random.SystemRandom().random() < 0.3 for _ in range(b.num_rows)]))
+
+    w = Window.partitionBy("key").orderBy("at", "n").rowsBetween(Window.unboundedPreceding, 0)
+    expected = sorted(map(str, line.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in ("a", "b")}).collect()))
+    spark.conf.set("spark.sql.exchange.reuse", "false")  # on a cluster whether Spark reuses the quantiles is a race
+    try:
+        got = temporal.last_known(line, "key", ["at", "n"], ["a", "b"], 100, by=line.mapInArrow(some, line.schema))
+        assert sorted(map(str, got.collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
 def test_as_of_keeps_every_probe(spark):
     intervals = spark.createDataFrame([("a", T0, T0 + timedelta(2), "x"), ("a", T0 + timedelta(2), None, "y"), ("b", T0, T0, "never"), (None, T0, None, "z")], "key string, valid_from timestamp_ntz, valid_to timestamp_ntz, state string")
     probes = spark.createDataFrame([(1, "a", T0), (1, "a", T0), (2, "a", T0 + timedelta(2)), (3, "a", T0 - timedelta(1)), (4, "b", T0), (5, None, T0), (6, "a", None)], "id long, key string, at timestamp_ntz")
