@@ -15,11 +15,29 @@ from ..session import shared_dir
 PIECE, CUTS = 1 << 22, 256
 
 
-def validity(states: DataFrame, key: str, order: list[str], state: str) -> DataFrame:
-    """Half-open intervals in which a state holds; equal states that follow each other are one interval."""
-    w = Window.partitionBy(key).orderBy(*order)
-    starts = states.withColumn("_p", F.lag(state).over(w)).withColumn("_n", F.row_number().over(w)).where((F.col("_n") == 1) | ~F.col("_p").eqNullSafe(F.col(state)))
-    return starts.drop("_p", "_n").withColumn("valid_to", F.lead(order[0]).over(w)).withColumnRenamed(order[0], "valid_from")
+def validity(states: DataFrame, key: str, order: list[str], state: str, most: int | None = None) -> DataFrame:
+    """Half-open intervals in which a state holds; equal states that follow each other are one interval.
+
+    With ``most``, keys of more rows are scanned in pieces by many tasks: what a piece ends with is handed to the first row of the
+    next one, and the start of the next one to the last interval, which are a few rows a key.
+    """
+    if most is None or not _may_be_hot(states.select(key, order[0]), most):
+        w = Window.partitionBy(key).orderBy(*order)
+        starts = states.withColumn("_p", F.lag(state).over(w)).withColumn("_n", F.row_number().over(w)).where((F.col("_n") == 1) | ~F.col("_p").eqNullSafe(F.col(state)))
+        return starts.drop("_p", "_n").withColumn("valid_to", F.lead(order[0]).over(w)).withColumnRenamed(order[0], "valid_from")
+    cut = pieces(states, key, order[0], most).drop("_cuts")
+    line, w = Window.partitionBy("_of").orderBy("_at"), Window.partitionBy(key, "_piece").orderBy(*order)
+    place = [F.col(key).alias("_of"), F.col("_piece").alias("_at")]
+    ends = cut.groupBy(*place).agg(F.max_by(F.struct(F.col(state).alias("s")), F.struct(*order)).alias("_end"))
+    ends = ends.select("_of", "_at", F.lag("_end").over(line).alias("_before"))
+    here = F.col(key).eqNullSafe(F.col("_of")) & (F.col("_piece") == F.col("_at"))
+    rows = cut.withColumns({"_n": F.row_number().over(w), "_p": F.lag(F.struct(F.col(state).alias("s"))).over(w)}).join(ends, here, "left")
+    before = F.when(F.col("_n") == 1, F.col("_before")).otherwise(F.col("_p"))
+    starts = rows.withColumn("_p", before).where(F.col("_p").isNull() | ~F.col("_p.s").eqNullSafe(F.col(state))).drop("_n", "_p", "_before", "_of", "_at")
+    firsts = starts.groupBy(*place).agg(F.min_by(F.struct(F.col(order[0]).alias("t")), F.struct(*order)).alias("_first"))
+    firsts = firsts.select("_of", "_at", F.lead("_first").over(line).alias("_next"))
+    out = starts.withColumn("valid_to", F.lead(F.struct(F.col(order[0]).alias("t"))).over(w)).join(firsts, here, "left")
+    return out.withColumn("valid_to", F.coalesce("valid_to", "_next")["t"]).drop("_of", "_at", "_next", "_piece").withColumnRenamed(order[0], "valid_from")
 
 
 def belief(evidence: DataFrame, key: str, at: str, method: str, value: str, methods: list[str], most: int | None = None) -> DataFrame:

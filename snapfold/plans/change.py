@@ -52,7 +52,7 @@ def hot_key_scan(spark, d):
 
 def hot_key_asof(spark, d):
     """Orders of a priority meet the state of the events of one type: a key has a fifth of all rows on both sides."""
-    states = temporal.validity(events(spark, d).select("event_type", "ts", "event_id", F.floor(F.col("value") / 34).alias("level")), "event_type", ["ts", "event_id"], "level")
+    states = temporal.validity(events(spark, d).select("event_type", "ts", "event_id", F.floor(F.col("value") / 34).alias("level")), "event_type", ["ts", "event_id"], "level", most=500)
     kind = F.element_at(F.array(*[F.lit(t) for t in TYPES]), F.substring("o_orderpriority", 1, 1).cast("int"))
     probes = table(spark, d, "orders").select("o_orderkey", kind.alias("event_type"), F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.dayofmonth("o_orderdate"), F.hour(F.timestamp_seconds("o_orderkey")), F.lit(0), F.lit(0)).alias("at"))
     return temporal.as_of(probes, states, "event_type", "at", ["event_id", "level"], most=500).select("o_orderkey", "event_id", "level")

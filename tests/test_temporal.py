@@ -38,6 +38,15 @@ def test_a_hot_key_is_shared_by_tasks(line):
     assert all(p == 0 for k, p in sizes if k is None)
 
 
+def test_validity_of_a_hot_key_in_pieces(spark, line):
+    """A hot key's intervals are those of one window over it, and no task of a window has all of its rows."""
+    states = line.select("key", "at", "n", F.when(F.col("n") % 7 != 0, F.floor(F.col("n") / 3) % 2).alias("level"))
+    told = [sorted(map(str, temporal.validity(states, "key", ["at", "n"], "level", most).collect())) for most in (None, 100)]
+    assert told[0] == told[1]
+    plan = temporal.validity(states, "key", ["at", "n"], "level", 100)._jdf.queryExecution().executedPlan().toString()
+    assert "_piece" in plan
+
+
 def test_pieces_are_the_same_for_all_that_read_them(spark, line):
     """Quantiles depend on the order of arrival, here on chance: what a piece hands on must come from the pieces that were scanned."""
 
