@@ -3,9 +3,9 @@
 Texts are cut into passages of ``2 * STRIDE`` words that overlap by half. Their TF-IDF vectors, over ``FEATURES`` hashed
 words and document frequencies of the whole corpus, are projected on latent spaces. Items come in blocks of at most ``ITEMS``,
 fewer than the ``RANK`` dimensions, and each block has a space of its own, so that the search of an item is as good among
-a million items as among a hundred. A space is a randomised SVD by subspace iteration over a bounded hash sample of texts and the
-block's items: products run in tasks, their sums are made in executors by ranges of features, and one matrix of fixed
-size, ``FEATURES x RANK``, comes to the driver a round. A pass over the corpus then holds every passage against all items of
+a million items as among a hundred. Every passage of every text takes part in the spaces: one pass adds it, with a random sign, to
+one of ``SKETCH`` rows (a randomised SVD by sparse projection); tasks' rows are added up in executors by ranges of features, and one matrix of fixed
+size, ``SKETCH x FEATURES``, comes to the driver. A space is the singular vectors of it and of the block's items. A second pass over the corpus then holds every passage against all items of
 ``TOGETHER`` blocks by cosine. A candidate's neighbourhood is checked by the longest common subsequence of words with the
 item, which must hold ``LCS`` of the item in a stretch at most ``STRETCH`` times as long, and ``ANSWER`` of the item's
 answer (the answer column, else its last quarter).
@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from .common import summed, written
 from .suffixes import Rolling, _mixed
 
-STRIDE, FEATURES, RANK, OVERSAMPLE, ROUNDS = 32, 16384, 256, 8, 1
-#: Bounds: texts that a space is fitted on, tasks of the fit, items of a block, blocks searched in one pass, bytes laid end to end.
-FIT_TEXTS, FIT_TASKS, ITEMS, TOGETHER, CHUNK = 2000, 3, 240, 4, 1 << 18
+STRIDE, FEATURES, RANK, SKETCH = 32, 16384, 256, 256
+#: Bounds: items of a block, blocks searched in one pass, bytes laid end to end.
+ITEMS, TOGETHER, CHUNK = 240, 4, 1 << 18
 #: Features of a range that is summed in an executor.
 RANGE = 1024
 COSINE, LCS, STRETCH, ANSWER, SEED = 0.25, 0.7, 1.5, 0.5, 3
-#: Weight of an item's vector in the fit; a text has a dozen passages of weight 1.
-ITEM_WEIGHT = 1000.0
+#: Weight of an item in a space, and of all passages of the corpus together, however many there are.
+ITEM_WEIGHT, CORPUS_WEIGHT = 1000.0, 24000.0
 _BREAK = np.array([not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123 or b > 127) for b in range(256)])
 
 
@@ -83,75 +83,77 @@ def in_passages(rows: np.ndarray, first: np.ndarray, more: np.ndarray) -> np.nda
     return out
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """How many documents have each hashed word, and how many documents there are."""
+def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int, int]:
+    """How many documents have each hashed word, how many documents there are, and by how many tasks they were read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, df = Rolling(), np.zeros(FEATURES + 1, np.int64)
+        rolling, df = Rolling(), np.zeros(FEATURES + 2, np.int64)
+        df[FEATURES + 1] = 1
         for b in batches:
             for _, texts in chunks(b, 0):
                 h, bounds = words(texts, rolling)
                 owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
                 df[:FEATURES] += np.bincount(np.unique(owner * FEATURES + features(h)) % FEATURES, minlength=FEATURES)
                 df[FEATURES] += len(texts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1)), pa.array(df)], ["f", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], ["f", "n"])
 
     rows = docs.select(F.lower("text").cast("binary")).mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(FEATURES + 1, np.int64)
+    df = np.zeros(FEATURES + 2, np.int64)
     df[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    return df[:FEATURES], int(df[FEATURES])
+    return df[:FEATURES], int(df[FEATURES]), int(df[FEATURES + 1])
 
 
-def _start() -> np.ndarray:
-    """The random matrix that the iteration starts from, made where it is used."""
-    return np.random.default_rng(SEED).standard_normal((FEATURES, RANK + OVERSAMPLE), np.float32)
+def corpus_sketch(docs: DataFrame, idf: np.ndarray, tasks: int) -> np.ndarray:
+    """SKETCH x FEATURES: the unit TF-IDF vectors of all passages of (doc_id, text), each added with a random sign to a random row.
 
+    Row and sign are a hash of the words, the id and the place, so that copies don't add up to more than their number and reruns agree.
+    """
 
-def latent_space(sample: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """FEATURES x RANK basis (half precision) of the TF-IDF vectors of the passages of (weight, text)."""
-    basis = None
-    for _ in range(ROUNDS + 1):
-
-        def run(batches: Iterator[pa.RecordBatch], basis=basis) -> Iterator[pa.RecordBatch]:
-            rolling = Rolling()
-            table = (_start() if basis is None else basis.astype(np.float32)) * idf[:, None]
-            total = np.zeros(table.shape, np.float32)
-            for b in batches:
-                weights = b.column(0).to_numpy()
-                for at, texts in chunks(b, 1):
-                    h, bounds = words(texts, rolling)
-                    if not len(h):
-                        continue
-                    f = features(h)
-                    first, text, more = passages(bounds)
-                    norm = np.sqrt(in_passages(idf[f] ** 2, first, more))
-                    y = in_passages(table.take(f, axis=0), first, more) * (weights[at + text] / np.maximum(norm, 1e-9) ** 2).astype(np.float32)[:, None]
-                    # a word's passages: its block's, and the one before
-                    word_y = y.copy()
-                    word_y[1:][more[:-1]] += y[:-1][more[:-1]]
-                    each = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(f))))
-                    order = np.argsort(f, kind="stable")
-                    fs = f[order]
-                    cut = np.flatnonzero(np.r_[True, fs[1:] != fs[:-1]])
-                    total[fs[cut]] += np.add.reduceat(word_y.take(each[order], axis=0), cut, axis=0)
-            total *= idf[:, None]
-            for at in range(0, FEATURES, RANGE):
-                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([total[at : at + RANGE].tobytes()], pa.binary())], ["at", "y"])
-
-        y = np.zeros((FEATURES, RANK + OVERSAMPLE if basis is None else basis.shape[1]), np.float32)
-        for at, part in summed(sample.mapInArrow(run, "at long, y binary"), FEATURES // RANGE):
-            y[at : at + RANGE] = part.reshape(-1, y.shape[1])
-        # an orthonormal basis by the small Gram matrix
-        scale, turn = np.linalg.eigh((y.T @ y).astype(np.float64))
-        kept = np.flatnonzero(scale > 1e-10 * max(scale.max(), 1e-30))[::-1]
-        if not len(kept):
-            return np.zeros((FEATURES, 1), np.float16)
-        turn = (turn[:, kept] / np.sqrt(scale[kept])).astype(np.float32)
-        basis = np.empty((FEATURES, len(kept)), np.float16)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling, total = Rolling(), np.zeros(SKETCH * FEATURES, np.float32)
+        for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
+            for at, texts in chunks(b, 1):
+                h, bounds = words(texts, rolling)
+                if not len(h):
+                    continue
+                f = features(h)
+                first, text, more = passages(bounds)
+                norm = np.sqrt(in_passages(idf[f].astype(np.float64) ** 2, first, more))
+                draw = _mixed(np.add.reduceat(h, first) ^ _mixed(ids[at + text] + np.uint64(SEED)) ^ (first - bounds[text]).astype(np.uint64))
+                row = (draw % np.uint64(SKETCH)).astype(np.int64) * FEATURES
+                weight = np.where(draw >> np.uint64(63), 1.0, -1.0) / np.maximum(norm, 1e-9)
+                # a word's passages: its block's, and the one before
+                block = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(f))))
+                np.add.at(total, row[block] + f, (weight[block] * idf[f]).astype(np.float32))
+                two = np.flatnonzero(np.r_[False, more[:-1]][block])
+                before = block[two] - 1
+                np.add.at(total, row[before] + f[two], (weight[before] * idf[f[two]]).astype(np.float32))
+        total = total.reshape(SKETCH, FEATURES)
         for at in range(0, FEATURES, RANGE):
-            basis[at : at + RANGE] = y[at : at + RANGE] @ turn
-        del y
-    return np.ascontiguousarray(basis[:, :RANK])
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([total[:, at : at + RANGE].tobytes()], pa.binary())], ["at", "y"])
+
+    out = np.zeros((SKETCH, FEATURES), np.float32)
+    rows = docs.select(F.xxhash64("doc_id").alias("id"), F.lower("text").cast("binary").alias("text"))
+    for at, part in summed(rows.mapInArrow(run, "at long, y binary"), FEATURES // RANGE, tasks):
+        out[:, at : at + RANGE] = part.reshape(SKETCH, -1)
+    return out * np.float32(np.sqrt(CORPUS_WEIGHT) / max(float(np.linalg.norm(out)), 1e-9))
+
+
+def latent_space(sketch: np.ndarray, items: list[bytes], idf: np.ndarray) -> np.ndarray:
+    """FEATURES x RANK basis (half precision) of the corpus, by its sketch, and of the TF-IDF vectors of a block's items."""
+    rolling, own = Rolling(), np.zeros((len(items), FEATURES), np.float32)
+    for i, text in enumerate(items):
+        f = features(words([text], rolling)[0])
+        v = np.bincount(f, minlength=FEATURES) * idf
+        own[i] = v * (np.sqrt(ITEM_WEIGHT) / max(float(np.linalg.norm(v)), 1e-9))
+    y = np.concatenate([sketch, own])
+    # singular vectors by the small Gram matrix
+    scale, turn = np.linalg.eigh((y @ y.T).astype(np.float64))
+    kept = np.flatnonzero(scale > 1e-6 * max(scale.max(), 1e-30))[::-1][:RANK]
+    if not len(kept):
+        return np.zeros((FEATURES, 1), np.float16)
+    return np.ascontiguousarray((y.T @ (turn[:, kept] / np.sqrt(scale[kept])).astype(np.float32)).astype(np.float16))
 
 
 def lcs(masks: dict[int, int], n: int, other: list[int]) -> int:
@@ -218,7 +220,8 @@ def matches(docs: DataFrame, blocks: list[Block], idf: np.ndarray, cosine: float
     """(item_id, doc_id, similarity, lcs) of the items of a few blocks, in one pass over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, tables = Rolling(), [x.basis.astype(np.float32) * idf[:, None] for x in blocks]
+        # what a word adds to a passage's product with each item
+        rolling, tables = Rolling(), [(x.basis.astype(np.float32) * idf[:, None]) @ x.queries.T for x in blocks]
         for b in batches:
             out: dict[tuple, tuple] = {}
             for at, texts in chunks(b, 1):
@@ -233,7 +236,7 @@ def matches(docs: DataFrame, blocks: list[Block], idf: np.ndarray, cosine: float
                         continue
                     x = in_passages(table.take(f, axis=0), first, more)
                     for i in range(0, len(x), 4096):
-                        score = (x[i : i + 4096] @ block.queries.T) / norm[i : i + 4096, None]
+                        score = x[i : i + 4096] / norm[i : i + 4096, None]
                         for p, q in zip(*np.nonzero(score >= cosine)):
                             item, row = block.items[q], at + int(text[i + p])
                             place = int(first[i + p])
@@ -254,21 +257,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE)
     """(item_id, doc_id, similarity, lcs): documents that hold an item or a paraphrase of it."""
     answer = F.lower("answer") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.select(F.col("item_id").cast("long"), F.lower("text").cast("binary").alias("text"), answer.cast("binary").alias("answer")).distinct()
-    df, n = document_frequencies(docs)
+    df, n, tasks = document_frequencies(docs)
     # words that a good part of the corpus has count for little: a fifth of the largest weight is taken off
     idf = np.maximum(0.05, np.log((n + 1) / (df + 1)) - 0.2 * np.log(n + 1)).astype(np.float32)
-    scale = 1 << 30
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(scale))
-    some = docs.where(draw < min(scale, int(scale * FIT_TEXTS / max(n, 1)))).select(F.lit(1.0).alias("weight"), draw.alias("draw"), F.lower("text").cast("binary").alias("text")).orderBy("draw").limit(2 * FIT_TEXTS)
-    sample = written(some.select("weight", "text").repartition(FIT_TASKS), "sample")
+    sketch = corpus_sketch(docs, idf, tasks)
     n_blocks = max(1, -(-items.count() // (ITEMS * 15 // 16)))
     dealt = written(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)).cast("int")), "items", by="block")
     out, held = None, []
     for k in range(n_blocks):
         own = dealt.where(F.col("block") == k)
-        weighed = own.select(F.lit(ITEM_WEIGHT).alias("weight"), "text").repartition(FIT_TASKS)
-        basis = latent_space(sample.unionByName(weighed).coalesce(FIT_TASKS), idf)
         rows = sorted(own.select("item_id", "text", "answer").collect(), key=lambda r: (r[0] is None, r[0] or 0, bytes(r[1] or b""), bytes(r[2] or b"")))
+        basis = latent_space(sketch, [bytes(r[1] or b"") for r in rows], idf)
         held.append(Block([(r[0], bytes(r[1] or b""), bytes(r[2] or b"")) for r in rows], idf, basis))
         if len(held) == TOGETHER or k == n_blocks - 1:
             # written, so that no more than one pass's spaces are held

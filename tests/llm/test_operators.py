@@ -512,6 +512,23 @@ def test_stages_keep_the_columns(spark, odd):
     assert corpus_pipeline.mix(spark, docs, odd).where(F.col("taken") > 2 * F.col("size")).count() == 0
 
 
+def test_decontamination_learns_from_every_text(spark):
+    """The sketch of the corpus holds each passage of each text: its Gram matrix is that of all of them, and no text is passed over."""
+    docs = spark.createDataFrame([(i, f"alone{i} " * 3 + "shared words of all texts") for i in range(6000)], "doc_id long, text string").repartition(7)
+    idf = np.ones(decontam.FEATURES, np.float32)
+    sketch = decontam.corpus_sketch(docs, idf, decontam.document_frequencies(docs)[2])
+    rolling = decontam.Rolling()
+    alone = [decontam.features(decontam.words([f"alone{i}".encode()], rolling)[0])[0] for i in range(6000)]
+    assert (np.abs(sketch[:, alone]).max(0) > 0).mean() > 0.99
+    # all passages together have a fixed weight, of which each text has its part; the signs make it an estimate
+    shared = set(decontam.features(decontam.words([b"shared words of all texts"], rolling)[0]).tolist())
+    kinds, counts = np.unique(alone, return_counts=True)
+    single = [f for f in kinds[counts == 1].tolist() if f not in shared]
+    energy = (sketch[:, single] ** 2).sum(0)
+    assert len(single) > 4000 and np.allclose(energy, energy.mean(), rtol=0.01)
+    assert np.allclose(sketch, decontam.corpus_sketch(docs.repartition(3), idf, 3), atol=1e-3)
+
+
 def test_decontamination_among_many_items(spark):
     """More items than a space has dimensions: several blocks, and recall against brute force over verbatim and changed items."""
     rng = np.random.default_rng(21)
