@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import changed_keys
+from ..session import spread
 
 
 def source_runs(manifests: DataFrame, sources: list[str], snapshots: DataFrame) -> DataFrame:
@@ -21,17 +22,18 @@ def roll_up(facts: DataFrame, runs: DataFrame, key: str, source: str, snapshot:
     """Bounds, counts and targets of each deployment, and whether the latest run of each of its sources still has it.
 
     A bound's instant is null if a fact of the bound's day has none. ``runs`` has source, day, leg_status and snapshot; a
-    deployment is PRESENT if it stands in the latest applicable run of every source that ever had it, else UNKNOWN.
+    deployment is PRESENT if it stands in the latest applicable run of every source that ever had it, else UNKNOWN. Facts are dealt
+    out by deployment once; the latest runs, a row a source, go to every task, as facts of a source would else meet in one.
     """
     span = [F.bool_or(F.col(at).isNull()).alias("_untimed"), F.min(at).alias("_least"), F.max(at).alias("_most")]
-    base = facts.where(F.col(key).isNotNull()).groupBy(key, source, snapshot, day).agg(F.count("*").alias("_n"), F.collect_set(F.nullif(target, F.lit(""))).alias("_targets"), *span)
+    base = spread(facts.where(F.col(key).isNotNull()), key).groupBy(key, source, snapshot, day).agg(F.count("*").alias("_n"), F.collect_set(F.nullif(target, F.lit(""))).alias("_targets"), *span)
     days = base.groupBy(key, day).agg(F.bool_or("_untimed").alias("_untimed"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
     first, last = F.min_by(F.struct("_untimed", "_least"), day), F.max_by(F.struct("_untimed", "_most"), day)
     bounds = days.groupBy(key).agg(F.min(day).alias("first_day"), first.alias("_f"), F.max(day).alias("last_day"), last.alias("_l"))
     bounds = bounds.select(key, "first_day", F.when(~F.col("_f._untimed"), F.col("_f._least")).alias("first_at"), "last_day", F.when(~F.col("_l._untimed"), F.col("_l._most")).alias("last_at"))
     sums = base.groupBy(key).agg(F.sum("_n").alias("n_rows"), F.count_distinct(snapshot).alias("n_snapshots"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_targets")))).alias("targets"))
     latest = runs.where("leg_status <> 'not_applicable'").groupBy(F.col("source").alias("_s")).agg(F.max_by(F.struct("day", snapshot), "day").alias("run"))
-    by_source = base.join(latest, F.col(source) == F.col("_s"), "left").groupBy(key, source).agg(F.max(F.coalesce(F.col(snapshot) == F.col(f"run.{snapshot}"), F.lit(False))).alias("_there"), F.max("run.day").alias("_day"))
+    by_source = base.join(F.broadcast(latest), F.col(source) == F.col("_s"), "left").groupBy(key, source).agg(F.max(F.coalesce(F.col(snapshot) == F.col(f"run.{snapshot}"), F.lit(False))).alias("_there"), F.max("run.day").alias("_day"))
     state = by_source.groupBy(key).agg(F.when(F.bool_and("_there"), "PRESENT").otherwise("UNKNOWN").alias("state"), F.max("_day").alias("as_of_day"), F.count("*").alias("n_sources"))
     return bounds.join(sums, key).join(state, key)
 
@@ -66,9 +68,9 @@ def batches(facts: DataFrame, series: list[str], snapshot: str, day: str, at: st
 
     A batch with an untimed row has no instant; its day is a barrier: every batch of that day is cut off, and no later batch is
     compared with one before it. An untimed batch without a day takes its whole series out. The value is null, which cuts the
-    chain too, where rows differ or say nothing (an empty map).
+    chain too, where rows differ or say nothing (an empty map). Facts are dealt out by series once, for all that follows.
     """
-    rows = facts.withColumn("_v", value).withColumns(_marks("_v"))
+    rows = spread(facts.withColumn("_v", value), *series).withColumns(_marks("_v"))
     out = rows.groupBy(*series, snapshot).agg(F.bool_or(F.col(at).isNull()).alias("untimed"), F.max(at).alias("_at"), F.max(day).alias("_day"), _agree().alias("_one"), F.any_value("_v", True).alias("_value"))
     w = Window.partitionBy(*series)
     out = out.withColumn("batch_day", F.when(F.col("untimed"), F.col("_day")).otherwise(F.to_date("_at"))).withColumn("_lost", F.bool_or(F.col("untimed") & F.col("_day").isNull()).over(w)).where("not _lost")

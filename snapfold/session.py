@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def importable(spark: SparkSession) -> SparkSession:
@@ -31,3 +31,19 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+#: Bytes of files that a partition is meant for.
+PART = 8 << 20
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt out once by ``keys``, so that what groups by them or more needs no further shuffle.
+
+    Partitions grow with the files that ``rows`` come from, so that a task's share doesn't; small inputs are left to Spark.
+    """
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    n = sum(x for x in sizes if x < 1 << 60) // PART  # what isn't a file has no size that Spark knows
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(least, n), *keys) if n >= 8 else rows.repartition(*keys)
