@@ -58,23 +58,23 @@ def _merged(marks, first: bool = False) -> list[Column]:
 
 
 def _candidates(batches: DataFrame) -> DataFrame:
-    """(series, at, previous_at, flags): batches that differ from the one right before in a field that both tell.
+    """(series, at, snapshots, previous, flags): batches that differ from the one right before in a field that both tell, with the snapshots of either.
 
     A batch with an untimed row makes its day a barrier: every batch of that day is cut off and none is compared across it. One
     without a day takes out its series. Each field has its own chain: rows that differ or tell nothing cut only theirs.
     """
     marks = [m for f in FIELDS for m in (f"_{f}_1", f"_{f}_2", f"_{f}_none")]
     points = batches.withColumns({"day": F.when(F.col("untimed"), F.col("_day")).otherwise(F.to_date("_at")), "at": F.when(~F.col("untimed"), F.col("_at"))})
-    points = points.groupBy(*SERIES, "day", "at").agg(F.bool_or("untimed").alias("untimed"), *_merged(marks))
+    points = points.groupBy(*SERIES, "day", "at").agg(F.bool_or("untimed").alias("untimed"), F.collect_list(F.when(~F.col("untimed"), F.col("snapshot_id"))).alias("snapshots"), *_merged(marks))
     lost = F.bool_or(F.col("untimed") & F.col("day").isNull()).over(Window.partitionBy(*SERIES))
     points = points.withColumns({"_lost": lost, "_barrier": F.bool_or("untimed").over(Window.partitionBy(*SERIES, "day"))}).where("not _lost")
     for f in FIELDS:
         one = (F.col(f"_{f}_1_low") == F.col(f"_{f}_1_high")) & (F.col(f"_{f}_2_low") == F.col(f"_{f}_2_high"))
         points = points.withColumn(f"_{f}", F.when(~F.col("_barrier") & one & ~F.col(f"_{f}_none"), F.struct(F.col(f"_{f}_1_low").alias("a"), F.col(f"_{f}_2_low").alias("b"))))
     w = Window.partitionBy(*SERIES).orderBy("day", F.col("at").asc_nulls_first())
-    before = points.withColumns({"previous_at": F.lag("at").over(w), **{f"_before_{f}": F.lag(f"_{f}").over(w) for f in FIELDS}})
+    before = points.withColumns({"previous": F.lag("snapshots").over(w), **{f"_before_{f}": F.lag(f"_{f}").over(w) for f in FIELDS}})
     flags = {f"is_{f}": F.coalesce(F.col(f"_{f}") != F.col(f"_before_{f}"), F.lit(False)) for f in FIELDS}
-    return before.select(*SERIES, "at", "previous_at", *[c.alias(n) for n, c in flags.items()]).where(reduce(lambda a, b: a | b, [F.col(n) for n in flags]))
+    return before.select(*SERIES, "at", "snapshots", "previous", *[c.alias(n) for n, c in flags.items()]).where(reduce(lambda a, b: a | b, [F.col(n) for n in flags]))
 
 
 def changes(facts: DataFrame) -> DataFrame:
@@ -84,11 +84,9 @@ def changes(facts: DataFrame) -> DataFrame:
     of a side are none; what is reported as old and new is that of the side's least observation.
     """
     known = _present(facts)
-    batches = _batches(known)
-    found = _candidates(batches)
-    sides = found.withColumn("_side", F.explode(F.array(F.struct(F.lit("current").alias("name"), F.col("at").alias("when")), F.struct(F.lit("previous").alias("name"), F.col("previous_at").alias("when")))))
-    sides = sides.select(*SERIES, "at", *[f"is_{f}" for f in FIELDS], F.col("_side.name").alias("side"), F.col("_side.when").alias("_at"))
-    parts = batches.where("not untimed").select(*SERIES, "snapshot_id", "_at").join(sides, [*SERIES, "_at"]).drop("_at")
+    found = _candidates(_batches(known))
+    sides = found.withColumn("_side", F.explode(F.array(F.struct(F.lit("current").alias("name"), F.col("snapshots").alias("ids")), F.struct(F.lit("previous").alias("name"), F.col("previous").alias("ids")))))
+    parts = sides.select(*SERIES, "at", *[f"is_{f}" for f in FIELDS], F.col("_side.name").alias("side"), F.explode("_side.ids").alias("snapshot_id"))
     rows = known.join(parts, [*SERIES, "snapshot_id"])
     of = lambda side, c: F.when(F.col("side") == side, c)
     told = F.struct("provider", "provider_model_id", *FIELDS, *[F.col(f"{f}_raw") if f"{f}_raw" in facts.columns else F.to_json(f).alias(f"{f}_raw") for f in FIELDS], *([F.col("price_terms")] if "price_terms" in facts.columns else [F.lit("").alias("price_terms")]))
@@ -160,7 +158,7 @@ def ledger(facts: DataFrame, told: DataFrame, candidates: DataFrame, recorded_at
 
     ``facts``: observation_id, deployment_key, provider, provider_model_id, source, scope, snapshot_id, presence_state, observed_at,
     observed_precision, observation_date and a map of comparable values a field (with ``<field>_raw``, the source's own text, and
-    ``price_terms`` if there). ``told`` and ``candidates`` are those of ``identity``. An event later than ``recorded_at`` fails the job.
+    ``price_terms`` if there). Each of ``told`` and ``candidates`` is read more than once: written ones (``session.written``) are not computed again. ``told`` and ``candidates`` are those of ``identity``. An event later than ``recorded_at`` fails the job.
     """
     others = changes(facts).unionByName(listings(facts))
     of = F.struct(*[F.col(f"_b_{c}").alias(c) for c in ("state", "target", "canonical", "decision_id")])

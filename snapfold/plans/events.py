@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as ledger
 from ..operators import identity
+from ..session import written
 from .binding import EVENTS_SQL, day_text, events
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -41,8 +42,9 @@ def _reviews(spark, d):
 
 def lifecycle_ledger(spark, d):
     facts = _facts(spark, d)
-    found = identity.candidates(facts, _reviews(spark, d))
-    out = ledger.ledger(facts, identity.decisions(found), found, F.lit("2024-12-31T00:00:00Z").cast("timestamp"))
+    # both are read by several parts of the ledger, and their hashes and windows are most of its work
+    found = written(identity.candidates(facts, _reviews(spark, d)), "candidates")
+    out = ledger.ledger(facts, written(identity.decisions(found), "decisions"), found, F.lit("2024-12-31T00:00:00Z").cast("timestamp"))
     text = lambda c: F.date_format(c, MICROS).alias(c)
     joined = lambda c: F.array_join(c, ",").alias(c)
     return out.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read again, for what a plan would otherwise compute at each place that uses it."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Bytes of files that a partition is meant for.
 PART = 8 << 20
 

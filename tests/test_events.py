@@ -88,3 +88,19 @@ def test_ids_bind_evidence_and_not_the_replay(spark):
 def test_no_event_from_the_future(spark):
     with pytest.raises(Exception, match="future observations"):
         ledger(spark, [row(0, T)], recorded="2024-02-01T00:00:00Z").collect()
+
+
+def test_the_ledger_reads_its_inputs_a_few_times(spark, sf_dir):
+    """What its parts share is written once; each of them computed it anew from the facts, in 18 scans."""
+    from snapfold.plans import events as plan
+
+    tree = plan.lifecycle_ledger(spark, sf_dir)._jdf.queryExecution().optimizedPlan()
+    leaves = tree.collectLeaves()
+    assert leaves.size() <= 10
+    assert sum("events.parquet" in f for f in plan.lifecycle_ledger(spark, sf_dir).inputFiles()) == 1
+
+
+def test_instants_of_several_snapshots_are_one_side(spark):
+    """All snapshots of an instant are evidence, and a batch after one without an instant has no side before it."""
+    rows = [row(0, T, snapshot="a"), row(1, T, snapshot="b"), row(2, T + timedelta(1), price="2", snapshot="c"), row(3, T + timedelta(1), price="2", snapshot="d"), row(4, None, price="3", day=date(2024, 3, 3)), row(5, T + timedelta(3), price="4")]
+    assert told(ledger(spark, rows), "PRICE_CHANGED") == [(2, '{"prompt":"1"}', '{"prompt":"2"}', ("o0", "o1"), ("o2", "o3"))]
