@@ -640,3 +640,12 @@ def test_alike_many_agrees_with_alike():
         else:
             assert ask[i] or not expected[i]
     assert 20 < sum(first >= 0) < 200 and any(ask)
+
+
+def test_suffixes_of_large_symbols_and_of_periods():
+    """Ranks above 31 bits have their own width; periods make the longest runs of rounds."""
+    rng = np.random.default_rng(77)
+    for most in (2, 1 << 8, (1 << 31) - 2):
+        for n in (1, 5, 60):
+            s = np.r_[np.tile(rng.integers(1, most, n), 5), 0].astype(np.int32)
+            assert induced.suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
