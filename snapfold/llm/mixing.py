@@ -78,18 +78,21 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_epochs:
     placed = ranges.join(sources, ranges["source"].eqNullSafe(sources["source"])).select(
         ranges["source"], "_range", "_in_range", "_before", "source_size", "target", "epochs", "_more"
     )
+    # a row for each source, so that no text is shuffled to learn what becomes of it: up to range _full all documents are taken once
+    # more, and only the range in which a source's further words run out, _edge, needs the order of its documents
+    inside = (F.col("_more") > F.col("_before")) & (F.col("_more") < F.col("_before") + F.col("_in_range"))
+    whole = F.col("_more") >= F.col("_before") + F.col("_in_range")
+    placed = placed.groupBy("source", "source_size", "target", "epochs", "_more").agg(
+        F.max(F.when(whole, F.col("_range"))).alias("_full"), F.max(F.when(inside, F.col("_range"))).alias("_edge"), F.max(F.when(inside, F.col("_before"))).alias("_before")
+    )
     placed = written(placed, "placed")
-    # only the range in which a source's further words run out needs the order of its documents
     s, p = sized.alias("s"), placed.alias("p")
-    joined = s.join(p, F.col("s.source").eqNullSafe(F.col("p.source")) & (F.col("s._range") == F.col("p._range"))).select(
-        "s.*", "_in_range", "_before", "source_size", "target", "epochs", "_more"
-    )
-    inside = (F.col("_more") > F.col("_before")) & (F.col("_more") < F.col("_before") + F.col("_in_range"))
+    joined = s.join(p, F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "source_size", "target", "epochs", "_more", "_full", "_edge", "_before")
+    at_edge = F.col("_range").eqNullSafe(F.col("_edge"))
     within = Window.partitionBy("source", "_range").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    edge = joined.where(inside)
     seen = F.col("_before") + F.coalesce(F.sum("size").over(within), F.lit(0))
-    edge = edge.withColumn("_extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_more") - seen)))
-    rest = joined.where(~inside).withColumn("_extra", F.when(F.col("_more") > F.col("_before"), F.col("size")).otherwise(F.lit(0)))
+    edge = joined.where(at_edge).withColumn("_extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_more") - seen)))
+    rest = joined.where(~at_edge).withColumn("_extra", F.when(F.col("_range") <= F.col("_full"), F.col("size")).otherwise(F.lit(0)))
     out = rest.unionByName(edge)
     return out.withColumn("taken", (F.col("epochs") * F.col("size") + F.col("_extra")).cast("long")).select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], *made)
 
