@@ -58,8 +58,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without bytes of 400-byte strings that also start elsewhere; n_chars follows the text."""
-    out = suffixes.texts_without_repeats(docs)
+    """Texts without words of 50-word strings that also start elsewhere; n_chars follows the text."""
+    out = suffixes.texts_without_passages(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 

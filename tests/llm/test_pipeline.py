@@ -1,7 +1,10 @@
 """Stages of the pipeline on each other's results, and whose scratch data goes when."""
 
+import random
+from collections import Counter
+
 import corpus_pipeline as pipeline
-from snapfold.llm import common, langid, suffixes
+from snapfold.llm import common, langid, mixing, suffixes
 
 
 def ids(df):
@@ -42,3 +45,36 @@ def test_rows_without_ids_are_learnt_from(spark):
     drawn = langid.training_windows(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     n = {r["lang"]: r["count"] for r in drawn.groupBy("lang").count().collect()}
     assert set(n) == set(words) and all(langid.DOCS_PER_LANG <= v <= langid.DOCS_PER_LANG * langid.WINDOWS_PER_DOC for v in n.values())
+
+
+def test_passages_of_fifty_words_go(spark):
+    """Strings of 400 bytes alone left passages of fifty short words in place."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7)))
+    texts = [[word() for _ in range(rng.randint(0, 160))] for _ in range(40)] + [None, [], ["a"] * 49, ["b"] * 50, ["c"] * 51, ["d", "e"] * 40]
+    for n in (49, 50, 51, 60, 90):
+        shared = [word() for _ in range(n)]
+        for i in rng.sample(range(40), 2):
+            at = rng.randint(0, len(texts[i]))
+            texts[i] = texts[i][:at] + shared + texts[i][at:]
+    texts.append(texts[0])
+    gap = lambda: rng.choice([" ", "  ", "\n", " \t"])
+    rows = [(i, None if t is None else "".join(w + gap() for w in t)) for i, t in enumerate(texts)]
+    many = Counter(tuple(t[s : s + 50]) for t in texts if t for s in range(len(t) - 49))
+    expected = {}
+    for i, t in enumerate(texts):
+        gone = {j for s in range(len(t or []) - 49) if many[tuple(t[s : s + 50])] > 1 for j in range(s, s + 50)}
+        expected[i] = None if t is None else [w for j, w in enumerate(t) if j not in gone]
+    out = pipeline.substring_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert {i: None if t is None else t.split() for i, t in got.items()} == expected
+    assert all(got[i] == t for i, t in rows if t is None or expected[i] == texts[i]) and sum(expected[i] != t for i, t in enumerate(texts)) > 6
+
+
+def test_texts_are_mixed_where_they_are(spark, odd, monkeypatch):
+    """A join with one row for each range of a source shuffled all texts once it was too large to broadcast."""
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    placed = []
+    monkeypatch.setattr(mixing, "written", lambda df, label, **k: placed.append(common.written(df, label, **k)) or placed[-1])
+    assert pipeline.mix(spark, docs, odd).count() == docs.count()
+    assert placed[-1].count() == docs.select("source").distinct().count()
