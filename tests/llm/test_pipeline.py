@@ -3,8 +3,10 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 import corpus_pipeline as pipeline
-from snapfold.llm import common, langid, mixing, suffixes
+from snapfold.llm import common, langid, mixing, passages, suffixes
 
 
 def ids(df):
@@ -78,3 +80,27 @@ def test_texts_are_mixed_where_they_are(spark, odd, monkeypatch):
     monkeypatch.setattr(mixing, "written", lambda df, label, **k: placed.append(common.written(df, label, **k)) or placed[-1])
     assert pipeline.mix(spark, docs, odd).count() == docs.count()
     assert placed[-1].count() == docs.select("source").distinct().count()
+
+
+def test_shifts_are_tried_where_no_passage_is_equal(monkeypatch):
+    """All shifts were compared for every row, also for those whose equal passage was known; the outcome is that of one row at a time."""
+    rng = np.random.default_rng(6)
+    width, wide = 2 * passages.LEAST - 1, 2 * (passages.LEAST - 1 + passages.BAND) + 1
+    a, b = rng.integers(0, 1 << 32, (60, width)), rng.integers(0, 1 << 32, (60, wide))
+    for i in range(40):
+        b[i, passages.BAND : passages.BAND + width] = a[i]
+        b[i, rng.integers(0, wide, i // 2)] = -2
+    b[40:50, : width] = a[40:50]
+    seen = []
+    zeros = np.zeros
+    monkeypatch.setattr(passages.np, "zeros", lambda shape, *k, **n: seen.append(shape) or zeros(shape, *k, **n))
+    maybe, first, last = passages.alike_many(a, b)
+    monkeypatch.undo()
+    assert (60, width) not in seen
+    for i in range(60):
+        same = (a[i] == b[i, passages.BAND : passages.BAND + width]).astype(int)
+        runs = [j for j in range(width - passages.LEAST + 1) if same[j : j + passages.LEAST].all()]
+        met = np.array([(a[i] == b[i, d : d + width]) for d in range(2 * passages.BAND + 1)]).any(0).astype(int)
+        most = max(met[j : j + passages.LEAST].sum() for j in range(width - passages.LEAST + 1))
+        assert first[i] == (runs[0] if runs else -1) and maybe[i] == (not runs and most >= 41)
+        assert not runs or same[first[i] : last[i] + 1].all()
